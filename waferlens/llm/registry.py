@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, secrets, simhash, tokenstore, toxicity
+from . import licenses, packing, quality, secrets, simhash, tokenstore, toxicity
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(_docs(spark, d))
 
 
+def op3_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan(_docs(spark, d))
+
+
 def op4_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, d))
 
@@ -42,8 +46,8 @@ def op9_token_store(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op4_best_fit_packing, op5_toxicity, op6_simhash_near_dedup, op7_quality, op9_token_store)}
+    return {f.__name__: f for f in (op1_secret_scan, op3_license_scan, op4_best_fit_packing, op5_toxicity, op6_simhash_near_dedup, op7_quality, op9_token_store)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": secrets.oracle()}
+    return {"op1_secret_scan": secrets.oracle(), "op3_license_scan": licenses.oracle()}
