@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, packing, quality, secrets, simhash, tokenstore, toxicity
+from . import fingerprints, licenses, mixing, packing, quality, secrets, simhash, tokenstore, toxicity
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
@@ -41,13 +41,21 @@ def op7_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.classify(_docs(spark, d), _labels(spark, d))
 
 
+def op8_source_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_sizes(_docs(spark, d))
+
+
 def op9_token_store(spark: SparkSession, d: str) -> DataFrame:
     return tokenstore.store_round_trip(_docs(spark, d))
 
 
+def op10_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(_docs(spark, d))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op3_license_scan, op4_best_fit_packing, op5_toxicity, op6_simhash_near_dedup, op7_quality, op9_token_store)}
+    return {f.__name__: f for f in (op1_secret_scan, op3_license_scan, op4_best_fit_packing, op5_toxicity, op6_simhash_near_dedup, op7_quality, op8_source_mix, op9_token_store, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": secrets.oracle(), "op3_license_scan": licenses.oracle()}
+    return {"op1_secret_scan": secrets.oracle(), "op3_license_scan": licenses.oracle(), "op8_source_mix": mixing.oracle()}
