@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, licenses, mixing, packing, quality, secrets, simhash, tokenstore, toxicity
+from . import fingerprints, itq, licenses, mixing, packing, quality, secrets, simhash, tokenstore, toxicity
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(_docs(spark, d))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return itq.near_duplicates(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
 def op3_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scan(_docs(spark, d))
 
@@ -54,7 +58,7 @@ def op10_fingerprints(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op3_license_scan, op4_best_fit_packing, op5_toxicity, op6_simhash_near_dedup, op7_quality, op8_source_mix, op9_token_store, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_embedding_near_dedup, op3_license_scan, op4_best_fit_packing, op5_toxicity, op6_simhash_near_dedup, op7_quality, op8_source_mix, op9_token_store, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
