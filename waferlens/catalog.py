@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .functions import columns as fc
 from .functions import predicates as fp
-from .operators import counts, relation, scores, shape, weights
-from .plans import etl
+from .operators import counts, models, relation, scores, shape, weights
+from .plans import etl, pipelines
+from .plans.request import parse
 from .sources import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -660,3 +661,115 @@ def pass_counts(spark: SparkSession, d: str) -> DataFrame:
 @query(sql("SELECT OPE_NO || '/' || NEXT_OPE_NO AS OPE_NO, WAFER_ID, round(DIFF_TIME / 60, 2) AS MINUTES FROM qtime", "qtime"))
 def qtime_minutes(spark: SparkSession, d: str) -> DataFrame:
     return views.qtime(spark, d).select(F.concat("OPE_NO", F.lit("/"), "NEXT_OPE_NO").alias("OPE_NO"), "WAFER_ID", fc.minutes("DIFF_TIME").alias("MINUTES"))
+
+
+# --- whole analyses -------------------------------------------------------------------------------------------------
+_REQUEST = '{"requestId": "R1", "algorithm": "%s", "requestParam": {"uploadId": "U1", "groupByList": %s%s}}'
+_FULL = {
+    "w_": f"SELECT a.*, BAD_NUM AS bad FROM anova a JOIN c USING (OPE_NO, EQP_NAME) WHERE GOOD_NUM > 0 AND c.BAD_NUM > 0",
+    "raw_": "SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, bad * IMPORTANCE * CASE WHEN SATISFIED THEN 1.0 ELSE 0.0 END AS raw FROM w_",
+    "u": _COMMON.format(k="OPE_NO, EQP_NAME, PARAMETRIC_NAME", t="latest"),
+}
+
+
+@query(sql("SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, GOOD_NUM, BAD_NUM, round(coalesce(raw / (SELECT sum(raw) FROM raw_), 0), 6) AS WEIGHT FROM u LEFT JOIN raw_ USING (OPE_NO, EQP_NAME, PARAMETRIC_NAME)", "latest", c=_COMMON.format(k="OPE_NO, EQP_NAME", t="latest"), **_anova_sql(K2, "latest"), **_FULL))
+def uva_full(spark: SparkSession, d: str) -> DataFrame:
+    """Request to ranked weights, sensor statistics."""
+    request = parse(_REQUEST % ("uva", '["OPE_NO", "EQP_NAME"]', ""))
+    out = pipelines.run(request, {"uva": views.uva(spark, d), "conf_wafer": views.conf_wafer(spark, d)})
+    return out.select(*K2, "PARAMETRIC_NAME", "GOOD_NUM", "BAD_NUM", F.round("WEIGHT", 6).alias("WEIGHT"))
+
+
+_INLINE_LONG = f"SELECT PRODG1, OPE_NO, WAFER_ID, CASE WHEN LABEL = 'GOOD' THEN 0 ELSE 1 END AS label, P || '~' || STATS AS PARAMETRIC_NAME, RESULT FROM (SELECT *, PARAMETRIC_NAME AS P, unnest({list(views.STATS)}) AS STATS, unnest([{', '.join(views.STATS)}]) AS RESULT FROM inline) JOIN conf_wafer ON WAFER_ID = NAME WHERE RESULT IS NOT NULL"
+_KPO = ("PRODG1", "OPE_NO")
+
+
+@query(sql("SELECT PRODG1, OPE_NO, split_part(PARAMETRIC_NAME, '~', 1) AS PARAMETRIC_NAME, split_part(PARAMETRIC_NAME, '~', 2) AS STATS, GOOD_NUM, BAD_NUM, round(coalesce(raw / (SELECT sum(raw) FROM raw_), 0), 6) AS WEIGHT FROM u LEFT JOIN raw_ USING (PRODG1, OPE_NO, PARAMETRIC_NAME)", "inline", "conf_wafer", lng=_INLINE_LONG, c=_COMMON.format(k="PRODG1, OPE_NO", t="lng"), **_anova_sql(_KPO, "lng"), w_="SELECT a.*, BAD_NUM AS bad FROM anova a JOIN c USING (PRODG1, OPE_NO) WHERE GOOD_NUM > 0 AND c.BAD_NUM > 0", raw_="SELECT PRODG1, OPE_NO, PARAMETRIC_NAME, bad * IMPORTANCE * CASE WHEN SATISFIED THEN 1.0 ELSE 0.0 END AS raw FROM w_", u=_COMMON.format(k="PRODG1, OPE_NO, PARAMETRIC_NAME", t="lng")))
+def inline_weights(spark: SparkSession, d: str) -> DataFrame:
+    """Request to ranked weights, in-line statistics."""
+    request = parse(_REQUEST % ("inline_by_wafer", '["PRODG1", "OPE_NO"]', ""))
+    out = pipelines.run(request, {"inline": views.inline(spark, d), "conf_wafer": views.conf_wafer(spark, d)})
+    return out.select(*_KPO, "PARAMETRIC_NAME", "STATS", "GOOD_NUM", "BAD_NUM", F.round("WEIGHT", 6).alias("WEIGHT"))
+
+
+@query()
+def defect_weights(spark: SparkSession, d: str) -> DataFrame:
+    request = parse(_REQUEST % ("defect", '["PRODG1", "LAYER_ID"]', ""))
+    return pipelines.run(request, {"defect": views.defects(spark, d), "conf_wafer": views.conf_wafer(spark, d)})
+
+
+@query()
+def inline_by_site_weights(spark: SparkSession, d: str) -> DataFrame:
+    import json
+
+    request = parse(_REQUEST % ("inline_by_site", '["OPE_NO"]', f', "goodSite": {json.dumps(list(_GOOD))}, "badSite": {json.dumps(list(_BAD))}'))
+    return pipelines.run(request, {"inline": views.sites(spark, d)})
+
+
+@query()
+def inline_by_zone_weights(spark: SparkSession, d: str) -> DataFrame:
+    import json
+
+    zones = {"CENTER": {"INNER": views.SITES[:3], "MID": views.SITES[3:5]}, "EDGE": {"LEFT": views.SITES[5:8]}}
+    request = parse(_REQUEST % ("inline_by_zone", '["OPE_NO"]', f', "modeInfo": {json.dumps(zones)}'))
+    return pipelines.run(request, {"inline": views.sites(spark, d)})
+
+
+_MERGED = ", ".join(f"CAST({'NULL' if c not in ('OPE_NO', 'EQP_NAME', 'PARAMETRIC_NAME') else c} AS VARCHAR) AS {c}" for c in ("PRODG1", "PRODUCT_ID", "OPE_NO", "EQP_NAME", "CHAMBER_NAME", "PARAMETRIC_NAME", "STATS"))
+
+
+@query(sql(f"SELECT 'R1' AS REQUEST_ID, row_number() OVER (ORDER BY WEIGHT DESC, PAIRS DESC, ANALYSIS_NAME, OPE_NO, EQP_NAME, PARAMETRIC_NAME) AS INDEX_NO, ANALYSIS_NAME, {_MERGED}, PAIRS AS COUNT, WEIGHT, CAST(NULL AS VARCHAR) AS MARK FROM (SELECT 'uva' AS ANALYSIS_NAME, * FROM rel UNION ALL SELECT 'twin', * FROM rel)", "uva", "anomaly", src=_CORR_UVA, **_relation_sql(_KP, "src", "RESULT", "VAL", "WAFER_ID")))
+def corr_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Two sources in the fixed result schema, ranked together."""
+    rel = corr_uva(spark, d).withColumnRenamed("PAIRS", "COUNT")
+    return pipelines.merge_sources({"uva": rel, "twin": rel}, "R1")
+
+
+@query()
+def corr_request(spark: SparkSession, d: str) -> DataFrame:
+    """A correlation request over three sources."""
+    text = '{"requestId": "R2", "algorithm": "correlation_by_wafer", "requestParam": {"uploadId": "U1", "uva": {"groupByList": ["OPE_NO", "EQP_NAME"]}, "inline": {"groupByList": ["OPE_NO"]}, "process": {"groupByList": ["PRODG1", "EQP_NAME"]}, "qtime": {"groupByList": ["OPE_NO"]}}}'
+    tables = {"uva": views.uva(spark, d), "inline": views.inline(spark, d), "process": views.passes(spark, d), "qtime": views.qtime(spark, d), "anomaly": views.anomaly(spark, d), "scores": views.scores(spark)}
+    return pipelines.run(parse(text), tables)
+
+
+# --- estimators -----------------------------------------------------------------------------------------------------
+def _units(spark: SparkSession, d: str) -> DataFrame:
+    long = shape.unpivot_stats(views.inline(spark, d), ["WAFER_ID", "PRODG1", "OPE_NO", "PARAMETRIC_NAME"], views.STATS)
+    rows = long.join(views.conf_wafer(spark, d), F.col("WAFER_ID") == F.col("NAME"))
+    return rows.select("PRODG1", "OPE_NO", F.col("WAFER_ID").alias("UNIT"), fp.label_from_config().alias("label"), F.concat_ws("#", "PARAMETRIC_NAME", "STATS").alias("FEATURE"), "RESULT")
+
+
+@query()
+def pca_topfeat(spark: SparkSession, d: str) -> DataFrame:
+    return models.pca_features(_units(spark, d), ["PRODG1", "OPE_NO"])
+
+
+def _top_group(rows: DataFrame) -> list:
+    return rows.groupBy("OPE_NO").agg(F.count_distinct("UNIT").alias("n")).orderBy(F.desc("n"), "OPE_NO").limit(1).select("OPE_NO").collect()
+
+
+@query()
+def rf_importance(spark: SparkSession, d: str) -> DataFrame:
+    """The largest step's parameters by random forest (a top-1 report: each group is a distributed fit)."""
+    rows = _units(spark, d)
+    return models.group_importances(rows, ["OPE_NO"], _top_group(rows))
+
+
+@query()
+def undersample(spark: SparkSession, d: str) -> DataFrame:
+    """Class sizes after the larger class, made nine tenths here, shrinks to centroids."""
+    rows = _units(spark, d).filter("FEATURE like 'QTY%AVERAGE' or FEATURE like 'TAX%AVERAGE'").withColumn("label", F.when(F.crc32(F.col("UNIT")) % 10 == 0, 1).otherwise(0))
+    table = models.feature_table(rows, ["QTY#ALL#MEAN#AVERAGE", "TAX#ALL#MEAN#AVERAGE"])
+    return models.undersample(table).groupBy("label").agg(F.count("*").alias("N"))
+
+
+@query()
+def mutual_info(spark: SparkSession, d: str) -> DataFrame:
+    return models.mutual_information(labelled(spark, d), K2)
+
+
+@query()
+def test_ladder(spark: SparkSession, d: str) -> DataFrame:
+    rows = views.defects(spark, d).join(views.conf_wafer(spark, d), F.col("WAFER_ID") == F.col("NAME"))
+    return models.two_sample_tests(rows.withColumn("label", fp.label_from_config()), ["PRODG1", "LAYER_ID"], "RANDOM_DEFECTS")
