@@ -429,8 +429,12 @@ def defect_param_explode(spark: SparkSession, d: str) -> DataFrame:
 def _relation_sql(keys: tuple[str, ...], source: str, x: str, y: str, order: str) -> dict[str, str]:
     """The relation of operators/relation.py as DuckDB SQL over ``source``."""
     k = ", ".join(keys)
-    sums = {n: e.replace("1.0D", "1.0::DOUBLE") for n, e in relation.SUMS.items()}
-    models = {m: e.replace("1.0D", "1.0").replace("0.0D", "0.0") for m, e in relation.model_sql().items()}
+
+    def plain(e: str) -> str:
+        return e.replace("1.0D", "1.0::DOUBLE").replace("0.0D", "0.0::DOUBLE")
+
+    sums = {n: plain(e) for n, e in relation.SUMS.items()}
+    models = {m: plain(e) for m, e in relation.model_sql().items()}
     w = f"OVER (PARTITION BY {k})"
     return {
         "p0": f"SELECT {k}, {order} AS o_, {x}::DOUBLE AS X_, {y}::DOUBLE AS Y_ FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL",
@@ -439,7 +443,8 @@ def _relation_sql(keys: tuple[str, ...], source: str, x: str, y: str, order: str
         "p3": "SELECT *, CASE WHEN c = 3 THEN least(i, 1) WHEN i < (c % k_) * (c // k_ + 1) THEN i // (c // k_ + 1) ELSE c % k_ + (i - (c % k_) * (c // k_ + 1)) // greatest(c // k_, 1) END AS fold, coalesce(CASE WHEN dx <> 0 THEN (X_ - mx) / dx END, 0) AS x, Y_ - my AS y, s - ms AS t FROM p2",
         "p4": f"SELECT {k}, fold, first(c) AS c, first(y_min) AS y_min, first(xv) AS xv, first(yv) AS yv, " + ", ".join(f"sum({e}) AS a_{n}" for n, e in sums.items()) + f" FROM p3 GROUP BY {k}, fold",
         "p5": "SELECT *, a_ryy + 1e-300 AS a_scale, " + ", ".join(f"sum(a_{n}) {w} - a_{n} AS b_{n}" for n in sums) + " FROM p4",
-        "p6": f"SELECT {k}, c, xv, yv, " + ", ".join(f"{e} AS {m}" for m, e in models.items()) + " FROM p5 WHERE c <> 3 OR fold = 1",
+        **{f"p5{n}": f"SELECT *, {', '.join(f'{plain(e)} AS {c}' for c, e in step.items())} FROM p5{n - 1 if n else ''}" for n, step in enumerate(relation.STEPS)},
+        "p6": f"SELECT {k}, c, xv, yv, " + ", ".join(f"{e} AS {m}" for m, e in models.items()) + f" FROM p5{len(relation.STEPS) - 1} WHERE c <> 3 OR fold = 1",
         "p7": f"SELECT {k}, first(c) AS PAIRS, first(xv) AS xv, first(yv) AS yv, greatest(" + ", ".join(f"avg({m})" for m in models) + f", 0) AS best FROM p6 GROUP BY {k}",
         "rel": f"SELECT {k}, PAIRS, round(CASE WHEN PAIRS >= 3 AND xv AND yv AND best <= 1 THEN best ELSE 0 END, 6) AS WEIGHT FROM p7",
     }

@@ -34,19 +34,19 @@ def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise
     centred = cells.select(*keys, "UNIT", "FEATURE", (F.col("X") - F.col("MEAN")).alias("C"))
     # A unit's features meet in one array; products of pairs are summed per group, partially before the shuffle.
     units = centred.groupBy(*keys, "UNIT").agg(F.array_sort(F.collect_list(F.struct("FEATURE", "C"))).alias("v"))
-    pairs = units.select(*keys, F.explode(F.expr("flatten(transform(v, a -> transform(filter(v, b -> a.FEATURE <= b.FEATURE), b -> struct(a.FEATURE as f, b.FEATURE as g, a.C * b.C as p))))")).alias("x"))
-    gram = pairs.groupBy(*keys, "x.f", "x.g").agg(F.sum("x.p").alias("p"))
-    sizes = units.groupBy(*keys).agg(F.count("*").alias("units"))
+    pairs = units.select(*keys, F.explode(F.expr("flatten(transform(v, a -> transform(filter(v, b -> a.FEATURE <= b.FEATURE), b -> struct(a.FEATURE as _f, b.FEATURE as _g, a.C * b.C as _p))))")).alias("x"))
+    gram = pairs.groupBy(*keys, F.col("x._f").alias("_f"), F.col("x._g").alias("_g")).agg(F.sum("x._p").alias("_p"))
+    sizes = units.groupBy(*keys).agg(F.count("*").alias("_units"))
     fields = [rows.schema[k] for k in keys]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", FEATURE string, IMPORTANCE double"
 
     def components(group: pd.DataFrame) -> pd.DataFrame:
-        names = sorted({*group["f"], *group["g"]})
+        names = sorted({*group["_f"], *group["_g"]})
         at = {n: i for i, n in enumerate(names)}
         m = np.zeros((len(names), len(names)))
-        i, j = group["f"].map(at).to_numpy(), group["g"].map(at).to_numpy()
-        m[i, j] = m[j, i] = group["p"]
-        n = int(group["units"].iloc[0])
+        i, j = group["_f"].map(at).to_numpy(), group["_g"].map(at).to_numpy()
+        m[i, j] = m[j, i] = group["_p"]
+        n = int(group["_units"].iloc[0])
         count = min(min(n * (2 if doubled else 1), len(names)) - 2, most)
         found = []
         if count > 0:
@@ -167,7 +167,7 @@ def knn_information(x: np.ndarray, y: np.ndarray, k: int = 3) -> float:
         for j in range(own + 1):  # j neighbours on the left, the rest on the right
             i = np.arange(j, len(v) - (own - j))
             gaps[j, i] = np.maximum(v[i] - v[i - j], v[i + own - j] - v[i])
-        radius[at] = np.nextafter(gaps.min(0), 0)
+        radius[at] = gaps.min(0) * (1 - 1e-10)  # strictly within, whatever the sums below round to
         used[at] = True
         n += len(at)
         parts.append((len(at), own))

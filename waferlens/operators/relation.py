@@ -12,11 +12,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Sums per fold: x and y are shifted (and x scaled) by the group for models with intercept; X, Y are raw; s is sqrt(Y), t the shifted s.
+#: Sums per fold: x and y are shifted (and x scaled) by the group for models with intercept; X_, Y_ are raw; s is sqrt(Y_), t the shifted s.
 SUMS = {
     "n": "1.0D", "x": "x", "x2": "x*x", "x3": "x*x*x", "x4": "x*x*x*x", "y": "y", "yy": "y*y", "xy": "x*y", "x2y": "x*x*y",
-    "t": "t", "tt": "t*t", "xt": "x*t", "rxx": "X_*X_", "rxy": "X_*Y_", "ryy": "Y_*Y_", "ry": "Y_", "rxs": "X_*s", "rss": "s*s", "rs": "s",
+    "t": "t", "tt": "t*t", "xt": "x*t", "rx": "X_", "rxx": "X_*X_", "rx3": "X_*X_*X_", "rx4": "X_*X_*X_*X_", "rxy": "X_*Y_", "rx2y": "X_*X_*Y_", "ryy": "Y_*Y_", "ry": "Y_", "rxs": "X_*s", "rss": "s*s", "rs": "s",
 }
+#: Steps from the training sums (b_*) to coefficients; each uses what earlier steps name.
+STEPS = (
+    {
+        "vx": "b_n * b_x2 - b_x * b_x",
+        "det": "b_n * (b_x2 * b_x4 - b_x3 * b_x3) - b_x * (b_x * b_x4 - b_x3 * b_x2) + b_x2 * (b_x * b_x3 - b_x2 * b_x2)",
+        # Raw moments for a quadratic that training leaves open: least-norm solutions, as least squares gives them.
+        "c11": "b_rxx - b_rx * b_rx / nullif(b_n, 0.0D)", "c22": "b_rx4 - b_rxx * b_rxx / nullif(b_n, 0.0D)",
+        "c1y": "b_rxy - b_rx * b_ry / nullif(b_n, 0.0D)", "c2y": "b_rx2y - b_rxx * b_ry / nullif(b_n, 0.0D)",
+        "tr": "b_n + b_rxx + b_rx4",
+        "m2": "(b_n * b_rxx - b_rx * b_rx) + (b_n * b_rx4 - b_rxx * b_rxx) + (b_rxx * b_rx4 - b_rx3 * b_rx3)",
+    },
+    {
+        "two": "vx > 1e-9 * b_n * b_n", "whole": "det > 1e-9 * b_n * b_n * b_n",
+        "k_y": "CASE WHEN vx > 1e-12 * b_n * b_n THEN (b_n * b_xy - b_x * b_y) / vx ELSE 0.0D END", "k_t": "CASE WHEN vx > 1e-12 * b_n * b_n THEN (b_n * b_xt - b_x * b_t) / vx ELSE 0.0D END",
+        "o_y": "CASE WHEN b_rxx > 0 THEN b_rxy / b_rxx ELSE 0.0D END", "o_s": "CASE WHEN b_rxx > 0 THEN b_rxs / b_rxx ELSE 0.0D END",
+        "h0": "tr * b_ry - (b_n * b_ry + b_rx * b_rxy + b_rxx * b_rx2y)", "h1": "tr * b_rxy - (b_rx * b_ry + b_rxx * b_rxy + b_rx3 * b_rx2y)", "h2": "tr * b_rx2y - (b_rxx * b_ry + b_rx3 * b_rxy + b_rx4 * b_rx2y)",
+    },
+    {
+        "i_y": "(b_y - k_y * b_x) / nullif(b_n, 0.0D)", "i_t": "(b_t - k_t * b_x) / nullif(b_n, 0.0D)",
+        "q0": "CASE WHEN whole THEN (b_y * (b_x2 * b_x4 - b_x3 * b_x3) - b_x * (b_xy * b_x4 - b_x3 * b_x2y) + b_x2 * (b_xy * b_x3 - b_x2 * b_x2y)) / det END",
+        "q1": "CASE WHEN whole THEN (b_n * (b_xy * b_x4 - b_x3 * b_x2y) - b_y * (b_x * b_x4 - b_x3 * b_x2) + b_x2 * (b_x * b_x2y - b_xy * b_x2)) / det END",
+        "q2": "CASE WHEN whole THEN (b_n * (b_x2 * b_x2y - b_xy * b_x3) - b_x * (b_x * b_x2y - b_xy * b_x2) + b_y * (b_x * b_x3 - b_x2 * b_x2)) / det END",
+        "w1": "CASE WHEN two THEN c1y / (c11 + c22) ELSE 0.0D END", "w2": "CASE WHEN two THEN c2y / (c11 + c22) ELSE 0.0D END",
+        "g0": "CASE WHEN two THEN h0 / m2 ELSE b_ry / nullif(tr, 0.0D) END", "g1": "CASE WHEN two THEN h1 / m2 ELSE b_rxy / nullif(tr, 0.0D) END", "g2": "CASE WHEN two THEN h2 / m2 ELSE b_rx2y / nullif(tr, 0.0D) END",
+    },
+    {"w0": "(b_ry - w1 * b_rx - w2 * b_rxx) / nullif(b_n, 0.0D)"},
+)
 
 
 def _r2(sse: str, sst: str) -> str:
@@ -24,30 +51,30 @@ def _r2(sse: str, sst: str) -> str:
 
 
 def model_sql() -> dict[str, str]:
-    """R2 on a fold (columns a_*) of models fitted to the rest (b_*), as SQL over those sums."""
+    """R2 on a fold (sums a_*) of models whose coefficients STEPS names, as SQL."""
 
     def line(v: str) -> str:
-        slope = f"(CASE WHEN b_n * b_x2 - b_x * b_x > 1e-12 * b_n * b_n THEN (b_n * b_x{v} - b_x * b_{v}) / (b_n * b_x2 - b_x * b_x) ELSE 0.0D END)"
-        base = f"((b_{v} - {slope} * b_x) / nullif(b_n, 0.0D))"
-        sse = f"a_{v}{v} - 2 * {base} * a_{v} - 2 * {slope} * a_x{v} + {base} * {base} * a_n + 2 * {base} * {slope} * a_x + {slope} * {slope} * a_x2"
-        return _r2(sse, f"(a_{v}{v} - a_{v} * a_{v} / a_n)")
-
-    def origin(xy: str, yy: str, y: str) -> str:
-        slope = f"(CASE WHEN b_rxx > 0 THEN b_{xy} / b_rxx ELSE 0.0D END)"
-        return _r2(f"a_{yy} - 2 * {slope} * a_{xy} + {slope} * {slope} * a_rxx", f"(a_{yy} - a_{y} * a_{y} / a_n)")
-
-    det = "(b_n * (b_x2 * b_x4 - b_x3 * b_x3) - b_x * (b_x * b_x4 - b_x3 * b_x2) + b_x2 * (b_x * b_x3 - b_x2 * b_x2))"
-    c0 = f"((b_y * (b_x2 * b_x4 - b_x3 * b_x3) - b_x * (b_xy * b_x4 - b_x3 * b_x2y) + b_x2 * (b_xy * b_x3 - b_x2 * b_x2y)) / {det})"
-    c1 = f"((b_n * (b_xy * b_x4 - b_x3 * b_x2y) - b_y * (b_x * b_x4 - b_x3 * b_x2) + b_x2 * (b_x * b_x2y - b_xy * b_x2)) / {det})"
-    c2 = f"((b_n * (b_x2 * b_x2y - b_xy * b_x3) - b_x * (b_x * b_x2y - b_xy * b_x2) + b_y * (b_x * b_x3 - b_x2 * b_x2)) / {det})"
-    sse = f"a_yy - 2 * {c0} * a_y - 2 * {c1} * a_xy - 2 * {c2} * a_x2y + {c0} * {c0} * a_n + {c1} * {c1} * a_x2 + {c2} * {c2} * a_x4 + 2 * {c0} * {c1} * a_x + 2 * {c0} * {c2} * a_x2 + 2 * {c1} * {c2} * a_x3"
+        k, i = f"k_{v}", f"i_{v}"
+        return _r2(f"a_{v}{v} - 2 * {i} * a_{v} - 2 * {k} * a_x{v} + {i} * {i} * a_n + 2 * {i} * {k} * a_x + {k} * {k} * a_x2", f"(a_{v}{v} - a_{v} * a_{v} / a_n)")
+
+    def origin(k: str, xy: str, yy: str, y: str) -> str:
+        return _r2(f"a_{yy} - 2 * {k} * a_{xy} + {k} * {k} * a_rxx", f"(a_{yy} - a_{y} * a_{y} / a_n)")
+
+    def curve(c: str, x: tuple[str, str, str, str], y: tuple[str, str, str, str]) -> str:
+        (x1, x2, x3, x4), (y0, yy, xy, x2y) = [f"a_{v}" for v in x], [f"a_{v}" for v in y]
+        a, b, d = f"{c}0", f"{c}1", f"{c}2"
+        sse = f"{yy} - 2 * {a} * {y0} - 2 * {b} * {xy} - 2 * {d} * {x2y} + {a} * {a} * a_n + {b} * {b} * {x2} + {d} * {d} * {x4} + 2 * {a} * {b} * {x1} + 2 * {a} * {d} * {x2} + 2 * {b} * {d} * {x3}"
+        return _r2(sse, f"({yy} - {y0} * {y0} / a_n)")
+
+    shifted = curve("q", ("x", "x2", "x3", "x4"), ("y", "yy", "xy", "x2y"))
+    raw = ("rx", "rxx", "rx3", "rx4"), ("ry", "ryy", "rxy", "rx2y")
     return {
         "linear": line("y"),
-        "linear_no_intercept": origin("rxy", "ryy", "ry"),
-        # Without three distinct x the quadratic has no single solution; the line stands for it.
-        "quadratic": f"CASE WHEN {det} > 1e-9 * b_n * b_n * b_n THEN {_r2(sse, '(a_yy - a_y * a_y / a_n)')} ELSE {line('y')} END",
+        "linear_no_intercept": origin("o_y", "rxy", "ryy", "ry"),
+        "quadratic": f"CASE WHEN whole THEN {shifted} ELSE {curve('w', *raw)} END",
+        "quadratic_no_intercept": f"CASE WHEN whole THEN {shifted} ELSE {curve('g', *raw)} END",
         "sqrt": f"CASE WHEN y_min < 0 THEN 0.0D ELSE {line('t')} END",
-        "sqrt_no_intercept": f"CASE WHEN y_min < 0 THEN 0.0D ELSE {origin('rxs', 'rss', 'rs')} END",
+        "sqrt_no_intercept": f"CASE WHEN y_min < 0 THEN 0.0D ELSE {origin('o_s', 'rxs', 'rss', 'rs')} END",
     }
 
 
@@ -80,6 +107,8 @@ def relation(df: DataFrame, keys: Sequence[str], x: str, y: str, order: Sequence
     # Fit on all other folds; on the scored one itself without folds; for three pairs on the first alone.
     rest = {f"b_{n}": (F.sum(f"a_{n}").over(whole) - (F.col(f"a_{n}") if folds else F.lit(0.0))) for n in SUMS}
     parts = parts.withColumns(rest).withColumn("a_scale", F.col("a_ryy") + F.lit(1e-300)).filter((F.col("c") != 3) | (F.col("fold") == (1 if folds else 0)))
+    for step in STEPS:
+        parts = parts.withColumns({c: F.expr(e) for c, e in step.items()})
     fold_scores = parts.select(*keys, "c", "x_varies", "y_varies", *[F.expr(e).alias(m) for m, e in model_sql().items()])
     means = fold_scores.groupBy(*keys).agg(F.first("c").alias("PAIRS"), F.first("x_varies").alias("xv"), F.first("y_varies").alias("yv"), *[F.avg(m).alias(m) for m in model_sql()])
     best = F.greatest(*[F.col(m) for m in model_sql()], F.lit(0.0))
