@@ -1,11 +1,10 @@
 """Token ids of whole texts by a public byte-level BPE vocabulary.
 
-The vocabulary's pre-tokeniser always starts a new piece at a space that is
-followed by a character that is not white space, and byte-pair merges never
-cross pieces.  So the ids of a text are the ids of its space-led segments, one
-after another, and a segment seen before need not be merged again.
-``SegmentEncoder`` keeps a bounded table of segments; every entry comes from
-the tokenizers library itself.
+The vocabulary's pre-tokeniser cuts a text into pieces and byte-pair merges
+never cross them.  So the ids of a text are the ids of its pieces, one after
+another, and a piece seen before need not be merged again.  ``PieceEncoder``
+keeps a bounded table of pieces; every entry comes from the tokenizers library
+itself.
 """
 
 from __future__ import annotations
@@ -17,10 +16,12 @@ from collections.abc import Iterable, Sequence
 import numpy as np
 import regex
 
-_ODD_SPACE = re.compile(r" (?:\s|\Z)")
-_SEGMENT_START = re.compile(r" (?=\S)")
 # Fixed value: the pre-tokeniser pattern of this public vocabulary.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# The same over ASCII and Latin letters alone, for the faster standard module.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+_LATIN_TEXT = re.compile(rf"[\x00-\x7f{_LATIN}]*")
+_LATIN_PIECE = re.compile(rf" ?[{_LATIN}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\t-\r {_LATIN}0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 
 
 def default_vocabulary() -> str:
@@ -31,7 +32,7 @@ def default_vocabulary() -> str:
 
 
 class _Table(dict):
-    """Ids by segment; a segment that is not there is noted and gives None."""
+    """Ids by piece; a piece that is not there is noted and gives None."""
 
     def __init__(self) -> None:
         super().__init__()
@@ -41,14 +42,14 @@ class _Table(dict):
         self.absent.append(key)
 
 
-class SegmentEncoder:
+class PieceEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, as bytes.
 
-    ``None`` and empty texts give no ids.  ``max_segments`` bounds the table;
+    ``None`` and empty texts give no ids.  ``max_pieces`` bounds the table;
     when it is full the table starts anew, which changes speed only.
     """
 
-    def __init__(self, vocabulary: str | None = None, max_segments: int = 600_000) -> None:
+    def __init__(self, vocabulary: str | None = None, max_pieces: int = 600_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -56,56 +57,37 @@ class SegmentEncoder:
         self._tokenizer.encode_special_tokens = True
         size = self._tokenizer.get_vocab_size()
         self._leads = np.array([(self._tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self._max = max_segments
-        self._led = _Table()  # what a space precedes, without it
-        self._bare: dict[str, bytes] = {}
+        self._max = max_pieces
+        self._table = _Table()
 
     def _ids(self, texts: Sequence[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn_led(self, words: list[str]) -> None:
-        """Words that a space leads and that hold none; 1,000 are encoded as one text and cut where a space leads an id."""
-        for i in range(0, len(words), 1000):
-            part = words[i : i + 1000]
-            ids = np.frombuffer(self._ids([" " + " ".join(part)])[0], dtype="<u4")
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Pieces that a space leads are encoded 1,000 to a text, which is cut where a space leads an id; the others one by one."""
+        led, bare = [], []
+        for p in pieces:
+            (led if p[0] == " " and not p[-1].isspace() else bare).append(p)
+        self._table.update(zip(bare, self._ids(bare), strict=True))
+        for i in range(0, len(led), 1000):
+            part = led[i : i + 1000]
+            ids = np.frombuffer(self._ids(["".join(part)])[0], dtype="<u4")
             starts = np.flatnonzero(self._leads[ids])
             if len(starts) != len(part):
-                self._led.update(zip(part, self._ids([" " + w for w in part]), strict=True))
+                self._table.update(zip(part, self._ids(part), strict=True))
                 continue
             raw, cuts = ids.tobytes(), [*(starts * 4).tolist(), len(ids) * 4]
-            self._led.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
-
-    def _learn(self, segments: list[str]) -> None:
-        whole = [s for s in segments if s.isalpha()]
-        split = {s: _PIECE.findall(" " + s) for s in segments if not s.isalpha()}
-        pieces = {p for ps in split.values() for p in ps}
-        led = {p[1:] for p in pieces if p[0] == " " and len(p) > 1 and not p[1:2].isspace()}
-        self._learn_led([*dict.fromkeys([*whole, *(led - self._led.keys())])])
-        bare = [p for p in pieces if p not in self._bare and not (p[0] == " " and p[1:] in led)]
-        self._bare.update(zip(bare, self._ids(bare), strict=True))
-        for s, ps in split.items():
-            self._led[s] = b"".join([self._led[p[1:]] if p[0] == " " and p[1:] in led else self._bare[p] for p in ps])
+            self._table.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        if len(self._led) + len(self._bare) > self._max:
-            self._led, self._bare = _Table(), {}
-        led = self._led
-        heads: list[str] = []
-        rests: list[list[str]] = []
-        for text in texts:
-            text = text or ""
-            parts = _SEGMENT_START.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-            heads.append(parts[0])
-            del parts[0]
-            rests.append(parts)
-        found = [list(map(led.__getitem__, parts)) for parts in rests]
-        if led.absent:
-            absent, led.absent = [*dict.fromkeys(led.absent)], []
+        if len(self._table) > self._max:
+            self._table = _Table()
+        table = self._table
+        pieces = [(_LATIN_PIECE if _LATIN_TEXT.fullmatch(t) else _PIECE).findall(t) if t else [] for t in texts]
+        found = [list(map(table.__getitem__, ps)) for ps in pieces]
+        if table.absent:
+            absent, table.absent = dict.fromkeys(table.absent), []
             self._learn(absent)
-        out = []
-        for head, parts, ids in zip(self._ids(heads), rests, found, strict=True):
-            if None in ids:
-                ids = [led[p] if x is None else x for p, x in zip(parts, ids, strict=True)]
-            out.append(head + b"".join(ids))
-        return out
+            found = [[table[p] if x is None else x for p, x in zip(ps, ids, strict=True)] if None in ids else ids for ps, ids in zip(pieces, found, strict=True)]
+        return [b"".join(ids) for ids in found]
