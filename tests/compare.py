@@ -7,7 +7,7 @@ import pandas as pd
 
 
 def _cell(x):
-    if x is None or x is pd.NaT or (isinstance(x, float) and math.isnan(x)):
+    if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and math.isnan(x)):
         return ""
     if isinstance(x, bool | np.bool_):
         return str(bool(x))
