@@ -16,8 +16,8 @@ from waferlens.llm.common import cut
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on this input, does not reject."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score(docs, model, keep=tuple(docs.columns))
-    return scored.filter(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    packed = docs.select("doc_id", "text", "n_chars", F.struct(*docs.columns).alias("kept"))  # as one column, so that no name clashes
+    return quality.score(packed, model, keep=("kept",)).filter(F.col("score") >= quality.THRESHOLD).select("kept.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,7 +71,7 @@ def apportion(claims: DataFrame, group: list[str], key: str, claim: str, seats:
 
 
 def mix(docs: DataFrame, keep: tuple[str, ...] = (), block_words: int = BLOCK_WORDS, shard_rows: int = SHARD_ROWS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of every row, with how it is taken, and the columns ``keep`` (prefixed ``_``).
+    """``doc_id, size, source_size, target, taken`` of every row, with how it is taken, and the columns ``keep`` (as one struct, ``kept``).
 
     ``passes``: times the whole text is taken; ``head`` words from its start
     and ``tail_from`` to its end are taken once more.  Null texts have size 0
@@ -82,7 +82,7 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = (), block_words: int = BLOCK_WO
     base = docs.select(
         F.col("doc_id").alias("doc_id"), F.col("source").alias("source"), F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"),
         F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("order1"), F.md5(text).alias("order2"),
-        *[F.col(c).alias(f"_{c}") for c in keep],
+        *([F.struct(*keep).alias("kept")] if keep else []),
     )
     slim = base.select("doc_id", "source", "size", "order1", "order2") if keep else cut(base, "sizes")
     base = base if keep else slim
@@ -116,7 +116,7 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = (), block_words: int = BLOCK_WO
     _, head = overlap(F.lit(0), F.col("over"))
     rows = rows.select("*", head.alias("head"), tail_from.alias("tail_from"), tail.alias("tail"))
     taken = (F.col("passes") * F.col("size") + F.col("head") + F.col("tail")).alias("taken")
-    return rows.select("doc_id", "size", "source_size", "target", taken, "passes", "head", "tail_from", "tail", *[f"_{c}" for c in keep])
+    return rows.select("doc_id", "size", "source_size", "target", taken, "passes", "head", "tail_from", "tail", *(["kept"] if keep else []))
 
 
 def mix_sizes(docs: DataFrame) -> DataFrame:
@@ -127,14 +127,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents, in the columns of ``docs``: a row for each whole pass and one for the words taken once more, space-joined; ``n_chars`` follows the text."""
     columns = docs.columns
     rows = mix(docs, keep=tuple(columns), **options)
-    words = F.regexp_extract_all(F.col("_text"), F.lit(WORDS), F.lit(0))
+    words = F.regexp_extract_all(F.col("kept.text"), F.lit(WORDS), F.lit(0))
     head = F.slice(words, 1, F.col("head").cast("int"))
     tail = F.slice(words, F.col("tail_from").cast("int") + 1, F.col("tail").cast("int"))
     # Where the ring's end falls inside a document both parts are taken, in text order.
-    part = F.when(F.col("head") + F.col("tail") > 0, F.when(F.col("head") + F.col("tail") == F.col("size"), F.col("_text")).otherwise(F.array_join(F.concat(head, tail), " ")))
-    texts = F.concat(F.when(F.col("passes") > 0, F.array_repeat("_text", F.col("passes").cast("int"))).otherwise(F.array().cast("array<string>")), F.when(part.isNotNull(), F.array(part)).otherwise(F.array().cast("array<string>")))
-    each = rows.filter("taken > 0").select(*[f"_{c}" for c in columns], F.explode(texts).alias("mixed"))
-    return each.select(*[F.col("mixed").alias(c) if c == "text" else F.length("mixed").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"_{c}").alias(c) for c in columns])
+    part = F.when(F.col("head") + F.col("tail") > 0, F.when(F.col("head") + F.col("tail") == F.col("size"), F.col("kept.text")).otherwise(F.array_join(F.concat(head, tail), " ")))
+    texts = F.concat(F.when(F.col("passes") > 0, F.array_repeat("kept.text", F.col("passes").cast("int"))).otherwise(F.array().cast("array<string>")), F.when(part.isNotNull(), F.array(part)).otherwise(F.array().cast("array<string>")))
+    each = rows.filter("taken > 0").select("kept", F.explode(texts).alias("mixed"))
+    return each.select(*[F.col("mixed").alias(c) if c == "text" else F.length("mixed").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("kept")[c].alias(c) for c in columns])
 
 
 def oracle() -> str:

@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .labelled import fold, labelled_sample
 
@@ -105,7 +106,7 @@ def fit(found: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, k: int =
     rng = np.random.default_rng(seed)
     share = float(np.mean(labels)) if len(labels) else 0.5
     model = FactorisationMachine(0.0, np.zeros(WIDTH, np.float32), rng.normal(0, 0.01, (WIDTH, k)).astype(np.float32))
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         return FactorisationMachine(float(np.log((share + 1e-3) / (1 - share + 1e-3))), model.linear, np.zeros_like(model.factors))
     weights = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     g_bias, g_linear, g_factors = 1e-6, np.full(WIDTH, 1e-6, np.float32), np.full((WIDTH, k), 1e-6, np.float32)
@@ -153,7 +154,7 @@ def score(docs: DataFrame, model: FactorisationMachine, id_col: str = "doc_id",
     sent = spark.sparkContext.broadcast(model)
     fields = [id_col, text_col, n_chars_col, *[c for c in keep if c not in (id_col, text_col, n_chars_col)]]
     out = [id_col, *[c for c in keep if c != id_col]]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in out) + ", score double"
+    schema = StructType([*[docs.schema[c] for c in out], StructField("score", DoubleType())])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

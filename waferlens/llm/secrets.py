@@ -73,7 +73,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
     each = rows.select(*doc, "copies", F.explode_outer("parts").alias("p")).select(*doc, "copies", "p.*")
     run = Window.partitionBy(*doc, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("len")).over(run)
-    each = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("len")).filter("ok is null or ok")
+    # A match that is too short counts for places only; its row stays, since it may be its text's only one.
+    each = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("len")).withColumn("kind", F.when(F.col("ok"), F.col("kind")))
     order = Window.partitionBy(*doc).orderBy("start", "kind", "end")
     before, after = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
     is_kind = {k: F.col("kind") == n for n, (k, *_) in enumerate(KINDS)}
@@ -118,9 +119,10 @@ def redact(docs: DataFrame, mark: str = "[redacted]", id_col: str = "doc_id", te
     """The same rows and columns, each reported span of the text replaced by ``mark``, overlapping ones by one mark; texts without spans, nulls too, stay as they are."""
     found = find(docs, id_col, text_col, scope).filter(F.size("spans") > 0)
     # Written, so that its size is known and the planner decides whether it may be broadcast.
-    hits = cut(found.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "spans"), "spans").withColumnRenamed("spans", "_spans")
-    joined = docs.join(hits, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_key")), "left")
-    text = F.col(text_col)
+    hits = cut(found.select("id", "text_key", "spans"), "spans")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))  # as one column, so that no name clashes
+    text = F.col("row")[text_col]
+    joined = rows.join(hits, F.col("row")[id_col].eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("text_key")), "left")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(a: Column, s: Column) -> Column:
@@ -128,8 +130,8 @@ def redact(docs: DataFrame, mark: str = "[redacted]", id_col: str = "doc_id", te
         between = F.when(fresh, F.concat(text.substr(a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int")), F.lit(mark))).otherwise(F.lit(""))
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], between).alias("out"))
 
-    cleaned = F.aggregate("_spans", start, step, lambda a: F.concat(a["out"], text.substr(a["at"].cast("int") + 1, F.length(text))))
-    return joined.select(*[F.when(F.col("_key").isNotNull(), cleaned).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    cleaned = F.aggregate("spans", start, step, lambda a: F.concat(a["out"], text.substr(a["at"].cast("int") + 1, F.length(text))))
+    return joined.select(*[F.when(F.col("text_key").isNotNull(), cleaned).otherwise(text).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def oracle() -> str:
