@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .tokens import PieceEncoder
+from .tokens import shared_encoder
 
 END_ID = 0
 TEXTS_AT_ONCE = 256
@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_c
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(vocabulary)
+        encoder = shared_encoder(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
         context = TaskContext.get()
         rng = np.random.default_rng(context.partitionId() if context else 0)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Sequence
+from functools import lru_cache
 
 import numpy as np
 import regex
@@ -32,24 +33,31 @@ def default_vocabulary() -> str:
 
 
 class _Table(dict):
-    """Ids by piece; a piece that is not there is noted and gives None."""
+    """Ids by piece.  A piece of the generation before moves here; one that neither has is noted and gives None."""
 
-    def __init__(self) -> None:
+    def __init__(self, before: dict[str, bytes]) -> None:
         super().__init__()
+        self.before = before
         self.absent: list[str] = []
 
-    def __missing__(self, key: str) -> None:
-        self.absent.append(key)
+    def __missing__(self, key: str) -> bytes | None:
+        ids = self.before.get(key)
+        if ids is None:
+            self.absent.append(key)
+        else:
+            self[key] = ids
+        return ids
 
 
 class PieceEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, as bytes.
 
-    ``None`` and empty texts give no ids.  ``max_pieces`` bounds the table;
-    when it is full the table starts anew, which changes speed only.
+    ``None`` and empty texts give no ids.  ``max_pieces`` bounds a generation
+    of the table; a full one is kept until the next is full, so at most twice
+    as many pieces are held.
     """
 
-    def __init__(self, vocabulary: str | None = None, max_pieces: int = 600_000) -> None:
+    def __init__(self, vocabulary: str | None = None, max_pieces: int = 500_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -58,7 +66,7 @@ class PieceEncoder:
         size = self._tokenizer.get_vocab_size()
         self._leads = np.array([(self._tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self._max = max_pieces
-        self._table = _Table()
+        self._table = _Table({})
 
     def _ids(self, texts: Sequence[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
@@ -82,7 +90,7 @@ class PieceEncoder:
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         if len(self._table) > self._max:
-            self._table = _Table()
+            self._table = _Table(dict(self._table))
         table = self._table
         pieces = [(_LATIN_PIECE if _LATIN_TEXT.fullmatch(t) else _PIECE).findall(t) if t else [] for t in texts]
         found = [list(map(table.__getitem__, ps)) for ps in pieces]
@@ -91,3 +99,9 @@ class PieceEncoder:
             self._learn(absent)
             found = [[table[p] if x is None else x for p, x in zip(ps, ids, strict=True)] if None in ids else ids for ps, ids in zip(pieces, found, strict=True)]
         return [b"".join(ids) for ids in found]
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(vocabulary: str | None = None) -> PieceEncoder:
+    """The encoder of this process: a worker that runs one task after another reads the vocabulary once and keeps its table."""
+    return PieceEncoder(vocabulary)

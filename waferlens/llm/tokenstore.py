@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, scratch_path
-from .tokens import PieceEncoder
+from .tokens import shared_encoder
 
 END_ID = 2
 FRAME_BYTES = 1 << 18
@@ -126,7 +126,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     ranged = slim.repartitionByRange(n, "id", F.xxhash64("body")).sortWithinPartitions("id", F.xxhash64("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(vocabulary)
+        encoder = shared_encoder(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
 
         def rows() -> Iterator[tuple[int | None, bytes]]:
