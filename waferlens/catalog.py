@@ -778,3 +778,94 @@ def mutual_info(spark: SparkSession, d: str) -> DataFrame:
 def test_ladder(spark: SparkSession, d: str) -> DataFrame:
     rows = views.defects(spark, d).join(views.conf_wafer(spark, d), F.col("WAFER_ID") == F.col("NAME"))
     return models.two_sample_tests(rows.withColumn("label", fp.label_from_config()), ["PRODG1", "LAYER_ID"], "RANDOM_DEFECTS")
+
+
+# --- dictionaries, contexts, partitions -----------------------------------------------------------------------------
+_DICT = "SELECT DISTINCT 'T' || (s_suppkey % 50) AS TOOL_ID, 'VAR' || (s_suppkey % 4 + 1) AS COLUMN_NAME, CASE s_suppkey % 5 WHEN 0 THEN 'RF_STEP' ELSE 'SENSOR' || (s_suppkey % 3) END AS PARAMETRIC_NAME, CASE s_suppkey % 7 WHEN 0 THEN 'String' ELSE 'Double' END AS DATA_TYPE FROM supplier"
+
+
+def _dictionary(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    return spark.read.parquet(f"{d}/supplier.parquet").select(
+        F.concat(F.lit("T"), (k % 50).cast("string")).alias("TOOL_ID"), F.concat(F.lit("VAR"), (k % 4 + 1).cast("string")).alias("COLUMN_NAME"),
+        F.when(k % 5 == 0, "RF_STEP").otherwise(F.concat(F.lit("SENSOR"), (k % 3).cast("string"))).alias("PARAMETRIC_NAME"), F.when(k % 7 == 0, "String").otherwise("Double").alias("DATA_TYPE"),
+    ).distinct()
+
+
+@query(sql("SELECT s.TOOL_ID, RUN_ID, STEP, s.COLUMN_NAME, VAL, PARAMETRIC_NAME FROM samples s JOIN (SELECT DISTINCT TOOL_ID, COLUMN_NAME, PARAMETRIC_NAME FROM dict WHERE DATA_TYPE <> 'String' AND NOT regexp_matches(upper(PARAMETRIC_NAME), 'STEP|COUNT')) q ON s.TOOL_ID = q.TOOL_ID AND s.COLUMN_NAME = q.COLUMN_NAME", "samples", dict=_DICT))
+def run_dictionary(spark: SparkSession, d: str) -> DataFrame:
+    return etl.named_samples(samples(spark, d), _dictionary(spark, d)).drop("TIME_STAMP")
+
+
+@query(sql("SELECT TOOL_ID, RUN_ID, CASE TOOL_ID WHEN 'T1' THEN CONTEXT_1 WHEN 'T2' THEN CONTEXT_2 WHEN 'T3' THEN CONTEXT_3 END AS PRODUCT_ID FROM c WHERE TOOL_ID IN ('T1', 'T2', 'T3')", c="SELECT 'T' || (o_orderkey % 5) AS TOOL_ID, o_orderkey AS RUN_ID, o_orderstatus AS CONTEXT_1, o_orderpriority AS CONTEXT_2, NULL::VARCHAR AS CONTEXT_3 FROM orders"))
+def context_column(spark: SparkSession, d: str) -> DataFrame:
+    """A value whose column differs by tool."""
+    contexts = spark.read.parquet(f"{d}/orders.parquet").select(
+        F.concat(F.lit("T"), (F.col("o_orderkey") % 5).cast("string")).alias("TOOL_ID"), F.col("o_orderkey").alias("RUN_ID"), F.col("o_orderstatus").alias("CONTEXT_1"), F.col("o_orderpriority").alias("CONTEXT_2"), F.lit(None).cast("string").alias("CONTEXT_3")
+    )
+    meta = spark.createDataFrame([(f"T{n}", "PRODUCT_ID", f"CONTEXT_{n}") for n in (1, 2, 3)], "TOOL_ID string, NAME string, COLUMN_NAME string")
+    columns = ["CONTEXT_1", "CONTEXT_2", "CONTEXT_3"]
+    return etl.context_value(contexts, meta, columns, "PRODUCT_ID").select("TOOL_ID", "RUN_ID", "PRODUCT_ID")
+
+
+@query(sql("SELECT DISTINCT WAFER_ID AS NAME, RESULT AS VAL FROM uva WHERE PARAMETRIC_NAME = 'DISC#ALL#MEAN' AND WAFER_ID IN (SELECT NAME FROM conf_wafer WHERE LABEL = 'BAD')", "uva", "conf_wafer"))
+def anomaly_base(spark: SparkSession, d: str) -> DataFrame:
+    bad = views.conf_wafer(spark, d).filter("LABEL = 'BAD'").select(F.col("NAME").alias("WAFER_ID"))
+    return etl.base_vector(views.uva(spark, d), "DISC#ALL#MEAN", bad)
+
+
+@query(sql("SELECT TOOL_ID, row_number() OVER (ORDER BY TOOL_ID) AS N FROM (SELECT DISTINCT TOOL_ID FROM runs)", "runs"))
+def numbered_tools(spark: SparkSession, d: str) -> DataFrame:
+    return weights.ranked(views.runs(spark, d).select("TOOL_ID").distinct(), ["TOOL_ID"], "N")
+
+
+@query(sql("SELECT PRODUCT_ID, N, coalesce(sum(N) OVER (ORDER BY PRODUCT_ID ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // 1000 AS BATCH FROM (SELECT PRODUCT_ID, count(*) AS N FROM passes GROUP BY 1)", "passes"))
+def product_amounts(spark: SparkSession, d: str) -> DataFrame:
+    return etl.product_amounts(views.passes(spark, d), 1000)
+
+
+@query(sql("SELECT strftime(d, '%Y%m%d') AS RUN_ID FROM (SELECT unnest(generate_series(DATE '2020-01-01', DATE '2030-12-31', INTERVAL 1 DAY)) AS d) WHERE strftime(d, '%Y%m%d') NOT IN (SELECT RUN_ID FROM runs)", "runs"))
+def empty_days(spark: SparkSession, d: str) -> DataFrame:
+    """Day partitions without a row."""
+    from .sources.tables import empty_partitions
+
+    days = spark.sql("SELECT date_format(day, 'yyyyMMdd') AS RUN_ID FROM (SELECT explode(sequence(DATE '2020-01-01', DATE '2030-12-31')) AS day)")
+    return empty_partitions(days, views.runs(spark, d), "RUN_ID")
+
+
+@query(sql("SELECT KEY AS WAFER_KEY, s.LOT, s.W AS WAFER_ID FROM (SELECT o_orderkey AS KEY FROM orders) LEFT JOIN (SELECT o_orderkey AS K, substr(L, 1, 6) AS LOT, substr(L, 1, 6) || substr(substr(L, 9), 1, 3) AS W FROM (SELECT o_orderkey, 'LT' || lpad(CAST(o_custkey % 9000 AS VARCHAR), 4, '0') || 'XY-' || lpad(CAST(o_orderkey % 25 AS VARCHAR), 2, '0') || '-04' AS L FROM orders WHERE o_orderkey % 3 <> 0)) s ON KEY = K"))
+def defect_lots(spark: SparkSession, d: str) -> DataFrame:
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    lot = F.concat(F.lit("LT"), F.lpad((F.col("o_custkey") % 9000).cast("string"), 4, "0"), F.lit("XY-"), F.lpad((F.col("o_orderkey") % 25).cast("string"), 2, "0"), F.lit("-04"))
+    summary = o.filter("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("WAFER_KEY"), lot.alias("LOT_ID"))
+    return etl.defect_lots(o.select(F.col("o_orderkey").alias("WAFER_KEY")), summary).withColumnRenamed("LOT_ID", "LOT")
+
+
+# --- early weight variants ------------------------------------------------------------------------------------------
+@query(sql("SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, round(IMPORTANCE / sum(IMPORTANCE) OVER (), 6) AS WEIGHT, round(100 * IMPORTANCE / sum(IMPORTANCE) OVER (), 6) AS WEIGHT_PERCENT FROM anova WHERE IMPORTANCE > 0", "labelled", **_anova_sql(K2, "labelled")))
+def positive_weights(spark: SparkSession, d: str) -> DataFrame:
+    rows = scores.anova(labelled(spark, d), K2).withColumnRenamed("IMPORTANCE", "WEIGHT")
+    return weights.positive_only(rows, [F.desc("WEIGHT"), *K2, "PARAMETRIC_NAME"]).select(*K2, "PARAMETRIC_NAME", *r6("WEIGHT", "WEIGHT_PERCENT"))
+
+
+@query(sql("SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME FROM rows_ WHERE AUC >= 0.74", "labelled", **_W_SQL))
+def auc_cutoff(spark: SparkSession, d: str) -> DataFrame:
+    return weights.reliable(_scored(spark, d)[0], 0.74).select(*K2, "PARAMETRIC_NAME")
+
+
+@query(sql("SELECT CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END AS label, count(*) AS N FROM lineitem GROUP BY 1"))
+def flag_labels(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select(F.when(F.col("l_returnflag") == "A", "good").otherwise("bad").alias("GB_FLAG"))
+    return rows.groupBy(fp.label_from_flag().alias("label")).agg(F.count("*").alias("N"))
+
+
+@query(sql("SELECT WAFER_ID, OPE_NO, PARAMETRIC_NAME, round(coalesce(SITE1_VAL, avg(SITE1_VAL) OVER ()), 6) AS SITE1_VAL, round(coalesce(SITE2_VAL, avg(SITE2_VAL) OVER ()), 6) AS SITE2_VAL FROM sites", "sites"))
+def mean_filled_sites(spark: SparkSession, d: str) -> DataFrame:
+    """Columns with too many gaps go, the others take their mean."""
+    rows = views.sites(spark, d).select(*_IDS, "SITE1_VAL", "SITE2_VAL", F.when(F.col("SITE3_VAL") > 9, F.col("SITE3_VAL")).alias("SITE3_VAL"))
+    return shape.fill_or_drop(rows, ["SITE1_VAL", "SITE2_VAL", "SITE3_VAL"]).select(*_IDS, *r6("SITE1_VAL", "SITE2_VAL"))
+
+
+@query()
+def pca_by_variance(spark: SparkSession, d: str) -> DataFrame:
+    return models.pca_features(_units(spark, d), ["OPE_NO"], variance=0.8)

@@ -23,11 +23,12 @@ def filled_matrix(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return stats.filter("_lo < _hi").drop("_lo", "_hi")
 
 
-def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise: bool = True, doubled: bool = False) -> DataFrame:
+def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise: bool = True, doubled: bool = False, variance: float | None = None) -> DataFrame:
     """Per component of each group the feature of largest loading: ``keys, FEATURE, IMPORTANCE`` (|loading|, or its share).
 
     min(units, features) - 2 components, ``most`` at most; groups with 2 or
-    less of either give nothing (``doubled`` counts units twice).
+    less of either give nothing (``doubled`` counts units twice).  With
+    ``variance`` the fewest components that reach this share are taken.
     """
     keys = list(keys)
     cells = filled_matrix(rows, keys)
@@ -50,7 +51,10 @@ def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise
         count = min(min(n * (2 if doubled else 1), len(names)) - 2, most)
         found = []
         if count > 0:
-            _, vectors = np.linalg.eigh(m)
+            values, vectors = np.linalg.eigh(m)
+            if variance is not None:
+                shares = np.cumsum(values[::-1]) / max(values.sum(), 1e-300)
+                count = min(count, int(np.searchsorted(shares, variance)) + 1)
             for c in range(count):
                 loading = np.abs(vectors[:, -1 - c])
                 best = int(np.argmax(np.round(loading, 12)))

@@ -51,6 +51,17 @@ def weights_positive_auc(rows: DataFrame, keys: Sequence[str], bad_total: DataFr
     return weights_fdc(kept.withColumn("AUC", F.greatest("AUC", F.lit(0.0))), keys, bad_total)
 
 
+def positive_only(rows: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """Weights above 0, normalised anew, as percent and numbered from 1."""
+    kept = _share(rows.filter("WEIGHT > 0").withColumnRenamed("WEIGHT", "_w"), F.col("_w")).drop("_w")
+    return ranked(kept.withColumn("WEIGHT_PERCENT", F.col("WEIGHT") * 100), order)
+
+
+def reliable(rows: DataFrame, least_auc: float) -> DataFrame:
+    """Groups whose AUC is at least ``least_auc``."""
+    return rows.filter(F.col("AUC") >= least_auc)
+
+
 def top_share(rows: DataFrame, keys: Sequence[str], share: float = 0.6, tie: Sequence[str] = ("PARAMETRIC_NAME",)) -> DataFrame:
     """The int(share n) most important rows of each group; a group of one keeps it."""
     w = Window.partitionBy(*keys)

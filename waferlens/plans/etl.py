@@ -67,3 +67,28 @@ def wafer_keys(summary: DataFrame, wanted: DataFrame) -> DataFrame:
     """Keys of wafers whose id, in any of its forms, is wanted."""
     named = summary.withColumn("WAFER_ID", wafer_id_by_form("WAFER_ID", "LOT_ID"))
     return named.join(wanted.select("WAFER_ID").distinct(), "WAFER_ID", "left_semi").select("WAFER_KEY", "WAFER_ID")
+
+
+def named_samples(samples: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Samples under their parameter's name; text parameters and counters of steps go."""
+    numeric = dictionary.filter((F.col("DATA_TYPE") != "String") & ~F.upper("PARAMETRIC_NAME").rlike("STEP|COUNT"))
+    return samples.join(numeric.select("TOOL_ID", "COLUMN_NAME", "PARAMETRIC_NAME").distinct(), ["TOOL_ID", "COLUMN_NAME"])
+
+
+def defect_lots(defects: DataFrame, summary: DataFrame) -> DataFrame:
+    """Each defect with its lot and unit id, null where its key is not known."""
+    lots = summary.select("WAFER_KEY", F.substring("LOT_ID", 1, 6).alias("LOT_ID"), F.concat(F.substring("LOT_ID", 1, 6), F.substring(F.substring("LOT_ID", 9, 1_000), 1, 3)).alias("WAFER_ID"))
+    return defects.join(lots, "WAFER_KEY", "left")
+
+
+def base_vector(facts: DataFrame, parameter: str, units: DataFrame) -> DataFrame:
+    """Distinct unit and value pairs of one parameter, for listed units."""
+    rows = facts.filter(F.col("PARAMETRIC_NAME") == parameter).join(units, "WAFER_ID", "left_semi")
+    return rows.select(F.col("WAFER_ID").alias("NAME"), F.col("RESULT").alias("VAL")).distinct()
+
+
+def product_amounts(rows: DataFrame, per_batch: int) -> DataFrame:
+    """Rows per product and the batch in which products of about ``per_batch`` rows together are run, in product order."""
+    sizes = rows.groupBy("PRODUCT_ID").agg(F.count("*").alias("N"))
+    w = Window.orderBy("PRODUCT_ID").rowsBetween(Window.unboundedPreceding, -1)  # one row a product
+    return sizes.withColumn("BATCH", F.floor(F.coalesce(F.sum("N").over(w), F.lit(0)) / per_batch).cast("long"))
