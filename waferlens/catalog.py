@@ -869,3 +869,11 @@ def mean_filled_sites(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def pca_by_variance(spark: SparkSession, d: str) -> DataFrame:
     return models.pca_features(_units(spark, d), ["OPE_NO"], variance=0.8)
+
+
+@query(sql("SELECT f.*, PRODUCT_ID, CHAMBER_NAME, EQP_NAME FROM (SELECT TOOL_ID, RUN_ID, COLUMN_NAME, round(avg(VAL), 6) AS AVERAGE FROM samples GROUP BY ALL) f JOIN (SELECT DISTINCT TOOL_ID, RUN_ID, 'P' || (CAST(RUN_ID AS BIGINT) % 3) AS PRODUCT_ID FROM runs) USING (TOOL_ID, RUN_ID) JOIN (SELECT 'T' || c.ID AS TOOL_ID, c.NAME AS CHAMBER_NAME, p.NAME AS EQP_NAME FROM t c JOIN t p ON c.PARENT_TOOL_ID = p.ID) USING (TOOL_ID)", "samples", t=_TOOLS))
+def run_features_placed(spark: SparkSession, d: str) -> DataFrame:
+    tools = etl.tool_tree(_tools(spark, d)).withColumn("TOOL_ID", F.concat(F.lit("T"), F.col("TOOL_ID").cast("string")))
+    contexts = views.runs(spark, d).select("TOOL_ID", "RUN_ID", F.concat(F.lit("P"), (F.col("RUN_ID").cast("long") % 3).cast("string")).alias("PRODUCT_ID"))
+    features = samples(spark, d).groupBy("TOOL_ID", "RUN_ID", "COLUMN_NAME").agg(F.round(F.avg("VAL"), 6).alias("AVERAGE"))
+    return etl.placed_features(features, contexts, tools)

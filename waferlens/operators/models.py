@@ -183,7 +183,7 @@ def knn_information(x: np.ndarray, y: np.ndarray, k: int = 3) -> float:
     return max(0.0, float(value))
 
 
-def two_sample_tests(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def two_sample_tests(rows: DataFrame, keys: Sequence[str], value: str, by_mean: bool = False) -> DataFrame:
     """The test ladder per group: ``keys, TEST, STATISTIC, IMPORTANCE`` (1 - p); groups without both classes have no row."""
     from ..functions.hypothesis_tests import ladder
 
@@ -195,7 +195,7 @@ def two_sample_tests(rows: DataFrame, keys: Sequence[str], value: str) -> DataFr
         good, bad = v[group["label"] == 0], v[group["label"] == 1]
         if not len(good) or not len(bad):
             return pd.DataFrame({c: [] for c in [*keys, "TEST", "STATISTIC", "IMPORTANCE"]})
-        name, statistic, p = ladder(good, bad)
+        name, statistic, p = ladder(good, bad, by_mean=by_mean)
         return group[keys].head(1).assign(TEST=name, STATISTIC=statistic, IMPORTANCE=1 - p)
 
     known = rows.filter(F.col(value).isNotNull()).select(*keys, "label", F.col(value).cast("double").alias(value))

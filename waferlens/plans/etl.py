@@ -92,3 +92,9 @@ def product_amounts(rows: DataFrame, per_batch: int) -> DataFrame:
     sizes = rows.groupBy("PRODUCT_ID").agg(F.count("*").alias("N"))
     w = Window.orderBy("PRODUCT_ID").rowsBetween(Window.unboundedPreceding, -1)  # one row a product
     return sizes.withColumn("BATCH", F.floor(F.coalesce(F.sum("N").over(w), F.lit(0)) / per_batch).cast("long"))
+
+
+def placed_features(features: DataFrame, contexts: DataFrame, tools: DataFrame) -> DataFrame:
+    """Run features with the run's product (by tool and run) and the tool's names."""
+    placed = features.join(contexts.select("TOOL_ID", "RUN_ID", "PRODUCT_ID").distinct(), ["TOOL_ID", "RUN_ID"])
+    return placed.join(tools.select("TOOL_ID", "CHAMBER_NAME", "EQP_NAME"), "TOOL_ID")

@@ -204,3 +204,13 @@ def run(request: Request, tables: Mapping[str, DataFrame]) -> DataFrame:
     if request.source == "fdc_advanced":
         return fdc(facts, conf, request)
     return {"wafer": lambda: inline_by_wafer(facts, conf, request), "site": lambda: by_site(facts, request), "zone": lambda: by_zone(facts, request)}[request.granularity]()
+
+
+def run_all(requests: Sequence[Request], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Several requests in one table, each numbered by itself."""
+    if not requests:
+        raise RequestError("no request")
+    out = run(requests[0], tables)
+    for r in requests[1:]:
+        out = out.unionByName(run(r, tables), allowMissingColumns=True)
+    return out
