@@ -37,6 +37,17 @@ def test_components_equal_union_find(spark, seed):
     assert got == {k: v for k, v in want.items() if any(k in p and p[0] != p[1] for p in links)}
 
 
+def test_scratch_is_shared_and_cleared(spark):
+    from pathlib import Path
+
+    from waferlens.llm.common import clear_scratch, cut, scratch_path
+
+    kept = cut(spark.range(3), "probe")
+    assert kept.count() == 3 and spark.conf.get("spark.checkpoint.dir") in kept.inputFiles()[0]
+    clear_scratch(spark)
+    assert not Path(scratch_path(spark, "x")).parent.exists()
+
+
 # --- tokens and packing
 TEXTS = [None, "", " ", "  a  b ", "\n x", "a \n b\tc   d", "it's 'tis ' s we'll", "　 x y", "naïve café ÀÉ 12 3½ Ⅷ", "日本語 テキスト", "<|endoftext|> x", "a\x1cb \x1c c", "Ünïcodé \U0001f600!!"]
 

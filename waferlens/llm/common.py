@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share; a path of our own only where that is unset."""
+def _folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    return f"{base.rstrip('/')}/waferlens/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/waferlens/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder under spark.checkpoint.dir, which driver and executors share; under a path of our own only where that is unset."""
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -22,13 +26,10 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the folders of a table that ``cut`` wrote, when nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application, once its results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _signature(edges: DataFrame) -> tuple[int, int]:
