@@ -17,7 +17,7 @@ from .common import cut
 
 WORDS = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 16
-SHARD_ROWS = 4096
+SHARD_ROWS = 1024
 MOST = 3
 SEED = "mix"
 
