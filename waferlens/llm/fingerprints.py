@@ -100,17 +100,14 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         bucket = F.lit(0)
     slim = slim.select("id", F.xxhash64("body").alias("h"), "body", bucket.cast("int").alias("bucket"))
     order = F.struct(F.col("id").isNotNull().alias("known"), "id", "h")
-    firsts = [(r["bucket"], r["f"]["id"], r["f"]["h"]) for r in slim.groupBy("bucket").agg(F.min(order).alias("f")).sort("bucket").collect()]  # one a range
-    before = {b: firsts[i - 1][0] for i, (b, _, _) in enumerate(firsts)}
-    if firsts:
-        heads = F.create_map(*[F.lit(x) for b, i, h in firsts for x in (b, h)])
-        head_ids = F.create_map(*[x for b, i, h in firsts for x in (F.lit(b), F.lit(i).cast("long"))])
-        prior = F.create_map(*[F.lit(x) for b, p in before.items() for x in (b, p)])
-        is_first = (F.element_at(heads, F.col("bucket")) == F.col("h")) & F.element_at(head_ids, F.col("bucket")).eqNullSafe(F.col("id"))
-        places = F.when(is_first, F.array(F.struct(F.col("bucket").alias("range"), F.lit(0).alias("is_copy")), F.struct(F.element_at(prior, F.col("bucket")).alias("range"), F.lit(1).alias("is_copy"))))
-        places = F.coalesce(places, F.array(F.struct(F.col("bucket").alias("range"), F.lit(0).alias("is_copy"))))
-    else:
-        places = F.array(F.struct(F.lit(0).alias("range"), F.lit(0).alias("is_copy")))
+    firsts = slim.groupBy("bucket").agg(F.min(order).alias("f"))
+    prior = F.coalesce(F.lag("bucket").over(Window.orderBy("bucket")), F.max("bucket").over(Window.partitionBy()))
+    # One row a range, as many as there are shuffle partitions times four: the bound of the broadcast.
+    firsts = F.broadcast(cut(firsts.select("bucket", F.col("f.id").alias("first_id"), F.col("f.h").alias("first_h"), prior.alias("prior")), "ranges"))
+    own = F.struct(F.col("bucket").alias("range"), F.lit(0).alias("is_copy"))
+    is_first = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("h") == F.col("first_h"))
+    places = F.when(is_first, F.array(own, F.struct(F.col("prior").alias("range"), F.lit(1).alias("is_copy")))).otherwise(F.array(own))
+    slim = slim.join(firsts, "bucket")
     dealt = slim.select("id", "h", "body", F.explode(places).alias("place")).select("id", "h", "body", "place.range", "place.is_copy")
     after = Window.partitionBy("range").orderBy("is_copy", F.col("id").asc_nulls_first(), "h")
     return dealt.select("id", "body", "is_copy", F.lead("body").over(after).alias("next_body")).filter("is_copy = 0").select("id", "body", F.coalesce("next_body", "body").alias("next_body"))
