@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from waferlens.llm import itq, packing, quality, simhash, tokenstore, toxicity
 from waferlens.llm.common import connected_components
-from waferlens.llm.tokens import PieceEncoder, default_vocabulary
+from waferlens.llm.tokens import PieceEncoder
 
 
 def _components(ids, links):
@@ -320,6 +320,13 @@ def test_windows_cover_every_word():
         assert covered == set(range(n)) and all(b - a <= toxicity.STRIDE for a, b in zip(starts, starts[1:], strict=False))
 
 
+def test_condensed_texts_keep_all_words_or_spread_runs():
+    text = " ".join(f"w{i}" for i in range(10_000))
+    assert toxicity.condensed("A, b!", 4) == "a b" and toxicity.condensed(None, 4) == ""
+    got = toxicity.condensed(text, 960).split()
+    assert len(got) == 960 and got[0] == "w0" and got[-1] == "w9999"
+
+
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{d}/labels.parquet")

@@ -176,6 +176,9 @@ def test_fingerprints_on_hard_rows(hard_docs, no_docs):
     assert fingerprints.edited_fingerprints(no_docs).count() == 0
     one = fingerprints.edited_fingerprints(hard_docs.filter("doc_id = 1")).first()
     assert one.near_next == 1.0
+    digests = fingerprints.cut(hard_docs.select(F.col("doc_id").alias("id"), fingerprints.digest(fingerprints.canonical(F.coalesce("text", F.lit("")))).alias("fp")), "d")
+    small, large = (sorted(map(str, fingerprints.group(hard_docs, digests, broadcast_rows=n).collect())) for n in (1000, 0))
+    assert small == large
     assert fingerprints.exact_groups(hard_docs).filter("doc_id in (6, 7)").select("group_id", "group_size").distinct().collect() == [(6, 3)]
 
 
