@@ -138,6 +138,67 @@ def undersample(table: DataFrame, share: float = 0.7, seed: int = 1024) -> DataF
     return table.filter(F.col("label") == small).select("label", "features").unionByName(centres)
 
 
+def centroids(x: np.ndarray, k: int, seed: int = 1024, rounds: int = 50) -> np.ndarray:
+    """k-means centres of rows, from spread-out starting rows."""
+    rng = np.random.default_rng(seed)
+    centres = x[[rng.integers(len(x))]]
+    for _ in range(k - 1):
+        near = ((x[:, None] - centres[None]) ** 2).sum(2).min(1)
+        p = near / near.sum() if near.sum() else np.full(len(x), 1 / len(x))
+        centres = np.concatenate([centres, x[[rng.choice(len(x), p=p)]]])
+    for _ in range(rounds):
+        own = ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        moved = np.array([x[own == j].mean(0) if (own == j).any() else centres[j] for j in range(k)])
+        if np.allclose(moved, centres):
+            break
+        centres = moved
+    return centres
+
+
+def balanced_f(matrix: np.ndarray, y: np.ndarray, share: float = 0.7) -> np.ndarray:
+    """F of each column between the classes, after the larger class has shrunk to centroids if it outweighs the other by more than ``share``."""
+    sizes = np.bincount(y, minlength=2)
+    if abs(sizes[0] - sizes[1]) / sizes.sum() > share:
+        large = int(np.argmax(sizes))
+        few = centroids(matrix[y == large], int(sizes[1 - large]))
+        matrix = np.concatenate([matrix[y != large], few])
+        y = np.concatenate([np.full(sizes[1 - large], 1 - large), np.full(len(few), large)])
+    a, b = matrix[y == 0], matrix[y == 1]
+    mean = matrix.mean(0)
+    between = len(a) * (a.mean(0) - mean) ** 2 + len(b) * (b.mean(0) - mean) ** 2
+    within = ((a - a.mean(0)) ** 2).sum(0) + ((b - b.mean(0)) ** 2).sum(0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        f = between / (within / (len(y) - 2))
+    return np.where(np.isfinite(f), f, 0.0)
+
+
+def anova_on_centroids(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``scores.anova`` for groups out of balance: ``keys, PARAMETRIC_NAME, IMPORTANCE, SATISFIED``.
+
+    Means per unit are aggregated first; a group's matrix of units by
+    parameters then meets in one task, since k-means needs it, so only groups
+    out of balance should come here.
+    """
+    from .scores import feature_means
+
+    keys = list(keys)
+    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys) + ", PARAMETRIC_NAME string, IMPORTANCE double, SATISFIED boolean"
+
+    def score(group: pd.DataFrame) -> pd.DataFrame:
+        m = group.pivot_table(index=["WAFER_ID", "label"], columns="PARAMETRIC_NAME", values="X")
+        y = m.index.get_level_values("label").to_numpy()
+        m = m.loc[:, m.nunique() > 1]
+        m = m.groupby(level="label").transform(lambda c: c.fillna(c.mean())).dropna(axis=1)
+        fine = m.shape[1] > 1 and len(np.unique(y)) > 1
+        f = balanced_f(m.to_numpy(), y) if fine else np.zeros(m.shape[1])
+        out = pd.DataFrame({"PARAMETRIC_NAME": m.columns, "IMPORTANCE": f / f.sum() if f.sum() else f, "SATISFIED": fine})
+        for k in keys:
+            out[k] = group[k].iloc[0]
+        return out[[*keys, "PARAMETRIC_NAME", "IMPORTANCE", "SATISFIED"]]
+
+    return feature_means(rows, keys).groupBy(*keys).applyInPandas(score, schema)
+
+
 def mutual_information(rows: DataFrame, keys: Sequence[str], neighbours: int = 3) -> DataFrame:
     """Nearest-neighbour estimate between a parameter and the class, per group and parameter: ``keys, PARAMETRIC_NAME, MI``."""
     from .scores import feature_means

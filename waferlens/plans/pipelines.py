@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fc
 from ..functions import predicates as fp
-from ..operators import counts, relation, scores, shape, weights
+from ..operators import counts, models, relation, scores, shape, weights
 from .request import Request, RequestError
 
 #: The fixed shape of correlation results.
@@ -39,19 +39,26 @@ def labelled(facts: DataFrame, conf: DataFrame, upload_id: str | None) -> DataFr
     return facts.join(own, F.col("WAFER_ID") == F.col("_unit")).drop("_unit")
 
 
-def score_groups(rows: DataFrame, keys: Sequence[str], request_id: str, stats: bool = False) -> DataFrame:
+def score_groups(rows: DataFrame, keys: Sequence[str], request_id: str, stats: bool = False, balance: float = 0.7) -> DataFrame:
     """Weights of all parameters of all groups.
 
-    Groups with both classes are scored by analysis of variance; the others'
-    parameters, constants and parameters without a value in a class have
-    weight 0.  Raises if no group has both classes.
+    Groups with both classes are scored by analysis of variance, those whose
+    class shares differ by more than ``balance`` after the larger class has
+    shrunk to centroids.  The other groups' parameters, constants and
+    parameters without a value in a class have weight 0.  Raises if no group
+    has both classes.
     """
     fields = [*keys, "PARAMETRIC_NAME", *(["STATS"] if stats else [])]
     everything = counts.universe(rows, keys, stats)
-    groups = counts.tiers(counts.commonality(rows, keys)).select(*keys, F.col("TIER"), F.col("BAD_NUM").alias("GROUP_BAD"))
+    groups = counts.tiers(counts.commonality(rows, keys))
     named = rows.withColumn("PARAMETRIC_NAME", F.concat_ws("\x1f", "PARAMETRIC_NAME", "STATS")) if stats else rows
-    scored = scores.anova(named, keys).join(groups.filter("TIER <> 'none'"), list(keys))
-    scored = scored.withColumn("AUC", F.when(F.col("SATISFIED"), 1.0).otherwise(0.0)).withColumn("BAD_NUM", F.col("GROUP_BAD"))
+    both = groups.filter("TIER <> 'none'")
+    uneven = both.filter(F.abs(F.col("GOOD_NUM") - F.col("BAD_NUM")) / (F.col("GOOD_NUM") + F.col("BAD_NUM")) > balance).select(*keys)
+    columns = [*keys, "PARAMETRIC_NAME", "IMPORTANCE", "SATISFIED"]
+    even = scores.anova(named, keys).select(*columns).join(uneven, list(keys), "left_anti")
+    shrunk = models.anova_on_centroids(named.join(uneven, list(keys), "left_semi"), keys)
+    scored = even.unionByName(shrunk).join(both.select(*keys, F.col("BAD_NUM").alias("GROUP_BAD")), list(keys))
+    scored = scored.withColumn("AUC", F.when(F.col("SATISFIED"), 1.0).otherwise(0.0)).withColumnRenamed("GROUP_BAD", "BAD_NUM")
     if scored.isEmpty():
         raise RequestError("no group has both good and bad units")
     weighed = weights.weights_by_bad_and_auc(scored, keys, counts.bad_total(rows))
@@ -76,24 +83,20 @@ def inline_by_wafer(facts: DataFrame, conf: DataFrame, request: Request, statist
 
 def by_site(facts: DataFrame, request: Request) -> DataFrame:
     """Good against bad sites of the same units: principal parameters by loading."""
-    from ..operators import models
-
     rows = selected(facts.filter(fp.excludes("PARAMETRIC_NAME", EXCLUDED["site"])), request, "MEASURE_TIME")
     long = shape.site_features(rows, [*request.keys, "WAFER_ID", "PARAMETRIC_NAME"], request.good_sites, request.bad_sites)
-    return _by_loading(long, request, models)
+    return _by_loading(long, request)
 
 
 def by_zone(facts: DataFrame, request: Request) -> DataFrame:
-    from ..operators import models
-
     rows = selected(facts.filter(fp.excludes("PARAMETRIC_NAME", EXCLUDED["zone"])), request, "MEASURE_TIME")
     wide = shape.zone_features(rows, [*request.keys, "WAFER_ID", "PARAMETRIC_NAME"], request.zones)
     stats = [c for c in wide.columns if c not in (*request.keys, "WAFER_ID", "PARAMETRIC_NAME", "LABEL", "ZONE")]
     long = shape.unpivot_stats(wide.withColumnRenamed("LABEL", "label"), [*request.keys, "WAFER_ID", "PARAMETRIC_NAME", "label"], stats)
-    return _by_loading(long, request, models)
+    return _by_loading(long, request)
 
 
-def _by_loading(long: DataFrame, request: Request, models) -> DataFrame:
+def _by_loading(long: DataFrame, request: Request) -> DataFrame:
     keys = list(request.keys)
     everything = counts.universe(long, keys, stats=True, labelled=False)
     unit = long.withColumn("UNIT", F.concat_ws("/", "WAFER_ID", F.col("label").cast("string"))).withColumn("FEATURE", F.concat_ws("\x1f", "PARAMETRIC_NAME", "STATS"))
