@@ -48,6 +48,13 @@ def codes_of(x: np.ndarray, model: tuple[np.ndarray, np.ndarray] | None, bits: i
     return np.packbits(padded, axis=1, bitorder="little").view("<u8").ravel()
 
 
+def _units(x: np.ndarray) -> np.ndarray:
+    """Rows at length one, in double precision; scaled by their largest entry first, so that no square overflows."""
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _node(label: Column, vector: Column) -> Column:
     return F.concat(F.hex(F.xxhash64(label, vector)), F.hex(F.xxhash64(F.lit("wide"), label, vector)))
 
@@ -125,37 +132,39 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, bits: int
     model = None
     dims = int(lengths.mode().iloc[0]) if len(sample) else 0
     if dims:
-        x = np.array([*map(np.asarray, sample[lengths == dims])], np.float64)
-        x /= np.abs(x).max(1, keepdims=True)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        model = learn_rotation(x, bits)
+        model = learn_rotation(_units(np.array([*map(np.asarray, sample[lengths == dims])])), bits)
     sent = spark.sparkContext.broadcast((dims, model))
+    # Vectors travel as they came: single precision stays half as wide and loses nothing.
+    stored = "<f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d, own = sent.value
         for batch in batches:
             found = [np.asarray(v, np.float64) for v in batch.column(1).to_pylist()]
-            units = [(w := v / np.abs(v).max()) / np.linalg.norm(w) for v in found]
-            codes = [int(codes_of(u[None], own if len(u) == d else None, bits).view(np.int64)[0]) for u in units] if len({*map(len, units)}) > 1 else codes_of(np.array(units), own if units and len(units[0]) == d else None, bits).view(np.int64)
+            sizes = np.array([len(v) for v in found])
+            codes = np.zeros(len(found), np.uint64)
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
+                codes[at] = codes_of(_units(np.array([found[i] for i in at])), own if size == d else None, bits)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(list(map(len, units)), pa.int32()), pa.array(codes, pa.int64()), pa.array([u.tobytes() for u in units], pa.binary()), batch.column(3)],
-                names=["node", "label", "dims", "code", "unit", "n"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int32()), pa.array(codes.view(np.int64)), pa.array([v.astype(stored).tobytes() for v in found], pa.binary()), batch.column(3)],
+                names=["node", "label", "dims", "code", "raw", "n"],
             )
 
     kind = vectors.schema["label"].dataType.simpleString()
-    coded = cut(classes.select("node", "v", "label", "n").mapInArrow(encode, f"node string, label {kind}, dims int, code long, unit binary, n long"), "codes")
+    coded = cut(classes.select("node", "v", "label", "n").mapInArrow(encode, f"node string, label {kind}, dims int, code long, raw binary, n long"), "codes")
     mask = F.lit((1 << width) - 1)
     # A substring of the code by table; shifts are literal, so the tables are listed.
     parts = F.array(*[F.struct(F.lit(t).alias("tab"), F.shiftrightunsigned("code", t * width).bitwiseAND(mask).alias("part")) for t in range(tables)])
     bucket = ["label", "dims", "tab", "part"]
-    keyed = coded.select("node", "label", "dims", "code", "unit", "n", F.explode(parts).alias("p")).select("node", "label", "dims", "code", "unit", "n", "p.tab", "p.part")
+    keyed = coded.select("node", "label", "dims", "code", "raw", "n", F.explode(parts).alias("p")).select("node", "label", "dims", "code", "raw", "n", "p.tab", "p.part")
     sizes = keyed.groupBy(*bucket).count().filter(F.col("count") > slice_rows)
     large = cut(sizes.select(*bucket, F.ceil(F.col("count") / slice_rows).cast("int").alias("slices")), "large")
     keyed = keyed.join(large, bucket, "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
     keyed = keyed.withColumn("side", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda j: F.struct(F.least(j, F.col("side")).alias("lo"), F.greatest(j, F.col("side")).alias("hi")))
     group = [*bucket, "lo", "hi"]
-    dealt = keyed.select("node", *bucket, "code", "unit", "n", "side", F.explode(cells).alias("cell")).select("node", *bucket, "cell.lo", "cell.hi", "side", "code", "unit", "n")
+    dealt = keyed.select("node", *bucket, "code", "raw", "n", "side", F.explode(cells).alias("cell")).select("node", *bucket, "cell.lo", "cell.hi", "side", "code", "raw", "n")
     dealt = dealt.repartition(*group).sortWithinPartitions(*group)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +175,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, bits: int
             if len(held) < 2:
                 return []
             nodes, sides, codes, units, ns = zip(*held, strict=True)
-            x = np.frombuffer(b"".join(units)).reshape(len(held), -1)
+            x = _units(np.frombuffer(b"".join(units), stored).reshape(len(held), -1))
             weights = np.array(ns, np.int64)
             i, j = bucket_links(x, np.array(codes, np.int64).view(np.uint64), np.array(sides), now[4] != now[5], now[2], width, threshold, radius)
             if not len(i):
