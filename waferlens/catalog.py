@@ -83,9 +83,9 @@ _AUC = "0.5 + length(OPE_NO || EQP_NAME) / 20 + N1 / (N0 + N1) / 10"
 
 
 # --- labels, runs, counts -------------------------------------------------------------------------------------------
-@query(sql("SELECT WAFER_ID, OPE_NO, EQP_NAME, PARAMETRIC_NAME, RUN_ID, RESULT, label FROM labelled WHERE PARAMETRIC_NAME = 'QTY#ALL#MEAN'", "labelled"))
+@query(sql("SELECT WAFER_ID, OPE_NO, EQP_NAME, PARAMETRIC_NAME, RUN_ID, RESULT, label FROM labelled", "labelled"))
 def uva_label_join(spark: SparkSession, d: str) -> DataFrame:
-    return labelled(spark, d).filter(F.col("PARAMETRIC_NAME") == "QTY#ALL#MEAN").select("WAFER_ID", *K2, "PARAMETRIC_NAME", "RUN_ID", "RESULT", "label")
+    return labelled(spark, d).select("WAFER_ID", *K2, "PARAMETRIC_NAME", "RUN_ID", "RESULT", "label")
 
 
 @query(sql("SELECT * EXCLUDE (START_TIME) FROM latest", "latest"))
@@ -468,13 +468,13 @@ def corr_uva(spark: SparkSession, d: str) -> DataFrame:
     return _related(corr_uva_rows(spark, d), _KP, "RESULT", "VAL", ["WAFER_ID"])
 
 
-_CORR_SMALL = "SELECT PRODG1, PRODUCT_ID, OPE_NO, EQP_NAME, WAFER_ID, RESULT, VAL FROM (SELECT PRODG1, PRODUCT_ID, OPE_NO, EQP_NAME, WAFER_ID, avg(RESULT) AS RESULT FROM uva WHERE PARAMETRIC_NAME = 'PRICE#ALL#MEAN' GROUP BY ALL) JOIN anomaly ON WAFER_ID = NAME"
-_K4 = ("PRODG1", "PRODUCT_ID", *K2)
+_CORR_SMALL = "SELECT PRODG1, PRODUCT_ID, OPE_NO, EQP_NAME, PARAMETRIC_NAME, WAFER_ID, RESULT, VAL FROM (SELECT PRODG1, PRODUCT_ID, OPE_NO, EQP_NAME, PARAMETRIC_NAME, WAFER_ID, avg(RESULT) AS RESULT FROM uva GROUP BY ALL) JOIN anomaly ON WAFER_ID = NAME"
+_K4 = ("PRODG1", "PRODUCT_ID", *K2, "PARAMETRIC_NAME")
 
 
 @query(sql("SELECT * FROM rel", "uva", "anomaly", src=_CORR_SMALL, **_relation_sql(_K4, "src", "RESULT", "VAL", "WAFER_ID")))
 def relation_r2_cv(spark: SparkSession, d: str) -> DataFrame:
-    means = views.uva(spark, d).filter("PARAMETRIC_NAME = 'PRICE#ALL#MEAN'").groupBy(*_K4, "WAFER_ID").agg(F.avg("RESULT").alias("RESULT"))
+    means = views.uva(spark, d).groupBy(*_K4, "WAFER_ID").agg(F.avg("RESULT").alias("RESULT"))
     return _related(means.join(views.anomaly(spark, d), F.col("WAFER_ID") == F.col("NAME")), _K4, "RESULT", "VAL", ["WAFER_ID"])
 
 
@@ -608,13 +608,13 @@ def star_join(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(F.col("p_brand").alias("PRODG1"), F.col("r_name").alias("REGION"), F.col("n_name").alias("NATION")).agg(F.count("*").alias("N"), F.round(F.sum("l_quantity"), 6).alias("QTY"))
 
 
-_FOUPS = "SELECT 'LT' || lpad(CAST(o_custkey % 9000 AS VARCHAR), 4, '0') || 'XY' AS FOUP_ID, o_orderkey % 25 + 1 AS SLOT, o_orderkey AS KEY FROM orders"
+_FOUPS = "SELECT 'LT' || lpad(CAST(o_custkey % 9000 AS VARCHAR), 4, '0') || 'XY' AS FOUP_ID, o_orderkey % 25 + 1 AS SLOT, o_orderkey AS KEY, o_orderpriority AS PURPOSE FROM orders"
 
 
 def _foups(spark: SparkSession, d: str) -> DataFrame:
     o = spark.read.parquet(f"{d}/orders.parquet")
     foup = F.concat(F.lit("LT"), F.lpad((F.col("o_custkey") % 9000).cast("string"), 4, "0"), F.lit("XY"))
-    return o.select(foup.alias("FOUP_ID"), (F.col("o_orderkey") % 25 + 1).alias("SLOT"), F.col("o_orderkey").alias("KEY"))
+    return o.select(foup.alias("FOUP_ID"), (F.col("o_orderkey") % 25 + 1).alias("SLOT"), F.col("o_orderkey").alias("KEY"), F.col("o_orderpriority").alias("PURPOSE"))
 
 
 @query(sql("SELECT DISTINCT substr(FOUP_ID, 1, 6) || '-' || lpad(CAST(SLOT AS VARCHAR), 2, '0') AS WAFER_ID FROM f", f=_FOUPS))
@@ -631,25 +631,25 @@ def _summary(spark: SparkSession, d: str) -> DataFrame:
     return _foups(spark, d).select(F.col("FOUP_ID").alias("LOT_ID"), form.alias("WAFER_ID"), F.col("KEY").alias("WAFER_KEY"))
 
 
-@query(sql("SELECT WAFER_KEY, W AS WAFER_ID FROM (SELECT WAFER_KEY, CASE WHEN regexp_full_match(WAFER_ID, '[@#][0-9]{2}') THEN substr(LOT_ID, 1, 6) || '-' || substr(WAFER_ID, 2, 2) WHEN regexp_full_match(WAFER_ID, '[0-9]{2}') THEN substr(LOT_ID, 1, 6) || '-' || substr(WAFER_ID, 1, 2) WHEN length(WAFER_ID) = 9 AND substr(LOT_ID, 1, 6) = substr(WAFER_ID, 1, 6) AND substr(WAFER_ID, 7, 1) = '-' THEN WAFER_ID END AS W FROM s) WHERE W IN (SELECT substr(FOUP_ID, 1, 6) || '-' || lpad(CAST(SLOT AS VARCHAR), 2, '0') FROM f WHERE KEY % 10 = 0)", f=_FOUPS, s=_SUMMARY))
+@query(sql("SELECT WAFER_KEY, W AS WAFER_ID FROM (SELECT WAFER_KEY, CASE WHEN regexp_full_match(WAFER_ID, '[@#][0-9]{2}') THEN substr(LOT_ID, 1, 6) || '-' || substr(WAFER_ID, 2, 2) WHEN regexp_full_match(WAFER_ID, '[0-9]{2}') THEN substr(LOT_ID, 1, 6) || '-' || substr(WAFER_ID, 1, 2) WHEN length(WAFER_ID) = 9 AND substr(LOT_ID, 1, 6) = substr(WAFER_ID, 1, 6) AND substr(WAFER_ID, 7, 1) = '-' THEN WAFER_ID END AS W FROM s) WHERE W IN (SELECT substr(FOUP_ID, 1, 6) || '-' || lpad(CAST(SLOT AS VARCHAR), 2, '0') FROM f WHERE PURPOSE = '1-URGENT')", f=_FOUPS, s=_SUMMARY))
 def defect_key_lookup(spark: SparkSession, d: str) -> DataFrame:
-    wanted = _foups(spark, d).filter("KEY % 10 = 0").select(fc.wafer_id("FOUP_ID", "SLOT").alias("WAFER_ID"))
+    wanted = _foups(spark, d).filter("PURPOSE = '1-URGENT'").select(fc.wafer_id("FOUP_ID", "SLOT").alias("WAFER_ID"))
     return etl.wafer_keys(_summary(spark, d), wanted)
 
 
-_ISD = "SELECT o_orderkey AS WAFER_KEY, o_orderdate AS INSPECTION_TIME, o_totalprice * 10 AS WAFER_X, o_totalprice * 7 AS WAFER_Y, o_totalprice AS SIZE_D FROM orders WHERE o_orderkey % 7 = 0"
+_ISD = "SELECT o_orderkey AS WAFER_KEY, o_orderdate AS INSPECTION_TIME, o_totalprice * 10 AS WAFER_X, o_totalprice * 7 AS WAFER_Y, o_totalprice AS SIZE_D FROM orders"
 _IWS = "SELECT o_orderdate AS INSPECTION_TIME, min(o_orderkey) AS WAFER_KEY, min(o_custkey) % 5 AS RECIPE_KEY, min(o_totalprice) * 3 AS CENTER_X, max(o_totalprice) * 2 AS CENTER_Y FROM orders GROUP BY 1"
 _IRE = "SELECT n_nationkey AS RECIPE_KEY, n_regionkey * 1000.0::DOUBLE AS ORIGIN_X, n_nationkey * 500.0::DOUBLE AS ORIGIN_Y FROM nation"
 
 
-@query(sql("SELECT WAFER_KEY, round((WAFER_X / 1000 - CENTER_X / 1000) / 1000 - (CENTER_X - ORIGIN_X) / 1000000, 6) AS X, round((WAFER_Y / 1000 - CENTER_Y / 1000) / 1000 - (CENTER_Y - ORIGIN_Y) / 1000000, 6) AS Y, round(SIZE_D / 1000, 6) AS DIAMETER FROM isd JOIN (SELECT * EXCLUDE (WAFER_KEY) FROM iws) USING (INSPECTION_TIME) JOIN ire USING (RECIPE_KEY)", isd=_ISD, iws=_IWS, ire=_IRE))
+@query(sql("SELECT WAFER_KEY, round((WAFER_X / 1000 - CENTER_X / 1000) / 1000 - (CENTER_X - ORIGIN_X) / 1000000, 10) AS X, round((WAFER_Y / 1000 - CENTER_Y / 1000) / 1000 - (CENTER_Y - ORIGIN_Y) / 1000000, 10) AS Y, round(SIZE_D / 1000, 10) AS DIAMETER FROM isd JOIN (SELECT * EXCLUDE (WAFER_KEY) FROM iws) USING (INSPECTION_TIME) JOIN ire USING (RECIPE_KEY)", isd=_ISD, iws=_IWS, ire=_IRE))
 def defect_coordinates(spark: SparkSession, d: str) -> DataFrame:
     o = spark.read.parquet(f"{d}/orders.parquet")
     price = F.col("o_totalprice")
-    isd = o.filter("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("WAFER_KEY"), F.col("o_orderdate").alias("INSPECTION_TIME"), (price * 10).alias("WAFER_X"), (price * 7).alias("WAFER_Y"), price.alias("SIZE_D"))
+    isd = o.select(F.col("o_orderkey").alias("WAFER_KEY"), F.col("o_orderdate").alias("INSPECTION_TIME"), (price * 10).alias("WAFER_X"), (price * 7).alias("WAFER_Y"), price.alias("SIZE_D"))
     iws = o.groupBy(F.col("o_orderdate").alias("INSPECTION_TIME")).agg(F.min("o_orderkey").alias("WAFER_KEY"), (F.min("o_custkey") % 5).alias("RECIPE_KEY"), (F.min(price) * 3).alias("CENTER_X"), (F.max(price) * 2).alias("CENTER_Y"))
     ire = spark.read.parquet(f"{d}/nation.parquet").select(F.col("n_nationkey").alias("RECIPE_KEY"), (F.col("n_regionkey") * 1000.0).alias("ORIGIN_X"), (F.col("n_nationkey") * 500.0).alias("ORIGIN_Y"))
-    return etl.defect_coordinates(isd, iws, ire).select("WAFER_KEY", *r6("X", "Y", "DIAMETER"))
+    return etl.defect_coordinates(isd, iws, ire).select("WAFER_KEY", *[F.round(c, 10).alias(c) for c in ("X", "Y", "DIAMETER")])
 
 
 @query(sql("SELECT LAYER_ID, count(*) AS N FROM (SELECT * FROM defects WHERE PRODG1 = 'O' UNION ALL SELECT * FROM defects WHERE PRODG1 = 'F' UNION ALL SELECT * FROM defects WHERE PRODG1 = 'O') GROUP BY 1", "defects"))
@@ -833,11 +833,11 @@ def empty_days(spark: SparkSession, d: str) -> DataFrame:
     return empty_partitions(days, views.runs(spark, d), "RUN_ID")
 
 
-@query(sql("SELECT KEY AS WAFER_KEY, s.LOT, s.W AS WAFER_ID FROM (SELECT o_orderkey AS KEY FROM orders) LEFT JOIN (SELECT o_orderkey AS K, substr(L, 1, 6) AS LOT, substr(L, 1, 6) || substr(substr(L, 9), 1, 3) AS W FROM (SELECT o_orderkey, 'LT' || lpad(CAST(o_custkey % 9000 AS VARCHAR), 4, '0') || 'XY-' || lpad(CAST(o_orderkey % 25 AS VARCHAR), 2, '0') || '-04' AS L FROM orders WHERE o_orderkey % 3 <> 0)) s ON KEY = K"))
+@query(sql("SELECT KEY AS WAFER_KEY, s.LOT, s.W AS WAFER_ID FROM (SELECT o_orderkey AS KEY FROM orders) LEFT JOIN (SELECT o_orderkey AS K, substr(L, 1, 6) AS LOT, substr(L, 1, 6) || substr(substr(L, 9), 1, 3) AS W FROM (SELECT o_orderkey, 'LT' || lpad(CAST(o_custkey % 9000 AS VARCHAR), 4, '0') || 'XY-' || lpad(CAST(o_orderkey % 25 AS VARCHAR), 2, '0') || '-04' AS L FROM orders WHERE o_orderstatus <> 'P')) s ON KEY = K"))
 def defect_lots(spark: SparkSession, d: str) -> DataFrame:
     o = spark.read.parquet(f"{d}/orders.parquet")
     lot = F.concat(F.lit("LT"), F.lpad((F.col("o_custkey") % 9000).cast("string"), 4, "0"), F.lit("XY-"), F.lpad((F.col("o_orderkey") % 25).cast("string"), 2, "0"), F.lit("-04"))
-    summary = o.filter("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("WAFER_KEY"), lot.alias("LOT_ID"))
+    summary = o.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("WAFER_KEY"), lot.alias("LOT_ID"))
     return etl.defect_lots(o.select(F.col("o_orderkey").alias("WAFER_KEY")), summary).withColumnRenamed("LOT_ID", "LOT")
 
 
