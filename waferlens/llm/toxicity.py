@@ -14,7 +14,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -295,10 +294,25 @@ def fit(texts: Sequence[str | None], labels: Sequence[int], epochs: int = 12, ra
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, parts: int = 4, held_out: int = 2, **options) -> Network:
-    """Fit on at most ``rows`` labelled documents outside the held-out fold."""
-    found = labelled_sample(docs, labels, "toxic", parts, held_out, rows).toPandas().sort_values("_id")
-    return fit(found["text"].where(found["text"].notna(), None).tolist(), found["label"].astype(int).tolist(), **options)
+def condensed(text: str | None, most: int) -> str:
+    """The words of a text; of one with over ``most`` words, evenly spread runs of a window each."""
+    words = words_of(text)
+    if len(words) > most:
+        starts = np.linspace(0, len(words) - WINDOW, max(1, most // WINDOW)).astype(int).tolist()
+        words = [w for s in starts for w in words[s : s + WINDOW]]
+    return " ".join(words)
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, parts: int = 4, held_out: int = 2, words: int = 4096, **options) -> Network:
+    """Fit on at most ``rows`` labelled documents outside the held-out fold, and on at most ``words`` words of each: the bound of what comes to the driver."""
+
+    def condense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([condensed(t, words) for t in b.column(2).to_pylist()], pa.string())], names=["id", "label", "text"])
+
+    sample = labelled_sample(docs, labels, "toxic", parts, held_out, rows)
+    found = sample.select("_id", "label", "text").mapInArrow(condense, f"id {sample.schema['_id'].dataType.simpleString()}, label int, text string").toPandas().sort_values("id")
+    return fit(found["text"].tolist(), found["label"].astype(int).tolist(), **options)
 
 
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
