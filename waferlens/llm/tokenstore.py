@@ -146,6 +146,8 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         if not count:
             store.delete_file(own)
             return
+        if store.get_file_info(f"{path}/{name}").is_file:  # of an attempt before; not every store moves over a file
+            store.delete_file(f"{path}/{name}")
         store.move(own, f"{path}/{name}")
         yield pa.RecordBatch.from_pylist([{"part": context.partitionId(), "file": name, "docs": count, "ids": ids}])
 
