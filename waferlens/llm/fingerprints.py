@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
+#: 500,000 fingerprints of 32 characters take about 40 MB.
+BROADCAST_ROWS = 500_000
 _SPACES = r"[\x09-\x0D\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 
 
@@ -33,16 +35,20 @@ def digest(canon: Column) -> Column:
     return F.lower(F.concat(word(F.xxhash64(canon)), word(F.xxhash64(F.lit("wide"), canon))))
 
 
-def group(docs: DataFrame, digests: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def group(docs: DataFrame, digests: DataFrame, text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Groups of equal canonical texts: ``fp, group_id`` (smallest id), ``group_size``, ``same_bytes``.
 
     ``digests`` is a written table of (``id``, ``fp``), one row per row of
     ``docs``.  Only fingerprints that occur more than once fetch texts again;
     least and greatest canonical text, combined before the shuffle, are equal
-    just when all are.
+    just when all are.  The list of these fingerprints is counted: up to
+    ``broadcast_rows`` it is broadcast and texts are picked where they are
+    read, beyond that both sides are shuffled.
     """
     groups = cut(digests.groupBy("fp").agg(F.min("id").alias("group_id"), F.count("*").alias("group_size")), "groups")
     repeated = groups.filter("group_size > 1").select("fp")
+    if repeated.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        repeated = F.broadcast(repeated)
     texts = docs.select(canonical(F.coalesce(F.col(text_col), F.lit(""))).alias("canon"))
     texts = texts.select("canon", digest(F.col("canon")).alias("fp")).join(repeated, "fp")
     compared = texts.groupBy("fp").agg((F.min("canon") == F.max("canon")).alias("same_bytes"))
@@ -57,7 +63,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     slim = docs.select(F.col(id_col).alias("id"), canonical(F.coalesce(F.col(text_col), F.lit(""))).alias("canon"))
     digests = cut(slim.select("id", digest(F.col("canon")).alias("fp")), "digests")
-    groups = cut(group(docs, digests, id_col, text_col), "compared")
+    groups = cut(group(docs, digests, text_col), "compared")
     joined = digests.join(groups, "fp")
     fine = joined.filter("same_bytes").select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "group_id", "group_size")
     clash = groups.filter("not same_bytes").select("fp")
