@@ -49,6 +49,9 @@ def score_groups(rows: DataFrame, keys: Sequence[str], request_id: str, stats: b
     has both classes.
     """
     fields = [*keys, "PARAMETRIC_NAME", *(["STATS"] if stats else [])]
+    # Two tables are persisted: the cleaned rows, which six aggregates read, and below a row per scored parameter, which
+    # totals and weights read again.  Both spill to disk, and what is lost is computed again.
+    rows = rows.persist()
     everything = counts.universe(rows, keys, stats)
     groups = counts.tiers(counts.commonality(rows, keys))
     named = rows.withColumn("PARAMETRIC_NAME", F.concat_ws("\x1f", "PARAMETRIC_NAME", "STATS")) if stats else rows
@@ -59,6 +62,7 @@ def score_groups(rows: DataFrame, keys: Sequence[str], request_id: str, stats: b
     shrunk = models.anova_on_centroids(named.join(uneven, list(keys), "left_semi"), keys)
     scored = even.unionByName(shrunk).join(both.select(*keys, F.col("BAD_NUM").alias("GROUP_BAD")), list(keys))
     scored = scored.withColumn("AUC", F.when(F.col("SATISFIED"), 1.0).otherwise(0.0)).withColumnRenamed("GROUP_BAD", "BAD_NUM")
+    scored = scored.persist()
     if scored.isEmpty():
         raise RequestError("no group has both good and bad units")
     weighed = weights.weights_by_bad_and_auc(scored, keys, counts.bad_total(rows))
