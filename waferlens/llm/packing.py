@@ -4,15 +4,15 @@ Documents longer than a sequence are cut into full pieces and one shorter
 first piece; nothing else is ever cut.  Pieces below full length are dealt at
 random into groups of bounded size.  Each group starts from best fit by
 decreasing length and is then improved by a local search that moves documents
-between underfull bins or exchanges them one for one, two for one or one for
-two, always raising the sum of squared fills, until bins empty.
+between underfull bins or exchanges one or two for up to two, always raising
+the sum of squared fills, until no exchange does.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -92,74 +92,105 @@ def best_fit_decreasing(lengths: Sequence[int], capacity: int) -> list[list[int]
     return bins
 
 
-def _improve(small: list[int], other: list[int], room: int, lengths: Sequence[int], pairs: int) -> tuple[list[int], list[int]] | None:
-    """What of ``small`` (the less full bin) and of ``other`` should change places so that ``other`` gains as much as its ``room`` allows.
-
-    Moves, then one-for-one, one-for-two and two-for-one exchanges; ``pairs``
-    bounds how many pairs of a bin are looked at.
-    """
-    best, gain = None, 0
-    theirs = sorted(other, key=lengths.__getitem__)
-    sizes = [lengths[i] for i in theirs]
-    mine = sorted(small, key=lengths.__getitem__)
-
-    def offer(give: list[int], given: int, k: int, take: list[int], taken: int) -> None:
-        nonlocal best, gain
-        if gain < given - taken <= room:
-            best, gain = (give, take), given - taken
-
-    their_pairs = [(sizes[a] + sizes[b], a, b) for a in range(len(sizes)) for b in range(a)][:pairs]
-    for i in mine:
-        size = lengths[i]
-        offer([i], size, 0, [], 0)
-        k = bisect_left(sizes, size - room)
-        if k < len(sizes):
-            offer([i], size, 0, [theirs[k]], sizes[k])
-        for total, a, b in their_pairs:
-            offer([i], size, 0, [theirs[a], theirs[b]], total)
-    for n, i in enumerate(mine[:64]):
-        for j in mine[:n]:
-            size = lengths[i] + lengths[j]
-            k = bisect_left(sizes, size - room)
-            if k < len(sizes):
-                offer([i, j], size, 0, [theirs[k]], sizes[k])
-    return best
-
-
-def local_search(bins: list[list[int]], lengths: Sequence[int], capacity: int, tries: int = 4000, pairs: int = 256) -> list[list[int]]:
-    """Empty the least full bins into the others while the sum of squared fills rises.
-
-    Ends when no exchange raises it, when the number of bins is the least
-    possible, or after ``tries`` looks at a pair of bins.
+def _sums(members: Sequence[int], lengths: Sequence[int]) -> dict[int, tuple[int, ...]]:
+    """Every total of one or two members, with members that have it.  Distinct lengths of a bin are few, since they add up to its fill."""
+    by: dict[int, list[int]] = {}
+    for i in members:
+        by.setdefault(lengths[i], []).append(i)
+    sizes = sorted(by)
+    found: dict[int, tuple[int, ...]] = {}
+    for n, a in enumerate(sizes):
+        for b in sizes[:n]:
+            found[a + b] = (by[a][0], by[b][0])
+        if len(by[a]) > 1:
+            found[2 * a] = (by[a][0], by[a][1])
+    return found | {a: (by[a][0],) for a in sizes}
+
+
+class _Takers:
+    """Bins by what they may give away (none, one or two members) and the room they have, so that an exchange is looked up."""
+
+    def __init__(self, capacity: int) -> None:
+        self.top = np.full(capacity + 1, -1, np.int64)  # most room of the bins that may give this total
+        self.rooms = [0] * (capacity + 1)  # bit mask of the rooms there are
+        self.bins: dict[tuple[int, int], dict[int, None]] = {}
+        self.held: dict[int, tuple[int, list[int]]] = {}
+        self.totals = np.arange(capacity + 1)
+
+    def add(self, k: int, room: int, totals: list[int]) -> None:
+        self.held[k] = room, totals
+        for t in totals:
+            self.bins.setdefault((t, room), {})[k] = None
+            self.rooms[t] |= 1 << room
+            if room > self.top[t]:
+                self.top[t] = room
+
+    def drop(self, k: int) -> None:
+        room, totals = self.held.pop(k)
+        for t in totals:
+            own = self.bins[t, room]
+            del own[k]
+            if not own:
+                del self.bins[t, room]
+                self.rooms[t] ^= 1 << room
+                self.top[t] = self.rooms[t].bit_length() - 1
+
+    def find(self, given: int) -> int:
+        """The least total that some bin can give away for ``given``, gaining by it; -1 if none can."""
+        fits = self.top[:given] >= given - self.totals[:given]
+        t = int(fits.argmax()) if given else 0
+        return t if given and fits[t] else -1
+
+    def tightest(self, given: int, t: int) -> int:
+        fits = self.rooms[t] >> (given - t)
+        return next(iter(self.bins[t, given - t + (fits & -fits).bit_length() - 1]))
+
+
+def local_search(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> list[list[int]]:
+    """Empty the less full bins into fuller ones while the sum of squared fills rises.
+
+    One or two members of a bin change places with none, one or two of a bin
+    at least as full.  Ends when no such exchange is left between any two bins,
+    or when the number of bins is the least possible.
     """
-    total = sum(lengths[i] for b in bins for i in b)
-    least = -(-total // capacity)
+    bins = [list(b) for b in bins]
     fills = [sum(lengths[i] for i in b) for b in bins]
-    live = sorted((k for k in range(len(bins)) if fills[k] < capacity), key=lambda k: fills[k])
-    count = len(bins)
+    count, least = len(bins), -(-sum(fills) // capacity)
     moved = True
-    while moved and count > least and tries > 0:
+    while moved and count > least:
         moved = False
-        live = sorted((k for k in live if 0 < fills[k] < capacity), key=lambda k: fills[k])
-        for at, s in enumerate(live):
-            for k in reversed(live[at + 1 :]):
-                if tries <= 0 or not fills[s]:
+        takers = _Takers(capacity)
+        live = sorted((k for k in range(len(bins)) if 0 < fills[k] < capacity), key=lambda k: fills[k])
+        for k in live:
+            takers.add(k, capacity - fills[k], [0, *_sums(bins[k], lengths)])
+        # The least full bin first; one with no exchange left is no taker for fuller ones, so those in ``takers`` are at least as full as the current one.
+        queue = [(fills[k], k) for k in live]
+        while queue and count > least:
+            fill, s = heappop(queue)
+            if fill != fills[s] or s not in takers.held:
+                continue
+            takers.drop(s)
+            while fills[s]:
+                own = _sums(bins[s], lengths)
+                gain, given, taken = 0, 0, 0
+                for g in own:
+                    t = takers.find(g)
+                    if t >= 0 and g - t > gain:
+                        gain, given, taken = g - t, g, t
+                if not gain:
                     break
-                if fills[k] >= capacity or fills[k] < fills[s]:
-                    continue
-                tries -= 1
-                found = _improve(bins[s], bins[k], capacity - fills[k], lengths, pairs)
-                if found:
-                    give, take = found
-                    bins[s] = [i for i in bins[s] if i not in give] + take
-                    bins[k] = [i for i in bins[k] if i not in take] + give
-                    delta = sum(lengths[i] for i in give) - sum(lengths[i] for i in take)
-                    fills[s] -= delta
-                    fills[k] += delta
-                    moved = True
-                    count -= not fills[s]
-            if moved:
-                break
+                k = takers.tightest(given, taken)
+                takers.drop(k)
+                give, take = own[given], _sums(bins[k], lengths)[taken] if taken else ()
+                bins[s] = [i for i in bins[s] if i not in give] + list(take)
+                bins[k] = [i for i in bins[k] if i not in take] + list(give)
+                fills[s] -= gain
+                fills[k] += gain
+                if fills[k] < capacity:
+                    takers.add(k, capacity - fills[k], [0, *_sums(bins[k], lengths)])
+                    heappush(queue, (fills[k], k))
+                moved = True
+                count -= not fills[s]
     return [b for b in bins if b]
 
 
