@@ -19,15 +19,15 @@ WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The contract's phrases: keyword, words, label.  They are never suppressed.
 BASE = (("cc", "cc by", "cc-by"), ("general", "general public license", "gpl"), ("reserved", "all rights reserved", "reserved"))
-#: label: (keyword, names).  Names are words; a bar separates forms.
+#: label: (keywords, names).  Names are words; a bar separates forms, and keywords where no word is in all forms: each form has rules under the first that it contains.
 FAMILIES = {
-    "afl": ("academic", "academic free"), "agpl": ("affero", "gnu affero general public|affero general public|affero gpl"), "agpl-short": ("agpl", "agpl|agplv3"),
-    "apache": ("apache", "apache|apache software"), "apple-psl": ("apple", "apple public source"), "artistic": ("artistic", "artistic"), "beerware": ("beerware", "beerware|beer ware"),
+    "afl": ("academic", "academic free"), "agpl": ("affero", "gnu affero general public|affero general public|affero gpl"), "agpl-short": ("agpl|agplv3", "agpl|agplv3"),
+    "apache": ("apache", "apache|apache software"), "apple-psl": ("apple", "apple public source"), "artistic": ("artistic", "artistic"), "beerware": ("beerware|beer", "beerware|beer ware"),
     "bittorrent": ("bittorrent", "bittorrent open source"), "boost": ("boost", "boost software"), "bsd": ("bsd", "bsd|new bsd|simplified bsd|modified bsd|bsd 2 clause|bsd 3 clause|bsd 4 clause"),
     "cc": ("creative", "creative commons|creative commons attribution"), "cc-by-nc": ("nc", "cc by nc|cc by nc sa|cc by nc nd"), "cc-by-nd": ("nd", "cc by nd"), "cc-by-sa": ("sa", "cc by sa"),
     "cc0": ("cc0", "cc0"), "cddl": ("cddl", "cddl"), "cddl-long": ("distribution", "common development and distribution"), "cecill": ("cecill", "cecill"), "cpl": ("common", "common public"),
     "ecl": ("educational", "educational community"), "ecos": ("ecos", "ecos"), "eiffel": ("eiffel", "eiffel forum"), "epl": ("eclipse", "eclipse public|eclipse distribution"), "epl-short": ("epl", "epl"),
-    "eupl": ("eupl", "eupl"), "eupl-long": ("european", "european union public"), "fdl": ("fdl", "gfdl|gnu fdl"), "fdl-long": ("documentation", "gnu free documentation|free documentation"),
+    "eupl": ("eupl", "eupl"), "eupl-long": ("european", "european union public"), "fdl": ("fdl|gfdl", "gfdl|gnu fdl"), "fdl-long": ("documentation", "gnu free documentation|free documentation"),
     "gpl": ("general", "gnu general public|general public"), "gpl-short": ("gpl", "gpl|gnu gpl"), "gplv2": ("gplv2", "gplv2"), "gplv3": ("gplv3", "gplv3"), "hpnd": ("historical", "historical permission notice and disclaimer"),
     "ibm": ("ibm", "ibm public"), "icu": ("icu", "icu"), "ijg": ("jpeg", "independent jpeg group"), "intel": ("intel", "intel open source"), "isc": ("isc", "isc"), "lgpl": ("lesser", "gnu lesser general public|lesser general public"),
     "lgpl-library": ("library", "gnu library general public|library general public"), "lgpl-short": ("lgpl", "lgpl|gnu lgpl"), "lppl": ("latex", "latex project public"), "mit": ("mit", "mit|mit x11"),
@@ -46,6 +46,19 @@ def _wrapped(words: str) -> str:
     return "".join(f" {w} " for w in words.split())
 
 
+def _families() -> list[tuple[str, str, list[str]]]:
+    """(label, keyword, forms) such that every form contains its keyword."""
+    found = []
+    for label, (keywords, names) in FAMILIES.items():
+        left = names.split("|")
+        for k in keywords.split("|"):
+            found.append((label, k, [f for f in left if k in f.split()]))
+            left = [f for f in left if k not in f.split()]
+        if left:
+            raise ValueError(f"{label}: no keyword in {left}")
+    return found
+
+
 @lru_cache
 def rules() -> tuple[tuple[str, str, str, int], ...]:
     """(keyword, pattern, label, priority), base phrases first, else in order of priority."""
@@ -53,8 +66,8 @@ def rules() -> tuple[tuple[str, str, str, int], ...]:
     lead = "(?:" + "|".join(map(_wrapped, ("licensed under", "released under", "distributed under", "available under", "under the terms of", "subject to the terms of", "governed by"))) + ")"
     found = [(k, _wrapped(p), label, 0) for k, p, label in BASE]
     for priority in (1, 2, 3):
-        for label, (keyword, forms) in FAMILIES.items():
-            name = "(?:" + "|".join(_wrapped(f) for f in sorted(forms.split("|"), key=lambda f: -len(f))) + ")"
+        for label, keyword, forms in _families():
+            name = "(?:" + "|".join(_wrapped(f) for f in sorted(forms, key=lambda f: -len(f))) + ")"
             if priority == 1:
                 found += [(keyword, f"{lead}(?: the | a | an )?{name}(?: licen[cs]e )?{version}", label, 1), (keyword, f" spdx  licen[cs]e  identifier {name}{version}", label, 1)]
             elif priority == 2:
