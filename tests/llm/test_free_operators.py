@@ -202,10 +202,14 @@ def test_block_links_connect_what_all_links_connect():
     fps = simhash._order(np.array(sorted(fps), np.uint64))
     plain = [(int(a), int(b)) for i, a in enumerate(fps) for b in fps[i + 1 :] if (int(a) ^ int(b)).bit_count() <= 4]
     ids = [int(f) for f in fps]
-    assert _components(ids, simhash.block_links(fps, None, 4, tile=16)) == _components(ids, plain)
+
+    def pairs(a, b, places):
+        return [(int(a[i]), int(b[j])) for i, j in places]
+
+    assert _components(ids, pairs(fps, fps, simhash.block_links(fps[:, None], None, 4, tile=16))) == _components(ids, plain)
     left, right = fps[::2], fps[1::2]
-    cross = simhash.block_links(left, right, 4, tile=16)
-    both = [*simhash.block_links(left, None, 4), *simhash.block_links(right, None, 4), *cross]
+    cross = pairs(left, right, simhash.block_links(left[:, None], right[:, None], 4, tile=16))
+    both = [*pairs(left, left, simhash.block_links(left[:, None], None, 4)), *pairs(right, right, simhash.block_links(right[:, None], None, 4)), *cross]
     assert _components(ids, both) == _components(ids, plain)
 
 

@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of one key that a join deals to one task; a key with more is dealt over slices of about as many.
+KEY_ROWS = 10_000
+
 
 def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        # Driver and executors are one process here.
+        base = f"{tempfile.gettempdir()}/checkpoints"
     return f"{base.rstrip('/')}/waferlens/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share; under a path of our own only where that is unset."""
+    """A new folder under spark.checkpoint.dir, which driver and executors share.  Unset, it is an error unless Spark is local."""
     return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -32,6 +42,23 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def join_hot(large: DataFrame, small: DataFrame, key: str, rows: str, spread: Sequence[str], how: str = "inner", key_rows: int = KEY_ROWS) -> DataFrame:
+    """``large`` joined by ``key`` to ``small``, which has one row a key and in ``rows`` how often ``large`` has it.
+
+    Rows of a key that occurs more than ``key_rows`` times are dealt over
+    slices by a hash of the columns ``spread``, and the key's row of ``small``
+    is repeated in each, so no key fills one task.  Such keys number at most
+    the rows of ``large`` / ``key_rows``: the bound of what is broadcast.
+    ``rows`` goes.
+    """
+    slices = F.ceil(F.col(rows) / key_rows).cast("int")
+    hot = small.filter(F.col(rows) > key_rows).select(F.col(key).alias("_hot"), slices.alias("_slices"))
+    dealt = large.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    dealt = dealt.withColumn("_slice", F.when(F.col("_slices").isNotNull(), F.pmod(F.xxhash64(*spread), F.col("_slices"))).otherwise(0).cast("int")).drop("_hot", "_slices")
+    each = small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))).drop(rows)
+    return dealt.join(each, [key, "_slice"], how).drop("_slice")
+
+
 def _signature(edges: DataFrame) -> tuple[int, int]:
     row = edges.select(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
     return row[0], row[1]
@@ -44,8 +71,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     nulls, repeats and both directions are allowed.  Returns ``node`` and
     ``component`` (the smallest node, itself included); an empty input gives
     an empty result.  Large-star and small-star rounds run as joins with
-    grouped minima, so a node with very many neighbours is never gathered in
-    one group, and each round is written to the shared folder.
+    grouped minima; a node with very many neighbours is dealt over slices
+    (``join_hot``), and each round is written to the shared folder.
     """
     edges = (
         edges.filter("u is not null and v is not null and u <> v")
@@ -59,11 +86,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         # u > v holds for every edge.  Large star: all larger neighbours of a node point to the least of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("degree"))
+        large = join_hot(both.filter("v > u"), least, "u", "degree", ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: a node and all its smaller neighbours point to the least of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        pairs = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+        pairs = join_hot(large, low, "u", "degree", ["v"]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after_edges = cut(pairs.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
         after = _signature(after_edges)
         edges = after_edges
@@ -75,3 +102,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def component_heads(nodes: DataFrame, members: DataFrame, key: str, head: str) -> DataFrame:
+    """``key`` and ``component_id`` (the least ``head`` of its component, nulls last) of every row of ``nodes`` (one row a key); a node without edges is its own component."""
+    linked = nodes.select(key, head).join(members, F.col(key) == F.col("node"), "left").select(key, head, F.coalesce("component", key).alias("component"))
+    least = linked.groupBy("component").agg(F.min(head).alias("component_id"), F.count("*").alias("_rows"))
+    return join_hot(linked, least, "component", "_rows", [key]).select(key, "component_id")

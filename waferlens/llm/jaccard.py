@@ -1,34 +1,15 @@
-"""Near copies by exact Jaccard similarity of word shingles.
-
-Two texts are linked when their sets of five-word shingles have a Jaccard
-similarity of 0.8 or more.  The search loses nothing: with all shingles in one
-order, rare ones first, two sets this similar share a shingle among the first
-``n - ceil(0.8 n) + 1`` of each (prefix filter), and how many they share there
-bounds what they share at all.  Every pair left is verified on the whole sets.
-
-Each shingle's holders are first compared with two of their own, so that a
-dense group of copies becomes one component from a linear number of pairs;
-after that only pairs of different components meet.
-"""
+"""Exact Jaccard similarity of word-shingle sets, by which candidate pairs of near copies are verified."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from .common import connected_components, cut
-from .simhash import shingle_hashes
+from .shingles import shingle_hashes
 
 WORDS = 5
 #: The least similarity as a fraction, so that no rounding decides.
 TOP, BOTTOM = 4, 5
-#: Rows whose shingles are counted to tell common ones, and the count from which one is common.  They set the order only, never what is found.
-COUNTED_ROWS, COMMON = 8000, 4
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -44,124 +25,3 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return BOTTOM * both >= TOP * (len(a) + len(b) - both)
 
-
-def prefix(hashes: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """The shingles by which a set is looked up: rare ones first, common ones by their counts."""
-    n = len(hashes)
-    if not n:
-        return hashes
-    rank = np.zeros(n, np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-        rank = np.where(common[at] == hashes, ranks[at], 0)
-    return hashes[np.lexsort((hashes, rank))][: n - -(-TOP * n // BOTTOM) + 1]
-
-
-def _common(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that many texts hold, sorted, with their counts."""
-    share = max(1, docs.count() // COUNTED_ROWS)
-
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text).view(np.int64))], names=["s"])
-
-    some = docs.select(F.col(text_col).alias("body")).filter(F.pmod(F.xxhash64("body"), F.lit(share)) == 0).distinct()
-    rows = some.mapInArrow(shingles, "s long").groupBy("s").count().filter(F.col("count") >= COMMON).toPandas()
-    found = rows["s"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(found)
-    return found[order], rows["count"].to_numpy(np.int64)[order]
-
-
-def _looked_up(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per input row: id, ``text_key``, ``key`` of the shingle set, its size ``n`` and its prefix ``firsts``."""
-    common, ranks = _common(docs, text_col)
-    kind = docs.schema[id_col].dataType.simpleString()
-    names = [id_col, "text_key", "key", "n", "firsts"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingle_set(t) for t in b.column(2).to_pylist()]
-            firsts = [prefix(s, common, ranks).view(np.int64) for s in sets]
-            arrays = [pa.array(map(set_key, sets), pa.binary()), pa.array(map(len, sets), pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *arrays], names=names)
-
-    slim = docs.select(id_col, F.xxhash64(text_col).alias("text_key"), text_col)
-    return slim.mapInArrow(run, f"`{id_col}` {kind}, text_key long, key binary, n int, firsts array<long>")
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
-    """Those of ``pairs`` (``u, v``: keys of sets) whose whole sets are similar."""
-    pairs = cut(pairs, "pairs")
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
-    # One text of each set stands for it.
-    texts = rows.join(nodes, "key", "left_semi").groupBy("key").agg(F.min("text_key").alias("wanted")).select("wanted").distinct()
-    own = docs.select(F.col(text_col).alias("body")).withColumn("text_key", F.xxhash64("body"))
-    own = own.join(texts, own["text_key"] == texts["wanted"], "left_semi").select("body").distinct()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [shingle_set(t) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(map(set_key, found), pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], names=["key", "shingles"])
-
-    # Texts whose 64-bit hashes meet may bring a set twice; links are made distinct later.
-    held = cut(own.mapInArrow(sets, "key binary, shingles binary"), "sets")
-    both = pairs.join(held.select(F.col("key").alias("u"), F.col("shingles").alias("a")), "u").join(held.select(F.col("key").alias("v"), F.col("shingles").alias("b")), "v")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(i).to_pylist()] for i in (2, 3))
-            fine = pa.array([similar(x, y) for x, y in zip(a, b, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(fine) for i in (0, 1)], names=["u", "v"])
-
-    return cut(both.select("u", "v", "a", "b").mapInArrow(verify, "u binary, v binary"), "links")
-
-
-def _near_in_size(n: str, m: str) -> Column:
-    return F.least(n, m) * BOTTOM >= F.greatest(n, m) * TOP
-
-
-def _enough(shared: Column) -> Column:
-    """Whether sets of ``n`` and ``m`` that share so many of their prefixes can be similar: the one whose prefix ends first has ceil(0.8 n) - 1 more."""
-    least = F.ceil((F.col("n") + F.col("m")) * TOP / F.lit(TOP + BOTTOM) - F.lit(1e-9))
-    return shared + F.ceil(F.greatest("n", "m") * TOP / F.lit(BOTTOM) - F.lit(1e-9)) - 1 >= least
-
-
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and ``component_id`` of every row: the smallest id reachable over links of similar texts, equal sets included.
-
-    Texts without words are alike; rows with a null id keep their row.
-    """
-    rows = cut(_looked_up(docs, id_col, text_col), "shingles")
-    heads = cut(rows.groupBy("key").agg(F.min(id_col).alias("head"), F.first("n").alias("n"), F.first("firsts").alias("firsts")), "heads")
-    places = heads.select("key", "n", F.explode("firsts").alias("s"))
-    shared = places.groupBy("s").agg(F.count("*").alias("holders"), F.min("key").alias("one"), F.max("key").alias("other")).filter("holders > 1")
-    shared = cut(shared, "shared")
-    places = cut(places.join(shared.select("s"), "s", "left_semi"), "places")
-
-    # Every holder of a shingle against two of its holders.  Few shared places make a pair unlikely here; the second round misses none.
-    sizes = heads.select(F.col("key").alias("c"), F.col("n").alias("m"))
-    centres = shared.select("s", F.explode(F.array("one", "other")).alias("c"))
-    stars = places.join(centres, "s").filter("key <> c").groupBy("key", "c").agg(F.first("n").alias("n"), F.count("*").alias("both"))
-    stars = stars.join(sizes, "c").filter(_near_in_size("n", "m") & _enough(F.col("both")))
-    stars = stars.select(F.greatest("key", "c").alias("u"), F.least("key", "c").alias("v")).distinct()
-    first = _verified(stars, docs, rows, text_col)
-    members = cut(connected_components(first), "members")
-
-    # Then the pairs of holders that are in different components, met by component so that one component's own pairs are never made.
-    placed = places.join(members, places["key"] == members["node"], "left").select("s", "key", "n", F.coalesce("component", "key").alias("component"))
-    split = placed.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("s")
-    placed = cut(placed.join(split, "s", "left_semi"), "placed")
-    groups = placed.select("s", "component").distinct()
-    meet = groups.select("s", F.col("component").alias("x")).join(groups.select("s", F.col("component").alias("y")), "s").filter("x > y")
-    left = placed.select("s", F.col("key").alias("u"), "n", F.col("component").alias("x"))
-    right = placed.select("s", F.col("key").alias("v"), F.col("n").alias("m"), F.col("component").alias("y"))
-    pairs = meet.join(left, ["s", "x"]).join(right, ["s", "y"]).filter(_near_in_size("n", "m"))
-    pairs = pairs.groupBy("u", "v").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.count("*").alias("both")).filter(_enough(F.col("both"))).select("u", "v")
-    second = _verified(pairs, docs, rows, text_col)
-
-    members = connected_components(first.unionByName(second))
-    linked = heads.join(members, heads["key"] == members["node"], "left").select("key", "head", F.coalesce("component", "key").alias("component"))
-    least = linked.groupBy("component").agg(F.min("head").alias("component_id"))
-    classes = linked.join(least, "component").select(F.col("key").alias("class_key"), "component_id")
-    return rows.join(classes, rows["key"] == classes["class_key"]).select(id_col, "component_id")
