@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waferlens.llm import jaccard, mixing, packing, quality, secrets
+from waferlens.llm import mixing, packing, quality, secrets, simhash
 from waferlens.llm.common import cut
 
 
@@ -27,7 +27,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     similarity of 0.8 or more, directly or over others.  Rows that share an id are one document, of which one row stays; rows
     without an id cannot be told apart by one and all stay.
     """
-    found = jaccard.near_copies(docs).filter("doc_id is not null")
+    found = simhash.near_copies(docs).filter("doc_id is not null")
     ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
     # What to drop is written, so that its size is known when the join is planned.
     odd = cut(ids.filter("not stays or n > 1").select(F.col("doc_id").alias("odd_id"), "stays"), "odd")
