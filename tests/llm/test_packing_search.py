@@ -38,3 +38,22 @@ def test_no_exchange_is_left():
             for give, take in itertools.product(parts(s, 1), parts(k, 0)):
                 g = sum(lengths[i] for i in give) - sum(lengths[i] for i in take)
                 assert not (fk >= fs and 0 < g <= 64 - fk), (s, k, give, take)
+
+
+def test_search_empties_bins_of_the_first_pass():
+    """Log-normal lengths, and lengths that best fit packs badly: the search does the work, near the bound."""
+    rng = np.random.default_rng(7)
+    for lengths in (np.clip(rng.lognormal(6.4, 0.8, 20_000), 1, 2047).astype(int).tolist(), rng.choice([1025, 700, 680, 345, 340], 6_000).tolist()):
+        made = {}
+        start = packing.first_pass(lengths, 2048)
+        out = packing.pack_lengths(lengths, 2048, made)
+        least = -(-sum(lengths) // 2048)
+        assert sorted(i for b in out for i in b) == list(range(len(lengths)))
+        assert max(sum(lengths[i] for i in b) for b in out) <= 2048
+        assert made["moves"] > 0 and made["exchanges"] > 0 and made["emptied"] == len(start) - len(out) > 0
+        assert len(out) <= max(1.005 * least, len(packing.best_fit_decreasing(lengths, 2048)))
+
+
+def test_rows_tell_how_the_search_went(docs):
+    rows = packing.pack_documents(docs).filter("group_least is not null").collect()
+    assert {(r.group_bins, r.group_start >= r.group_bins >= r.group_least) for r in rows} == {(len({r.sequence_id for r in rows}), True)}

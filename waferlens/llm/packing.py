@@ -2,10 +2,10 @@
 
 Documents longer than a sequence are cut into full pieces and one shorter
 first piece; nothing else is ever cut.  Pieces below full length are dealt at
-random into groups of bounded size.  Each group starts from best fit by
-decreasing length and is then improved by a local search that moves documents
-between underfull bins or exchanges one or two for up to two, always raising
-the sum of squared fills, until no exchange does.
+random into groups of bounded size.  Each group is filled in one pass, a few
+pieces at a time, which leaves many bins underfull; a local search then moves
+documents between underfull bins or exchanges one or two for up to two, always
+raising the sum of squared fills, until bins empty and no exchange is left.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from .tokens import shared_encoder
 
 END_ID = 0
 TEXTS_AT_ONCE = 256
+#: Pieces that the first pass fills into bins at a time.
+START_PIECES = 64
 
 
 def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -68,7 +70,7 @@ def pieces(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_c
 
 
 def best_fit_decreasing(lengths: Sequence[int], capacity: int) -> list[list[int]]:
-    """Item numbers by bin.  Bins wait in stacks by the room they have left, and a bit mask tells which stacks hold any."""
+    """Item numbers by bin; over a whole group only what the search is compared with.  Bins wait in stacks by the room they have left, and a bit mask tells which stacks hold any."""
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
     waiting: list[list[int]] = [[] for _ in range(capacity + 1)]
     mask = 0
@@ -146,13 +148,21 @@ class _Takers:
         return next(iter(self.bins[t, given - t + (fits & -fits).bit_length() - 1]))
 
 
-def local_search(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> list[list[int]]:
+def first_pass(lengths: Sequence[int], capacity: int, at_once: int = START_PIECES) -> list[list[int]]:
+    """Item numbers by bin, ``at_once`` items at a time: where the search starts."""
+    return [[at + i for i in b] for at in range(0, len(lengths), at_once) for b in best_fit_decreasing(lengths[at : at + at_once], capacity)]
+
+
+def local_search(bins: list[list[int]], lengths: Sequence[int], capacity: int, made: dict[str, int] | None = None) -> list[list[int]]:
     """Empty the less full bins into fuller ones while the sum of squared fills rises.
 
     One or two members of a bin change places with none, one or two of a bin
     at least as full.  Ends when no such exchange is left between any two bins,
-    or when the number of bins is the least possible.
+    or when the number of bins is the least possible.  ``made`` counts moves
+    (nothing comes back), exchanges and emptied bins.
     """
+    made = made if made is not None else {}
+    made |= {k: made.get(k, 0) for k in ("moves", "exchanges", "emptied")}
     bins = [list(b) for b in bins]
     fills = [sum(lengths[i] for i in b) for b in bins]
     count, least = len(bins), -(-sum(fills) // capacity)
@@ -190,47 +200,59 @@ def local_search(bins: list[list[int]], lengths: Sequence[int], capacity: int) -
                     takers.add(k, capacity - fills[k], [0, *_sums(bins[k], lengths)])
                     heappush(queue, (fills[k], k))
                 moved = True
+                made["exchanges" if take else "moves"] += 1
+                made["emptied"] += not fills[s]
                 count -= not fills[s]
     return [b for b in bins if b]
 
 
-def pack_lengths(lengths: Sequence[int], capacity: int) -> list[list[int]]:
-    return local_search(best_fit_decreasing(lengths, capacity), lengths, capacity)
+def pack_lengths(lengths: Sequence[int], capacity: int, made: dict[str, int] | None = None) -> list[list[int]]:
+    return local_search(first_pass(lengths, capacity), lengths, capacity, made)
 
 
 def pack(items: DataFrame, capacity: int = 2048, group_rows: int = 20_000) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows that have ``length`` (1 to ``capacity``) and ``slot``; ``slot`` goes.
 
-    ``items`` should be a written table: it is read more than once.
+    Also how its group's search went: ``group_least`` (the bound: its tokens
+    over ``capacity``), ``group_start`` and ``group_bins`` (sequences before
+    and after), ``group_moves`` and ``group_exchanges``; pieces of full length
+    are in no group.  Groups never share a sequence, which costs at most one
+    sequence a group beyond the sum of their bounds.  ``items`` should be a
+    written table: it is read more than once.
     """
+    told = ("group_least", "group_start", "group_bins", "group_moves", "group_exchanges")
     kept = [c for c in items.columns if c != "slot"]
     short = F.col("length") < capacity
     groups = max(1, -(-items.filter(short).count() // group_rows))
     fields = [items.schema[c] for c in kept]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", sequence_id long, offset long"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", sequence_id long, offset long, " + ", ".join(f"{c} long" for c in told)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         lengths = group["length"].astype("int64").tolist()
         sequence, offset = np.zeros(len(group), "int64"), np.zeros(len(group), "int64")
         first = int(group["_group"].iloc[0]) << 32
-        for k, members in enumerate(pack_lengths(lengths, capacity)):
+        made: dict[str, int] = {}
+        bins = pack_lengths(lengths, capacity, made)
+        search = (-(-sum(lengths) // capacity), len(bins) + made["emptied"], len(bins), made["moves"], made["exchanges"])
+        for k, members in enumerate(bins):
             at = 0
             for i in members:
                 sequence[i], offset[i] = first + k, at
                 at += lengths[i]
-        return group[kept].assign(sequence_id=sequence, offset=offset)
+        return group[kept].assign(sequence_id=sequence, offset=offset, **dict(zip(told, search, strict=True)))
 
     dealt = items.filter(short).withColumn("_group", F.floor(F.col("slot") * groups).cast("long"))
     packed = dealt.groupBy("_group").applyInPandas(run, schema)
-    full = items.filter(~short).select(*kept, (F.lit(-1) - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    full = items.filter(~short).select(*kept, (F.lit(-1) - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *[F.lit(None).cast("long").alias(c) for c in told])
     return packed.unionByName(full)
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
     """Every piece of every document with its sequence and its place in it.
 
-    Null and empty texts give one piece of one id; repeated rows are packed
-    one by one; columns besides the id and the text are ignored; an empty
-    table gives an empty one.
+    Null and empty texts give one piece of one id; very long ones are cut into
+    whole sequences and a shorter first piece; repeated rows are packed one by
+    one, null ids too; columns besides the id and the text are ignored; an
+    empty table gives an empty one.
     """
     return pack(cut(pieces(docs, capacity, id_col, text_col, vocabulary, with_ids), "pieces"), capacity)
