@@ -324,11 +324,62 @@ def test_windows_cover_every_word():
         assert covered == set(range(n)) and all(b - a <= toxicity.STRIDE for a, b in zip(starts, starts[1:], strict=False))
 
 
-def test_condensed_texts_keep_all_words_or_spread_runs():
-    text = " ".join(f"w{i}" for i in range(10_000))
-    assert toxicity.condensed("A, b!", 4) == "a b" and toxicity.condensed(None, 4) == ""
-    got = toxicity.condensed(text, 960).split()
-    assert len(got) == 960 and got[0] == "w0" and got[-1] == "w9999"
+def _small_network():
+    texts = ["good morning to all of you", "you utter scum go away", "what a good day", "scum and filth", "go away now", "a fine day to all"] * 2
+    return toxicity.fit(texts, [0, 1, 0, 1, 0, 0] * 2, epochs=4)
+
+
+def test_words_are_read_to_their_end():
+    a, b = "x" * 72 + "a", "x" * 72 + "b"
+    assert "".join(toxicity.words_of(a)) == a and len(toxicity.words_of("日本語" * 40)) == 5
+    scorer = toxicity.Scorer(_small_network())
+    assert scorer.texts([a])[0] != scorer.texts([b])[0]
+
+
+def test_scorer_equals_a_plain_forward_pass(docs):
+    net = _small_network()
+    texts = [None, "", "one", "scum " * 200, *[r.text for r in docs.limit(30).collect()]]
+
+    def direction(x, d):
+        p, h, out = net.p, np.zeros(toxicity.HIDDEN), []
+        n = toxicity.HIDDEN
+        for v in x:
+            i, r = v @ p[f"w_{d}"] + p[f"b_{d}"], h @ p[f"u_{d}"]
+            z, reset = 1 / (1 + np.exp(-(i[:n] + r[:n]))), 1 / (1 + np.exp(-(i[n : 2 * n] + r[n : 2 * n])))
+            h = (1 - z) * np.tanh(i[2 * n :] + reset * r[2 * n :]) + z * h
+            out.append(h)
+        return np.array(out)
+
+    def window(words):
+        vectors = []
+        for w in words:
+            raw = b"\x02" + w.encode() + b"\x03"
+            grams = [(raw[i] * 961 + raw[i + 1] * 217 + raw[i + 2] * 13) % toxicity.GRAMS for i in range(len(raw) - 2)]
+            vectors.append([*net.p["words"][net.vocabulary.get(w, toxicity.OTHER)], *net.p["grams"][grams].mean(0)])
+        x = np.zeros((toxicity.WINDOW, 2 * toxicity.DIM))
+        x[:, : toxicity.DIM] = net.p["words"][toxicity.PAD]
+        x[: len(words)] = np.array(vectors).reshape(-1, 2 * toxicity.DIM)
+        states = np.concatenate([direction(x, "f"), direction(x[::-1], "b")[::-1]], 1)
+        e = np.tanh(states @ net.p["att_w"]) @ net.p["att_v"]
+        real = np.arange(toxicity.WINDOW) < len(words)
+        e = np.exp(np.where(real | ~real.any(), e, -1e9) - e.max())
+        return float(e / e.sum() @ states @ net.p["out"] + net.p["out_b"][0])
+
+    want = []
+    for t in texts:
+        words = toxicity.words_of(t)
+        want.append(max(window(words[s : s + toxicity.WINDOW]) for s in toxicity.window_starts(len(words))))
+    assert toxicity.Scorer(net).texts(texts) == pytest.approx(np.array(want), abs=1e-4)
+
+
+def test_a_passage_is_found_anywhere_in_a_long_training_text():
+    vocabulary, odds = toxicity.word_odds({"scum": (1, 40), "day": (50, 10)}, 50, 50)
+    for place in range(0, 20_000, 997):
+        words = ["day"] * 20_000
+        words[place] = "scum"
+        own = toxicity.telling_windows(words, vocabulary, odds, 96, np.random.default_rng(place))
+        assert len(own) == 96 and any("scum" in w for w in own)
+    assert toxicity.telling_windows(["a"] * 60, vocabulary, odds, 96, np.random.default_rng(0)) == [["a"] * 48, ["a"] * 48]
 
 
 def test_toxicity_held_out(spark):

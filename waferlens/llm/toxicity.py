@@ -2,14 +2,17 @@
 
 Inputs of a step are a word's own vector (words of the training vocabulary;
 one shared vector for all others) and the mean of its character trigrams'
-vectors.  The network reads overlapping windows of a text, attention pools the
-states of both directions, and a document scores as its highest window.  It is
-written and trained in numpy.
+vectors.  Runs of word characters longer than ``LONGEST`` are several words, so
+that scripts without spaces and glued words are read to their end.  The
+network reads overlapping windows of a text, attention pools the states of
+both directions, and a document scores as its highest window.  It is written
+and trained in numpy.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -18,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
 from .labelled import fold, labelled_sample
 
 WINDOW, STRIDE = 48, 36
@@ -25,7 +29,9 @@ DIM, HIDDEN, ATTENTION = 8, 8, 8
 GRAMS = 4096
 THRESHOLD = 0.3
 PAD, OTHER = 0, 1
-_WORD = re.compile(r"\w+")
+#: Characters of a word; what is longer goes on as the next word.
+LONGEST = 24
+_WORD = re.compile(rf"\w{{1,{LONGEST}}}")
 TABLE_ROWS = 200_000
 
 
@@ -43,7 +49,7 @@ def window_starts(n: int) -> list[int]:
 
 def gram_numbers(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers of the byte trigrams of all words, edges marked, and each word's first place."""
-    raw = [b"\x02" + w.encode("utf-8", "surrogatepass")[:64] + b"\x03" for w in words]
+    raw = [b"\x02" + w.encode("utf-8", "surrogatepass") + b"\x03" for w in words]
     sizes = np.array([len(r) for r in raw])
     flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
     ends = np.cumsum(sizes)
@@ -158,6 +164,13 @@ class Scorer:
             out.append(_pool(self.net.p, np.concatenate([forward, backward], 2), part != PAD)[0])
         return np.concatenate(out) if out else np.empty(0, np.float32)
 
+    def single(self, windows: list[list[str]]) -> np.ndarray:
+        """Logits of windows that are given as words."""
+        rows = np.zeros((len(windows), WINDOW), np.int32)
+        for k, own in enumerate(self._rows(windows)):
+            rows[k, : len(own)] = own
+        return self.windows(rows)
+
     def documents(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Logits of all windows of all documents, and the place of each document's first window."""
         rows_of = self._rows(docs)
@@ -218,31 +231,58 @@ def _gradients(net: Network, numbers: np.ndarray, chars: np.ndarray, y: np.ndarr
     return g, d_x
 
 
-def fit(texts: Sequence[str | None], labels: Sequence[int], epochs: int = 12, rate: float = 0.02, seed: int = 11, vocabulary_rows: int = 20_000, clean_a_toxic: int = 8) -> Network:
-    """Adam over windows.  A toxic text stands for its most suspect window, at first by word odds and then by the network itself; clean texts give their most suspect window and random ones."""
-    rng = np.random.default_rng(seed)
-    y = np.asarray(labels, np.float32)
+def word_odds(counts: dict[str, tuple[int, int]], toxic: float, clean: float, vocabulary_rows: int = 20_000) -> tuple[dict[str, int], np.ndarray]:
+    """Numbers of the most frequent and the most telling words, and the log ratio with which each one starts.
+
+    ``counts``: in how many clean and toxic texts a word occurs.
+    """
+    ranked = sorted((w for w, c in counts.items() if sum(c) >= 3), key=lambda w: (-sum(counts[w]), w))
+    strength = {w: np.log((counts[w][1] + 0.5) / (toxic + 1)) - np.log((counts[w][0] + 0.5) / (clean + 1)) for w in ranked}
+    chosen = sorted({*ranked[: vocabulary_rows // 2], *sorted(ranked, key=lambda w: (-abs(strength[w]), w))[: vocabulary_rows // 2]})
+    odds = np.array([0.0, 0.0, *[np.clip(strength[w], -2, 4) / 2 if sum(counts[w]) >= 5 else 0.0 for w in chosen]], np.float32)
+    return {w: k + 2 for k, w in enumerate(chosen)}, odds
+
+
+def _numbers(words: Sequence[str], vocabulary: dict[str, int]) -> np.ndarray:
+    return np.fromiter((vocabulary.get(w, OTHER) for w in words), np.int64, len(words))
+
+
+def telling_windows(words: Sequence[str], vocabulary: dict[str, int], odds: np.ndarray, most: int, rng: np.random.Generator) -> list[list[str]]:
+    """All windows of a text; of one with more than ``most``, those of the highest word odds and as many random ones, in order.  Every window is looked at."""
+    starts = window_starts(len(words))
+    if len(starts) > most:
+        own = odds[_numbers(words, vocabulary)]
+        highest = np.array([own[s : s + WINDOW].max(initial=-9) for s in starts])
+        first = np.argsort(-highest, kind="stable")[: most // 2]
+        others = np.setdiff1d(np.arange(len(starts)), first)
+        starts = [starts[k] for k in sorted([*first.tolist(), *rng.choice(others, most - len(first), replace=False).tolist()])]
+    return [list(words[s : s + WINDOW]) for s in starts]
+
+
+def fit(texts: Sequence[str | None], labels: Sequence[int], vocabulary_rows: int = 20_000, **options) -> Network:
+    """Fit on all windows of texts that are here as a whole."""
     docs = [words_of(t) for t in texts]
-    seen: dict[str, list[int]] = {}
+    counts: dict[str, list[int]] = {}
     for d, label in zip(docs, labels, strict=True):
         for w in set(d):
-            seen.setdefault(w, [0, 0])[label] += 1
+            counts.setdefault(w, [0, 0])[label] += 1
+    toxic = sum(labels)
+    known = word_odds(counts, toxic, len(labels) - toxic, vocabulary_rows)
+    return fit_windows([[d[s : s + WINDOW] for s in window_starts(len(d))] for d in docs], labels, *known, **options)
+
+
+def fit_windows(windows: Sequence[list[list[str]]], labels: Sequence[int], vocabulary: dict[str, int], odds: np.ndarray, epochs: int = 12, rate: float = 0.02, seed: int = 11, clean_a_toxic: int = 8) -> Network:
+    """Adam over the windows of each text.  A toxic text stands for its most suspect window, at first by word odds and then by the network itself; clean texts give their most suspect window and random ones."""
+    rng = np.random.default_rng(seed)
+    y = np.asarray(labels, np.float32)
     toxic, clean = float(y.sum()), float(len(y) - y.sum())
-    ranked = sorted((w for w, c in seen.items() if sum(c) >= 3), key=lambda w: (-sum(seen[w]), w))
-    strength = {w: np.log((seen[w][1] + 0.5) / (toxic + 1)) - np.log((seen[w][0] + 0.5) / (clean + 1)) for w in ranked}
-    # Of the words, the most frequent and the most telling.
-    chosen = sorted({*ranked[: vocabulary_rows // 2], *sorted(ranked, key=lambda w: (-abs(strength[w]), w))[: vocabulary_rows // 2]})
-    vocabulary = {w: k + 2 for k, w in enumerate(chosen)}
-    odds = np.array([0.0, 0.0, *[np.clip(strength[w], -2, 4) / 2 if sum(seen[w]) >= 5 else 0.0 for w in chosen]], np.float32)
     net = Network.new(vocabulary, odds)
     if not toxic or not clean:
         net.p["out"][:] = 0
         net.p["out_b"][:] = np.log((toxic + 1e-3) / (clean + 1e-3)) if len(y) else 0
         return net
-    numbers = [np.fromiter((vocabulary.get(w, OTHER) for w in d), np.int64, len(d)) for d in docs]
-    starts = [window_starts(len(d)) for d in docs]
-    odd_scores = [odds[n] for n in numbers]
-    suspect = [int(np.argmax([o[s : s + WINDOW].max(initial=-9) for s in own])) for o, own in zip(odd_scores, starts, strict=True)]
+    numbers = [[_numbers(w, vocabulary) for w in own] for own in windows]
+    suspect = [int(np.argmax([odds[n].max(initial=-9) for n in own])) for own in numbers]
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
     step = 0
@@ -253,20 +293,20 @@ def fit(texts: Sequence[str | None], labels: Sequence[int], epochs: int = 12, ra
             chosen_docs = np.concatenate([positive, rng.choice(negative, min(len(negative), 4 * len(positive)), replace=False)])
             for at in range(0, len(chosen_docs), 128):
                 part = chosen_docs[at : at + 128]
-                logits, firsts = scorer.documents([docs[i] for i in part])
-                for i, own in zip(part, np.split(logits, firsts[1:]), strict=True):
+                logits = scorer.single([w for i in part for w in windows[i]])
+                for i, own in zip(part, np.split(logits, np.cumsum([len(windows[i]) for i in part])[:-1]), strict=True):
                     suspect[i] = int(np.argmax(own))
         picks = [(i, suspect[i]) for i in positive]
         n_clean = min(len(negative) * 2, clean_a_toxic * len(positive))
         for i in rng.choice(negative, n_clean):
-            picks.append((i, suspect[i] if rng.random() < 0.5 else int(rng.integers(len(starts[i])))))
+            picks.append((i, suspect[i] if rng.random() < 0.5 else int(rng.integers(len(windows[i])))))
         picks = [picks[k] for k in rng.permutation(len(picks))]
         for at in range(0, len(picks), 128):
             part = picks[at : at + 128]
-            own = [docs[i][starts[i][k] : starts[i][k] + WINDOW] for i, k in part]
+            own = [windows[i][k] for i, k in part]
             ids = np.zeros((WINDOW, len(part)), np.int64)
             for c, (i, k) in enumerate(part):
-                ids[: len(own[c]), c] = numbers[i][starts[i][k] : starts[i][k] + WINDOW]
+                ids[: len(own[c]), c] = numbers[i][k]
             flat = [w for o in own for w in o]
             chars = np.zeros((WINDOW, len(part), DIM), np.float32)
             where_t = np.concatenate([np.arange(len(o)) for o in own]).astype(np.int64)
@@ -294,25 +334,43 @@ def fit(texts: Sequence[str | None], labels: Sequence[int], epochs: int = 12, ra
     return net
 
 
-def condensed(text: str | None, most: int) -> str:
-    """The words of a text; of one with over ``most`` words, evenly spread runs of a window each."""
-    words = words_of(text)
-    if len(words) > most:
-        starts = np.linspace(0, len(words) - WINDOW, max(1, most // WINDOW)).astype(int).tolist()
-        words = [w for s in starts for w in words[s : s + WINDOW]]
-    return " ".join(words)
-
+def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, parts: int = 4, held_out: int = 2, windows: int = 96, vocabulary_rows: int = 20_000, **options) -> Network:
+    """Fit on at most ``rows`` labelled documents outside the held-out fold.
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, parts: int = 4, held_out: int = 2, words: int = 4096, **options) -> Network:
-    """Fit on at most ``rows`` labelled documents outside the held-out fold, and on at most ``words`` words of each: the bound of what comes to the driver."""
+    Words are counted over their whole texts.  Of a text with more than
+    ``windows`` windows, tasks look at every one and send so many of them to
+    the driver: the bound of what comes there.
+    """
+    sample = cut(labelled_sample(docs, labels, "toxic", parts, held_out, rows), "labelled")
+    kind = sample.schema["_id"].dataType.simpleString()
+    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}  # one row a class
+    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
 
-    def condense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own = sorted(set(words_of(text)))
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([label] * len(own), pa.int32())], names=["word", "label"])
+
+    held = F.sum("label").cast("int")
+    counts = sample.select("label", "text").mapInArrow(words, "word string, label int").groupBy("word").agg((F.count("*") - F.sum("label")).cast("int").alias("clean"), held.alias("toxic"))
+    counts = cut(counts.filter(F.col("clean") + F.col("toxic") >= 3), "words")
+    # The same order as word_odds: the most frequent words and the most telling ones, at most ``vocabulary_rows`` in all.
+    strength = F.abs(F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1)))
+    most = [counts.orderBy(F.desc(order), "word").limit(vocabulary_rows // 2) for order in (F.col("clean") + F.col("toxic"), strength)]
+    found = most[0].union(most[1]).distinct().collect()
+    known = word_odds({r["word"]: (r["clean"], r["toxic"]) for r in found}, toxic, clean, 2 * len(found))
+    sent = docs.sparkSession.sparkContext.broadcast(known)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([condensed(t, words) for t in b.column(2).to_pylist()], pa.string())], names=["id", "label", "text"])
+            for key, label, text in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                seed = zlib.crc32(str(key).encode())
+                own = telling_windows(words_of(text), *sent.value, windows, np.random.default_rng(seed))
+                yield pa.RecordBatch.from_arrays([pa.array([key], b.schema.field(0).type), pa.array([label], pa.int32()), pa.array([own], pa.list_(pa.list_(pa.string())))], names=["id", "label", "windows"])
 
-    sample = labelled_sample(docs, labels, "toxic", parts, held_out, rows)
-    found = sample.select("_id", "label", "text").mapInArrow(condense, f"id {sample.schema['_id'].dataType.simpleString()}, label int, text string").toPandas().sort_values("id")
-    return fit(found["text"].tolist(), found["label"].astype(int).tolist(), **options)
+    got = sample.select("_id", "label", "text").mapInArrow(pick, f"id {kind}, label int, windows array<array<string>>").toPandas().sort_values("id")
+    return fit_windows([[list(w) for w in own] for own in got["windows"]], got["label"].astype(int).tolist(), *known, **options)
 
 
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -333,9 +391,11 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row.
 
-    Null and empty texts are one window of padding; repeated rows are scored
-    alike; without labels of both classes every score is the share of toxic
-    ones; an empty table gives an empty one; other columns are ignored.
+    Null and empty texts are one window of padding; very long ones are scored
+    by all their windows; repeated rows are scored alike, ties of windows do
+    not matter; null ids keep their row; without labels of both classes every
+    score is the share of toxic ones; an empty table gives an empty one; other
+    columns are ignored.
     """
     scored = score(docs, train(docs, labels, **options))
     return scored.select(
