@@ -161,6 +161,22 @@ def test_readers_fetch_only_what_is_asked_for_and_check_it():
         assert len(whole.read()) == 30 * 40_000 * 2
 
 
+def test_ids_beyond_16_bits_are_kept_or_refused():
+    wide = [(1, np.array([5, 70_000, 2], "<u4").tobytes())]
+    with pytest.raises(ValueError):
+        tokenstore.write_file(io.BytesIO(), wide)
+    sink = io.BytesIO()
+    tokenstore.write_file(sink, wide, width=4)
+    assert next(tokenstore.TokenFile(_Counted(sink.getvalue())).read([0])).tolist() == [5, 70_000, 2]
+
+
+def test_files_follow_the_bytes_and_paths_are_qualified(spark, docs, tmp_path):
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    manifest = tokenstore.write_tokens(docs, str(tmp_path / "t"), file_bytes=size // 5)
+    assert 3 <= manifest.count() <= 20 and tokenstore.qualified(spark, "/x/y") == "file:///x/y"
+    assert tokenstore.read_tokens(spark, str(tmp_path / "t"), manifest).count() == docs.count()
+
+
 # --- SimHash
 def _plain_fingerprint(text, k=4):
     import re

@@ -63,7 +63,7 @@ class PieceEncoder:
 
         self._tokenizer = Tokenizer.from_file(vocabulary or default_vocabulary())
         self._tokenizer.encode_special_tokens = True
-        size = self._tokenizer.get_vocab_size()
+        self.size = size = self._tokenizer.get_vocab_size()
         self._leads = np.array([(self._tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self._max = max_pieces
         self._table = _Table({})

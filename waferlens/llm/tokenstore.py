@@ -10,6 +10,7 @@ checks only the frames that hold what it was asked for.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -27,6 +28,8 @@ from .tokens import shared_encoder
 
 END_ID = 2
 FRAME_BYTES = 1 << 18
+#: Bytes of text in a file.  Small inputs make smaller files, so that each core has some to write.
+FILE_BYTES, LEAST_FILE_BYTES = 1 << 26, 1 << 20
 TEXTS_AT_ONCE = 256
 # Fixed values of the public zstd frame and seekable formats.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE_MAGIC, CHECKSUMS = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -34,6 +37,13 @@ _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("frame", "<u4"), ("at", "<u
 _FRAME = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark would read it by, so that tasks do not take a path of the cluster's store for one of their own disks."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return re.sub(r"^file:/+", "file:///", store.makeQualified(path).toString())
+
+
 def _filesystem(uri: str):
     from pyarrow import fs
 
@@ -44,9 +54,9 @@ def write_file(sink, docs: Iterable[tuple[int | None, bytes]], width: int = 2, l
     """Write (doc_id, unsigned 32-bit ids) in the order given; returns the numbers of documents and of ids."""
     packer = zstandard.ZstdCompressor(level=level, write_checksum=False)
     frames: list[tuple[int, int, int]] = []
-    index: list[tuple] = []
+    index = bytearray()
     held: list[bytes] = []
-    size = total = 0
+    size = total = count = 0
 
     def flush() -> None:
         nonlocal size
@@ -58,8 +68,12 @@ def write_file(sink, docs: Iterable[tuple[int | None, bytes]], width: int = 2, l
         size = 0
 
     for key, ids in docs:
-        raw = np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()
-        index.append((key or 0, key is None, len(frames), size // width, len(raw) // width))
+        wide = np.frombuffer(ids, "<u4")
+        if width < 4 and len(wide) and int(wide.max()) >> (8 * width):
+            raise ValueError(f"token id {int(wide.max())} does not fit {width} bytes")
+        raw = wide.astype(f"<u{width}").tobytes()
+        index += np.array([(key or 0, key is None, len(frames), size // width, len(raw) // width)], _DOC).tobytes()
+        count += 1
         held.append(raw)
         size += len(raw)
         total += len(raw) // width
@@ -67,11 +81,11 @@ def write_file(sink, docs: Iterable[tuple[int | None, bytes]], width: int = 2, l
             flush()
     if held:
         flush()
-    body = struct.pack("<B", width) + np.array(index, _DOC).tobytes()
+    body = struct.pack("<B", width) + bytes(index)
     sink.write(struct.pack("<II", SKIPPABLE_INDEX, len(body)) + body)
     table = np.array(frames, _FRAME).tobytes() + struct.pack("<IBI", len(frames), CHECKSUMS, SEEKABLE_MAGIC)
     sink.write(struct.pack("<II", SKIPPABLE_SEEK, len(table)) + table)
-    return len(index), total
+    return count, total
 
 
 class TokenFile:
@@ -114,14 +128,18 @@ class TokenFile:
             yield np.frombuffer(raw, f"<u{self.width}", int(d["ids"]), int(d["at"]) * self.width)
 
 
-def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID, width: int = 2) -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Encode whole texts and write them in ascending id order (nulls first; equal ids in text order) as files of ``folder``.
 
+    Ids take 16 bits where the vocabulary and ``end_id`` fit them, else 32.
     Returns the manifest: ``part, file, docs, ids`` and ``start`` (ids in all
     files before).  A retried task replaces its file in one step.
     """
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = qualified(spark, folder)
+    width = 2 if max(shared_encoder(vocabulary).size, end_id + 1) <= 1 << 16 else 4
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    n = max(-(-size // file_bytes), min(-(-size // LEAST_FILE_BYTES), 4 * spark.sparkContext.defaultParallelism), 1)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("body"))
     ranged = slim.repartitionByRange(n, "id", F.xxhash64("body")).sortWithinPartitions("id", F.xxhash64("body"))
 
@@ -159,26 +177,36 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
 def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files; ``start`` counts the ids of all documents before."""
 
+    folder = qualified(spark, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = _filesystem(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 with store.open_input_file(f"{path}/{row['file']}") as source:
                     tokens = TokenFile(source)
-                    crcs = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in tokens.read(range(len(tokens.docs)))]
                     lengths = tokens.docs["ids"].astype("i8")
-                    starts = row["start"] + np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                    ids = pa.array(tokens.docs["doc_id"], mask=tokens.docs["null"].astype(bool))
-                    yield pa.RecordBatch.from_arrays(
-                        [ids, pa.array(starts.astype("i8")), pa.array(lengths), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
-                    )
+                    starts = row["start"] + np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype("i8")
+                    frames = tokens.docs["frame"]
+                    # Documents of a frame lie together: a frame is a batch.
+                    for k in range(len(tokens.frames)):
+                        a, b = int(np.searchsorted(frames, k)), int(np.searchsorted(frames, k, "right"))
+                        crcs = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in tokens.read(range(a, b))]
+                        ids = pa.array(tokens.docs["doc_id"][a:b], mask=tokens.docs["null"][a:b].astype(bool))
+                        yield pa.RecordBatch.from_arrays([ids, pa.array(starts[a:b]), pa.array(lengths[a:b]), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    files = manifest.select("part", "file", "start").repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
-    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    files = manifest.select("part", "file", "start")
+    count = max(1, files.count())
+    return files.repartitionByRange(count, "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def store_round_trip(docs: DataFrame, folder: str | None = None, vocabulary: str | None = None) -> DataFrame:
-    """Write all documents and read them back.  Null texts are empty (the end id alone); repeated rows stay; an empty table gives an empty one."""
+    """Write all documents and read them back.
+
+    Null and empty texts are the end id alone; a very long text is one frame;
+    repeated rows stay, equal ids follow their texts' hashes; null ids come
+    first; other columns are ignored; an empty table gives an empty one.
+    """
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "tokens")
     return read_tokens(spark, folder, write_tokens(docs, folder, vocabulary=vocabulary))
