@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from waferlens.llm import itq, packing, quality, simhash, tokenstore, toxicity
 from waferlens.llm.common import connected_components
-from waferlens.llm.tokens import PieceEncoder
+from waferlens.llm.tokens import PieceEncoder, shared_encoder
 
 
 def _components(ids, links):
@@ -62,7 +62,7 @@ def test_pieces_encode_as_the_library_does(docs):
 
 
 def _ids(text, end):
-    encoder = PieceEncoder()
+    encoder = shared_encoder()
     return [*encoder._tokenizer.encode(text or "", add_special_tokens=False).ids, end]
 
 
@@ -256,22 +256,59 @@ def test_embedding_links_equal_brute_force(spark):
                 links.append((a, b))
     comp = _components({k for k, *_ in rows}, links)
     want = sorted([(k, c, comp[k], comp[k] == k) for (k, *_), c in zip(good, n, strict=True)] + [(r[0], 0, comp[r[0]], comp[r[0]] == r[0]) for r in rows if not any(r[0] == g[0] and r[2] == g[2] for g in good)])
-    # 32 dimensions give 32-bit codes: narrower tables keep the recall.
-    for slices in (4096, 8):
-        got = sorted(map(tuple, itq.near_duplicates(df, bits=32, tables=8, radius=16, slice_rows=slices).collect()))
+    # One table alone, and as many as wide keys need; buckets cut into slices or not.
+    for options in ({}, {"bucket_rows": 8}, {"bucket_rows": 8, "slice_rows": 8}):
+        got = sorted(map(tuple, itq.near_duplicates(df, **options).collect()))
         found, whole = sum(g[1] for g in got), sum(w[1] for w in want)
-        assert found >= 0.9 * whole and all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
+        assert found >= 0.99 * whole and all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
         assert [g[0] for g in got] == [w[0] for w in want]
     assert itq.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_rotation_is_orthogonal_and_codes_are_balanced():
+def _pairs_near_the_threshold(dims, n, seed):
+    """Unit vectors, each with a neighbour at a cosine between 0.93 and 0.94, around an offset that the rotation must cope with."""
+    r = np.random.default_rng(seed)
+    x = r.normal(size=(n, dims)) + 0.3
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = r.normal(size=(n, dims))
+    y -= (y * x).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    c = r.uniform(0.9301, 0.94, (n, 1))
+    return np.concatenate([x, c * x + np.sqrt(1 - c * c) * y])
+
+
+@pytest.mark.parametrize("dims", [16, 32, 64, 128, 384])
+def test_recall_near_the_threshold_at_registered_parameters(spark, dims):
+    """Wide keys, as a label of some hundred thousand rows has them: buckets are made small here instead."""
+    rows = _pairs_near_the_threshold(dims, 600, dims)
+    cos = rows @ rows.T
+    want = int(np.triu(cos >= 0.93, 1).sum())
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    for options in ({}, {"bucket_rows": 10}):
+        found = sum(r.n_links for r in itq.near_duplicates(df, **options).collect()) / 2
+        assert found <= want and found >= 0.985 * want, (found, want)
+
+
+def test_tables_follow_rows_and_flips():
+    for flips in (0.1, 0.12, 0.16):
+        for n in (10, 3_000, 10**5, 10**7, 10**9):
+            width, tables, reach = itq.tables_for(n, flips)
+            assert width * tables <= 64 and 2**width <= max(1, n)
+            assert itq.missed(width, tables, reach, flips) <= itq.MISSED or width == 0
+    assert itq.tables_for(2_000, 0.12) == (0, 1, 0)
+
+
+def test_each_length_has_its_rotation():
     x = np.random.default_rng(0).normal(size=(2000, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    mean, w = itq.learn_rotation(x)
-    assert np.allclose(w.T @ w, np.eye(64), atol=1e-8)
-    bits = np.unpackbits(itq.codes_of(x, (mean, w)).view(np.uint8).reshape(-1, 8), axis=1)
+    mean, w, flips = itq.learn_rotation(x)
+    assert np.allclose(w.T @ w, np.eye(64), atol=1e-8) and 0.08 < flips < 0.16
+    bits = np.unpackbits(itq.codes_of(x, (mean, w, flips)).view(np.uint8).reshape(-1, 8), axis=1)
     assert np.abs(bits.mean(0) - 0.5).max() < 0.1
+    mean, w, _ = itq.learn_rotation(x[:, :24])
+    assert w.shape == (24, 64)
+    rare = itq.random_rotation(7)
+    assert rare[1].shape == (7, 64) and (rare[1] == itq.random_rotation(7)[1]).all()
 
 
 # --- quality

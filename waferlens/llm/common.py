@@ -106,6 +106,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def component_heads(nodes: DataFrame, members: DataFrame, key: str, head: str) -> DataFrame:
     """``key`` and ``component_id`` (the least ``head`` of its component, nulls last) of every row of ``nodes`` (one row a key); a node without edges is its own component."""
-    linked = nodes.select(key, head).join(members, F.col(key) == F.col("node"), "left").select(key, head, F.coalesce("component", key).alias("component"))
+    of = members.select(F.col("node").alias("_node"), "component")
+    linked = nodes.select(key, head).join(of, F.col(key) == F.col("_node"), "left").select(key, head, F.coalesce("component", key).alias("component"))
     least = linked.groupBy("component").agg(F.min(head).alias("component_id"), F.count("*").alias("_rows"))
     return join_hot(linked, least, "component", "_rows", [key]).select(key, "component_id")
