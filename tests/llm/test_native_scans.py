@@ -122,6 +122,40 @@ def test_apportionment_equals_highest_quotients(spark, seats):
     assert got == _sainte_lague(claims, seats)
 
 
+def test_targets_equal_iterative_resharing(spark):
+    """Shares by weight; what is above three times a source's size is reshared among the others until none is."""
+    for sizes in ([10, 20, 3000, 40, 5], [7], [0, 5], [1, 1, 1, 1000], [100, 100, 100]):
+        total, weights = sum(sizes), [i % 3 + 1 for i in range(len(sizes))]
+        want, open_ = [0.0] * len(sizes), set(range(len(sizes)))
+        left = float(total)
+        while open_:
+            share = left / sum(weights[i] for i in open_)
+            over = {i for i in open_ if share * weights[i] > 3 * sizes[i]}
+            if not over:
+                for i in open_:
+                    want[i] = share * weights[i]
+                break
+            for i in over:
+                want[i] = 3.0 * sizes[i]
+                left -= want[i]
+            open_ -= over
+        df = spark.createDataFrame([(f"s{i}", n, 1) for i, n in enumerate(sizes)], "source string, source_size long, n_docs long")
+        assert [r.target for r in mixing.targets(df).orderBy("rank").collect()] == pytest.approx(want)
+
+
+def test_frequent_ids_are_dealt_over_shards_and_groups(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP_SHARDS", 4)
+    rows = [(None, f"words of text {i} " * (i % 5 + 1), "a") for i in range(400)] + [(i, f"other words {i}", "b") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df, shard_rows=20).collect()
+    assert len(got) == len(rows) and all(0 <= r.taken <= 3 * r["size"] for r in got)
+    by = {}
+    for r in got:
+        own = by.setdefault(r.source_size, [0, r.target])
+        own[0] += r.taken
+    assert all(abs(taken - target) <= 16 * 21 for taken, target in by.values())
+
+
 def test_mix_on_hard_rows(hard_docs, no_docs):
     rows = mixing.mix_sizes(hard_docs).collect()
     assert len(rows) == hard_docs.count()

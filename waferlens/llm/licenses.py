@@ -2,7 +2,8 @@
 
 Texts become sequences of words.  A rule is a regular expression over wrapped
 words (each word has a space on both sides), a keyword without which it is not
-tried, a label and a priority.  Of overlapping detections, one that lies
+tried, a label and a priority.  Signatures of license bodies and notices are
+written by hand (``signatures``); names are found by four forms of mention.  Of overlapping detections, one that lies
 within another of the same or a better priority is suppressed, by running
 maxima over sorted intervals.  Built-in functions only.
 """
@@ -15,6 +16,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .signatures import signatures
+
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The contract's phrases: keyword, words, label.  They are never suppressed.
@@ -65,6 +68,7 @@ def rules() -> tuple[tuple[str, str, str, int], ...]:
     version = "(?: version )?(?: v?[0-9]+ ){0,2}"
     lead = "(?:" + "|".join(map(_wrapped, ("licensed under", "released under", "distributed under", "available under", "under the terms of", "subject to the terms of", "governed by"))) + ")"
     found = [(k, _wrapped(p), label, 0) for k, p, label in BASE]
+    found += [(k, p, label, 1) for label, k, p in signatures()]
     for priority in (1, 2, 3):
         for label, keyword, forms in _families():
             name = "(?:" + "|".join(_wrapped(f) for f in sorted(forms, key=lambda f: -len(f))) + ")"
@@ -130,9 +134,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def scan(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words``, places and labels of the base phrases, all labels and a score of every row.
 
-    Null and empty texts have no words; repeated rows are repeated; null ids
-    keep their row; an empty table gives an empty one; other columns are
-    ignored whatever their names.
+    Null and empty texts have no words; very long ones are scanned whole;
+    repeated rows are repeated; null ids keep their row; of equal detections
+    the rule listed first counts; an empty table gives an empty one; other
+    columns are ignored whatever their names.
     """
     base = F.filter("hits", _of_priority(0))
 

@@ -2,8 +2,8 @@
 
 Sizes are words.  Targets share all words by weight, no source above
 ``most`` times its own size.  Blocks of equal size are apportioned to sources
-by the highest quotients target / (2 k + 1), then each source's blocks to its
-shards by the same rule.  Inside a shard the documents stand in a seeded
+by the highest quotients target / (2 k + 1), then each source's blocks to groups
+of its shards and each group's to its shards by the same rule.  Inside a shard the documents stand in a seeded
 order on a ring; the shard takes its quota of blocks from a seeded block on,
 round and round.  Built-in functions only.
 """
@@ -18,6 +18,8 @@ from .common import cut
 WORDS = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 16
 SHARD_ROWS = 1024
+#: Shards that share a group's blocks, so that no window holds all shards of a source.
+GROUP_SHARDS = 1024
 MOST = 3
 SEED = "mix"
 
@@ -75,13 +77,16 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = (), block_words: int = BLOCK_WO
 
     ``passes``: times the whole text is taken; ``head`` words from its start
     and ``tail_from`` to its end are taken once more.  Null texts have size 0
-    and are not taken; a null source is a source; repeated rows stand and are
-    taken one by one; an empty table gives an empty one.
+    and are not taken; a very long text is one document of its ring; a null
+    source is a source; repeated rows stand and are taken one by one (equal
+    rows, also in id and text, share a shard); ties of quotients go to the
+    lesser key; an empty table gives an empty one.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(
         F.col("doc_id").alias("doc_id"), F.col("source").alias("source"), F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"),
-        F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("order1"), F.md5(text).alias("order2"),
+        # By id and text, so that rows of one id, null ids too, are dealt over shards.
+        F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))).alias("order1"), F.md5(text).alias("order2"),
         *([F.struct(*keep).alias("kept")] if keep else []),
     )
     slim = base.select("doc_id", "source", "size", "order1", "order2") if keep else cut(base, "sizes")
@@ -96,7 +101,10 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = (), block_words: int = BLOCK_WO
         return of.withColumn("shard", F.conv(F.substring("order1", 1, 7), 16, 10).cast("long") % F.col("shards"))
 
     shards = sharded(slim.select("source", "size", "order1")).groupBy("rank", "shard").agg(F.sum("size").alias("words"), F.first("source_quota").alias("source_quota"))
-    dealt = apportion(shards, ["rank"], "shard", "words", "source_quota")
+    shards = shards.withColumn("grp", F.floor(F.col("shard") / GROUP_SHARDS))
+    groups = shards.groupBy("rank", "grp").agg(F.sum("words").alias("words"), F.first("source_quota").alias("source_quota"))
+    groups = apportion(groups, ["rank"], "grp", "words", "source_quota").select("rank", "grp", F.col("quota").alias("group_quota"))
+    dealt = apportion(shards.join(groups, ["rank", "grp"]), ["rank", "grp"], "shard", "words", "group_quota")
     dealt = cut(dealt.select(F.col("rank").alias("_rank"), F.col("shard").alias("_shard"), "words", F.least(F.col("quota"), F.floor(F.col("words") * most / block_words)).alias("quota")), "shards")
     rows = sharded(base)
     rows = rows.join(dealt, (F.col("rank") == F.col("_rank")) & (F.col("shard") == F.col("_shard")))
@@ -151,7 +159,7 @@ def oracle() -> str:
 {source}_q AS (SELECT d.*, d.lo_ + coalesce(f.won_, 0) AS quota FROM {source}_d d LEFT JOIN (SELECT {group} AS g_, {key} AS y_, count(*) AS won_ FROM {source}_f WHERE at_ <= rest_ GROUP BY 1, 2) f ON d.{group} = f.g_ AND d.{key} = f.y_)"""
 
     return f"""
-WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS BIGINT) AS size, md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS order1, md5(coalesce(text, '')) AS order2 FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS BIGINT) AS size, md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS order1, md5(coalesce(text, '')) AS order2 FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_docs FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source COLLATE "C") AS rank FROM s),
 c AS (SELECT *, ((rank - 1) % 3 + 1)::DOUBLE AS weight, source_size::DOUBLE * {MOST} AS cap FROM r),
@@ -160,9 +168,12 @@ u AS (SELECT *, first_value(CASE WHEN level <= cap / weight THEN level END IGNOR
 src AS (SELECT 1 AS one, source, rank, source_size, n_docs, coalesce(least(cap, share * weight), cap) AS target, CAST(floor(sum(source_size) OVER () / {BLOCK_WORDS}) AS BIGINT) AS seats FROM u),
 {seats('src', 'one', 'rank', 'target', 'seats').strip()},
 e AS (SELECT d.*, q.rank, q.source_size, q.target, q.quota AS source_quota, CAST('0x' || substr(order1, 1, 7) AS BIGINT) % (n_docs // {SHARD_ROWS} + 1) AS shard FROM d JOIN src_q q ON d.source IS NOT DISTINCT FROM q.source),
-sh AS (SELECT rank, shard, CAST(sum(size) AS BIGINT) AS words, first(source_quota) AS source_quota FROM e GROUP BY rank, shard),
-{seats('sh', 'rank', 'shard', 'words', 'source_quota').strip()},
-f AS (SELECT e.*, q.words, least(q.quota, q.words * {MOST} // {BLOCK_WORDS}) * {BLOCK_WORDS} AS take, greatest(q.words, 1) AS whole_ FROM e JOIN sh_q q ON e.rank = q.rank AND e.shard = q.shard),
+sh AS (SELECT rank, shard, rank * 1048576 + shard // {GROUP_SHARDS} AS gid, CAST(sum(size) AS BIGINT) AS words, first(source_quota) AS source_quota FROM e GROUP BY rank, shard),
+gr AS (SELECT rank, gid, CAST(sum(words) AS BIGINT) AS words, first(source_quota) AS source_quota FROM sh GROUP BY rank, gid),
+{seats('gr', 'rank', 'gid', 'words', 'source_quota').strip()},
+sg AS (SELECT sh.rank, sh.shard, sh.gid, sh.words, gr_q.quota AS group_quota FROM sh JOIN gr_q ON sh.gid = gr_q.gid),
+{seats('sg', 'gid', 'shard', 'words', 'group_quota').strip()},
+f AS (SELECT e.*, q.words, least(q.quota, q.words * {MOST} // {BLOCK_WORDS}) * {BLOCK_WORDS} AS take, greatest(q.words, 1) AS whole_ FROM e JOIN sg_q q ON e.rank = q.rank AND e.shard = q.shard),
 g AS (SELECT *, CAST(sum(size) OVER (PARTITION BY rank, shard ORDER BY order1, order2, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS b, take // whole_ AS passes, take % whole_ AS more,
  (CAST('0x' || substr(md5('{SEED}:' || rank || ':' || shard), 1, 7) AS BIGINT) % CAST(ceil(whole_ / {BLOCK_WORDS}) AS BIGINT)) * {BLOCK_WORDS} AS at_ FROM f),
 h AS (SELECT *, b - size AS a, least(at_ + more, words) AS past FROM g)
