@@ -37,6 +37,17 @@ def test_components_equal_union_find(spark, seed):
     assert got == {k: v for k, v in want.items() if any(k in p and p[0] != p[1] for p in links)}
 
 
+def test_frequent_keys_are_dealt_over_slices(spark):
+    from waferlens.llm.common import join_hot
+
+    large = spark.createDataFrame([(k, i) for k, n in ((1, 90), (2, 11), (3, 1), (None, 2)) for i in range(n)], "k long, i long")
+    small = large.groupBy("k").agg(F.count("*").alias("rows")).withColumn("name", F.concat(F.lit("n"), F.col("k").cast("string")))
+    for how in ("inner", "left"):
+        plain, dealt = (join_hot(large, small, "k", "rows", ["i"], how, key_rows=n) for n in (1000, 10))
+        assert dealt.columns == plain.columns and dealt.exceptAll(plain).count() == plain.exceptAll(dealt).count() == 0
+        assert "_slice" in dealt._jdf.queryExecution().toString() and "_slice" not in plain._jdf.queryExecution().toString()
+
+
 def test_scratch_is_shared_and_cleared(spark):
     from pathlib import Path
 

@@ -161,7 +161,7 @@ def _span(at: Column, more: int) -> Column:
 def _links(nodes: DataFrame, words: int, radius: int, key: str, block_rows: int) -> DataFrame:
     """Links ``u``, ``v`` (values of ``key``) of a spanning forest of the nodes at most ``radius`` bits apart.
 
-    ``nodes`` has ``key`` (unique, binary or long), the fingerprint's words
+    ``nodes`` has ``key`` (unique, long), the fingerprint's words
     ``f0..`` and, with two words, the set size ``n``.  Work is quadratic in
     nodes, as the tiled exact method is; memory is bounded by ``block_rows``.
     Blocks follow set sizes where there are any, else population counts.
@@ -176,7 +176,6 @@ def _links(nodes: DataFrame, words: int, radius: int, key: str, block_rows: int)
 
     sort = ["n"] if sized else []
     ranged = nodes.select(key, *lanes, *sort, *[pop(i).alias(f"p{i}") for i in range(4)]).repartitionByRange(parts, *sort, "p0", "p1", "p2", "p3", key)
-    kind = nodes.schema[key].dataType.simpleString()
 
     def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
@@ -192,7 +191,7 @@ def _links(nodes: DataFrame, words: int, radius: int, key: str, block_rows: int)
             size = np.floor(np.log(np.maximum(n[[0, -1]], 1)) / np.log(jaccard.BOTTOM / jaccard.TOP)).astype(int).tolist() if sized else [int(q[:, 0].min()), int(q[:, 0].max())]
             keys = part[key].combine_chunks()
             yield pa.RecordBatch.from_pylist(
-                [{"keys": b"".join(keys.to_pylist()) if kind == "binary" else keys.to_numpy().tobytes(), "fps": fps.tobytes(), "ns": n.astype("<i4").tobytes(), "block": f"{int(n[0]):012}{q[0].tolist()}{keys[0].as_py()!r}", "meet": size, "n": [int(n[0]), int(n[-1])], "lo": q.min(0).tolist(), "hi": q.max(0).tolist()}],
+                [{"keys": keys.to_numpy().tobytes(), "fps": fps.tobytes(), "ns": n.astype("<i4").tobytes(), "block": f"{int(n[0]):012}{q[0].tolist()}{keys[0].as_py()!r}", "meet": size, "n": [int(n[0]), int(n[-1])], "lo": q.min(0).tolist(), "hi": q.max(0).tolist()}],
                 schema=pa.schema([("keys", pa.binary()), ("fps", pa.binary()), ("ns", pa.binary()), ("block", pa.string()), ("meet", pa.list_(pa.int32())), ("n", pa.list_(pa.int32())), ("lo", pa.list_(pa.int32())), ("hi", pa.list_(pa.int32()))]),
             )
 
@@ -212,10 +211,9 @@ def _links(nodes: DataFrame, words: int, radius: int, key: str, block_rows: int)
         .select("a", "b", "x", "y")
         .repartition(max(parts * 2, 12), "a", "b")
     )
-    dtype = np.dtype("V16") if kind == "binary" else np.dtype("<i8")
 
     def opened(side: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return np.frombuffer(side["keys"], dtype), np.frombuffer(side["fps"], np.uint64).reshape(-1, words), np.frombuffer(side["ns"], "<i4")
+        return np.frombuffer(side["keys"], "<i8"), np.frombuffer(side["fps"], np.uint64).reshape(-1, words), np.frombuffer(side["ns"], "<i4")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,10 +223,9 @@ def _links(nodes: DataFrame, words: int, radius: int, key: str, block_rows: int)
                 found = block_links(x, None if a == b else y, radius, sizes=(n, m) if sized else None)
                 if found:
                     i, j = np.array(found).T
-                    arrays = [pa.array([bytes(k) for k in side], pa.binary()) if kind == "binary" else pa.array(side) for side in (keys[i], others[j])]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["u", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[i]), pa.array(others[j])], names=["u", "v"])
 
-    return work.mapInArrow(compare, f"u {kind}, v {kind}")
+    return work.mapInArrow(compare, "u long, v long")
 
 
 def fingerprint_links(distinct_fps: DataFrame, radius: int = 4, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -274,8 +271,8 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return slim.mapInArrow(run, f"`{id_col}` {kind}, text_key long, key binary, n int, f0 long, f1 long")
 
 
-def _verify(radius: int, now: tuple, held: list[tuple]) -> list[tuple[bytes, bytes]]:
-    """Links of similar sets that connect a group's cell: (key, side, fingerprint words, shingles) of each row."""
+def _verify(radius: int, now: tuple, held: list[tuple]) -> list[tuple[int, int]]:
+    """Links of similar sets that connect a group's cell: (number, side, fingerprint words, shingles) of each row."""
     if len(held) < 2:
         return []
     keys, sides, f0, f1, raw = zip(*held, strict=True)
@@ -334,11 +331,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = cut(_signatures(docs, id_col, text_col), "signatures")
     heads = rows.groupBy("key").agg(F.min(id_col).alias("head"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("f0").alias("f0"), F.first("f1").alias("f1"), F.min("text_key").alias("wanted"))
-    heads = cut(heads, "heads")
-    coarse = connected_components(_links(heads.filter("n > 0").select("key", "f0", "f1", "n"), 2, radius, "key", block_rows))
-    nodes = cut(coarse.join(heads, coarse["node"] == heads["key"]).select("key", "component", "wanted", "n", "f0", "f1"), "nodes")
+    # Sets are numbered; the numbers are written, so that they stay.
+    heads = cut(heads.withColumn("id", F.monotonically_increasing_id()), "heads")
+    coarse = connected_components(_links(heads.filter("n > 0").select("id", "f0", "f1", "n"), 2, radius, "id", block_rows))
+    nodes = cut(coarse.join(heads, coarse["node"] == heads["id"]).select("id", "key", "component", "wanted", "n", "f0", "f1"), "nodes")
     slices = nodes.groupBy("component").agg(F.ceil(F.sum(F.col("n").cast("long") * 8) / slice_bytes).cast("int").alias("slices"), F.count("*").alias("rows"))
-    nodes = cut(join_hot(nodes, slices, "component", "rows", ["key"]), "nodes")
+    nodes = cut(join_hot(nodes, slices, "component", "rows", ["id"]), "nodes")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -349,19 +347,19 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # One text of each set is fetched and stands for it; texts whose 64-bit hashes meet may bring a set twice.
     own = docs.select(F.col(text_col).alias("body")).withColumn("wanted", F.xxhash64("body"))
     own = own.join(nodes.select("wanted"), "wanted", "left_semi").select("body").distinct()
-    held = own.mapInArrow(sets, "key binary, shingles binary").join(nodes.select("key", "component", "slices", "f0", "f1"), "key")
-    held = held.withColumn("side", F.pmod(F.xxhash64("key"), F.col("slices")).cast("int"))
+    held = own.mapInArrow(sets, "key binary, shingles binary").join(nodes.select("id", "key", "component", "slices", "f0", "f1"), "key")
+    held = held.withColumn("side", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda j: F.struct(F.least(j, F.col("side")).alias("lo"), F.greatest(j, F.col("side")).alias("hi")))
     group = ["component", "lo", "hi"]
-    dealt = held.withColumn("cell", F.explode(cells)).select("component", "cell.lo", "cell.hi", "key", "side", "f0", "f1", "shingles")
+    dealt = held.withColumn("cell", F.explode(cells)).select("component", "cell.lo", "cell.hi", "id", "side", "f0", "f1", "shingles")
     dealt = dealt.repartition(*group).sortWithinPartitions(*group)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def table(found: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*found, strict=True)], names=["u", "v"])
+            return pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*found, strict=True)], names=["u", "v"])
 
         yield from by_group(batches, 3, lambda now, rows: _verify(radius, now, rows), table)
 
-    members = connected_components(dealt.mapInArrow(verify, "u binary, v binary"))
-    classes = component_heads(heads, members, "key", "head").join(heads.select("key", "rows"), "key")
+    members = connected_components(dealt.mapInArrow(verify, "u long, v long"))
+    classes = component_heads(heads, members, "id", "head").join(heads.select("id", "key", "rows"), "id").drop("id")
     return join_hot(rows.select(id_col, "key"), classes, "key", "rows", [id_col]).select(id_col, "component_id")
