@@ -79,11 +79,80 @@ def test_properties_and_sinks(spark, tmp_path):
     sink.replace_slices(spark.createDataFrame([("d2", 9)], "day string, v int"), "day")
     assert {(r.day, r.v) for r in spark.read.parquet(sink.path).collect()} == {("d1", 1), ("d2", 9)}
     tables.separated_text(str(tmp_path / "c")).write(df)
-    assert tables.read_csv(spark, str(tmp_path / "c"), "day string, v int", "@").count() >= 0
+    assert sorted(r.value for r in tables.read_text(spark, str(tmp_path / "c")).collect()) == ["d1@1", "d2@2"]
+    tables.Sink(str(tmp_path / "h"), "csv", options={"header": "true"}).write(df)
+    assert {(r.day, r.v) for r in tables.read_csv(spark, str(tmp_path / "h"), "day string, v int").collect()} == {("d1", 1), ("d2", 2)}
     assert tables.notify(None, "t", "SUCCESS") == {"taskId": "t", "status": "SUCCESS", "message": ""}
     assert [r.day for r in tables.empty_partitions(spark.createDataFrame([("d1",), ("d3",)], "day string"), df, "day").collect()] == ["d3"]
 
 
+def test_sinks_append_order_fields_partition_and_overwrite(spark, tmp_path):
+    df = spark.createDataFrame([("d1", 1, "x"), ("d2", 2, "y")], "day string, v int, extra string")
+    sink = tables.Sink(str(tmp_path / "a"), fields=("v", "day"))
+    sink.write(df)
+    sink.write(df)
+    got = spark.read.parquet(sink.path)
+    assert got.columns == ["v", "day"] and sorted((r.v, r.day) for r in got.collect()) == [(1, "d1"), (1, "d1"), (2, "d2"), (2, "d2")]
+    sink.write(df.limit(1), mode="overwrite")
+    assert spark.read.parquet(sink.path).count() == 1
+    parts = tables.Sink(str(tmp_path / "p"), rows_per_file=1)
+    parts.write(df, partition_by=("day",))
+    assert "PartitionFilters: [isnotnull(day" in spark.read.parquet(parts.path).filter("day = 'd2'")._jdf.queryExecution().toString()
+    df.createOrReplaceTempView("renamed_rows")
+    assert tables.read_as(spark, "SELECT day, v FROM renamed_rows", ["A", "B"]).columns == ["A", "B"]
+    row = tables.audit_row(spark, "job", "OK", 2, "a", "b").first()
+    assert (row.JOB, row.STATUS, row.ROWS_OUT) == ("job", "OK", 2)
+    source = tables.TableSource(spark, str(tmp_path))
+    df.write.parquet(str(tmp_path / "facts.parquet"))
+    source.register("facts")
+    assert source.query("SELECT sum(v) AS s FROM facts").first().s == 3
+
+
+def test_predicates_of_groups_and_names(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", ""), ("c", "NA"), ("d", None)], "g string, n string")
+    assert [r.g for r in df.filter(fp.named("n")).collect()] == ["a"]
+    groups = spark.createDataFrame([("a",), ("a",), ("c",)], "g string")
+    assert sorted(r.g for r in fp.in_groups(df, groups, ["g"]).collect()) == ["a", "c"]
+    assert [r.x for r in df.select(fp.label_from_lists("g", good=["a"]).alias("x")).collect()] == [0, 1, 1, 1]
+    assert [r.x for r in df.select(fp.label_from_lists("g", bad=["a"]).alias("x")).collect()] == [1, 0, 0, 0]
+
+
+@pytest.mark.parametrize("name", ["nonsense", "ANOVA"])
+def test_unknown_models_are_errors(name):
+    with pytest.raises(RequestError):
+        parse(_text(model=name))
+
+
+def test_models_change_the_scores(spark):
+    r = np.random.default_rng(2)
+    rows = [("g", f"w{i}", i % 2, p, float(r.normal(1 + (i % 2) * w, 1))) for i in range(40) for p, w in (("a", 2), ("b", 0.5), ("c", 0))]
+    df = spark.createDataFrame(rows, "G string, WAFER_ID string, label int, PARAMETRIC_NAME string, RESULT double")
+    found = {m: {q.PARAMETRIC_NAME: q.WEIGHT for q in pipelines.score_groups(df, ["G"], "r", model=m).collect()} for m in ("anova", "chi2", "mutual_info", "logistic")}
+    assert all(max(w, key=w.get) == "a" for w in found.values())
+    assert len({round(w["a"], 6) for w in found.values()}) == len(found)
+    assert all(sum(w.values()) == pytest.approx(1) for w in found.values())
+
+
+def test_stats_without_both_classes_fail(spark):
+    df = spark.createDataFrame([("g", "w", 0, "p", 1.0)], "G string, WAFER_ID string, label int, PARAMETRIC_NAME string, S double")
+    request = parse(_text("wat_by_wafer"))
+    with pytest.raises(Exception, match="both good and bad"):
+        pipelines.score_stats(df, ["G"], ["S"], request).collect()
+
+
+def test_empty_group_list_is_no_grouping():
+    assert parse(_text("wat_by_wafer", groupByList=[])).keys == () and parse(_text("wat_by_wafer")).keys != ()
+
+
+def test_correlation_filters_by_upload(spark):
+    part = parse(_text("correlation_by_wafer", process={"groupByList": ["EQP_NAME"], "correlation_filter_upload_id": "A"})).parts["process"]
+    facts = spark.createDataFrame([("w1", "e"), ("w2", "e")], "WAFER_ID string, EQP_NAME string")
+    units = spark.createDataFrame([("w1", "A"), ("w2", "B")], "NAME string, UPLOAD_ID string")
+    assert [r.WAFER_ID for r in pipelines.correlation_rows("process", facts, part, units).collect()] == ["w1"]
+    with pytest.raises(RequestError):
+        pipelines.correlation_rows("process", facts, part)
+
+
 def test_hypothesis_tests_known_values():
     # Reference values worked out with an independent statistics package.
     assert ht.t_p(2.0, 10) == pytest.approx(0.07338803, abs=1e-7)

@@ -11,7 +11,7 @@ from .functions import columns as fc
 from .functions import predicates as fp
 from .operators import counts, models, relation, scores, shape, weights
 from .plans import etl, pipelines
-from .plans.request import parse
+from .plans.request import Request, parse
 from .sources import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,9 +34,11 @@ _V: dict[str, str] = {
     "qtime": "SELECT 'W' || user_id AS WAFER_ID, event_type AS OPE_NO, next_type AS NEXT_OPE_NO, CAST(floor(epoch(next_ts)) - floor(epoch(ts)) AS BIGINT) AS DIFF_TIME FROM (SELECT *, lead(ts) OVER w AS next_ts, lead(event_type) OVER w AS next_type FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE next_ts IS NOT NULL",
     "runs": "SELECT 'T' || (user_id % 50) AS TOOL_ID, strftime(ts, '%Y%m%d') AS RUN_ID, ts AS TIME_STAMP, event_type AS STEP, " + ", ".join(f"CASE WHEN event_id % {n + 2} <> 0 THEN value + {n} END AS VAR{n}" for n in range(1, 5)) + " FROM events",
     "samples": "SELECT TOOL_ID, RUN_ID, TIME_STAMP, replace(upper(STEP), '_', '+') AS STEP, COLUMN_NAME, VAL FROM (SELECT *, unnest(['VAR1', 'VAR2', 'VAR3', 'VAR4']) AS COLUMN_NAME, unnest([VAR1, VAR2, VAR3, VAR4]) AS VAL FROM runs) WHERE VAL IS NOT NULL",
+    "last_runs": "SELECT DISTINCT * EXCLUDE (last_) FROM (SELECT *, max(RUN_ID) OVER (PARTITION BY WAFER_ID, OPE_NO, CHAMBER_ID) AS last_ FROM uva WHERE WAFER_ID IS NOT NULL AND OPE_NO IS NOT NULL AND CHAMBER_ID IS NOT NULL AND RUN_ID IS NOT NULL AND RESULT IS NOT NULL) WHERE RUN_ID = last_",
+    "fdc": "SELECT WAFER_ID, OPE_NO, CHAMBER_ID, CHAMBER_NAME, RUN_ID, PARAMETRIC_NAME, avg(RESULT) AS AVERAGE, stddev_pop(RESULT) AS STD_VAL, min(RESULT) AS MIN_VAL, quantile_cont(RESULT, 0.25) AS PERCENTILE_25, median(RESULT) AS MEDIAN, quantile_cont(RESULT, 0.75) AS PERCENTILE_75, max(RESULT) AS MAX_VAL, max(RESULT) - min(RESULT) AS RANGE1 FROM uva GROUP BY ALL",
     "anomaly": "SELECT WAFER_ID AS NAME, avg(RESULT) AS VAL FROM uva WHERE PARAMETRIC_NAME = 'QTY#ALL#MEAN' GROUP BY 1",
 }
-_NEEDS = {"uva": ["passes"], "labelled": ["passes", "uva", "conf_wafer"], "latest": ["passes", "uva", "conf_wafer", "labelled"], "inline": ["passes", "uva"], "samples": ["runs"], "anomaly": ["passes", "uva"]}
+_NEEDS = {"uva": ["passes"], "labelled": ["passes", "uva", "conf_wafer"], "latest": ["passes", "uva", "conf_wafer", "labelled"], "inline": ["passes", "uva"], "samples": ["runs"], "anomaly": ["passes", "uva"], "last_runs": ["passes", "uva"], "fdc": ["passes", "uva"]}
 
 
 def sql(body: str, *used: str, **ctes: str) -> str:
@@ -463,9 +465,26 @@ def corr_uva_rows(spark: SparkSession, d: str) -> DataFrame:
     return means.join(views.anomaly(spark, d), F.col("WAFER_ID") == F.col("NAME"))
 
 
-@query(sql("SELECT * FROM rel", "uva", "anomaly", src=_CORR_UVA, **_relation_sql(_KP, "src", "RESULT", "VAL", "WAFER_ID")))
+#: The shipped selection: the last run of each unit, step and chamber, of units of the filter's upload.
+_CORR_LAST = "SELECT u.*, VAL FROM (SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, WAFER_ID, avg(RESULT) AS RESULT FROM last_runs WHERE WAFER_ID IN (SELECT NAME FROM conf_wafer WHERE UPLOAD_ID = 'U1') GROUP BY ALL) u JOIN anomaly ON WAFER_ID = NAME"
+
+
+def _part(source: str, keys: tuple[str, ...], **more: str):
+    """A correlation request's part for one source."""
+    import json
+
+    params = {"uploadId": "U1", source: {"groupByList": list(keys), "correlation_filter_upload_id": "U1", **more}}
+    return parse(json.dumps({"requestId": "R1", "algorithm": "correlation_by_wafer", "requestParam": params})).parts[source]
+
+
+def _correlated(spark: SparkSession, d: str, source: str, facts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    found = pipelines.correlate(source, facts, views.anomaly(spark, d), _part(source, keys), views.conf_wafer(spark, d))
+    return found.withColumnRenamed("COUNT", "PAIRS").withColumn("WEIGHT", F.round("WEIGHT", 6))
+
+
+@query(sql("SELECT * FROM rel", "last_runs", "anomaly", "conf_wafer", src=_CORR_LAST, **_relation_sql(_KP, "src", "RESULT", "VAL", "WAFER_ID")))
 def corr_uva(spark: SparkSession, d: str) -> DataFrame:
-    return _related(corr_uva_rows(spark, d), _KP, "RESULT", "VAL", ["WAFER_ID"])
+    return _correlated(spark, d, "uva", views.uva(spark, d), K2)
 
 
 _CORR_SMALL = "SELECT PRODG1, PRODUCT_ID, OPE_NO, EQP_NAME, PARAMETRIC_NAME, WAFER_ID, RESULT, VAL FROM (SELECT PRODG1, PRODUCT_ID, OPE_NO, EQP_NAME, PARAMETRIC_NAME, WAFER_ID, avg(RESULT) AS RESULT FROM uva GROUP BY ALL) JOIN anomaly ON WAFER_ID = NAME"
@@ -485,48 +504,46 @@ def relation_r2_nocv(spark: SparkSession, d: str) -> DataFrame:
 
 _INLINE_STATS = ("AVERAGE", "MAX_VAL", "MEDIAN", "MIN_VAL", "STD_DEV")
 _KI = ("OPE_NO", "PARAMETRIC_NAME", "STATS")
-_CORR_INLINE = f"SELECT i.*, VAL FROM (SELECT OPE_NO, PARAMETRIC_NAME, STATS, WAFER_ID, avg(R) AS RESULT FROM (SELECT *, unnest({list(_INLINE_STATS)}) AS STATS, unnest([{', '.join(_INLINE_STATS)}]) AS R FROM inline) WHERE R IS NOT NULL GROUP BY ALL) i JOIN anomaly ON WAFER_ID = NAME"
-
-
-def corr_inline_rows(spark: SparkSession, d: str) -> DataFrame:
-    long = shape.unpivot_stats(views.inline(spark, d), ["OPE_NO", "PARAMETRIC_NAME", "WAFER_ID"], _INLINE_STATS)
-    return long.groupBy(*_KI, "WAFER_ID").agg(F.avg("RESULT").alias("RESULT")).join(views.anomaly(spark, d), F.col("WAFER_ID") == F.col("NAME"))
+_CORR_INLINE = f"SELECT i.*, VAL FROM (SELECT OPE_NO, PARAMETRIC_NAME, STATS, WAFER_ID, avg(R) AS RESULT FROM (SELECT *, unnest({list(_INLINE_STATS)}) AS STATS, unnest([{', '.join(_INLINE_STATS)}]) AS R FROM inline) WHERE R IS NOT NULL GROUP BY ALL) i JOIN anomaly ON WAFER_ID = NAME WHERE WAFER_ID IN (SELECT NAME FROM conf_wafer WHERE UPLOAD_ID = 'U1')"
 
 
-@query(sql("SELECT * FROM rel", "inline", "anomaly", src=_CORR_INLINE, **_relation_sql(_KI, "src", "RESULT", "VAL", "WAFER_ID")))
+@query(sql("SELECT * FROM rel", "inline", "anomaly", "conf_wafer", src=_CORR_INLINE, **_relation_sql(_KI, "src", "RESULT", "VAL", "WAFER_ID")))
 def corr_inline(spark: SparkSession, d: str) -> DataFrame:
-    return _related(corr_inline_rows(spark, d), _KI, "RESULT", "VAL", ["WAFER_ID"])
+    return _correlated(spark, d, "inline", views.inline(spark, d), ("OPE_NO",))
 
 
-_KC = ("PRODG1", "EQP_NAME", "CHAMBER_NAME")
-_CORR_PROCESS = "SELECT p.*, VAL FROM (SELECT PRODG1, EQP_NAME, CHAMBER_NAME, WAFER_ID, count(*)::DOUBLE AS N FROM passes GROUP BY ALL) p JOIN anomaly ON WAFER_ID = NAME"
+@query(sql("SELECT * FROM rel", "inline", "anomaly", "conf_wafer", src=_CORR_INLINE.replace("FROM inline)", "FROM (SELECT * FROM inline QUALIFY row_number() OVER (PARTITION BY WAFER_ID, OPE_NO, PARAMETRIC_NAME ORDER BY MEASURE_TIME DESC, PRODG1) = 1))"), **_relation_sql(_KI, "src", "RESULT", "VAL", "WAFER_ID")))
+def corr_wat(spark: SparkSession, d: str) -> DataFrame:
+    """Acceptance rows of range 0, each unit's last measurement only."""
+    rows = views.inline(spark, d).withColumn("PRODG2", F.col("PRODG1")).drop("PRODG1").withColumn("RANGE_INDEX", F.lit(0))
+    last = shape.latest_by(rows, ["WAFER_ID", "OPE_NO", "PARAMETRIC_NAME"], [F.desc("MEASURE_TIME"), "PRODG2"]).withColumn("MEASURE_TIME", F.date_add("MEASURE_TIME", 1))
+    older = rows.withColumn("MEASURE_TIME", F.date_sub("MEASURE_TIME", 1))
+    elsewhere = rows.withColumn("RANGE_INDEX", F.lit(1)).withColumn("MEASURE_TIME", F.date_add("MEASURE_TIME", 9))
+    facts = older.unionByName(elsewhere).unionByName(last.select(*rows.columns))
+    return _correlated(spark, d, "wat", facts, ("OPE_NO",))
 
 
-def corr_process_rows(spark: SparkSession, d: str) -> DataFrame:
-    n = views.passes(spark, d).groupBy(*_KC, "WAFER_ID").agg(F.count("*").cast("double").alias("N"))
-    return n.join(views.anomaly(spark, d), F.col("WAFER_ID") == F.col("NAME"))
+_KC = ("PRODG1", "EQP_NAME", "CHAMBER_NAME")
+_CORR_PROCESS = "SELECT p.*, VAL FROM (SELECT PRODG1, EQP_NAME, CHAMBER_NAME, WAFER_ID, count(*)::DOUBLE AS N FROM passes GROUP BY ALL) p JOIN anomaly ON WAFER_ID = NAME WHERE WAFER_ID IN (SELECT NAME FROM conf_wafer WHERE UPLOAD_ID = 'U1')"
 
 
-@query(sql("SELECT * FROM rel", "passes", "anomaly", src=_CORR_PROCESS, **_relation_sql(_KC, "src", "N", "VAL", "WAFER_ID")))
+@query(sql("SELECT * FROM rel", "passes", "anomaly", "conf_wafer", src=_CORR_PROCESS, **_relation_sql(_KC, "src", "N", "VAL", "WAFER_ID")))
 def corr_process(spark: SparkSession, d: str) -> DataFrame:
-    return _related(corr_process_rows(spark, d), _KC, "N", "VAL", ["WAFER_ID"])
+    return _correlated(spark, d, "process", views.passes(spark, d), _KC).drop("STATS")
 
 
 _KQ = ("OPE_NO",)
-_CORR_QTIME = "SELECT q.OPE_NO || '/' || q.NEXT_OPE_NO AS OPE_NO, WAFER_ID || '/' || rn AS o, DIFF_TIME / 60 AS Q, VAL FROM (SELECT *, row_number() OVER (PARTITION BY WAFER_ID, OPE_NO, NEXT_OPE_NO ORDER BY DIFF_TIME) AS rn FROM qtime) q JOIN anomaly ON WAFER_ID = NAME"
-
+_CORR_QTIME = "SELECT OPE_NO || '/' || NEXT_OPE_NO AS OPE_NO, {'a': WAFER_ID, 'b': round(DIFF_TIME / 60, 2)} AS o, round(DIFF_TIME / 60, 2) AS Q, VAL FROM qtime JOIN anomaly ON WAFER_ID = NAME WHERE WAFER_ID IN (SELECT NAME FROM conf_wafer WHERE UPLOAD_ID = 'U1')"
 
-def corr_qtime_rows(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
 
-    rn = F.row_number().over(Window.partitionBy("WAFER_ID", "OPE_NO", "NEXT_OPE_NO").orderBy("DIFF_TIME"))
-    rows = views.qtime(spark, d).withColumn("rn", rn).join(views.anomaly(spark, d), F.col("WAFER_ID") == F.col("NAME"))
-    return rows.select(F.concat("OPE_NO", F.lit("/"), "NEXT_OPE_NO").alias("OPE_NO"), F.concat("WAFER_ID", F.lit("/"), F.col("rn").cast("string")).alias("o"), (F.col("DIFF_TIME") / 60).alias("Q"), "VAL")
+def _between(spark: SparkSession, d: str) -> DataFrame:
+    """Queue times named by both steps."""
+    return views.qtime(spark, d).withColumn("OPE_NO", F.concat("OPE_NO", F.lit("/"), "NEXT_OPE_NO"))
 
 
-@query(sql("SELECT * FROM rel", "qtime", "anomaly", src=_CORR_QTIME, **_relation_sql(_KQ, "src", "Q", "VAL", "o")))
+@query(sql("SELECT * FROM rel", "qtime", "anomaly", "conf_wafer", src=_CORR_QTIME, **_relation_sql(_KQ, "src", "Q", "VAL", "o")))
 def corr_qtime(spark: SparkSession, d: str) -> DataFrame:
-    return _related(corr_qtime_rows(spark, d), _KQ, "Q", "VAL", ["o"])
+    return _correlated(spark, d, "qtime", _between(spark, d), _KQ)
 
 
 _KS = ("OPE_NO", "PARAMETRIC_NAME")
@@ -534,28 +551,31 @@ _SITE_LONG = f"SELECT OPE_NO, PARAMETRIC_NAME, SITE, avg(V) AS V FROM (SELECT *,
 _SITE_BASE = "SELECT SITE, avg(V) AS VAL FROM lng GROUP BY 1"
 
 
-def corr_site_rows(spark: SparkSession, d: str) -> DataFrame:
-    rows = views.sites(spark, d)
-    long = rows.unpivot([*_IDS], list(views.SITES), "SITE", "V").filter("V is not null").groupBy(*_KS, "SITE").agg(F.avg("V").alias("V"))
-    base = long.groupBy("SITE").agg(F.avg("V").alias("VAL"))  # one row per site
-    return long.join(F.broadcast(base), "SITE")
+_UNITS_OF = "SELECT OPE_NO, PARAMETRIC_NAME, count(WAFER_ID) AS COUNT FROM sites GROUP BY ALL"
+
 
+def _by_place(spark: SparkSession, d: str, places) -> DataFrame:
+    """Each group's vector against the mean vector of all groups."""
+    rows, names = views.sites(spark, d), list(places)
+    wide = shape.zone_means(rows, _IDS, places) if isinstance(places, dict) else rows
+    long = wide.groupBy(*_KS).agg(*[F.avg(n).alias(n) for n in names]).unpivot(list(_KS), names, "NAME", "V").filter("V is not null")
+    base = long.groupBy("NAME").agg(F.avg("V").alias("VAL"))  # one row per place
+    found = pipelines.correlate_vectors(rows, base, Request("R1", "inline", "site", None, ("OPE_NO",), {}, {}), places)
+    return found.withColumn("WEIGHT", F.round("WEIGHT", 6))
 
-@query(sql("SELECT * FROM rel", "sites", lng=_SITE_LONG, base=_SITE_BASE, src="SELECT lng.*, VAL FROM lng JOIN base USING (SITE)", **_relation_sql(_KS, "src", "VAL", "V", "SITE")))
+
+@query(sql("SELECT * EXCLUDE (PAIRS) FROM rel JOIN u USING (OPE_NO, PARAMETRIC_NAME)", "sites", lng=_SITE_LONG, base=_SITE_BASE, u=_UNITS_OF, src="SELECT lng.*, VAL FROM lng JOIN base USING (SITE)", **_relation_sql(_KS, "src", "VAL", "V", "SITE")))
 def corr_site(spark: SparkSession, d: str) -> DataFrame:
-    return _related(corr_site_rows(spark, d), _KS, "VAL", "V", ["SITE"])
+    return _by_place(spark, d, list(views.SITES))
 
 
 _FIVE_ZONES = {f"Z{n + 1}": list(views.SITES[3 * n : 3 * n + 3]) for n in range(5)}
 _ZONE_LONG = f"SELECT OPE_NO, PARAMETRIC_NAME, ZONE, avg(V) AS V FROM (SELECT *, unnest({list(_FIVE_ZONES)}) AS ZONE, unnest([{', '.join('list_avg(' + _list(s) + ')' for s in _FIVE_ZONES.values())}]) AS V FROM sites) WHERE V IS NOT NULL GROUP BY ALL"
 
 
-@query(sql("SELECT * FROM rel", "sites", lng=_ZONE_LONG, base="SELECT ZONE, avg(V) AS VAL FROM lng GROUP BY 1", src="SELECT lng.*, VAL FROM lng JOIN base USING (ZONE)", **_relation_sql(_KS, "src", "VAL", "V", "ZONE")))
+@query(sql("SELECT * EXCLUDE (PAIRS) FROM rel JOIN u USING (OPE_NO, PARAMETRIC_NAME)", "sites", lng=_ZONE_LONG, base="SELECT ZONE, avg(V) AS VAL FROM lng GROUP BY 1", u=_UNITS_OF, src="SELECT lng.*, VAL FROM lng JOIN base USING (ZONE)", **_relation_sql(_KS, "src", "VAL", "V", "ZONE")))
 def corr_zone(spark: SparkSession, d: str) -> DataFrame:
-    means = shape.zone_means(views.sites(spark, d), _IDS, _FIVE_ZONES)
-    long = means.unpivot([*_IDS], list(_FIVE_ZONES), "ZONE", "V").filter("V is not null").groupBy(*_KS, "ZONE").agg(F.avg("V").alias("V"))
-    base = long.groupBy("ZONE").agg(F.avg("V").alias("VAL"))  # one row per zone
-    return _related(long.join(F.broadcast(base), "ZONE"), _KS, "VAL", "V", ["ZONE"])
+    return _by_place(spark, d, _FIVE_ZONES)
 
 
 # --- run data and defects -------------------------------------------------------------------------------------------
@@ -697,10 +717,83 @@ def inline_weights(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*_KPO, "PARAMETRIC_NAME", "STATS", "GOOD_NUM", "BAD_NUM", F.round("WEIGHT", 6).alias("WEIGHT"))
 
 
-@query()
+def _weighed(keys: tuple[str, ...], source: str, raw: str, universe: str, tier: str = "strict", kept: str = "true", split: bool = True) -> dict[str, str]:
+    """From rows with a label to weights: tiers, scores, raw weights and their share over the universe."""
+    k = ", ".join(keys)
+    big = "GOOD_NUM > 3 AND BAD_NUM > 3" if tier == "strict" else "GOOD_NUM >= 3 AND BAD_NUM >= 3"
+    small = "t = 'small' AND NOT bool_or(t = 'big') OVER ()" if tier == "strict" else "t = 'small'"
+    names = "split_part(PARAMETRIC_NAME, '~', 1) AS PARAMETRIC_NAME, split_part(PARAMETRIC_NAME, '~', 2) AS STATS" if split else "PARAMETRIC_NAME"
+    return {
+        **_anova_sql(keys, source),
+        "c": _COMMON.format(k=k, t=source),
+        "tiers": f"SELECT * FROM (SELECT *, t = 'big' OR {small} AS used FROM (SELECT *, CASE WHEN {big} THEN 'big' WHEN GOOD_NUM >= 1 AND BAD_NUM >= 1 THEN 'small' ELSE 'none' END AS t FROM c)) WHERE used",
+        "s0": f"SELECT a.*, CASE WHEN SATISFIED THEN 1.0 ELSE 0.0 END::DOUBLE AS AUC, BAD_NUM AS bad, row_number() OVER (PARTITION BY {k} ORDER BY IMPORTANCE DESC, split_part(PARAMETRIC_NAME, '~', 1), split_part(PARAMETRIC_NAME, '~', 2)) AS r_, count(*) OVER (PARTITION BY {k}) AS n_ FROM anova a JOIN tiers USING ({k})",
+        "s1": f"SELECT * FROM s0 WHERE {kept}",
+        "auc": f"SELECT sum(x) AS auc_total FROM (SELECT avg(AUC) AS x FROM s1 GROUP BY {k})",
+        "raw_": f"SELECT *, {raw} AS raw FROM s1, auc",
+        "u": universe,
+        "done": f"SELECT {k}, {names}, GOOD_NUM, BAD_NUM, round(coalesce(raw / (SELECT sum(raw) FROM raw_), 0), 6) AS WEIGHT FROM u LEFT JOIN (SELECT {k}, PARAMETRIC_NAME, raw FROM raw_) USING ({k}, PARAMETRIC_NAME)",
+    }
+
+
+def _stat_long(source: str, columns: str, stats: tuple[str, ...], where: str = "true") -> str:
+    return f"SELECT {columns}, WAFER_ID, CASE WHEN LABEL = 'GOOD' THEN 0 ELSE 1 END AS label, P || '~' || STATS AS PARAMETRIC_NAME, RESULT FROM (SELECT *, PARAMETRIC_NAME AS P, unnest({list(stats)}) AS STATS, unnest([{', '.join(stats)}]) AS RESULT FROM {source}) JOIN conf_wafer ON WAFER_ID = NAME WHERE RESULT IS NOT NULL AND {where}"
+
+
+def _answer(spark: SparkSession, d: str, algorithm: str, keys: tuple[str, ...], tables: dict[str, DataFrame], more: str = "", stats: bool = True) -> DataFrame:
+    import json
+
+    out = pipelines.run(parse(_REQUEST % (algorithm, json.dumps(list(keys)), more)), {**tables, "conf_wafer": views.conf_wafer(spark, d)})
+    own = [c for c in keys or ("OPE_NO",)]
+    return out.select(*own, "PARAMETRIC_NAME", *(["STATS"] if stats else []), "GOOD_NUM", "BAD_NUM", F.round("WEIGHT", 6).alias("WEIGHT"))
+
+
+_KD = ("PRODG1", "LAYER_ID")
+_LAST_DEFECTS = f"SELECT defects.*, CASE WHEN LABEL = 'GOOD' THEN 0 ELSE 1 END AS label FROM defects JOIN conf_wafer ON WAFER_ID = NAME QUALIFY row_number() OVER (PARTITION BY WAFER_ID, PRODG1, LAYER_ID ORDER BY INSPECTION_TIME DESC, {', '.join(f'{p} DESC' for p in _SIX)}) = 1"
+
+
+@query(sql("SELECT * FROM done", "defects", "conf_wafer", last=_LAST_DEFECTS, lng=f"SELECT PRODG1, LAYER_ID, WAFER_ID, label, unnest({_SIX}) AS PARAMETRIC_NAME, unnest([{', '.join(_SIX)}])::DOUBLE AS RESULT FROM last", **_weighed(_KD, "lng", "AUC / auc_total * IMPORTANCE", f"SELECT *, unnest({_SIX}) AS PARAMETRIC_NAME FROM c", kept="N0 + N1 > 6", split=False)))
 def defect_weights(spark: SparkSession, d: str) -> DataFrame:
-    request = parse(_REQUEST % ("defect", '["PRODG1", "LAYER_ID"]', ""))
-    return pipelines.run(request, {"defect": views.defects(spark, d), "conf_wafer": views.conf_wafer(spark, d)})
+    """Request to ranked weights, counts of the last inspection."""
+    return _answer(spark, d, "defect", _KD, {"defect": views.defects(spark, d)}, stats=False)
+
+
+_KF = ("OPE_NO", "CHAMBER_NAME")
+_LAST_FDC = "SELECT * FROM fdc QUALIFY RUN_ID = max(RUN_ID) OVER (PARTITION BY WAFER_ID, OPE_NO, CHAMBER_ID)"
+
+
+@query(sql("SELECT * FROM done", "fdc", "conf_wafer", last=_LAST_FDC, lng=_stat_long("last", "OPE_NO, CHAMBER_NAME", _FEATURES), **_weighed(_KF, "lng", "AUC / auc_total * bad * IMPORTANCE", _COMMON.format(k="OPE_NO, CHAMBER_NAME, PARAMETRIC_NAME", t="lng"), kept="IMPORTANCE >= 0 AND r_ <= CASE WHEN n_ > 1 THEN floor(n_ * 0.6) ELSE 1 END")))
+def fdc_weights(spark: SparkSession, d: str) -> DataFrame:
+    """Request to ranked weights, run-data statistics of each unit's last run."""
+    return _answer(spark, d, "fdc_advanced", _KF, {"fdc_advanced": views.fdc(spark, d)})
+
+
+_WAT_STATS = ("AVERAGE", "MAX_VAL", "MEDIAN", "MIN_VAL", "STD_DEV", "SITE_COUNT")
+
+
+def _wat(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {"wat": views.inline(spark, d).select("WAFER_ID", "PRODG1", "OPE_NO", "PARAMETRIC_NAME", "MEASURE_TIME", *_WAT_STATS), "wat_items": _mapping(spark)}
+
+
+@query(sql("SELECT * FROM done", "inline", "conf_wafer", lng=_stat_long("inline", "PRODG1, OPE_NO", _WAT_STATS, "P = 'TAX#ALL#MEAN'"), **_weighed(_KPO, "lng", "AUC / auc_total * IMPORTANCE", _COMMON.format(k="PRODG1, OPE_NO, PARAMETRIC_NAME", t="lng"))))
+def wat_by_wafer_weights(spark: SparkSession, d: str) -> DataFrame:
+    """Request to ranked weights, acceptance statistics of one item type."""
+    return _answer(spark, d, "wat_by_wafer", _KPO, _wat(spark, d), ', "itemType": 2')
+
+
+@query(sql("SELECT * FROM done", "inline", "conf_wafer", lng=_stat_long("inline", "'FAKE_OPE_NO' AS OPE_NO", _WAT_STATS, "P = 'PRICE#ALL#MEAN'"), **_weighed(("OPE_NO",), "lng", "AUC / auc_total * IMPORTANCE", _COMMON.format(k="OPE_NO, PARAMETRIC_NAME", t="lng"))))
+def wat_ungrouped_weights(spark: SparkSession, d: str) -> DataFrame:
+    """No group keys: all rows are one group; an item type beyond the first two takes the parameters without one."""
+    return _answer(spark, d, "wat_by_wafer", (), _wat(spark, d), ', "itemType": 3')
+
+
+_CHI2_SHARE = "SELECT *, x2 / sum(x2) OVER (PARTITION BY OPE_NO, EQP_NAME) AS share FROM (SELECT *, coalesce(CASE WHEN t > 0 THEN (o0 - t * N0 / (N0 + N1)) ** 2 / (t * N0 / (N0 + N1)) + (o1 - t * N1 / (N0 + N1)) ** 2 / (t * N1 / (N0 + N1)) END, 0) AS x2 FROM (SELECT *, N0 * (M0 - lo) / (hi - lo) AS o0, N1 * (M1 - lo) / (hi - lo) AS o1, o0 + o1 AS t FROM kept WHERE M0 IS NOT NULL AND M1 IS NOT NULL AND N0 > 0 AND N1 > 0))"
+
+
+@query(sql("SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, GOOD_NUM, BAD_NUM, round(coalesce(raw / (SELECT sum(raw) FROM raw_), 0), 6) AS WEIGHT FROM u LEFT JOIN (SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, raw FROM raw_) USING (OPE_NO, EQP_NAME, PARAMETRIC_NAME)", "latest", c=_COMMON.format(k="OPE_NO, EQP_NAME", t="latest"), **_anova_sql(K2, "latest"), x=_CHI2_SHARE, raw_="SELECT x.*, BAD_NUM * share AS raw FROM x JOIN c USING (OPE_NO, EQP_NAME) WHERE GOOD_NUM > 0 AND BAD_NUM > 0", u=_COMMON.format(k="OPE_NO, EQP_NAME, PARAMETRIC_NAME", t="latest")))
+def uva_chi2(spark: SparkSession, d: str) -> DataFrame:
+    """A request that names chi-square as its score."""
+    return _answer(spark, d, "uva", K2, {"uva": views.uva(spark, d)}, ', "model": "chi2"', stats=False)
 
 
 @query()
@@ -723,19 +816,40 @@ def inline_by_zone_weights(spark: SparkSession, d: str) -> DataFrame:
 _MERGED = ", ".join(f"CAST({'NULL' if c not in ('OPE_NO', 'EQP_NAME', 'PARAMETRIC_NAME') else c} AS VARCHAR) AS {c}" for c in ("PRODG1", "PRODUCT_ID", "OPE_NO", "EQP_NAME", "CHAMBER_NAME", "PARAMETRIC_NAME", "STATS"))
 
 
-@query(sql(f"SELECT 'R1' AS REQUEST_ID, row_number() OVER (ORDER BY WEIGHT DESC, PAIRS DESC, ANALYSIS_NAME, OPE_NO, EQP_NAME, PARAMETRIC_NAME) AS INDEX_NO, ANALYSIS_NAME, {_MERGED}, PAIRS AS COUNT, WEIGHT, CAST(NULL AS VARCHAR) AS MARK FROM (SELECT 'uva' AS ANALYSIS_NAME, * FROM rel UNION ALL SELECT 'twin', * FROM rel)", "uva", "anomaly", src=_CORR_UVA, **_relation_sql(_KP, "src", "RESULT", "VAL", "WAFER_ID")))
+@query(sql(f"SELECT 'R1' AS REQUEST_ID, row_number() OVER (ORDER BY WEIGHT DESC, PAIRS DESC, ANALYSIS_NAME, OPE_NO, EQP_NAME, PARAMETRIC_NAME) AS INDEX_NO, ANALYSIS_NAME, {_MERGED}, PAIRS AS COUNT, WEIGHT, CAST(NULL AS VARCHAR) AS MARK FROM (SELECT 'uva' AS ANALYSIS_NAME, * FROM rel UNION ALL SELECT 'twin', * FROM rel)", "last_runs", "anomaly", "conf_wafer", src=_CORR_LAST, **_relation_sql(_KP, "src", "RESULT", "VAL", "WAFER_ID")))
 def corr_merge(spark: SparkSession, d: str) -> DataFrame:
     """Two sources in the fixed result schema, ranked together."""
     rel = corr_uva(spark, d).withColumnRenamed("PAIRS", "COUNT")
     return pipelines.merge_sources({"uva": rel, "twin": rel}, "R1")
 
 
-@query()
+def _related_sql(keys: tuple[str, ...], src: str, x: str, y: str, order: str, name: str, stats: str) -> str:
+    """One source's relations in the columns of a request's answer."""
+    ctes = ", ".join(f"{n} AS ({q})" for n, q in {"src": src, **_relation_sql(keys, "src", x, y, order)}.items())
+    columns = ", ".join(f"{c if c in keys else 'NULL'}::VARCHAR AS {c}" for c in ("PRODG1", "OPE_NO", "EQP_NAME", "PARAMETRIC_NAME"))
+    return f"(WITH {ctes} SELECT '{name}' AS ANALYSIS_NAME, {columns}, {stats} AS STATS, PAIRS AS COUNT, WEIGHT FROM rel)"
+
+
+_ASKED = " UNION ALL ".join(
+    f"SELECT * FROM {_related_sql(*x)}"
+    for x in (
+        (_KP, _CORR_LAST, "RESULT", "VAL", "WAFER_ID", "uva", "NULL::VARCHAR"), (_KI, _CORR_INLINE, "RESULT", "VAL", "WAFER_ID", "inline", "STATS"),
+        (("PRODG1", "EQP_NAME"), _CORR_PROCESS.replace(", CHAMBER_NAME", ""), "N", "VAL", "WAFER_ID", "process", "'GO_THROUGH_TIME'"), (_KQ, _CORR_QTIME, "Q", "VAL", "o", "qtime", "NULL::VARCHAR"),
+    )
+)
+
+
+@query(sql("SELECT a.* EXCLUDE (WEIGHT), round(WEIGHT * coalesce(SCORE, 1), 6) AS WEIGHT FROM a LEFT JOIN s ON a.PARAMETRIC_NAME = s.PARAMETRIC_NAME AND a.OPE_NO IS NOT DISTINCT FROM s.OPE_NO AND a.EQP_NAME IS NOT DISTINCT FROM s.EQP_NAME", "last_runs", "inline", "qtime", "anomaly", "conf_wafer", a=_ASKED, s=_SCORES))
 def corr_request(spark: SparkSession, d: str) -> DataFrame:
-    """A correlation request over three sources."""
-    text = '{"requestId": "R2", "algorithm": "correlation_by_wafer", "requestParam": {"uploadId": "U1", "uva": {"groupByList": ["OPE_NO", "EQP_NAME"]}, "inline": {"groupByList": ["OPE_NO"]}, "process": {"groupByList": ["PRODG1", "EQP_NAME"]}, "qtime": {"groupByList": ["OPE_NO"]}}}'
-    tables = {"uva": views.uva(spark, d), "inline": views.inline(spark, d), "process": views.passes(spark, d), "qtime": views.qtime(spark, d), "anomaly": views.anomaly(spark, d), "scores": views.scores(spark)}
-    return pipelines.run(parse(text), tables)
+    """A correlation request over four sources, boosted by outside scores."""
+    part = '{"groupByList": %s, "correlation_filter_upload_id": "U1"}'
+    keys = {"uva": '["OPE_NO", "EQP_NAME"]', "inline": '["OPE_NO"]', "process": '["PRODG1", "EQP_NAME"]', "qtime": '["OPE_NO"]'}
+    text = '{"requestId": "R2", "algorithm": "correlation_by_wafer", "requestParam": {"uploadId": "U1", %s}}' % ", ".join(f'"{s}": {part % k}' for s, k in keys.items())
+    tables = {"uva": views.uva(spark, d), "inline": views.inline(spark, d), "process": views.passes(spark, d), "qtime": _between(spark, d), "scores": views.scores(spark), "correlation_wafer": views.conf_wafer(spark, d)}
+    base = views.anomaly(spark, d).withColumn("REQUEST_ID", F.lit("R2"))
+    others = base.limit(0).unionByName(spark.createDataFrame([("W1", 1e9, "R3")], "NAME string, VAL double, REQUEST_ID string"))
+    out = pipelines.run(parse(text), {**tables, "anomaly": base.unionByName(others)})
+    return out.select("ANALYSIS_NAME", "PRODG1", "OPE_NO", "EQP_NAME", "PARAMETRIC_NAME", "STATS", "COUNT", F.round("WEIGHT", 6).alias("WEIGHT"))
 
 
 # --- estimators -----------------------------------------------------------------------------------------------------

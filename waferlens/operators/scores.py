@@ -37,8 +37,13 @@ def anova(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     def of(c: str, label: int):
         return F.max(F.when(F.col("label") == label, F.col(c)))
 
-    wide = per.groupBy(*keys, "PARAMETRIC_NAME").agg(of("m", 0).alias("M0"), of("m", 1).alias("M1"), F.sum("s").alias("SSW"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("USED"))
-    rows = wide.join(_class_sizes(means, keys), list(keys))
+    wide = per.groupBy(*keys, "PARAMETRIC_NAME").agg(of("m", 0).alias("M0"), of("m", 1).alias("M1"), F.sum("s").alias("SSW"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    rows = _f_shares(wide.join(_class_sizes(means, keys), list(keys)), keys)
+    return rows.select(*keys, "PARAMETRIC_NAME", "N0", "N1", "F", "IMPORTANCE", "SATISFIED")
+
+
+def _f_shares(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """F and its share of the group's sum from class sizes N0, N1, class means M0, M1, squared deviations SSW and the least and greatest value."""
     rows = rows.filter((F.col("lo") < F.col("hi")) & (F.col("M0").isNotNull() | (F.col("N0") == 0)) & (F.col("M1").isNotNull() | (F.col("N1") == 0)))
     n = F.col("N0") + F.col("N1")
     grand = (F.col("N0") * F.col("M0") + F.col("N1") * F.col("M1")) / n
@@ -47,7 +52,43 @@ def anova(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     whole = Window.partitionBy(*keys)
     fine = (F.count("*").over(whole) > 1) & (F.col("N0") > 0) & (F.col("N1") > 0)
     share = F.try_divide(F.col("F"), F.sum("F").over(whole))
-    return rows.select(*keys, "PARAMETRIC_NAME", "N0", "N1", "F", F.when(fine, F.coalesce(share, F.lit(0.0))).otherwise(F.lit(0.0)).alias("IMPORTANCE"), fine.alias("SATISFIED"))
+    return rows.withColumn("SATISFIED", fine).withColumn("IMPORTANCE", F.when(fine, F.coalesce(share, F.lit(0.0))).otherwise(F.lit(0.0)))
+
+
+def stat_means(df: DataFrame, keys: Sequence[str], stats: Sequence[str]) -> DataFrame:
+    """Means of several statistics side by side, a row per unit, class, group and parameter that has any."""
+    used = ["WAFER_ID", "label", *keys, "PARAMETRIC_NAME"]
+    some = df.na.drop(subset=used).na.drop("all", subset=list(stats))
+    return some.groupBy(*used).agg(*[F.avg(s).alias(s) for s in stats])
+
+
+def stat_moments(means: DataFrame, keys: Sequence[str], stats: Sequence[str]) -> DataFrame:
+    """Per group, parameter and statistic: units of each class (GOOD_NUM, BAD_NUM), class means M0, M1, squared deviations SSW, least and greatest value.
+
+    All statistics of a parameter are aggregated in one pass over ``means``;
+    only the result, a row per parameter, becomes one per statistic.
+    """
+    def parts(s: str) -> list:
+        own = [F.when(F.col("label") == c, F.col(s)) for c in (0, 1)]
+        return [x for c, v in enumerate(own) for x in (F.count(v).alias(f"{s}_n{c}"), F.avg(v).alias(f"{s}_m{c}"), F.var_samp(v).alias(f"{s}_v{c}"))] + [F.min(s).alias(f"{s}_lo"), F.max(s).alias(f"{s}_hi")]
+
+    per = means.groupBy(*keys, "PARAMETRIC_NAME").agg(*[x for s in stats for x in parts(s)])
+
+    def packed(s: str):
+        squares = [F.coalesce(F.col(f"{s}_v{c}") * (F.col(f"{s}_n{c}") - 1), F.lit(0.0)) for c in (0, 1)]
+        return F.struct(
+            F.lit(s).alias("STATS"), F.col(f"{s}_n0").alias("GOOD_NUM"), F.col(f"{s}_n1").alias("BAD_NUM"), F.col(f"{s}_m0").alias("M0"), F.col(f"{s}_m1").alias("M1"),
+            (squares[0] + squares[1]).alias("SSW"), F.col(f"{s}_lo").cast("double").alias("lo"), F.col(f"{s}_hi").cast("double").alias("hi"),
+        )
+
+    return per.select(*keys, "PARAMETRIC_NAME", F.inline(F.array(*map(packed, stats)))).filter("GOOD_NUM + BAD_NUM > 0")
+
+
+def anova_stats(moments: DataFrame, sizes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``anova`` of every statistic of every parameter from ``stat_moments``; ``sizes``: GOOD_NUM and BAD_NUM per group."""
+    sizes = sizes.select(*keys, F.col("GOOD_NUM").cast("double").alias("N0"), F.col("BAD_NUM").cast("double").alias("N1"))
+    rows = _f_shares(moments.drop("GOOD_NUM", "BAD_NUM").join(sizes, list(keys)), keys)
+    return rows.select(*keys, "PARAMETRIC_NAME", "STATS", "N0", "N1", "F", "IMPORTANCE", "SATISFIED")
 
 
 def chi2(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def _share(rows: DataFrame, raw: Column) -> DataFrame:
     """WEIGHT: ``raw`` over its sum over all rows, by a one-row aggregate rather than a window over everything."""
     rows = rows.withColumn("_raw", raw)
@@ -63,9 +64,9 @@ def reliable(rows: DataFrame, least_auc: float) -> DataFrame:
 
 
 def top_share(rows: DataFrame, keys: Sequence[str], share: float = 0.6, tie: Sequence[str] = ("PARAMETRIC_NAME",)) -> DataFrame:
-    """The int(share n) most important rows of each group; a group of one keeps it."""
+    """The int(share n) most important rows of each group; a group of one keeps it.  Rows without an importance, or with one below 0, go first."""
     w = Window.partitionBy(*keys)
-    ranked = rows.withColumn("_n", F.count("*").over(w)).withColumn("_r", F.row_number().over(w.orderBy(F.desc("IMPORTANCE"), *tie)))
+    ranked = rows.filter("IMPORTANCE >= 0").withColumn("_n", F.count("*").over(w)).withColumn("_r", F.row_number().over(w.orderBy(F.desc("IMPORTANCE"), *tie)))
     return ranked.filter(F.col("_r") <= F.when(F.col("_n") > 1, F.floor(F.col("_n") * share)).otherwise(1)).drop("_n", "_r")
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as fc
@@ -39,50 +39,133 @@ def labelled(facts: DataFrame, conf: DataFrame, upload_id: str | None) -> DataFr
     return facts.join(own, F.col("WAFER_ID") == F.col("_unit")).drop("_unit")
 
 
-def score_groups(rows: DataFrame, keys: Sequence[str], request_id: str, stats: bool = False, balance: float = 0.7) -> DataFrame:
-    """Weights of all parameters of all groups.
+def _univariate(rows: DataFrame, keys: Sequence[str], model: str) -> DataFrame:
+    """``keys, PARAMETRIC_NAME, IMPORTANCE, SATISFIED`` by one parameter at a time."""
+    if model == "anova":
+        return scores.anova(rows, keys).select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "SATISFIED")
+    found, name = (scores.chi2(rows, keys), "CHI2") if model == "chi2" else (models.mutual_information(rows, keys), "MI")
+    whole = Window.partitionBy(*keys)
+    fine = F.count("*").over(whole) > 1
+    share = F.coalesce(F.try_divide(F.col(name), F.sum(name).over(whole)), F.lit(0.0))
+    return found.select(*keys, "PARAMETRIC_NAME", F.when(fine, share).otherwise(0.0).alias("IMPORTANCE"), fine.alias("SATISFIED"))
+
 
-    Groups with both classes are scored by analysis of variance, those whose
-    class shares differ by more than ``balance`` after the larger class has
-    shrunk to centroids.  The other groups' parameters, constants and
-    parameters without a value in a class have weight 0.  Raises if no group
-    has both classes.
+def _scored(rows: DataFrame, keys: Sequence[str], groups: DataFrame, model: str, balance: float) -> DataFrame:
+    """``keys, PARAMETRIC_NAME, IMPORTANCE, AUC`` of the groups whose TIER is big or small.
+
+    Univariate scores serve both tiers.  Estimators are fitted on big groups,
+    one distributed fit after another; small ones take the analysis of
+    variance.  Where class shares differ by more than ``balance`` the larger
+    class shrinks to centroids first (mutual information takes all units).
     """
-    fields = [*keys, "PARAMETRIC_NAME", *(["STATS"] if stats else [])]
-    # Two tables are persisted: the cleaned rows, which six aggregates read, and below a row per scored parameter, which
-    # totals and weights read again.  Both spill to disk, and what is lost is computed again.
-    rows = rows.persist()
-    everything = counts.universe(rows, keys, stats)
-    groups = counts.tiers(counts.commonality(rows, keys))
-    named = rows.withColumn("PARAMETRIC_NAME", F.concat_ws("\x1f", "PARAMETRIC_NAME", "STATS")) if stats else rows
+    keys = list(keys)
+    single = model if model in ("anova", "chi2", "mutual_info") else "anova"
     both = groups.filter("TIER <> 'none'")
     uneven = both.filter(F.abs(F.col("GOOD_NUM") - F.col("BAD_NUM")) / (F.col("GOOD_NUM") + F.col("BAD_NUM")) > balance).select(*keys)
-    columns = [*keys, "PARAMETRIC_NAME", "IMPORTANCE", "SATISFIED"]
-    even = scores.anova(named, keys).select(*columns).join(uneven, list(keys), "left_anti")
-    shrunk = models.anova_on_centroids(named.join(uneven, list(keys), "left_semi"), keys)
-    scored = even.unionByName(shrunk).join(both.select(*keys, F.col("BAD_NUM").alias("GROUP_BAD")), list(keys))
-    scored = scored.withColumn("AUC", F.when(F.col("SATISFIED"), 1.0).otherwise(0.0)).withColumnRenamed("GROUP_BAD", "BAD_NUM")
-    scored = scored.persist()
-    if scored.isEmpty():
+    found = _univariate(rows, keys, single)
+    if single != "mutual_info":
+        shrunk = models.anova_on_centroids(rows.join(uneven, keys, "left_semi"), keys, single)
+        found = found.join(uneven, keys, "left_anti").unionByName(shrunk)
+    found = found.join(both.select(*keys, "TIER"), keys).withColumn("AUC", F.when(F.col("SATISFIED"), 1.0).otherwise(0.0))
+    if model == single:
+        return found.select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "AUC")
+    big = both.filter("TIER = 'big'").select(*keys)
+    units = rows.withColumn("UNIT", F.concat_ws("/", "WAFER_ID", F.col("label").cast("string"))).withColumnRenamed("PARAMETRIC_NAME", "FEATURE")
+    fitted = models.group_importances(units, keys, big.sort(*keys).collect(), model).withColumnRenamed("FEATURE", "PARAMETRIC_NAME")
+    small = found.filter("TIER = 'small'").select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "AUC")
+    return small.unionByName(fitted.select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "AUC"))
+
+
+def score_groups(rows: DataFrame, keys: Sequence[str], request_id: str, balance: float = 0.7, model: str = "anova") -> DataFrame:
+    """Weights of all parameters of all groups.
+
+    Groups with both classes are scored by ``model``.  The other groups'
+    parameters, constants and parameters without a value in a class have
+    weight 0.  Raises if no group has both classes.
+    """
+    groups = counts.tiers(counts.commonality(rows, keys))
+    if groups.filter("TIER <> 'none'").isEmpty():
         raise RequestError("no group has both good and bad units")
+    scored = _scored(rows, keys, groups, model, balance).join(groups.select(*keys, "BAD_NUM"), list(keys))
     weighed = weights.weights_by_bad_and_auc(scored, keys, counts.bad_total(rows))
-    if stats:
-        parts = F.split("PARAMETRIC_NAME", "\x1f")
-        weighed = weighed.withColumn("STATS", F.get(parts, F.lit(1))).withColumn("PARAMETRIC_NAME", F.get(parts, F.lit(0)))
-    return weights.decorated(shape.missing_rows(everything, weighed, fields), request_id)
+    return weights.decorated(shape.missing_rows(counts.universe(rows, keys), weighed, [*keys, "PARAMETRIC_NAME"]), request_id)
+
+
+def _fails(groups: DataFrame, tier: str = "none") -> DataFrame:
+    """One row, which fails the query if no group has both classes."""
+    some = groups.agg(F.coalesce(F.bool_or(F.col("TIER") != tier), F.lit(False)).alias("_some"))
+    return some.select(F.when(F.col("_some"), 1).otherwise(F.raise_error(F.lit("no group has both good and bad units"))).alias("_fine"))
+
+
+def score_stats(rows: DataFrame, keys: Sequence[str], statistics: Sequence[str], request: Request, legacy: str | None = None, balance: float = 0.7) -> DataFrame:
+    """As ``score_groups`` for wide rows: each statistic of a parameter is scored on its own, all of them aggregated side by side.
+
+    ``legacy`` chooses the earlier tiers (no small groups where any is big):
+    "fdc" keeps the 60 % most important of each group and weighs by bad share
+    and AUC, "auc" weighs by AUC alone.
+    """
+    keys = list(keys)
+    means = scores.stat_means(rows, keys, statistics)
+    moments = scores.stat_moments(means, keys, statistics)
+    sizes = counts.commonality(means, keys)
+    groups = counts.tiers_strict(sizes) if legacy else counts.tiers(sizes)
+    both = groups.filter("TIER <> 'none'")
+    names = ["PARAMETRIC_NAME", "STATS"]
+    if request.model == "anova":
+        uneven = both.filter(F.abs(F.col("GOOD_NUM") - F.col("BAD_NUM")) / (F.col("GOOD_NUM") + F.col("BAD_NUM")) > balance).select(*keys)
+        even = scores.anova_stats(moments, sizes, keys).join(uneven, keys, "left_anti").select(*keys, *names, "IMPORTANCE", "SATISFIED")
+        shrunk = models.anova_on_centroids(_long(means.join(uneven, keys, "left_semi"), keys, statistics), keys)
+        scored = even.unionByName(_apart(shrunk, keys).select(*keys, *names, "IMPORTANCE", "SATISFIED")).withColumn("AUC", F.when(F.col("SATISFIED"), 1.0).otherwise(0.0))
+        scored = scored.join(both.select(*keys, "BAD_NUM"), keys)
+    else:
+        scored = _apart(_scored(_long(means, keys, statistics), keys, groups, request.model, balance), keys).join(both.select(*keys, "BAD_NUM"), keys)
+    bad = counts.bad_total(means)
+    if legacy == "fdc":
+        weighed = weights.weights_fdc(weights.top_share(scored, keys, tie=names), keys, bad)
+    elif legacy:
+        weighed = weights.weights_auc_ratio(scored, keys)
+    else:
+        weighed = weights.weights_by_bad_and_auc(scored, keys, bad)
+    everything = moments.select(*keys, *names, "GOOD_NUM", "BAD_NUM").crossJoin(F.broadcast(_fails(groups))).filter("_fine = 1").drop("_fine")
+    return weights.decorated(shape.missing_rows(everything, weighed, [*keys, *names]), request.request_id)
+
+
+def _long(means: DataFrame, keys: Sequence[str], statistics: Sequence[str]) -> DataFrame:
+    """A row per statistic, named with its parameter."""
+    rows = shape.unpivot_stats(means, [*keys, "WAFER_ID", "label", "PARAMETRIC_NAME"], statistics)
+    return rows.withColumn("PARAMETRIC_NAME", F.concat_ws("\x1f", "PARAMETRIC_NAME", "STATS"))
+
+
+def _apart(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    parts = F.split("PARAMETRIC_NAME", "\x1f")
+    return rows.withColumn("STATS", F.get(parts, F.lit(1))).withColumn("PARAMETRIC_NAME", F.get(parts, F.lit(0)))
 
 
 def uva(facts: DataFrame, conf: DataFrame, request: Request) -> DataFrame:
     rows = selected(facts.filter(F.col("STATUS") != "ERROR"), request)
     rows = shape.latest_run(labelled(rows.filter("RESULT is not null"), conf, request.upload_id))
-    return score_groups(rows, request.keys, request.request_id)
+    return score_groups(rows, request.keys, request.request_id, model=request.model)
 
 
 def inline_by_wafer(facts: DataFrame, conf: DataFrame, request: Request, statistics: Sequence[str] = ("AVERAGE", "MAX_VAL", "MEDIAN", "MIN_VAL", "STD_DEV", "PERCENTILE_25", "PERCENTILE_75")) -> DataFrame:
     """In-line and acceptance statistics: each statistic of a parameter is scored on its own."""
     rows = selected(facts.filter(fp.excludes("PARAMETRIC_NAME", EXCLUDED["wafer"])), request, "MEASURE_TIME")
     rows = labelled(rows.withColumns({s: fc.number(s) for s in statistics}), conf, request.upload_id)
-    return score_groups(shape.unpivot_stats(rows, [*request.keys, "WAFER_ID", "label", "PARAMETRIC_NAME"], statistics), request.keys, request.request_id, stats=True)
+    return score_stats(rows, request.keys, statistics, request)
+
+
+def wat_by_wafer(facts: DataFrame, conf: DataFrame, request: Request, mapping: DataFrame | None = None, statistics: Sequence[str] = ("AVERAGE", "MAX_VAL", "MEDIAN", "MIN_VAL", "STD_DEV", "SITE_COUNT")) -> DataFrame:
+    """Acceptance statistics.  Item types 1 and 2 keep the parameters that ``mapping`` has under them, any other type those that it does not have; without group keys all rows are one group."""
+    rows = selected(facts, request, "MEASURE_TIME")
+    if request.item_type is not None:
+        if mapping is None:
+            raise RequestError("an item type needs the table of items")
+        rows = fp.with_mapping(rows, mapping, "PARAMETRIC_NAME", [request.item_type]) if request.item_type in (1, 2) else rows.join(mapping.select("PARAMETRIC_NAME"), "PARAMETRIC_NAME", "left_anti")
+    rows = labelled(rows.withColumns({s: fc.number(s) for s in statistics}), conf, request.upload_id)
+    keys = list(request.keys)
+    if not keys:
+        rows, keys = rows.withColumn("OPE_NO", F.lit("FAKE_OPE_NO")), ["OPE_NO"]
+    return score_stats(rows, keys, statistics, request, legacy="auc")
 
 
 def by_site(facts: DataFrame, request: Request) -> DataFrame:
@@ -117,14 +200,20 @@ def defect(facts: DataFrame, conf: DataFrame, request: Request, parameters: Sequ
     rows = shape.latest_by(rows, ["WAFER_ID", "label", *request.keys], order)
     long = rows.select(*request.keys, "WAFER_ID", "label", *[F.col(p).cast("double").alias(p) for p in parameters])
     long = long.unpivot([*request.keys, "WAFER_ID", "label"], list(parameters), "PARAMETRIC_NAME", "RESULT")
-    return score_groups(long, request.keys, request.request_id)
+    keys = list(request.keys)
+    groups = counts.tiers_strict(counts.commonality(long, keys))
+    # A group needs more than six units, whatever their classes.
+    groups = groups.withColumn("TIER", F.when(F.col("GOOD_NUM") + F.col("BAD_NUM") > 6, F.col("TIER")).otherwise("none"))
+    weighed = weights.weights_auc_ratio(_scored(long, keys, groups, request.model, 0.7), keys)
+    everything = counts.fixed_universe(rows, keys, parameters).crossJoin(F.broadcast(_fails(groups))).filter("_fine = 1").drop("_fine")
+    return weights.decorated(shape.missing_rows(everything, weighed, [*keys, "PARAMETRIC_NAME"]), request.request_id)
 
 
 def fdc(facts: DataFrame, conf: DataFrame, request: Request, statistics: Sequence[str] = ("AVERAGE", "STD_VAL", "MIN_VAL", "PERCENTILE_25", "MEDIAN", "PERCENTILE_75", "MAX_VAL", "RANGE1")) -> DataFrame:
     """Run-data statistics of each unit's last run."""
     rows = labelled(selected(facts, request), conf, request.upload_id)
     last = shape.latest_run(rows)
-    return score_groups(shape.unpivot_stats(last, [*request.keys, "WAFER_ID", "label", "PARAMETRIC_NAME"], statistics), request.keys, request.request_id, stats=True)
+    return score_stats(last, request.keys, statistics, request, legacy="fdc")
 
 
 # --- correlation with an anomaly vector -----------------------------------------------------------------------------
@@ -132,17 +221,43 @@ def _with_base(rows: DataFrame, base: DataFrame) -> DataFrame:
     return rows.join(base.select(F.col("NAME").alias("_unit"), F.col("VAL").cast("double").alias("VAL")), F.col("WAFER_ID") == F.col("_unit")).drop("_unit")
 
 
-def correlate(source: str, facts: DataFrame, base: DataFrame, part: Request, statistics: Sequence[str] = ("AVERAGE", "MAX_VAL", "MEDIAN", "MIN_VAL", "STD_DEV")) -> DataFrame:
+def correlation_rows(source: str, facts: DataFrame, part: Request, units: DataFrame | None = None, by_site: bool = False) -> DataFrame:
+    """What a source contributes: the request's filters, the units of its upload, and of in-line and acceptance rows those of range 0, each unit's last measurement.
+
+    Columns of a filter that the facts do not have are skipped; ``by_site``
+    keeps in-line rows of level Site.
+    """
+    measured = source in ("inline", "wat")
+    rows = selected(facts, part, "MEASURE_TIME" if measured else "START_TIME", closed=True)
+    if part.filter_upload_id:
+        if units is None:
+            raise RequestError("a filter by upload needs the table of its units")
+        rows = rows.join(units.filter(F.col("UPLOAD_ID") == part.filter_upload_id).select(F.col("NAME").alias("WAFER_ID")), "WAFER_ID", "left_semi")
+    if not measured:
+        return rows
+    if source == "inline":
+        rows = rows.filter(fp.excludes("PARAMETRIC_NAME", ("CXS", "CYS")))
+        if by_site and "DATA_LEVEL" in rows.columns:
+            rows = rows.filter(F.col("DATA_LEVEL") == "Site")
+    if "RANGE_INDEX" in rows.columns:
+        rows = rows.filter("RANGE_INDEX = 0")
+    if "MEASURE_TIME" not in rows.columns:
+        return rows
+    keys = [k for k in ("PH_FAB_ID_LABEL", "PRODG1", "WAFER_ID", "OPE_NO", "PARAMETRIC_NAME") if k in rows.columns]
+    ties = [c for c in rows.columns if c not in (*keys, "MEASURE_TIME")]
+    return shape.latest_by(rows, keys, [F.desc("MEASURE_TIME"), *ties])
+
+
+def correlate(source: str, facts: DataFrame, base: DataFrame, part: Request, units: DataFrame | None = None, statistics: Sequence[str] = ("AVERAGE", "MAX_VAL", "MEDIAN", "MIN_VAL", "STD_DEV")) -> DataFrame:
     """One source's parameters against the anomaly: keys, PARAMETRIC_NAME, STATS, COUNT, WEIGHT."""
-    time = {"inline": "MEASURE_TIME", "wat": "MEASURE_TIME"}.get(source, "START_TIME")
-    rows = selected(facts, part, time, closed=True)
+    rows = correlation_rows(source, facts, part, units)
     keys, order = list(part.keys), ["WAFER_ID"]
     if source == "uva":
         rows = shape.latest_run(rows.filter("RESULT is not null"))
         keys += ["PARAMETRIC_NAME"]
         means = rows.groupBy(*keys, "WAFER_ID").agg(F.avg("RESULT").alias("X"))
     elif source in ("inline", "wat"):
-        rows = rows.filter(fp.excludes("PARAMETRIC_NAME", ("CXS", "CYS"))).withColumns({s: fc.number(s) for s in statistics})
+        rows = rows.withColumns({s: fc.number(s) for s in statistics})
         keys += ["PARAMETRIC_NAME", "STATS"]
         long = shape.unpivot_stats(rows, [*part.keys, "PARAMETRIC_NAME", "WAFER_ID"], statistics)
         means = long.groupBy(*keys, "WAFER_ID").agg(F.avg("RESULT").alias("X"))
@@ -157,16 +272,20 @@ def correlate(source: str, facts: DataFrame, base: DataFrame, part: Request, sta
     return found.withColumn("STATS", F.lit("GO_THROUGH_TIME")) if source == "process" else found
 
 
-def correlate_vectors(facts: DataFrame, base: DataFrame, part: Request, places: Sequence[str] | Mapping[str, Sequence[str]]) -> DataFrame:
-    """By site or by zone: a group's mean vector over places against the anomaly's (NAME, VAL); fewer than two common places give 0."""
+def correlate_vectors(facts: DataFrame, base: DataFrame, part: Request, places: Sequence[str] | Mapping[str, Sequence[str]], source: str = "inline", units: DataFrame | None = None) -> DataFrame:
+    """By site or by zone: a group's mean vector over places against the anomaly's (NAME, VAL); fewer than three common places give 0.  COUNT is the group's rows that name a unit."""
     keys = [*part.keys, "PARAMETRIC_NAME"]
-    rows = selected(facts, part, "MEASURE_TIME", closed=True)
+    rows = correlation_rows(source, facts, part, units, by_site=not isinstance(places, Mapping))
     names = list(places)
     if isinstance(places, Mapping):
         rows = shape.zone_means(rows, [*keys, "WAFER_ID"], places)
-    long = rows.unpivot([*keys, "WAFER_ID"], names, "PLACE", "V").filter("V is not null and not isnan(V)").groupBy(*keys, "PLACE").agg(F.avg("V").alias("V"))
+    # All places of a group in one aggregate; its one row then becomes a row a place.
+    usable = [F.when(~F.isnan(p), F.col(p)) for p in names]
+    means = rows.groupBy(*keys).agg(F.count("WAFER_ID").alias("COUNT"), *[F.avg(v).alias(p) for p, v in zip(names, usable, strict=True)])
+    long = means.unpivot([*keys, "COUNT"], names, "PLACE", "V").filter("V is not null")
     own = base.select(F.col("NAME").alias("PLACE"), F.col("VAL").cast("double").alias("VAL"))
-    return relation.relation(long.join(own, "PLACE"), keys, "VAL", "V", ["PLACE"]).withColumnRenamed("PAIRS", "COUNT")
+    found = relation.relation(long.join(own, "PLACE"), keys, "VAL", "V", ["PLACE"]).drop("PAIRS")
+    return found.join(means.select(*keys, "COUNT"), keys)
 
 
 def merge_sources(results: Mapping[str, DataFrame], request_id: str) -> DataFrame:
@@ -194,13 +313,15 @@ def run(request: Request, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Answer a request from named tables: facts by source, ``conf_wafer``, ``anomaly`` and, if there are any, ``scores``."""
     if request.source == "correlation":
         base = tables["anomaly"]
+        if "REQUEST_ID" in base.columns:
+            base = base.filter(F.col("REQUEST_ID") == request.request_id)
         if request.granularity == "wafer":
-            found = {s: correlate(s, tables[s], base, p) for s, p in request.parts.items()}
+            found = {s: correlate(s, tables[s], base, p, tables.get("correlation_wafer")) for s, p in request.parts.items()}
         else:
             facts = {s: p for s, p in request.parts.items() if s in ("inline", "wat")}
             places = [c for s in facts for c in tables[s].columns if c.startswith("SITE") and c.endswith("_VAL")]
             zones = {z: s for own in request.zones.values() for z, s in own.items()}
-            found = {s: correlate_vectors(tables[s], base, p, zones if request.granularity == "zone" else places) for s, p in facts.items()}
+            found = {s: correlate_vectors(tables[s], base, p, zones if request.granularity == "zone" else places, s, tables.get("correlation_wafer")) for s, p in facts.items()}
         out = merge_sources(found, request.request_id)
         return _boosted(out, tables.get("scores"), "WEIGHT")
     facts, conf = tables[request.source], tables.get("conf_wafer")
@@ -210,6 +331,8 @@ def run(request: Request, tables: Mapping[str, DataFrame]) -> DataFrame:
         return defect(facts, conf, request)
     if request.source == "fdc_advanced":
         return fdc(facts, conf, request)
+    if request.source == "wat" and request.granularity == "wafer":
+        return wat_by_wafer(facts, conf, request, tables.get("wat_items"))
     return {"wafer": lambda: inline_by_wafer(facts, conf, request), "site": lambda: by_site(facts, request), "zone": lambda: by_zone(facts, request)}[request.granularity]()
 
 

@@ -58,12 +58,18 @@ class Request:
     zones: Mapping[str, Mapping[str, tuple[str, ...]]] = field(default_factory=dict)
     parts: Mapping[str, Request] = field(default_factory=dict)
     model: str = "anova"
+    item_type: int | None = None
+    filter_upload_id: str | None = None
+
+
+#: Scores that a request may name.
+MODELS = ("anova", "chi2", "mutual_info", "rf", "decisionTree", "svc", "logistic", "sgd")
 
 
 def group_keys(params: Mapping[str, Any], default: tuple[str, ...] = DEFAULT_KEYS) -> tuple[tuple[str, ...], frozenset[str]]:
     """Group keys, and the merge columns that a merge-all switch makes void."""
     own = params.get("groupByList")
-    if own:
+    if own is not None:  # an empty list: no grouping at all
         return tuple(own), frozenset()
     dropped = {"PRODG1", "PRODUCT_ID"} if params.get("flagMergeAllProdg1") == "1" else {"PRODUCT_ID"} if params.get("flagMergeAllProductId") == "1" else set()
     if params.get("flagMergeAllChamber") == "1":
@@ -79,7 +85,10 @@ def _of(request_id: str, source: str, granularity: str, params: Mapping[str, Any
     if isinstance(dates, list):  # the older form: one range or a list of them
         dates = dates[0] if dates else {}
     zones = {label: {z: tuple(s) for z, s in own.items()} for label, own in (params.get("modeInfo") or {}).items()}
-    return Request(request_id, source, granularity, params.get("uploadId"), keys, merges, filters, dates.get("start"), dates.get("end"), _split(params.get("goodSite")), _split(params.get("badSite")), zones, model=params.get("model", "anova"))
+    model = params.get("model") or "anova"
+    if model not in MODELS:
+        raise RequestError(f"unknown model: {model}")
+    return Request(request_id, source, granularity, params.get("uploadId"), keys, merges, filters, dates.get("start"), dates.get("end"), _split(params.get("goodSite")), _split(params.get("badSite")), zones, model=model, item_type=params.get("itemType"), filter_upload_id=params.get("correlation_filter_upload_id"))
 
 
 def parse(text: str) -> Request:

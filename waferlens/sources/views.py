@@ -57,6 +57,15 @@ def inline(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def fdc(spark: SparkSession, d: str) -> DataFrame:
+    """Run-data statistics: a row per unit, step, chamber, run and parameter."""
+    r = F.col("RESULT")
+    return uva(spark, d).groupBy("WAFER_ID", "OPE_NO", "CHAMBER_ID", "CHAMBER_NAME", "RUN_ID", "PARAMETRIC_NAME").agg(
+        F.avg(r).alias("AVERAGE"), F.stddev_pop(r).alias("STD_VAL"), F.min(r).alias("MIN_VAL"), F.percentile(r, F.lit(0.25)).alias("PERCENTILE_25"), F.median(r).alias("MEDIAN"),
+        F.percentile(r, F.lit(0.75)).alias("PERCENTILE_75"), F.max(r).alias("MAX_VAL"), (F.max(r) - F.min(r)).alias("RANGE1"), F.max("START_TIME").alias("START_TIME"),
+    )
+
+
 def sites(spark: SparkSession, d: str) -> DataFrame:
     """A unit's vector over 16 measurement sites, every seventh value missing."""
     v = F.col("vec_id")
