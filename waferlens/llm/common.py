@@ -9,8 +9,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one key that a join deals to one task; a key with more is dealt over slices of about as many.
-KEY_ROWS = 50_000
+#: A key with more rows than half a shuffle partition's share, and than this, is dealt over slices of about as many.
+KEY_ROWS = 1_000
+#: The same for the ends of links, which are pairs of numbers; rounds over links keep their plans small.
+LINK_ROWS = 50_000
 
 
 def _folder(spark: SparkSession) -> str:
@@ -42,18 +44,21 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def join_hot(large: DataFrame, small: DataFrame, key: str, rows: str, spread: Sequence[str], how: str = "inner", most: int | None = None, key_rows: int = KEY_ROWS) -> DataFrame:
+def join_hot(large: DataFrame, small: DataFrame, key: str, rows: str, spread: Sequence[str], how: str = "inner", most: int | None = None, key_rows: int | None = None) -> DataFrame:
     """``large`` joined by ``key`` to ``small``, which has one row a key and in ``rows`` how often ``large`` has it.
 
-    Rows of a key that occurs more than ``key_rows`` times are dealt over
-    slices by a hash of the columns ``spread``, and the key's row of ``small``
-    is repeated in each, so no key fills one task.  Such keys number at most
-    the rows of ``large`` / ``key_rows``: the bound of what is broadcast.
-    ``most``, if known, bounds how often a key occurs; else it is looked up,
-    and where no key is that frequent the join is a plain one.  ``rows`` goes.
+    Rows of a key that occurs more than ``key_rows`` times (by default more
+    than half a shuffle partition's share) are dealt over slices by a hash of
+    the columns ``spread``, and the key's row of ``small`` is repeated in
+    each, so no key fills one task.  Such keys number at most the rows of
+    ``large`` / ``key_rows``, by default twice the shuffle partitions: the
+    bound of what is broadcast.  ``most``, if known, bounds how often a key
+    occurs; else it is looked up, and where no key is that frequent the join
+    is a plain one.  ``rows`` goes.
     """
     if most is None:
-        most = small.agg(F.max(rows)).first()[0] or 0
+        total, most = small.agg(F.coalesce(F.sum(rows), F.lit(0)), F.coalesce(F.max(rows), F.lit(0))).first()
+        key_rows = key_rows or max(KEY_ROWS, total // (2 * int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     if most <= key_rows:
         return large.join(small.drop(rows), key, how)
     slices = F.ceil(F.col(rows) / key_rows).cast("int")
@@ -92,10 +97,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # u > v holds for every edge.  Large star: all larger neighbours of a node point to the least of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("degree"))
-        large = join_hot(both.filter("v > u"), least, "u", "degree", ["v"], most=2 * before[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = join_hot(both.filter("v > u"), least, "u", "degree", ["v"], most=2 * before[0], key_rows=LINK_ROWS).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: a node and all its smaller neighbours point to the least of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
-        pairs = join_hot(large, low, "u", "degree", ["v"], most=2 * before[0]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        pairs = join_hot(large, low, "u", "degree", ["v"], most=2 * before[0], key_rows=LINK_ROWS).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after_edges = cut(pairs.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
         after = _signature(after_edges)
         edges = after_edges
