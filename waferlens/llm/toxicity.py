@@ -12,6 +12,7 @@ and trained in numpy.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -366,11 +367,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, parts: int = 4,
         for b in batches:
             for key, label, text in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 seed = zlib.crc32(str(key).encode())
-                own = telling_windows(words_of(text), *sent.value, windows, np.random.default_rng(seed))
-                yield pa.RecordBatch.from_arrays([pa.array([key], b.schema.field(0).type), pa.array([label], pa.int32()), pa.array([own], pa.list_(pa.list_(pa.string())))], names=["id", "label", "windows"])
+                own = [" ".join(w) for w in telling_windows(words_of(text), *sent.value, windows, np.random.default_rng(seed))]
+                yield pa.RecordBatch.from_arrays([pa.array([key], b.schema.field(0).type), pa.array([label], pa.int32()), pa.array([own], pa.list_(pa.string()))], names=["id", "label", "windows"])
 
-    got = sample.select("_id", "label", "text").mapInArrow(pick, f"id {kind}, label int, windows array<array<string>>").toPandas().sort_values("id")
-    return fit_windows([[list(w) for w in own] for own in got["windows"]], got["label"].astype(int).tolist(), *known, **options)
+    got = sample.select("_id", "label", "text").mapInArrow(pick, f"id {kind}, label int, windows array<string>").toPandas().sort_values("id")
+    # A word is one object, however often it occurs.
+    return fit_windows([[list(map(sys.intern, w.split())) for w in own] for own in got["windows"]], got["label"].astype(int).tolist(), *known, **options)
 
 
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
