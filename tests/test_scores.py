@@ -167,3 +167,28 @@ def test_larger_class_shrinks_to_centroids():
     assert sorted(np.round(centres[:, 0]).tolist()) == [0.0, 9.0]
     f = models.balanced_f(x, np.array([0] * 60 + [1] * 2))
     assert f[1] > f[0]
+
+
+def test_plain_relations_equal_polynomial_fits(spark):
+    """R2 of the line, the quadratic and the line through squared y, by least squares of numpy."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(40, 3, 60)
+    groups = {
+        "line": (x, 2 * x + rng.normal(0, 1, 60)), "curve": (x, (x - 40) ** 2 + rng.normal(0, 1, 60)), "root": (x, np.sqrt(10 * x - 100) + rng.normal(0, 0.01, 60)), "noise": (x, rng.normal(0, 1, 60)),
+        "flat": (x, np.full(60, 2.0)), "same": (np.full(60, 3.0), x), "zero": (x, np.zeros(60)), "two": (np.array([1.0, 2.0] * 5), rng.normal(0, 1, 10)), "one": (np.array([1.0]), np.array([2.0])), None: (x, -x),
+    }
+    rows = [(g, float(a), float(b)) for g, (xs, ys) in groups.items() for a, b in zip(xs, ys, strict=True)]
+    df = spark.createDataFrame([*rows, ("line", None, 1.0), ("line", 1.0, float("nan"))], "G string, A double, B double")
+    got = {r.G: r for r in relation.relation_plain(df, ["G"], "A", "B").collect()}
+    fitted = {r.G: r for r in relation.fitted_correlations(df, ["G"], "A", "B").collect()}
+    assert set(got) == set(groups) == set(fitted)
+    for g, (xs, ys) in groups.items():
+        want = 0.0
+        if len(xs) > 1 and np.ptp(xs) and np.ptp(ys):
+            fits = [(1, ys), (1 if len(set(xs)) < 3 else 2, ys), (1, ys**2)]
+            curves = [np.polyval(np.polyfit(xs, z, n), xs) for n, z in fits]
+            want = max(1 - ((z - c) ** 2).sum() / ((z - z.mean()) ** 2).sum() for (_, z), c in zip(fits, curves, strict=True))
+            r = [np.corrcoef(c, ys)[0, 1] for c in curves]
+            assert [fitted[g].LINEAR, fitted[g].QUADRATIC, fitted[g].SQRT] == pytest.approx(r, abs=1e-6)
+        assert got[g].WEIGHT == pytest.approx(want, abs=1e-8) and got[g].PAIRS == len(xs)
+    assert {r.G: r.WEIGHT for r in relation.relation_plain(df, ["G"], "A", "B", threshold=0.9).collect()}["noise"] == 0

@@ -497,11 +497,25 @@ def relation_r2_cv(spark: SparkSession, d: str) -> DataFrame:
     return _related(means.join(views.anomaly(spark, d), F.col("WAFER_ID") == F.col("NAME")), _K4, "RESULT", "VAL", ["WAFER_ID"])
 
 
-@query(sql("SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, count(*) AS PAIRS, round(CASE WHEN count(*) > 1 AND sum(abs(RESULT)) > 0 AND sum(abs(VAL)) > 0 THEN coalesce(regr_r2(VAL, RESULT), 0) ELSE 0 END, 6) AS WEIGHT FROM src GROUP BY ALL", "uva", "anomaly", src=_CORR_UVA))
+_PLAIN = {
+    "scaled": "SELECT *, coalesce((RESULT - avg(RESULT) OVER g) / nullif(stddev_pop(RESULT) OVER g, 0), 0) AS u FROM src WHERE RESULT IS NOT NULL AND VAL IS NOT NULL WINDOW g AS (PARTITION BY OPE_NO, EQP_NAME, PARAMETRIC_NAME)",
+    "mom": "SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, count(*) AS PAIRS, sum(abs(RESULT)) > 0 AND sum(abs(VAL)) > 0 AS some, max(RESULT) > min(RESULT) AND max(VAL) > min(VAL) AS varies, var_pop(VAL * VAL) > 0 AS zvaries, var_pop(u * u) AS vv, covar_pop(u, u * u) AS uv, "
+    "corr(VAL, u) AS ry, corr(VAL, u * u) AS rv, corr(u, u * u) AS ruv, corr(VAL * VAL, u) AS rz FROM scaled GROUP BY ALL",
+    "fit": "SELECT *, ry * ry AS l2, CASE WHEN vv - uv * uv > 1e-9 * vv THEN (ry * ry + rv * rv - 2 * ry * rv * ruv) / (1 - ruv * ruv) ELSE ry * ry END AS q2, CASE WHEN zvaries THEN rz * rz ELSE 0 END AS s2 FROM mom WHERE varies",
+}
+
+
+@query(sql("SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, mom.PAIRS, round(CASE WHEN mom.PAIRS > 1 AND mom.some THEN coalesce(least(greatest(l2, q2, s2, 0), 1), 0) ELSE 0 END, 6) AS WEIGHT FROM mom LEFT JOIN fit USING (OPE_NO, EQP_NAME, PARAMETRIC_NAME)", "uva", "anomaly", src=_CORR_UVA, **_PLAIN))
 def relation_r2_nocv(spark: SparkSession, d: str) -> DataFrame:
     return relation.relation_plain(corr_uva_rows(spark, d), _KP, "RESULT", "VAL").withColumn("WEIGHT", F.round("WEIGHT", 6))
 
 
+@query(sql("SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, mom.PAIRS, round(abs(fit.ry), 6) AS LINEAR, round(sqrt(greatest(q2, 0)), 6) AS QUADRATIC, round(CASE WHEN fit.zvaries AND fit.rz <> 0 THEN sign(fit.rz) * fit.ry END, 6) AS SQRT FROM mom LEFT JOIN fit USING (OPE_NO, EQP_NAME, PARAMETRIC_NAME)", "uva", "anomaly", src=_CORR_UVA, **_PLAIN))
+def relation_fitted_r(spark: SparkSession, d: str) -> DataFrame:
+    found = relation.fitted_correlations(corr_uva_rows(spark, d), _KP, "RESULT", "VAL")
+    return found.select(*_KP, "PAIRS", *r6("LINEAR", "QUADRATIC", "SQRT"))
+
+
 _INLINE_STATS = ("AVERAGE", "MAX_VAL", "MEDIAN", "MIN_VAL", "STD_DEV")
 _KI = ("OPE_NO", "PARAMETRIC_NAME", "STATS")
 _CORR_INLINE = f"SELECT i.*, VAL FROM (SELECT OPE_NO, PARAMETRIC_NAME, STATS, WAFER_ID, avg(R) AS RESULT FROM (SELECT *, unnest({list(_INLINE_STATS)}) AS STATS, unnest([{', '.join(_INLINE_STATS)}]) AS R FROM inline) WHERE R IS NOT NULL GROUP BY ALL) i JOIN anomaly ON WAFER_ID = NAME WHERE WAFER_ID IN (SELECT NAME FROM conf_wafer WHERE UPLOAD_ID = 'U1')"

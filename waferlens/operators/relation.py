@@ -116,9 +116,42 @@ def relation(df: DataFrame, keys: Sequence[str], x: str, y: str, order: Sequence
     return means.select(*keys, F.col("PAIRS"), weight.alias("WEIGHT"))
 
 
-def relation_plain(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
-    """Earlier form: squared correlation of the line, no folds; a variable of zeros or fewer than two pairs give 0."""
-    pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y))
-    got = pairs.groupBy(*keys).agg(F.count("*").alias("PAIRS"), F.regr_r2(y, x).alias("r2"), F.sum(F.abs(x)).alias("ax"), F.sum(F.abs(y)).alias("ay"))
-    fine = (F.col("PAIRS") > 1) & (F.col("ax") > 0) & (F.col("ay") > 0)
-    return got.select(*keys, "PAIRS", F.when(fine, F.coalesce("r2", F.lit(0.0))).otherwise(0.0).alias("WEIGHT"))
+def _plain_moments(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
+    """Variances and covariances per group of u (x, standardised), v (u squared), y and z (y squared); ``line``, ``curve`` and ``square`` are the R2 of y by u, of y by u and v, and of z by u, null for a constant."""
+    key = F.struct(*keys).alias("_k")  # a struct, so that null keys meet too
+    pairs = df.select(key, F.col(x).cast("double").alias("X_"), F.col(y).cast("double").alias("Y_"))
+    pairs = pairs.filter("X_ is not null and Y_ is not null and not isnan(X_) and not isnan(Y_)")
+    centre = pairs.groupBy("_k").agg(F.avg("X_").alias("mx"), F.stddev_pop("X_").alias("dx"))
+    rows = pairs.join(centre, "_k").withColumn("u", F.coalesce(F.try_divide(F.col("X_") - F.col("mx"), F.col("dx")), F.lit(0.0)))
+    rows = rows.withColumns({"v": F.col("u") * F.col("u"), "z": F.col("Y_") * F.col("Y_")})
+    got = rows.groupBy("_k").agg(
+        F.count("*").alias("PAIRS"), F.sum(F.abs("X_")).alias("ax"), F.sum(F.abs("Y_")).alias("ay"), *[F.var_pop(c).alias(n) for c, n in (("u", "uu"), ("v", "vv"), ("Y_", "yy"), ("z", "zz"))],
+        *[F.covar_pop(a, b).alias(n) for a, b, n in (("u", "v", "uv"), ("u", "Y_", "uy"), ("v", "Y_", "vy"), ("u", "z", "uz"))],
+    )
+    c, det = F.col, F.col("uu") * F.col("vv") - F.col("uv") * F.col("uv")
+    line = F.try_divide(c("uy") * c("uy"), c("uu") * c("yy"))
+    both = F.try_divide(c("uy") * c("uy") * c("vv") - 2 * c("uy") * c("vy") * c("uv") + c("vy") * c("vy") * c("uu"), det * c("yy"))
+    # Two distinct values of x leave a quadratic open; the line goes through the same means.
+    curve = F.when(det > 1e-9 * c("uu") * c("vv"), both).otherwise(line)
+    square = F.try_divide(c("uz") * c("uz"), c("uu") * c("zz"))
+    return got.select("_k.*", "PAIRS", "ax", "ay", "uu", "yy", "uy", "uz", line.alias("line"), curve.alias("curve"), square.alias("square"))
+
+
+def relation_plain(df: DataFrame, keys: Sequence[str], x: str, y: str, threshold: float = 0.0) -> DataFrame:
+    """Earlier form without folds: the best R2 of the line, the quadratic and the line through squared y.
+
+    A variable of zeros, a constant, fewer than two pairs or a best R2 below
+    the threshold give 0.
+    """
+    got = _plain_moments(df, keys, x, y)
+    best = F.least(F.greatest(*[F.coalesce(c, F.lit(0.0)) for c in ("line", "curve", "square")], F.lit(0.0)), F.lit(1.0))
+    fine = (F.col("PAIRS") > 1) & (F.col("ax") > 0) & (F.col("ay") > 0) & (best >= threshold)
+    return got.select(*keys, "PAIRS", F.when(fine, best).otherwise(0.0).alias("WEIGHT"))
+
+
+def fitted_correlations(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
+    """The correlation of y with what each model fits: LINEAR, QUADRATIC and SQRT (the line through squared y); null for constants."""
+    got = _plain_moments(df, keys, x, y)
+    r = F.try_divide(F.col("uy"), F.sqrt(F.col("uu") * F.col("yy")))
+    up = F.when(F.col("uz") != 0, F.signum("uz"))
+    return got.select(*keys, "PAIRS", F.abs(r).alias("LINEAR"), F.sqrt(F.greatest("curve", F.lit(0.0))).alias("QUADRATIC"), (up * r).alias("SQRT"))
