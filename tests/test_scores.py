@@ -192,3 +192,14 @@ def test_plain_relations_equal_polynomial_fits(spark):
             assert [fitted[g].LINEAR, fitted[g].QUADRATIC, fitted[g].SQRT] == pytest.approx(r, abs=1e-6)
         assert got[g].WEIGHT == pytest.approx(want, abs=1e-8) and got[g].PAIRS == len(xs)
     assert {r.G: r.WEIGHT for r in relation.relation_plain(df, ["G"], "A", "B", threshold=0.9).collect()}["noise"] == 0
+
+
+def test_missing_share_rule(spark):
+    """Statistics with too many gaps in a group's rows go, other gaps take its mean; features that too few units have go."""
+    rows = [("a", "x", 1.0), ("a", "x", None), ("a", "x", 5.0), ("a", "y", None), ("a", "y", None), ("a", "y", None), ("a", "y", 2.0), ("b", "y", None), ("b", "y", 4.0)]
+    got = shape.fill_statistics(spark.createDataFrame(rows, "G string, STATS string, RESULT double"), ["G"]).collect()
+    assert sorted(map(tuple, got)) == [("a", "x", 1.0), ("a", "x", 3.0), ("a", "x", 5.0), ("b", "y", 4.0), ("b", "y", 4.0)]
+    cells = [("g", f"u{u}", f, float(u * k)) for k, (f, n) in enumerate([("often", 10), ("seldom", 3), ("rare", 2)], 1) for u in range(n)]
+    df = spark.createDataFrame(cells, "G string, UNIT string, FEATURE string, RESULT double")
+    assert {r.FEATURE for r in models.filled_matrix(df, ["G"], missing=0.7).collect()} == {"often", "seldom"}
+    assert {r.FEATURE for r in models.filled_matrix(df, ["G"]).collect()} == {"often", "seldom", "rare"}

@@ -889,10 +889,14 @@ def rf_importance(spark: SparkSession, d: str) -> DataFrame:
     return models.group_importances(rows, ["OPE_NO"], _top_group(rows))
 
 
-@query()
+_SHRUNK = "SELECT label, count(*) AS n FROM (SELECT DISTINCT WAFER_ID, CASE WHEN CAST(substr(WAFER_ID, 2) AS BIGINT) % 10 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS label FROM inline JOIN conf_wafer ON WAFER_ID = NAME WHERE PARAMETRIC_NAME IN ('QTY#ALL#MEAN', 'TAX#ALL#MEAN') AND AVERAGE IS NOT NULL) GROUP BY 1"
+
+
+@query(sql("SELECT label, CAST(CASE WHEN (max(n) OVER () - min(n) OVER ()) / sum(n) OVER () > 0.7 THEN min(n) OVER () ELSE n END AS BIGINT) AS N FROM sizes", "inline", "conf_wafer", sizes=_SHRUNK))
 def undersample(spark: SparkSession, d: str) -> DataFrame:
     """Class sizes after the larger class, made nine tenths here, shrinks to centroids."""
-    rows = _units(spark, d).filter("FEATURE like 'QTY%AVERAGE' or FEATURE like 'TAX%AVERAGE'").withColumn("label", F.when(F.crc32(F.col("UNIT")) % 10 == 0, 1).otherwise(0))
+    tenth = F.substring("UNIT", 2, 18).cast("long") % 10 == 0
+    rows = _units(spark, d).filter("FEATURE like 'QTY%AVERAGE' or FEATURE like 'TAX%AVERAGE'").withColumn("label", F.when(tenth, 1).otherwise(0))
     table = models.feature_table(rows, ["QTY#ALL#MEAN#AVERAGE", "TAX#ALL#MEAN#AVERAGE"])
     return models.undersample(table).groupBy("label").agg(F.count("*").alias("N"))
 

@@ -15,23 +15,27 @@ from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 
-def filled_matrix(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Long means per UNIT and FEATURE without constant features: ``keys, UNIT, FEATURE, X, MEAN``; gaps stay out, since a mean fill adds nothing to centred products."""
+def filled_matrix(rows: DataFrame, keys: Sequence[str], missing: float | None = None) -> DataFrame:
+    """Long means per UNIT and FEATURE without constant features: ``keys, UNIT, FEATURE, X, MEAN``; gaps stay out, since a mean fill adds nothing to centred products.  Features that more than ``missing`` of a group's units lack go."""
     means = rows.na.drop(subset=[*keys, "UNIT", "FEATURE", "RESULT"]).groupBy(*keys, "UNIT", "FEATURE").agg(F.avg("RESULT").alias("X"))
     w = Window.partitionBy(*keys, "FEATURE")
     stats = means.withColumn("MEAN", F.avg("X").over(w)).withColumn("_lo", F.min("X").over(w)).withColumn("_hi", F.max("X").over(w))
+    if missing is not None:
+        units = means.groupBy(*keys).agg(F.count_distinct("UNIT").alias("_units"))
+        stats = stats.withColumn("_n", F.count("*").over(w)).join(units, list(keys)).filter(1 - F.col("_n") / F.col("_units") <= missing).drop("_n", "_units")
     return stats.filter("_lo < _hi").drop("_lo", "_hi")
 
 
-def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise: bool = True, doubled: bool = False, variance: float | None = None) -> DataFrame:
+def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise: bool = True, doubled: bool = False, variance: float | None = None, missing: float | None = None) -> DataFrame:
     """Per component of each group the feature of largest loading: ``keys, FEATURE, IMPORTANCE`` (|loading|, or its share).
 
     min(units, features) - 2 components, ``most`` at most; groups with 2 or
     less of either give nothing (``doubled`` counts units twice).  With
-    ``variance`` the fewest components that reach this share are taken.
+    ``variance`` the fewest components that reach this share are taken, with
+    ``missing`` features that more than this share of the units lack go first.
     """
     keys = list(keys)
-    cells = filled_matrix(rows, keys)
+    cells = filled_matrix(rows, keys, missing)
     centred = cells.select(*keys, "UNIT", "FEATURE", (F.col("X") - F.col("MEAN")).alias("C"))
     # A unit's features meet in one array; products of pairs are summed per group, partially before the shuffle.
     units = centred.groupBy(*keys, "UNIT").agg(F.array_sort(F.collect_list(F.struct("FEATURE", "C"))).alias("v"))

@@ -22,9 +22,18 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
 
 
-def unpivot_stats(df: DataFrame, ids: Sequence[str], stats: Sequence[str]) -> DataFrame:
-    """One row per statistic that is there."""
-    return df.unpivot(list(ids), list(stats), "STATS", "RESULT").filter("RESULT is not null")
+def unpivot_stats(df: DataFrame, ids: Sequence[str], stats: Sequence[str], gaps: bool = False) -> DataFrame:
+    """One row per statistic that is there; with ``gaps`` also of those that are not."""
+    rows = df.unpivot(list(ids), list(stats), "STATS", "RESULT")
+    return rows if gaps else rows.filter("RESULT is not null")
+
+
+def fill_statistics(long: DataFrame, keys: Sequence[str], share: float = 0.7) -> DataFrame:
+    """Statistics that lack more than ``share`` of a group's rows go; gaps of the others take the statistic's mean in the group."""
+    by = [*keys, "STATS"]
+    found = long.groupBy(*by).agg(F.avg(F.col("RESULT").isNull().cast("double")).alias("_share"), F.avg("RESULT").alias("_mean"))
+    kept = found.filter(F.col("_share") <= share).drop("_share")
+    return long.join(kept, by).withColumn("RESULT", F.coalesce("RESULT", "_mean")).drop("_mean").select(*long.columns)
 
 
 def site_statistics(df: DataFrame, ids: Sequence[str], sites: Sequence[str]) -> DataFrame:
@@ -32,12 +41,12 @@ def site_statistics(df: DataFrame, ids: Sequence[str], sites: Sequence[str]) ->
     return rows.select(*ids, *[c.alias(n) for n, c in vector_stats(F.col("_v")).items()])
 
 
-def site_features(df: DataFrame, ids: Sequence[str], good: Sequence[str], bad: Sequence[str]) -> DataFrame:
+def site_features(df: DataFrame, ids: Sequence[str], good: Sequence[str], bad: Sequence[str], gaps: bool = False) -> DataFrame:
     """Each row becomes two: statistics of its good sites (label 0) and of its bad ones (label 1), long; one scan."""
     sides = F.inline(F.array(*[F.struct(F.lit(n).alias("label"), site_array(c).alias("_v")) for n, c in enumerate((good, bad))]))
     rows = df.select(*ids, sides)
     wide = rows.select(*ids, "label", *[c.alias(n) for n, c in vector_stats(F.col("_v")).items()])
-    return unpivot_stats(wide, [*ids, "label"], list(vector_stats(F.lit(None))))
+    return unpivot_stats(wide, [*ids, "label"], list(vector_stats(F.lit(None))), gaps)
 
 
 def zone_features(df: DataFrame, ids: Sequence[str], zones: Mapping[str, Mapping[str, Sequence[str]]]) -> DataFrame:

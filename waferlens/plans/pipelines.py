@@ -171,7 +171,7 @@ def wat_by_wafer(facts: DataFrame, conf: DataFrame, request: Request, mapping: D
 def by_site(facts: DataFrame, request: Request) -> DataFrame:
     """Good against bad sites of the same units: principal parameters by loading."""
     rows = selected(facts.filter(fp.excludes("PARAMETRIC_NAME", EXCLUDED["site"])), request, "MEASURE_TIME")
-    long = shape.site_features(rows, [*request.keys, "WAFER_ID", "PARAMETRIC_NAME"], request.good_sites, request.bad_sites)
+    long = shape.site_features(rows, [*request.keys, "WAFER_ID", "PARAMETRIC_NAME"], request.good_sites, request.bad_sites, gaps=True)
     return _by_loading(long, request)
 
 
@@ -179,15 +179,17 @@ def by_zone(facts: DataFrame, request: Request) -> DataFrame:
     rows = selected(facts.filter(fp.excludes("PARAMETRIC_NAME", EXCLUDED["zone"])), request, "MEASURE_TIME")
     wide = shape.zone_features(rows, [*request.keys, "WAFER_ID", "PARAMETRIC_NAME"], request.zones)
     stats = [c for c in wide.columns if c not in (*request.keys, "WAFER_ID", "PARAMETRIC_NAME", "LABEL", "ZONE")]
-    long = shape.unpivot_stats(wide.withColumnRenamed("LABEL", "label"), [*request.keys, "WAFER_ID", "PARAMETRIC_NAME", "label"], stats)
+    long = shape.unpivot_stats(wide.withColumnRenamed("LABEL", "label"), [*request.keys, "WAFER_ID", "PARAMETRIC_NAME", "label"], stats, gaps=True)
     return _by_loading(long, request)
 
 
-def _by_loading(long: DataFrame, request: Request) -> DataFrame:
+def _by_loading(long: DataFrame, request: Request, missing: float = 0.7) -> DataFrame:
+    """``missing`` bounds the share of gaps twice: of a statistic among a group's rows, then of a parameter's statistic among its units."""
     keys = list(request.keys)
     everything = counts.universe(long, keys, stats=True, labelled=False)
-    unit = long.withColumn("UNIT", F.concat_ws("/", "WAFER_ID", F.col("label").cast("string"))).withColumn("FEATURE", F.concat_ws("\x1f", "PARAMETRIC_NAME", "STATS"))
-    top = models.pca_features(unit, keys, normalise=False)
+    filled = shape.fill_statistics(long, keys, missing)
+    unit = filled.withColumn("UNIT", F.concat_ws("/", "WAFER_ID", F.col("label").cast("string"))).withColumn("FEATURE", F.concat_ws("\x1f", "PARAMETRIC_NAME", "STATS"))
+    top = models.pca_features(unit, keys, normalise=False, missing=missing)
     parts = F.split("FEATURE", "\x1f")
     scored = top.groupBy(*keys, F.get(parts, F.lit(0)).alias("PARAMETRIC_NAME"), F.get(parts, F.lit(1)).alias("STATS")).agg(F.sum("IMPORTANCE").alias("IMPORTANCE"))
     return weights.decorated(shape.missing_rows(everything, weights.weights_small(scored), [*keys, "PARAMETRIC_NAME", "STATS"]), request.request_id)
