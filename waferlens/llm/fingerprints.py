@@ -49,8 +49,10 @@ def clashes(docs: DataFrame, digests: DataFrame, text_col: str = "text", broadca
     are.  Their list is counted: up to ``broadcast_rows`` it is broadcast and
     texts are picked where they are read, beyond that both sides are shuffled.
     """
-    repeated = digests.groupBy("fp").agg(F.count("*").alias("rows")).filter("rows > 1").drop("rows")
-    wanted = cut(digests.join(repeated, "fp", "left_semi").select("text_key").distinct(), "repeated")
+    # Copies of a text become one row before the join, so a large group of them is no frequent key.
+    keyed = digests.groupBy("fp", "text_key").agg(F.count("*").alias("n"))
+    repeated = keyed.groupBy("fp").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).filter("n > 1").drop("n")
+    wanted = cut(join_hot(keyed, repeated, "fp", "rows", ["text_key"], "left_semi").select("text_key").distinct(), "repeated")
     if wanted.limit(broadcast_rows + 1).count() <= broadcast_rows:
         wanted = F.broadcast(wanted)
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("body")).withColumn("text_key", F.xxhash64("body")).join(wanted, "text_key", "left_semi")
