@@ -1,12 +1,14 @@
 import json
 
 import numpy as np
+import plain_two_samples as plain
 import pytest
 from pyspark.sql import functions as F
 
 from waferlens.functions import columns as fc
 from waferlens.functions import hypothesis_tests as ht
 from waferlens.functions import predicates as fp
+from waferlens.operators import models
 from waferlens.plans import pipelines
 from waferlens.plans.request import RequestError, parse
 from waferlens.sources import tables
@@ -157,12 +159,30 @@ def test_hypothesis_tests_known_values():
     # Reference values worked out with an independent statistics package.
     assert ht.t_p(2.0, 10) == pytest.approx(0.07338803, abs=1e-7)
     assert ht.f_p(4.0, 2, 12) == pytest.approx(0.046656, abs=1e-5)
-    u, p = ht.mann_whitney(np.array([1.0, 2, 3]), np.array([4.0, 5, 6]))
+    u, p = plain.mann_whitney(np.array([1.0, 2, 3]), np.array([4.0, 5, 6]))
     assert (u, p) == (0.0, pytest.approx(0.1))
-    assert ht.shapiro(np.array([1.0, 2, 3])) == pytest.approx(1.0, abs=1e-6)
+    assert ht.mann_whitney(3, 3, 6.0, 0) == (0.0, pytest.approx(0.1))
+    assert plain.shapiro(np.array([1.0, 2, 3])) == pytest.approx(1.0, abs=1e-6)
     r = np.random.default_rng(0)
-    assert ht.shapiro(r.normal(size=50)) > 0.05 > ht.shapiro(r.exponential(size=50))
-    assert ht.ladder(np.array([1.0, 2, 3]), np.array([3.0, 4, 0]))[0] == "student"
+    assert plain.shapiro(r.normal(size=50)) > 0.05 > plain.shapiro(r.exponential(size=50))
+    assert plain.ladder(np.array([1.0, 2, 3]), np.array([3.0, 4, 0]))[0] == "student"
+
+
+@pytest.mark.parametrize("by_mean", [False, True])
+def test_ladder_of_sums_equals_ladder_of_samples(spark, by_mean):
+    """Sizes around every branch: short samples, ties, constants, skew, unequal spread, a far offset, one class only."""
+    r = np.random.default_rng(7)
+    pairs = {"one": ([4.0], [5.0, 6.0]), "same": ([2.0] * 4, [2.0] * 5), "constants": ([1.0] * 4, [2.0] * 4), "tied": ([1.0, 1, 2, 9, 9, 9, 50], [1.0, 2, 2, 2, 60, 9, 9])}
+    for n, m in ((3, 3), (4, 5), (5, 9), (6, 6), (8, 40), (11, 12), (30, 7), (60, 200)):
+        pairs |= {f"normal {n} {m}": (r.normal(0, 1, n), r.normal(0.5, 1, m)), f"wide {n} {m}": (r.normal(0, 1, n), r.normal(0, 9, m)), f"skew {n} {m}": (r.exponential(1, n) ** 3, r.exponential(1, m)), f"far {n} {m}": (r.normal(1e6, 1, n), r.normal(1e6, 1, m))}
+    rows = [(g, c, float(v)) for g, both in pairs.items() for c, own in enumerate(both) for v in own]
+    df = spark.createDataFrame([*rows, ("lonely", 0, 1.0), ("tied", 1, None), (None, 0, 1.0), (None, 1, 2.0)], "G string, label int, V double")
+    got = {q.G: (q.TEST, q.STATISTIC, q.IMPORTANCE) for q in models.two_sample_tests(df, ["G"], "V", by_mean=by_mean).collect()}
+    assert set(got) == {*pairs, None}
+    assert {q[0] for q in got.values()} == {"student", "welch", "mann_whitney"}
+    for g, (x, y) in pairs.items():
+        test, statistic, p = plain.ladder(np.array(x), np.array(y), by_mean=by_mean)
+        assert got[g] == (test, pytest.approx(statistic, rel=1e-6, abs=1e-9), pytest.approx(1 - p, abs=1e-6)), g
 
 
 def test_streaming_features(spark, data, tmp_path):

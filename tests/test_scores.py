@@ -129,11 +129,39 @@ def test_pca_features_equal_svd(spark):
     assert sorted((q["FEATURE"], round(q["IMPORTANCE"], 6)) for q in got) == want
 
 
-def test_information_of_a_copy_and_of_noise():
+def _harmonic(n):
+    return sum(1 / i for i in range(1, int(n))) - np.euler_gamma
+
+
+def _information(x, y, k=3):
+    """The estimate by all distances."""
+    kept = np.array([(y == c).sum() > 1 for c in y])
+    x, y = x[kept], y[kept]
+    if not len(x):
+        return 0.0
+    parts = []
+    for i in range(len(x)):
+        same = np.sort(np.abs(x[y == y[i]] - x[i]))
+        own = min(k, len(same) - 1)
+        parts.append(_harmonic(own) - _harmonic(len(same)) - _harmonic(max(1, (np.abs(x - x[i]) <= same[own] * (1 - 1e-10)).sum())))
+    return max(0.0, _harmonic(len(x)) + np.mean(parts))
+
+
+def test_information_equals_all_distances(spark):
+    """Ties, repeated values, classes of one, two and none, and a copy of the class."""
     r = np.random.default_rng(0)
-    y = r.integers(0, 2, 400)
-    assert models.knn_information(y + r.normal(0, 0.05, 400), y) > 0.6
-    assert models.knn_information(r.normal(size=400), y) < 0.08
+    y = r.integers(0, 2, 300)
+    groups = {
+        "copy": (y + r.normal(0, 0.05, 300), y), "noise": (r.normal(size=300), y), "tied": (r.integers(0, 6, 60).astype(float), y[:60]), "same": (np.ones(12), y[:12]),
+        "one": (np.arange(6.0), np.array([0] * 5 + [1])), "two": (np.array([1.0, 2, 5, 7, 8]), np.array([0, 1, 0, 1, 1])), "single": (np.array([1.0]), np.array([1])), "pair": (np.array([1.0, 2]), np.array([0, 1])),
+    }
+    rows = [("g", f"w{i}", int(c), p, float(v)) for p, (x, ys) in groups.items() for i, (v, c) in enumerate(zip(x, ys, strict=True))]
+    df = spark.createDataFrame([*rows, ("g", "w", 0, "copy", None), ("g", "w", None, "copy", 1.0)], "G string, WAFER_ID string, label int, PARAMETRIC_NAME string, RESULT double")
+    got = {q.PARAMETRIC_NAME: q.MI for q in models.mutual_information(df, ["G"]).collect()}
+    assert set(got) == set(groups)
+    for p, (x, ys) in groups.items():
+        assert got[p] == pytest.approx(_information(x, ys), abs=1e-9), p
+    assert got["copy"] > 0.6 and got["noise"] < 0.08
 
 
 def test_latest_run_drops_null_keys(spark):

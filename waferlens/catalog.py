@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from .functions import predicates as fp
 from .operators import counts, models, relation, scores, shape, weights
 from .plans import etl, pipelines
 from .plans.request import Request, parse
-from .sources import views
+from .sources import tables, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -878,15 +879,11 @@ def pca_topfeat(spark: SparkSession, d: str) -> DataFrame:
     return models.pca_features(_units(spark, d), ["PRODG1", "OPE_NO"])
 
 
-def _top_group(rows: DataFrame) -> list:
-    return rows.groupBy("OPE_NO").agg(F.count_distinct("UNIT").alias("n")).orderBy(F.desc("n"), "OPE_NO").limit(1).select("OPE_NO").collect()
-
-
 @query()
 def rf_importance(spark: SparkSession, d: str) -> DataFrame:
-    """The largest step's parameters by random forest (a top-1 report: each group is a distributed fit)."""
+    """Each step's parameters by random forest, a distributed fit per step."""
     rows = _units(spark, d)
-    return models.group_importances(rows, ["OPE_NO"], _top_group(rows))
+    return models.group_importances(rows, ["OPE_NO"], rows.select("OPE_NO").distinct().sort("OPE_NO").collect())
 
 
 _SHRUNK = "SELECT label, count(*) AS n FROM (SELECT DISTINCT WAFER_ID, CASE WHEN CAST(substr(WAFER_ID, 2) AS BIGINT) % 10 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS label FROM inline JOIN conf_wafer ON WAFER_ID = NAME WHERE PARAMETRIC_NAME IN ('QTY#ALL#MEAN', 'TAX#ALL#MEAN') AND AVERAGE IS NOT NULL) GROUP BY 1"
@@ -901,9 +898,20 @@ def undersample(spark: SparkSession, d: str) -> DataFrame:
     return models.undersample(table).groupBy("label").agg(F.count("*").alias("N"))
 
 
-@query()
+_CENTS = "SELECT WAFER_ID, label, OPE_NO, EQP_NAME, PARAMETRIC_NAME, avg(round(RESULT * 100)) AS X FROM labelled WHERE RESULT IS NOT NULL GROUP BY ALL"
+_NEAR = "SELECT *, count(*) OVER (PARTITION BY OPE_NO, EQP_NAME, PARAMETRIC_NAME, label) AS n, list(X) OVER (PARTITION BY OPE_NO, EQP_NAME, PARAMETRIC_NAME, label ORDER BY X ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS l FROM cents"
+_RADIUS = "SELECT *, least(3, n - 1) AS k, list_sort(list_transform(l, lambda v: abs(v - X)))[least(3, n - 1) + 1] * (1 - 1e-10) AS r FROM near WHERE n > 1"
+_WITHIN = "SELECT a.OPE_NO, a.EQP_NAME, a.PARAMETRIC_NAME, a.WAFER_ID, a.label, any_value(a.n) AS n, any_value(a.k) AS k, count(*) AS m FROM radius a JOIN radius b ON a.OPE_NO = b.OPE_NO AND a.EQP_NAME = b.EQP_NAME AND a.PARAMETRIC_NAME = b.PARAMETRIC_NAME AND b.X BETWEEN a.X - a.r AND a.X + a.r GROUP BY 1, 2, 3, 4, 5"
+# Differences of harmonic numbers: Euler's constant cancels out.
+_HARMONIC = "SELECT i, coalesce(sum(1.0::DOUBLE / i) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS h FROM range(1, 2000000) t(i)"
+_MI = "SELECT OPE_NO, EQP_NAME, PARAMETRIC_NAME, count(*) AS n, avg(hk.h - hn.h - hm.h) AS part FROM within JOIN harmonic hk ON hk.i = k JOIN harmonic hn ON hn.i = within.n JOIN harmonic hm ON hm.i = m GROUP BY ALL"
+
+
+@query(sql("SELECT g.OPE_NO, g.EQP_NAME, g.PARAMETRIC_NAME, round(coalesce(greatest(0, h + part), 0), 6) AS MI FROM (SELECT DISTINCT OPE_NO, EQP_NAME, PARAMETRIC_NAME FROM cents) g LEFT JOIN found USING (OPE_NO, EQP_NAME, PARAMETRIC_NAME) LEFT JOIN harmonic ON i = found.n", "labelled", cents=_CENTS, near=_NEAR, radius=_RADIUS, within=_WITHIN, harmonic=_HARMONIC, found=_MI))
 def mutual_info(spark: SparkSession, d: str) -> DataFrame:
-    return models.mutual_information(labelled(spark, d), K2)
+    """Values in hundredths, whose sums are exact in any order, so that ties stay ties."""
+    rows = labelled(spark, d).withColumn("RESULT", F.round(F.col("RESULT") * 100))
+    return models.mutual_information(rows, K2).select(*K2, "PARAMETRIC_NAME", *r6("MI"))
 
 
 @query()
@@ -1009,3 +1017,92 @@ def run_features_placed(spark: SparkSession, d: str) -> DataFrame:
     contexts = views.runs(spark, d).select("TOOL_ID", "RUN_ID", F.concat(F.lit("P"), (F.col("RUN_ID").cast("long") % 3).cast("string")).alias("PRODUCT_ID"))
     features = samples(spark, d).groupBy("TOOL_ID", "RUN_ID", "COLUMN_NAME").agg(F.round(F.avg("VAL"), 6).alias("AVERAGE"))
     return etl.placed_features(features, contexts, tools)
+
+
+# --- sinks, files, groups, days -------------------------------------------------------------------------------------
+_SLICED = "SELECT KEY, WAFER_ID, LAYER_ID, DEFECTS FROM defects"
+
+
+@query(sql(f"SELECT * FROM ({_SLICED} WHERE LAYER_ID <> '1-URGENT' UNION ALL {_SLICED} WHERE LAYER_ID = '1-URGENT' AND PRODG1 = 'O')", "defects"))
+def slices_reloaded(spark: SparkSession, d: str) -> DataFrame:
+    """A table by layer, one layer of which is loaded anew, twice."""
+    rows = views.defects(spark, d)
+    sink = tables.Sink(tables.scratch_path(spark, "slices"), fields=("KEY", "WAFER_ID", "LAYER_ID", "DEFECTS"))
+    sink.write(rows, partition_by=("LAYER_ID",))
+    for _ in range(2):
+        sink.replace_slices(rows.filter("LAYER_ID = '1-URGENT' and PRODG1 = 'O'"), "LAYER_ID")
+    return spark.read.parquet(sink.path).select("KEY", "WAFER_ID", "LAYER_ID", "DEFECTS")
+
+
+@query(sql("SELECT KEY || '@' || WAFER_ID || '@' || DEFECTS AS value FROM defects", "defects"))
+def separated_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Separated text in files of at most 1,000 rows, read back as lines."""
+    sink = tables.separated_text(tables.scratch_path(spark, "lines"), rows_per_file=1000)
+    sink.write(views.defects(spark, d).select("KEY", "WAFER_ID", "DEFECTS"))
+    return tables.read_text(spark, sink.path)
+
+
+@query(sql("SELECT WAFER_ID, KEY, DEFECTS FROM (SELECT * FROM defects UNION ALL SELECT * FROM defects)", "defects"))
+def rows_appended(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows appended twice in a fixed order of fields, as separated text with a header."""
+    sink = tables.Sink(tables.scratch_path(spark, "appended"), "csv", fields=("WAFER_ID", "KEY", "DEFECTS"), options={"header": "true", "sep": ";"})
+    for _ in range(2):
+        sink.write(views.defects(spark, d))
+    return tables.read_csv(spark, sink.path, "WAFER_ID string, KEY long, DEFECTS long", sep=";")
+
+
+@query(sql("SELECT KEY, LAYER_ID FROM defects WHERE PRODG1 = 'O'", "defects"))
+def rows_overwritten(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of JSON, written over by fewer."""
+    rows = views.defects(spark, d)
+    sink = tables.Sink(tables.scratch_path(spark, "json"), "json", fields=("KEY", "LAYER_ID"), rows_per_file=1000)
+    sink.write(rows)
+    sink.write(rows.filter("PRODG1 = 'O'"), mode="overwrite")
+    return spark.read.json(sink.path, schema="KEY long, LAYER_ID string")
+
+
+@query("SELECT n_regionkey AS REGION, count(*) AS N FROM nation GROUP BY 1")
+def renamed_query(spark: SparkSession, d: str) -> DataFrame:
+    """A query over registered tables with its columns renamed in order."""
+    tables.TableSource(spark, d).register("nation")
+    return tables.read_as(spark, "SELECT n_regionkey, count(*) FROM nation GROUP BY n_regionkey", ["REGION", "N"])
+
+
+@query(sql("SELECT OPE_NO, EQP_NAME, count(*) AS N FROM labelled JOIN c USING (OPE_NO, EQP_NAME) WHERE BAD_NUM > GOOD_NUM * 0.66 GROUP BY ALL", "labelled", c=_COMMON.format(k="OPE_NO, EQP_NAME", t="labelled")))
+def rows_in_groups(spark: SparkSession, d: str) -> DataFrame:
+    rows = labelled(spark, d)
+    groups = counts.commonality(rows, K2).filter("BAD_NUM > GOOD_NUM * 0.66")
+    return fp.in_groups(rows, groups, K2).groupBy(*K2).agg(F.count("*").alias("N"))
+
+
+@query("SELECT o_orderkey AS KEY FROM orders WHERE o_orderkey % 5 > 2")
+def named_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose name is neither null, empty nor NA."""
+    k = F.col("o_orderkey") % 5
+    rows = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("KEY"), F.when(k == 0, "").when(k == 1, "NA").when(k > 2, "W").alias("NAME"))
+    return rows.filter(fp.named("NAME")).select("KEY")
+
+
+@query(sql("SELECT KEY FROM defects WHERE INSPECTION_TIME >= TIMESTAMP '1996-01-31 18:00:00' AND INSPECTION_TIME < TIMESTAMP '1996-03-01 03:00:00'", "defects"))
+def widened_range(spark: SparkSession, d: str) -> DataFrame:
+    return views.defects(spark, d).filter(fp.widened_range("INSPECTION_TIME", "1996-02-01", "1996-03-01", 6, 3)).select("KEY")
+
+
+@query(sql("SELECT TOOL_ID, date_trunc('second', TIME_STAMP)::TIMESTAMP AS AT_SECOND, count(*) AS N FROM runs GROUP BY ALL", "runs"))
+def run_seconds(spark: SparkSession, d: str) -> DataFrame:
+    return views.runs(spark, d).groupBy("TOOL_ID", fc.to_second("TIME_STAMP").alias("AT_SECOND")).agg(F.count("*").alias("N"))
+
+
+@query(sql("SELECT strftime(TIME_STAMP, '%Y-%m-%d') AS DAY, TOOL_ID, count(*) AS N, round(avg(VAR1), 6) AS AVERAGE FROM runs WHERE TIME_STAMP >= TIMESTAMP '2024-01-05' AND TIME_STAMP < TIMESTAMP '2024-01-20' GROUP BY ALL", "runs"))
+def run_days(spark: SparkSession, d: str) -> DataFrame:
+    """A range of days, its end clipped to the present, as one job keyed by day."""
+    start, end = etl.day_range("20240105", "20240131", datetime(2024, 1, 20, 12))
+    rows = etl.by_day(views.runs(spark, d), "TIME_STAMP", start, end)
+    return rows.groupBy(F.col("DAY").cast("string").alias("DAY"), "TOOL_ID").agg(F.count("*").alias("N"), F.round(F.avg("VAR1"), 6).alias("AVERAGE"))
+
+
+@query(sql(_COMMON.format(k="OPE_NO, EQP_NAME, PARAMETRIC_NAME", t="(SELECT * REPLACE (CASE WHEN RESULT > 5 THEN RESULT END AS RESULT) FROM labelled)"), "labelled"))
+def whole_universe(spark: SparkSession, d: str) -> DataFrame:
+    """Units of every parameter, measured or not."""
+    rows = labelled(spark, d).withColumn("RESULT", F.when(F.col("RESULT") > 5, F.col("RESULT")))
+    return counts.universe(rows, K2, measured_only=False)

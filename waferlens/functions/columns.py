@@ -87,6 +87,11 @@ def step_name(column: str) -> Column:
     return F.replace(F.upper(column), F.lit("_"), F.lit("+"))
 
 
+def to_second(column: str) -> Column:
+    """The time without its fraction of a second."""
+    return F.date_trunc("second", column)
+
+
 def minutes(seconds: str) -> Column:
     return F.round(F.col(seconds) / 60, 2)
 

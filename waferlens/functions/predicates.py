@@ -30,6 +30,13 @@ def time_range(column: str, start: str | None = None, end: str | None = None, cl
     return reduce(and_, parts, F.lit(True))
 
 
+def widened_range(column: str, start: str, end: str, before: int = 0, after: int = 0) -> Column:
+    """From ``before`` hours before ``start`` on, and before ``after`` hours after ``end``; the bounds are constants, so the filter still reaches the scan."""
+    lower = F.lit(start).cast("timestamp") - F.make_dt_interval(hours=F.lit(before))
+    upper = F.lit(end).cast("timestamp") + F.make_dt_interval(hours=F.lit(after))
+    return (F.col(column) >= lower) & (F.col(column) < upper)
+
+
 def all_of(parts: Iterable[Column]) -> Column:
     return reduce(and_, parts, F.lit(True))
 

@@ -31,6 +31,14 @@ def fixed_universe(df: DataFrame, keys: Sequence[str], parameters: Sequence[str]
     return commonality(df, keys).withColumn("PARAMETRIC_NAME", F.explode(F.array(*map(F.lit, parameters))))
 
 
+def enough_bad(rows: DataFrame, least: int = 2) -> DataFrame:
+    """``rows``; a query over them fails where fewer than ``least`` different bad units are among them."""
+    total = bad_total(rows)
+    message = F.concat(F.lit("too few bad units: "), F.col("BAD_TOTAL").cast("string"))
+    checked = total.select(F.when(F.col("BAD_TOTAL") >= least, 1).otherwise(F.raise_error(message)).alias("_enough"))
+    return rows.crossJoin(F.broadcast(checked)).filter("_enough = 1").drop("_enough")
+
+
 def bad_total(df: DataFrame) -> DataFrame:
     return df.filter("label = 1").agg(F.count_distinct("WAFER_ID").alias("BAD_TOTAL"))
 

@@ -8,10 +8,11 @@ those of pyspark.ml.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 
@@ -135,10 +136,11 @@ def undersample(table: DataFrame, share: float = 0.7, seed: int = 1024) -> DataF
     if len(sizes) != 2 or abs(sizes[0.0] - sizes[1.0]) / total <= share:
         return table.select("label", "features")
     large, small = sorted(sizes, key=lambda c: -sizes[c])
-    model = KMeans(k=max(2, sizes[small]), seed=seed).fit(table.filter(F.col("label") == large))
-    from pyspark.ml.linalg import Vectors
+    most = table.filter(F.col("label") == large)
+    from pyspark.ml.stat import Summarizer
 
-    centres = table.sparkSession.createDataFrame([(large, Vectors.dense(c)) for c in model.clusterCenters()], table.select("label", "features").schema)
+    clusters = KMeans(k=max(2, sizes[small]), seed=seed).fit(most).transform(most).groupBy("prediction")
+    centres = clusters.agg(Summarizer.mean(F.col("features")).alias("features")).select(F.lit(large).alias("label"), "features")
     return table.filter(F.col("label") == small).select("label", "features").unionByName(centres)
 
 
@@ -227,66 +229,89 @@ def anova_on_centroids(rows: DataFrame, keys: Sequence[str], model: str = "anova
     return feature_means(rows, keys).groupBy(*keys).applyInPandas(score, schema)
 
 
+def digamma(n: Column) -> Column:
+    """Of whole numbers from 1: ten steps of the recurrence, then the asymptotic series (to about 1e-11)."""
+    z = n + 10.0
+    series = F.log(z) - 1 / (2 * z) - 1 / (12 * z * z) + 1 / (120 * z * z * z * z) - 1 / (252 * z * z * z * z * z * z)
+    return reduce(lambda found, i: found - 1 / (n + float(i)), range(10), series)
+
+
 def mutual_information(rows: DataFrame, keys: Sequence[str], neighbours: int = 3) -> DataFrame:
-    """Nearest-neighbour estimate between a parameter and the class, per group and parameter: ``keys, PARAMETRIC_NAME, MI``."""
+    """Nearest-neighbour estimate between a parameter and the class, per group and parameter: ``keys, PARAMETRIC_NAME, MI``.
+
+    psi(n) + <psi(k)> - <psi(n_class)> - <psi(m)>, m the units of any class
+    strictly within each unit's distance to its k-th neighbour of its own
+    class.  Neighbours on a line stand beside each other in sorted order, and
+    m is the difference of two running counts, so a group's parameter is
+    sorted (and may spill) but never held.  Classes of one unit are left out.
+    """
     from .scores import feature_means
 
-    keys = list(keys)
-    means = feature_means(rows, keys)
-    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys) + ", PARAMETRIC_NAME string, MI double"
-
-    def estimate(group: pd.DataFrame) -> pd.DataFrame:
-        mi = knn_information(group["X"].to_numpy(float), group["label"].to_numpy(int), neighbours)
-        return group[[*keys, "PARAMETRIC_NAME"]].head(1).assign(MI=mi)
-
-    return means.groupBy(*keys, "PARAMETRIC_NAME").applyInPandas(estimate, schema)
-
-
-def knn_information(x: np.ndarray, y: np.ndarray, k: int = 3) -> float:
-    """psi(n) + <psi(k)> - <psi(n_y)> - <psi(m)>, m the points of any class within each point's distance to its k-th neighbour of its own."""
-    psi = np.concatenate([[0.0, 0.0], np.cumsum(1 / np.arange(1, len(x) + 2))]) - np.euler_gamma  # psi[n] = H(n-1) - gamma
-    order = np.argsort(x, kind="stable")
-    x, y = x[order], y[order]
-    n, parts = 0, []
-    used = np.zeros(len(x), bool)
-    radius = np.zeros(len(x))
-    for label in np.unique(y):
-        at = np.flatnonzero(y == label)
-        own = min(k, len(at) - 1)
-        if own < 1:
-            continue
-        v = x[at]
-        gaps = np.full((own + 1, len(v)), np.inf)
-        for j in range(own + 1):  # j neighbours on the left, the rest on the right
-            i = np.arange(j, len(v) - (own - j))
-            gaps[j, i] = np.maximum(v[i] - v[i - j], v[i + own - j] - v[i])
-        radius[at] = gaps.min(0) * (1 - 1e-10)  # strictly within, whatever the sums below round to
-        used[at] = True
-        n += len(at)
-        parts.append((len(at), own))
-    if not n:
-        return 0.0
-    kept = x[used]
-    m = np.searchsorted(kept, kept + radius[used], "right") - np.searchsorted(kept, kept - radius[used], "left")
-    value = psi[n] + sum(c * psi[own] for c, own in parts) / n - sum(c * psi[c] for c, _ in parts) / n - psi[np.maximum(m, 1)].mean()
-    return max(0.0, float(value))
+    group = [*keys, "PARAMETRIC_NAME"]
+    own = Window.partitionBy(*group, "label")
+    around = own.orderBy("X").rowsBetween(-neighbours, neighbours)
+    near = feature_means(rows, list(keys)).withColumn("_n", F.count("*").over(own).cast("double")).withColumn("_v", F.collect_list("X").over(around))
+    near = near.withColumn("_k", F.least(F.lit(float(neighbours)), F.col("_n") - 1))
+    apart = F.array_sort(F.transform("_v", lambda v: F.abs(v - F.col("X"))))
+    near = near.withColumn("_r", F.get(apart, F.col("_k").cast("int")) * (1 - 1e-10))
+
+    def event(at: Column, kind: int) -> Column:
+        return F.struct(at.alias("at"), F.lit(kind).alias("kind"))
+
+    # At equal places lower ends come before units, upper ends after them; units of a class of one are not counted.
+    x, r = F.col("X"), F.col("_r")
+    events = F.when(F.col("_n") > 1, F.array(event(x - r, 0), event(x, 1), event(x + r, 2))).otherwise(F.array(event(x, 3)))
+    spread = near.select(*group, "WAFER_ID", "label", "_n", "_k", F.explode(events).alias("e")).select("*", "e.*").drop("e")
+    running = Window.partitionBy(*group).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = spread.withColumn("_c", F.count(F.when(F.col("kind") == 1, 1)).over(running)).filter("kind <> 1")
+    units = counted.groupBy(*group, "WAFER_ID", "label", "_n", "_k").agg((F.max(F.when(F.col("kind") == 2, F.col("_c"))) - F.max(F.when(F.col("kind") == 0, F.col("_c")))).cast("double").alias("_m"))
+    of = F.col("_m").isNotNull()
+    sums = units.groupBy(*group).agg(F.count("_m").cast("double").alias("_all"), F.avg(F.when(of, digamma(F.col("_k")) - digamma(F.col("_n")) - digamma(F.greatest("_m", F.lit(1.0))))).alias("_mean"))
+    return sums.select(*group, F.when(F.col("_all") > 0, F.greatest(F.lit(0.0), digamma(F.col("_all")) + F.col("_mean"))).otherwise(0.0).alias("MI"))
 
 
 def two_sample_tests(rows: DataFrame, keys: Sequence[str], value: str, by_mean: bool = False) -> DataFrame:
-    """The test ladder per group: ``keys, TEST, STATISTIC, IMPORTANCE`` (1 - p); groups without both classes have no row."""
-    from ..functions.hypothesis_tests import ladder
+    """The test ladder per group: ``keys, TEST, STATISTIC, IMPORTANCE`` (1 - p); groups without both classes have no row.
 
-    keys = list(keys)
-    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys) + ", TEST string, STATISTIC double, IMPORTANCE double"
-
-    def test(group: pd.DataFrame) -> pd.DataFrame:
-        v = group[value].to_numpy(float)
-        good, bad = v[group["label"] == 0], v[group["label"] == 1]
-        if not len(good) or not len(bad):
-            return pd.DataFrame({c: [] for c in [*keys, "TEST", "STATISTIC", "IMPORTANCE"]})
-        name, statistic, p = ladder(good, bad, by_mean=by_mean)
-        return group[keys].head(1).assign(TEST=name, STATISTIC=statistic, IMPORTANCE=1 - p)
-
-    known = rows.filter(F.col(value).isNotNull()).select(*keys, "label", F.col(value).cast("double").alias(value))
-    return known.groupBy(*keys).applyInPandas(test, schema)
+    Samples below three are filled with zeros, or with their mean.  Order
+    statistics, ranks and moments are windows and sums of a group in sorted
+    order; only one row of sums per group goes to the tests.
+    """
+    from ..functions import hypothesis_tests as ht
 
+    keys = list(keys)
+    known = rows.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & F.col("label").isin(0, 1)).select(*keys, F.col("label").cast("int").alias("label"), F.col(value).cast("double").alias("_v"))
+    sizes = known.groupBy(*keys).agg(*[F.count(F.when(F.col("label") == c, 1)).alias(f"_n{c}") for c in (0, 1)], *[F.avg(F.when(F.col("label") == c, F.col("_v"))).alias(f"_mean{c}") for c in (0, 1)])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(f"_n{c}").alias("n"), (F.col(f"_mean{c}") if by_mean else F.lit(0.0)).alias("_v")) for c in (0, 1)]))
+    short = sizes.filter("_n0 > 0 and _n1 > 0").select(*keys, each.alias("s")).filter("s.n < 3")
+    fill = short.select(*keys, "s.label", "s._v", F.explode(F.sequence(F.col("s.n") + 1, F.lit(3).cast("long"))).alias("_i")).drop("_i")
+
+    whole = Window.partitionBy(*keys)
+    order = whole.orderBy("_v", "label")
+    rank = whole.orderBy("_v")
+    mine = F.col("label") == 1
+    cells = known.unionByName(fill).withColumns({f"_n{c}": F.count(F.when(F.col("label") == c, 1)).over(whole) for c in (0, 1)}).filter("_n0 > 0 and _n1 > 0")
+    cells = cells.withColumns({
+        "_x": F.col("_v") - F.avg("_v").over(whole), "_n": F.when(mine, F.col("_n1")).otherwise(F.col("_n0")),
+        "_ties": F.count("*").over(rank.rangeBetween(Window.currentRow, Window.currentRow)), "_rank": F.rank().over(rank),
+        "_i": F.count(F.when(mine, 1)).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "_j": F.row_number().over(order),
+    }).withColumn("_i", F.when(mine, F.col("_i")).otherwise(F.col("_j") - F.col("_i")))
+    middle = (F.col("_i") == F.floor((F.col("_n") + 1) / 2)) | (F.col("_i") == F.floor(F.col("_n") / 2) + 1)
+    cells = cells.withColumns({f"_median{c}": F.avg(F.when(middle & (F.col("label") == c), F.col("_x"))).over(whole) for c in (0, 1)})
+    cells = cells.withColumn("_normal", ht.normal_order(F.col("_i"), F.col("_n"))).withColumn("_off", F.abs(F.col("_x") - F.when(mine, F.col("_median1")).otherwise(F.col("_median0"))))
+
+    def sums(c: int) -> list[Column]:
+        def of(v: str | Column, where: Column | bool = True) -> Column:
+            return F.when((F.col("label") == c) & where, F.col(v) if isinstance(v, str) else v)
+
+        i, n = F.col("_i"), F.col("_n")
+        return [x.alias(f"{name}{c}") for name, x in {
+            "n": F.count(of("_x")), "mean": F.avg(of("_x")), "var": F.var_samp(of("_x")), "first": F.max(of("_x", i == 1)), "second": F.max(of("_x", i == 2)), "previous": F.max(of("_x", i == n - 1)), "last": F.max(of("_x", i == n)),
+            "squares": F.sum(of(F.col("_normal") * F.col("_normal"))), "products": F.sum(of(F.col("_normal") * F.col("_x"))), "off": F.avg(of("_off")), "off_var": F.var_samp(of("_off")),
+            "ranks": F.sum(of(F.col("_rank") + (F.col("_ties") - 1) / 2)), "ties": F.sum(of(F.col("_ties") * F.col("_ties") - 1)),
+        }.items()]
+
+    found = cells.groupBy(*keys).agg(*sums(0), *sums(1))
+    columns = [c for c in found.columns if c not in keys]
+    tested = found.select(*keys, ht.ladder(F.struct(*columns)).alias("t"))
+    return tested.select(*keys, F.col("t.test").alias("TEST"), F.col("t.statistic").alias("STATISTIC"), (1 - F.col("t.p")).alias("IMPORTANCE"))

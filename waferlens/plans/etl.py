@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,27 @@ from pyspark.sql import functions as F
 from ..functions.columns import step_name, wafer_id_by_form
 
 
+def day_range(start: str | None = None, end: str | None = None, now: datetime | None = None) -> tuple[datetime, datetime]:
+    """From ``start`` (yyyymmdd) on, before the day after ``end``; either is yesterday where it is missing or faulty, and a range does not reach past ``now``'s midnight."""
+    now = now or datetime.now()
+    today = now.replace(hour=0, minute=0, second=0, microsecond=0)
+
+    def day(text: str | None) -> datetime:
+        try:
+            return datetime.strptime(text or "", "%Y%m%d")
+        except ValueError:
+            return today - timedelta(days=1)
+
+    after = day(end) + timedelta(days=1)
+    return day(start), after if after <= now else today
+
+
+def by_day(rows: DataFrame, column: str, start: datetime, end: datetime) -> DataFrame:
+    """Rows of [start, end) with their DAY: all days are one job, each a key to group or partition by."""
+    inside = (F.col(column) >= F.lit(str(start)).cast("timestamp")) & (F.col(column) < F.lit(str(end)).cast("timestamp"))
+    return rows.filter(inside).withColumn("DAY", F.to_date(column))
+
+
 def unpivot_runs(runs: DataFrame, variables: Sequence[str], step: str | None = "STEP") -> DataFrame:
     """One row per sample and variable that has a value; STEP is the run's step, or ALL_RUN."""
     name = step_name(step) if step else F.lit("ALL_RUN")

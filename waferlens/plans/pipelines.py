@@ -141,9 +141,12 @@ def _apart(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.withColumn("STATS", F.get(parts, F.lit(1))).withColumn("PARAMETRIC_NAME", F.get(parts, F.lit(0)))
 
 
-def uva(facts: DataFrame, conf: DataFrame, request: Request) -> DataFrame:
+def uva(facts: DataFrame, conf: DataFrame, request: Request, least_bad: int = 0) -> DataFrame:
+    """Sensor statistics of each unit's last run; ``least_bad`` refuses requests with fewer bad units (the early form wanted two)."""
     rows = selected(facts.filter(F.col("STATUS") != "ERROR"), request)
     rows = shape.latest_run(labelled(rows.filter("RESULT is not null"), conf, request.upload_id))
+    if least_bad:
+        rows = counts.enough_bad(rows, least_bad)
     return score_groups(rows, request.keys, request.request_id, model=request.model)
 
 

@@ -7,6 +7,8 @@ column choices reach the scan, be it Parquet or JDBC.
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -107,6 +109,16 @@ def audit_row(spark: SparkSession, job: str, status: str, rows: int, started: st
     return spark.createDataFrame([(job, status, rows, started, ended)], "JOB string, STATUS string, ROWS_OUT long, STARTED string, ENDED string")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the cluster shares; only local Spark may do without one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        folder = tempfile.mkdtemp(prefix="waferlens-")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def empty_partitions(expected: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """Expected partition keys that no fact has."""
     return expected.select(key).distinct().join(facts.select(key).distinct(), key, "left_anti")
