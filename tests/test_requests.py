@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import numpy as np
 import plain_two_samples as plain
@@ -8,8 +9,8 @@ from pyspark.sql import functions as F
 from waferlens.functions import columns as fc
 from waferlens.functions import hypothesis_tests as ht
 from waferlens.functions import predicates as fp
-from waferlens.operators import models
-from waferlens.plans import pipelines
+from waferlens.operators import counts, models
+from waferlens.plans import etl, pipelines
 from waferlens.plans.request import RequestError, parse
 from waferlens.sources import tables
 
@@ -110,6 +111,68 @@ def test_sinks_append_order_fields_partition_and_overwrite(spark, tmp_path):
     assert source.query("SELECT sum(v) AS s FROM facts").first().s == 3
 
 
+def test_tables_over_jdbc(spark, tmp_path):
+    """Written, appended and read through the embedded database that Spark ships, whole, split by a column, and as a pushed-down query."""
+    where = {"url": f"jdbc:derby:{tmp_path}/db;create=true", "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    df = spark.range(100).selectExpr("id", "id % 3 as g", "cast(id as string) as extra")
+    sink = tables.Sink(str(tmp_path / "unused"), "jdbc", fields=("g", "id"), options={**where, "dbtable": "facts"})
+    sink.write(df.filter("id < 60"))
+    sink.write(df.filter("id >= 60"))
+    source = tables.TableSource(spark, jdbc=where)
+    whole, split = source.table("facts"), source.table("facts", "id", ("0", "100"), 4)
+    assert [c.lower() for c in whole.columns] == ["g", "id"]
+    assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() == 4
+    assert sorted(r[1] for r in split.collect()) == sorted(r[1] for r in whole.collect()) == list(range(100))
+    assert "PushedFilters: [*IsNotNull(g), *EqualTo(g" in source.table("facts").filter("g = 1")._jdf.queryExecution().toString()
+    assert sorted(r[0] for r in source.query('SELECT "id" FROM facts WHERE "g" = 2').collect()) == list(range(2, 100, 3))
+
+
+def test_several_requests_in_one_table(spark, data):
+    from waferlens.sources import views
+
+    uva = parse(_text(uploadId="U1", groupByList=["OPE_NO"]))
+    chi2 = parse(json.dumps({"requestId": "r2", "algorithm": "uva", "requestParam": {"uploadId": "U1", "groupByList": ["OPE_NO"], "model": "chi2"}}))
+    found = {"uva": views.uva(spark, data), "conf_wafer": views.conf_wafer(spark, data)}
+    both = pipelines.run_all([uva, chi2], found).collect()
+    single = pipelines.run(uva, found).collect()
+    assert {r.REQUEST_ID for r in both} == {"r", "r2"} and len(both) == 2 * len(single)
+    assert sorted(r.INDEX_NO for r in both if r.REQUEST_ID == "r2") == list(range(1, len(single) + 1))
+    with pytest.raises(RequestError):
+        pipelines.run_all([], found)
+
+
+def test_too_few_bad_units_are_refused(spark):
+    schema = "WAFER_ID string, label int, v int"
+    rows = [("a", 0, 1), ("b", 1, 2), ("b", 1, 3)]
+    with pytest.raises(Exception, match="too few bad units: 1"):
+        counts.enough_bad(spark.createDataFrame(rows, schema)).collect()
+    with pytest.raises(Exception, match="too few bad units: 0"):
+        counts.enough_bad(spark.createDataFrame([], schema)).count()
+    more = spark.createDataFrame([*rows, ("c", 1, 4)], schema)
+    assert sorted(counts.enough_bad(more).collect()) == sorted(more.collect())
+
+
+def test_day_ranges():
+    now = datetime(2024, 5, 10, 14, 30)
+    day = [datetime(2024, 5, d) for d in range(1, 13)]
+    assert etl.day_range("20240501", "20240503", now) == (day[0], day[3])
+    assert etl.day_range(None, None, now) == (day[8], day[9])  # yesterday
+    assert etl.day_range("20240501", "20240512", now) == (day[0], day[9])  # not past today's midnight
+    assert etl.day_range("not a day", "20240508", now) == (day[8], day[8])
+
+
+@pytest.mark.parametrize("model", ["rf", "decisionTree", "svc", "logistic", "sgd"])
+def test_estimators_find_the_telling_feature(spark, model):
+    r = np.random.default_rng(3)
+    rows = [("g", f"u{i}", i % 2, f, float(r.normal((i % 2) * 4 * (f == "b") - 2 * (f == "b"), 1))) for i in range(30) for f in ("a", "b")]
+    rows += [("one class", f"u{i}", 0, f, float(i)) for i in range(3) for f in ("a", "b")] + [("one feature", f"u{i}", i % 2, "a", float(i)) for i in range(4)]
+    df = spark.createDataFrame(rows, "G string, UNIT string, label int, FEATURE string, RESULT double")
+    got = {(q.G, q.FEATURE): q for q in models.group_importances(df, ["G"], df.select("G").distinct().collect(), model).collect()}
+    assert set(got) == {("g", "a"), ("g", "b"), ("one class", "a"), ("one class", "b"), ("one feature", "a")}
+    assert got["g", "b"].IMPORTANCE > 2 * got["g", "a"].IMPORTANCE and got["g", "b"].AUC > 0.9
+    assert {got[k].IMPORTANCE for k in got if k[0] != "g"} == {0.0}
+
+
 def test_predicates_of_groups_and_names(spark):
     df = spark.createDataFrame([("a", "x"), ("b", ""), ("c", "NA"), ("d", None)], "g string, n string")
     assert [r.g for r in df.filter(fp.named("n")).collect()] == ["a"]

@@ -90,7 +90,7 @@ def estimators(seed: int = 1024) -> dict:
     from pyspark.ml.tuning import ParamGridBuilder
 
     rf, tree = RandomForestClassifier(seed=seed), DecisionTreeClassifier(seed=seed)
-    svc, logit = LinearSVC(fitIntercept=False), LogisticRegression(fitIntercept=False)
+    svc, logit = LinearSVC(fitIntercept=False, maxIter=20), LogisticRegression(fitIntercept=False)
     return {
         "rf": (rf, ParamGridBuilder().addGrid(rf.numTrees, [10, 30]).addGrid(rf.maxDepth, [3, 5]).build()),
         "decisionTree": (tree, ParamGridBuilder().addGrid(tree.maxDepth, [2, 4, 6]).build()),
