@@ -167,7 +167,7 @@ def test_estimators_find_the_telling_feature(spark, model):
     rows = [("g", f"u{i}", i % 2, f, float(r.normal((i % 2) * 4 * (f == "b") - 2 * (f == "b"), 1))) for i in range(30) for f in ("a", "b")]
     rows += [("one class", f"u{i}", 0, f, float(i)) for i in range(3) for f in ("a", "b")] + [("one feature", f"u{i}", i % 2, "a", float(i)) for i in range(4)]
     df = spark.createDataFrame(rows, "G string, UNIT string, label int, FEATURE string, RESULT double")
-    got = {(q.G, q.FEATURE): q for q in models.group_importances(df, ["G"], df.select("G").distinct().collect(), model).collect()}
+    got = {(q.G, q.FEATURE): q for q in models.group_importances(df, ["G"], df.select("G").distinct().collect(), model, folds=2).collect()}
     assert set(got) == {("g", "a"), ("g", "b"), ("one class", "a"), ("one class", "b"), ("one feature", "a")}
     assert got["g", "b"].IMPORTANCE > 2 * got["g", "a"].IMPORTANCE and got["g", "b"].AUC > 0.9
     assert {got[k].IMPORTANCE for k in got if k[0] != "g"} == {0.0}
