@@ -38,6 +38,15 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete the folder of a table that ``cut`` returned, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.split("://")[-1].split(":")[-1].startswith(_folder(spark).split("://")[-1].split(":")[-1]):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application, once its results are written."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
