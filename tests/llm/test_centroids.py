@@ -83,7 +83,7 @@ def test_rounds_leave_one_table(spark, data):
     from waferlens.llm.common import _folder
 
     def tables():
-        return {p.name for p in Path(_folder(spark)).iterdir() if p.name.startswith(("bounds-", "vectors-", "clusters-"))}
+        return {p.name for p in Path(_folder(spark)).glob("*") if p.name.startswith(("bounds-", "vectors-", "clusters-"))}
 
     before = tables()
     registry.op11_centroids(spark, data).count()
