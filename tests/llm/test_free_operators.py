@@ -2,15 +2,17 @@
 
 import io
 import zlib
+from functools import cache
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from waferlens.llm import itq, packing, quality, simhash, tokenstore, toxicity
 from waferlens.llm.common import connected_components
-from waferlens.llm.tokens import PieceEncoder, shared_encoder
+from waferlens.llm.tokens import PieceEncoder, default_vocabulary
 
 
 def _components(ids, links):
@@ -60,21 +62,25 @@ def test_scratch_is_shared_and_cleared(spark):
 
 
 # --- tokens and packing
-TEXTS = [None, "", " ", "  a  b ", "\n x", "a \n b\tc   d", "it's 'tis ' s we'll", "　 x y", "naïve café ÀÉ 12 3½ Ⅷ", "日本語 テキスト", "<|endoftext|> x", "a\x1cb \x1c c", "Ünïcodé \U0001f600!!"]
+TEXTS = [None, "", " ", "  a  b ", "\n x", "a \n b\tc   d", "it's 'tis ' s we'll", "　 x y", "naïve café ÀÉ 12 3½ Ⅷ", "日本語 テキスト", "<|endoftext|> x", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "  <|endoftext|>\n x <|endoftext", "it's<|endoftext|>'s", "a\x1cb \x1c c", "Ünïcodé \U0001f600!!"]
 
 
 def test_pieces_encode_as_the_library_does(docs):
-    encoder = PieceEncoder(max_pieces=50)
+    encoder, plain = PieceEncoder(max_pieces=50), _opened()
     texts = [*TEXTS, *[r.text for r in docs.select("text").collect()]]
     for at in range(0, len(texts), 20):
         part = texts[at : at + 20]
         for t, ids in zip(part, encoder.encode(part), strict=True):
-            assert np.frombuffer(ids, "<u4").tolist() == encoder._tokenizer.encode(t or "", add_special_tokens=False).ids, t
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(t or "", add_special_tokens=False).ids, t
+
+
+@cache
+def _opened():
+    return Tokenizer.from_file(default_vocabulary())
 
 
 def _ids(text, end):
-    encoder = shared_encoder()
-    return [*encoder._tokenizer.encode(text or "", add_special_tokens=False).ids, end]
+    return [*_opened().encode(text or "", add_special_tokens=False).ids, end]
 
 
 def test_packing_is_gapless_and_tight(docs, hard_docs):
@@ -436,14 +442,45 @@ def test_scorer_equals_a_plain_forward_pass(docs):
     assert toxicity.Scorer(net).texts(texts) == pytest.approx(np.array(want), abs=1e-4)
 
 
-def test_a_passage_is_found_anywhere_in_a_long_training_text():
-    vocabulary, odds = toxicity.word_odds({"scum": (1, 40), "day": (50, 10)}, 50, 50)
-    for place in range(0, 20_000, 997):
-        words = ["day"] * 20_000
-        words[place] = "scum"
-        own = toxicity.telling_windows(words, vocabulary, odds, 96, np.random.default_rng(place))
-        assert len(own) == 96 and any("scum" in w for w in own)
-    assert toxicity.telling_windows(["a"] * 60, vocabulary, odds, 96, np.random.default_rng(0)) == [["a"] * 48, ["a"] * 48]
+def test_every_window_of_a_long_text_can_become_the_trained_one():
+    """Windows of low word odds, far from the start, in a text of hundreds of windows: whichever the network suspects is sent."""
+    vocabulary, odds = toxicity.word_odds({"scum": (1, 40), "day": (50, 10), "hint": (20, 30)}, 50, 50)
+
+    class Suspicious:
+        def documents(self, docs):
+            own = [[d[s : s + toxicity.WINDOW].count("day") for s in toxicity.window_starts(len(d))] for d in docs]
+            return np.concatenate(own), np.cumsum([0, *map(len, own)])[:-1]
+
+    scorer = Suspicious()
+    for place in (0, 900, 5_000, 19_900):
+        words = ["scum" if k % 7 else "hint" for k in range(20_000)]
+        words[place : place + 30] = ["day"] * 30
+        (by_odds,), (by_network,) = toxicity.look([words], [1], vocabulary, odds), toxicity.look([words], [1], vocabulary, odds, scorer)
+        assert "day" not in by_odds[0] or place == 0
+        assert by_network[0].count("day") >= 12 and len(by_network) == 1 + toxicity.DRAWN
+    drawn = {tuple(w) for seed in range(40) for w in toxicity.look([[str(k) for k in range(120)]], [seed], {}, np.zeros(2, np.float32))[0][1:]}
+    assert len(drawn) == len(toxicity.window_starts(120))
+
+
+def test_training_in_tasks_equals_training_here(spark, docs, labels):
+    """Texts of any length, the same windows and so the same network, whether tasks look or the driver."""
+    net = toxicity.train(docs, labels, epochs=4)
+    sample = toxicity.labelled_sample(docs, labels, "toxic", 4, 2, 6000).orderBy("_id").collect()
+    texts, known = [toxicity.words_of(r.text) for r in sample], {}
+
+    def looked(held, epoch, rows):
+        seeds = [zlib.crc32(f"{epoch}:{sample[i]['_id']}".encode()) for i in rows]
+        return dict(zip(rows, toxicity.look([texts[i] for i in rows], seeds, net.vocabulary, known["odds"], toxicity.Scorer(held) if held else None), strict=True))
+
+    counts = {w: [0, 0] for w in net.vocabulary}
+    for words, r in zip(texts, sample, strict=True):
+        for w in set(words) & set(counts):
+            counts[w][r.label] += 1
+    toxic = sum(r.label for r in sample)
+    vocabulary, known["odds"] = toxicity.word_odds(counts, toxic, len(sample) - toxic, 2 * len(counts))
+    assert vocabulary == net.vocabulary
+    here = toxicity.fit_windows(looked, [r.label for r in sample], vocabulary, known["odds"], epochs=4)
+    assert all(np.allclose(here.p[k], net.p[k], atol=1e-4) for k in net.p)
 
 
 def test_toxicity_held_out(spark):

@@ -52,7 +52,8 @@ class _Table(dict):
 class PieceEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, as bytes.
 
-    ``None`` and empty texts give no ids.  ``max_pieces`` bounds a generation
+    ``None`` and empty texts give no ids; a special token written out in a
+    text is that token, as the library has it.  ``max_pieces`` bounds a generation
     of the table; a full one is kept until the next is full, so at most twice
     as many pieces are held.
     """
@@ -62,7 +63,11 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(vocabulary or default_vocabulary())
-        self._tokenizer.encode_special_tokens = True
+        # The library takes these out of a text before its pre-tokeniser sees the rest, so they cut it here, too.
+        added = sorted((t.content for t in self._tokenizer.get_added_tokens_decoder().values()), key=lambda c: -len(c))
+        if any(t.lstrip or t.rstrip or t.single_word for t in self._tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("added tokens that take in spaces or stand as whole words only are not supported")
+        self._added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.size = size = self._tokenizer.get_vocab_size()
         self._leads = np.array([(self._tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self._max = max_pieces
@@ -88,11 +93,18 @@ class PieceEncoder:
             raw, cuts = ids.tobytes(), [*(starts * 4).tolist(), len(ids) * 4]
             self._table.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
 
+    def _pieces(self, text: str) -> list[str]:
+        pattern = _LATIN_PIECE if _LATIN_TEXT.fullmatch(text) else _PIECE
+        if self._added is None or not self._added.search(text):
+            return pattern.findall(text)
+        # Every second part is an added token, which is a piece of its own.
+        return [p for k, part in enumerate(self._added.split(text)) for p in ([part] if k % 2 else pattern.findall(part))]
+
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         if len(self._table) > self._max:
             self._table = _Table(dict(self._table))
         table = self._table
-        pieces = [(_LATIN_PIECE if _LATIN_TEXT.fullmatch(t) else _PIECE).findall(t) if t else [] for t in texts]
+        pieces = [self._pieces(t) if t else [] for t in texts]
         found = [list(map(table.__getitem__, ps)) for ps in pieces]
         if table.absent:
             absent, table.absent = dict.fromkeys(table.absent), []

@@ -12,9 +12,8 @@ and trained in numpy.
 from __future__ import annotations
 
 import re
-import sys
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,6 +33,8 @@ PAD, OTHER = 0, 1
 LONGEST = 24
 _WORD = re.compile(rf"\w{{1,{LONGEST}}}")
 TABLE_ROWS = 200_000
+#: Random windows of a text that an epoch may train on beside the most suspect one.
+DRAWN = 4
 
 
 def words_of(text: str | None) -> list[str]:
@@ -248,20 +249,24 @@ def _numbers(words: Sequence[str], vocabulary: dict[str, int]) -> np.ndarray:
     return np.fromiter((vocabulary.get(w, OTHER) for w in words), np.int64, len(words))
 
 
-def telling_windows(words: Sequence[str], vocabulary: dict[str, int], odds: np.ndarray, most: int, rng: np.random.Generator) -> list[list[str]]:
-    """All windows of a text; of one with more than ``most``, those of the highest word odds and as many random ones, in order.  Every window is looked at."""
-    starts = window_starts(len(words))
-    if len(starts) > most:
-        own = odds[_numbers(words, vocabulary)]
-        highest = np.array([own[s : s + WINDOW].max(initial=-9) for s in starts])
-        first = np.argsort(-highest, kind="stable")[: most // 2]
-        others = np.setdiff1d(np.arange(len(starts)), first)
-        starts = [starts[k] for k in sorted([*first.tolist(), *rng.choice(others, most - len(first), replace=False).tolist()])]
-    return [list(words[s : s + WINDOW]) for s in starts]
+def look(docs: Sequence[Sequence[str]], seeds: Sequence[int], vocabulary: dict[str, int], odds: np.ndarray, scorer: Scorer | None = None, drawn: int = DRAWN) -> list[list[list[str]]]:
+    """Of each text, given as words: its most suspect window, by the network or else by word odds, and ``drawn`` random ones.  Every window is looked at."""
+    logits, firsts = scorer.documents([list(d) for d in docs]) if scorer is not None else (None, None)
+    found = []
+    for k, (words, seed) in enumerate(zip(docs, seeds, strict=True)):
+        starts = window_starts(len(words))
+        if logits is not None:
+            own = logits[firsts[k] : firsts[k] + len(starts)]
+        else:
+            each = odds[_numbers(words, vocabulary)]
+            own = np.array([each[s : s + WINDOW].max(initial=-9) for s in starts])
+        at = [int(np.argmax(own)), *np.random.default_rng(seed).integers(len(starts), size=drawn).tolist()]
+        found.append([list(words[starts[i] : starts[i] + WINDOW]) for i in at])
+    return found
 
 
 def fit(texts: Sequence[str | None], labels: Sequence[int], vocabulary_rows: int = 20_000, **options) -> Network:
-    """Fit on all windows of texts that are here as a whole."""
+    """Fit on texts that are here as a whole."""
     docs = [words_of(t) for t in texts]
     counts: dict[str, list[int]] = {}
     for d, label in zip(docs, labels, strict=True):
@@ -269,11 +274,23 @@ def fit(texts: Sequence[str | None], labels: Sequence[int], vocabulary_rows: int
             counts.setdefault(w, [0, 0])[label] += 1
     toxic = sum(labels)
     known = word_odds(counts, toxic, len(labels) - toxic, vocabulary_rows)
-    return fit_windows([[d[s : s + WINDOW] for s in window_starts(len(d))] for d in docs], labels, *known, **options)
 
+    def looked(net: Network | None, epoch: int, rows: Sequence[int]) -> dict[int, list[list[str]]]:
+        found = look([docs[i] for i in rows], [1000 * epoch + i for i in rows], *known, Scorer(net) if net else None)
+        return dict(zip(rows, found, strict=True))
 
-def fit_windows(windows: Sequence[list[list[str]]], labels: Sequence[int], vocabulary: dict[str, int], odds: np.ndarray, epochs: int = 12, rate: float = 0.02, seed: int = 11, clean_a_toxic: int = 8) -> Network:
-    """Adam over the windows of each text.  A toxic text stands for its most suspect window, at first by word odds and then by the network itself; clean texts give their most suspect window and random ones."""
+    return fit_windows(looked, labels, *known, **options)
+
+
+def fit_windows(looked: Callable[[Network | None, int, Sequence[int]], dict[int, list[list[str]]]], labels: Sequence[int], vocabulary: dict[str, int], odds: np.ndarray, epochs: int = 12, rate: float = 0.02, seed: int = 11, clean_a_toxic: int = 8) -> Network:
+    """Adam over windows of the texts.
+
+    ``looked`` (network or None, epoch, numbers of texts) looks at every
+    window of these texts and gives of each the most suspect one and some
+    random ones.  A toxic text stands for its most suspect window, at first by
+    word odds and then by the network of that epoch; clean texts give their
+    most suspect window and random ones.
+    """
     rng = np.random.default_rng(seed)
     y = np.asarray(labels, np.float32)
     toxic, clean = float(y.sum()), float(len(y) - y.sum())
@@ -282,32 +299,26 @@ def fit_windows(windows: Sequence[list[list[str]]], labels: Sequence[int], vocab
         net.p["out"][:] = 0
         net.p["out_b"][:] = np.log((toxic + 1e-3) / (clean + 1e-3)) if len(y) else 0
         return net
-    numbers = [[_numbers(w, vocabulary) for w in own] for own in windows]
-    suspect = [int(np.argmax([odds[n].max(initial=-9) for n in own])) for own in numbers]
+    windows = looked(None, 0, range(len(y)))
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
     step = 0
     positive, negative = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     for epoch in range(epochs):
         if epoch >= 3:
-            scorer = Scorer(net)
-            chosen_docs = np.concatenate([positive, rng.choice(negative, min(len(negative), 4 * len(positive)), replace=False)])
-            for at in range(0, len(chosen_docs), 128):
-                part = chosen_docs[at : at + 128]
-                logits = scorer.single([w for i in part for w in windows[i]])
-                for i, own in zip(part, np.split(logits, np.cumsum([len(windows[i]) for i in part])[:-1]), strict=True):
-                    suspect[i] = int(np.argmax(own))
-        picks = [(i, suspect[i]) for i in positive]
+            chosen = np.concatenate([positive, rng.choice(negative, min(len(negative), 4 * len(positive)), replace=False)])
+            windows |= looked(net, epoch, chosen.tolist())
+        picks = [(i, 0) for i in positive]
         n_clean = min(len(negative) * 2, clean_a_toxic * len(positive))
         for i in rng.choice(negative, n_clean):
-            picks.append((i, suspect[i] if rng.random() < 0.5 else int(rng.integers(len(windows[i])))))
+            picks.append((i, 0 if rng.random() < 0.5 else int(rng.integers(len(windows[i])))))
         picks = [picks[k] for k in rng.permutation(len(picks))]
         for at in range(0, len(picks), 128):
             part = picks[at : at + 128]
             own = [windows[i][k] for i, k in part]
             ids = np.zeros((WINDOW, len(part)), np.int64)
             for c, (i, k) in enumerate(part):
-                ids[: len(own[c]), c] = numbers[i][k]
+                ids[: len(own[c]), c] = _numbers(windows[i][k], vocabulary)
             flat = [w for o in own for w in o]
             chars = np.zeros((WINDOW, len(part), DIM), np.float32)
             where_t = np.concatenate([np.arange(len(o)) for o in own]).astype(np.int64)
@@ -335,14 +346,17 @@ def fit_windows(windows: Sequence[list[list[str]]], labels: Sequence[int], vocab
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, parts: int = 4, held_out: int = 2, windows: int = 96, vocabulary_rows: int = 20_000, **options) -> Network:
+def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, parts: int = 4, held_out: int = 2, vocabulary_rows: int = 20_000, **options) -> Network:
     """Fit on at most ``rows`` labelled documents outside the held-out fold.
 
-    Words are counted over their whole texts.  Of a text with more than
-    ``windows`` windows, tasks look at every one and send so many of them to
-    the driver: the bound of what comes there.
+    Words are counted over their whole texts.  In every epoch tasks score all
+    windows of these texts by the network so far, and of each text its most
+    suspect window and ``DRAWN`` random ones come to the driver, whatever the
+    length.
     """
-    sample = cut(labelled_sample(docs, labels, "toxic", parts, held_out, rows), "labelled")
+    sample = labelled_sample(docs, labels, "toxic", parts, held_out, rows)
+    # Every epoch's scoring is dealt over so many tasks.
+    sample = cut(sample.repartition(max(1, rows // 250), "_id"), "labelled")
     kind = sample.schema["_id"].dataType.simpleString()
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}  # one row a class
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
@@ -363,16 +377,34 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, parts: int = 4,
     known = word_odds({r["word"]: (r["clean"], r["toxic"]) for r in found}, toxic, clean, 2 * len(found))
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for key, label, text in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                seed = zlib.crc32(str(key).encode())
-                own = [" ".join(w) for w in telling_windows(words_of(text), *sent.value, windows, np.random.default_rng(seed))]
-                yield pa.RecordBatch.from_arrays([pa.array([key], b.schema.field(0).type), pa.array([label], pa.int32()), pa.array([own], pa.list_(pa.string()))], names=["id", "label", "windows"])
-
-    got = sample.select("_id", "label", "text").mapInArrow(pick, f"id {kind}, label int, windows array<string>").toPandas().sort_values("id")
-    # A word is one object, however often it occurs.
-    return fit_windows([[list(map(sys.intern, w.split())) for w in own] for own in got["windows"]], got["label"].astype(int).tolist(), *known, **options)
+    def looked(net: Network | None, epoch: int, chosen: set | None) -> list[tuple]:
+        """(id, label, windows) of the chosen texts, or of all."""
+        current = docs.sparkSession.sparkContext.broadcast((net, chosen))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, only = current.value
+            scorer = Scorer(held) if held else None
+            for b in batches:
+                columns = [c.to_pylist() for c in b.columns]
+                at = [k for k, key in enumerate(columns[0]) if only is None or key in only]
+                for part in (at[i : i + 128] for i in range(0, len(at), 128)):
+                    keys = [columns[0][k] for k in part]
+                    found = look([words_of(columns[2][k]) for k in part], [zlib.crc32(f"{epoch}:{key}".encode()) for key in keys], *sent.value, scorer)
+                    own = [[" ".join(w) for w in ws] for ws in found]
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, b.schema.field(0).type), pa.array([columns[1][k] for k in part], pa.int32()), pa.array(own, pa.list_(pa.string()))], names=["id", "label", "windows"])
+
+        # At most ``rows`` texts with a few windows each.
+        return [(r["id"], r["label"], [w.split() for w in r["windows"]]) for r in sample.select("_id", "label", "text").mapInArrow(run, f"id {kind}, label int, windows array<string>").collect()]
+
+    first = sorted(looked(None, 0, None))
+    ids, numbers = [r[0] for r in first], {r[0]: k for k, r in enumerate(first)}
+
+    def of_numbers(net: Network | None, epoch: int, chosen: Sequence[int]) -> dict[int, list[list[str]]]:
+        if net is None:
+            return {k: r[2] for k, r in enumerate(first)}
+        return {numbers[r[0]]: r[2] for r in looked(net, epoch, {ids[k] for k in chosen})}
+
+    return fit_windows(of_numbers, [r[1] for r in first], *known, **options)
 
 
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
