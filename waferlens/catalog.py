@@ -13,7 +13,7 @@ from .functions import predicates as fp
 from .operators import counts, models, relation, scores, shape, weights
 from .plans import etl, pipelines
 from .plans.request import Request, parse
-from .sources import tables, views
+from .sources import batches, tables, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1051,6 +1051,17 @@ def rows_appended(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_csv(spark, sink.path, "WAFER_ID string, KEY long, DEFECTS long", sep=";")
 
 
+@query(sql("SELECT WAFER_ID, KEY, LAYER_ID, DEFECTS, INSPECTION_TIME FROM defects WHERE DEFECTS >= 20", "defects"))
+def sink_exactly_once(spark: SparkSession, d: str) -> DataFrame:
+    """Labelled batches of at most 1,000 rows to a loader whose first reply to each is lost, two jobs, read back with a pushed filter."""
+    batches.register(spark)
+    rows = views.defects(spark, d).select("WAFER_ID", "KEY", "LAYER_ID", "DEFECTS", "INSPECTION_TIME")
+    path = tables.scratch_path(spark, "batches")
+    for half in ("KEY % 2 = 0", "KEY % 2 = 1"):
+        rows.filter(half).write.format(batches.NAME).options(batch_rows=1000, lose_replies=1, wait=0.01).mode("append").save(path)
+    return spark.read.format(batches.NAME).load(path).filter("DEFECTS >= 20")
+
+
 @query(sql("SELECT KEY, LAYER_ID FROM defects WHERE PRODG1 = 'O'", "defects"))
 def rows_overwritten(spark: SparkSession, d: str) -> DataFrame:
     """Lines of JSON, written over by fewer."""
