@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions import columns as fc
 from .functions import predicates as fp
-from .operators import counts, models, relation, scores, shape, weights
+from .operators import balance, counts, models, relation, scores, shape, weights
 from .plans import etl, pipelines
 from .plans.request import Request, parse
 from .sources import batches, tables, views
@@ -886,16 +886,27 @@ def rf_importance(spark: SparkSession, d: str) -> DataFrame:
     return models.group_importances(rows, ["OPE_NO"], rows.select("OPE_NO").distinct().sort("OPE_NO").collect())
 
 
-_SHRUNK = "SELECT label, count(*) AS n FROM (SELECT DISTINCT WAFER_ID, CASE WHEN CAST(substr(WAFER_ID, 2) AS BIGINT) % 10 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS label FROM inline JOIN conf_wafer ON WAFER_ID = NAME WHERE PARAMETRIC_NAME IN ('QTY#ALL#MEAN', 'TAX#ALL#MEAN') AND AVERAGE IS NOT NULL) GROUP BY 1"
+_SHRUNK = "SELECT label, count(*) AS n FROM (SELECT DISTINCT WAFER_ID, CASE WHEN CAST(substr(WAFER_ID, 2) AS BIGINT) % 10 = 0 THEN 1 ELSE 0 END AS label FROM inline JOIN conf_wafer ON WAFER_ID = NAME WHERE AVERAGE IS NOT NULL) GROUP BY 1"
 
 
-@query(sql("SELECT label, CAST(CASE WHEN (max(n) OVER () - min(n) OVER ()) / sum(n) OVER () > 0.7 THEN min(n) OVER () ELSE n END AS BIGINT) AS N FROM sizes", "inline", "conf_wafer", sizes=_SHRUNK))
+def _tenth(spark: SparkSession, d: str) -> DataFrame:
+    """All statistics of all units in one group, a tenth of the units bad."""
+    tenth = F.substring("UNIT", 2, 18).cast("long") % 10 == 0
+    rows = _units(spark, d)
+    return rows.select(F.lit("ALL").alias("G"), F.col("UNIT").alias("WAFER_ID"), F.when(tenth, 1).otherwise(0).alias("label"), F.col("FEATURE").alias("PARAMETRIC_NAME"), "RESULT")
+
+
+@query(sql("SELECT CAST(label AS DOUBLE) AS label, CAST(CASE WHEN (max(n) OVER () - min(n) OVER ()) / sum(n) OVER () > 0.7 THEN min(n) OVER () ELSE n END AS BIGINT) AS N FROM sizes", "inline", "conf_wafer", sizes=_SHRUNK))
 def undersample(spark: SparkSession, d: str) -> DataFrame:
     """Class sizes after the larger class, made nine tenths here, shrinks to centroids."""
-    tenth = F.substring("UNIT", 2, 18).cast("long") % 10 == 0
-    rows = _units(spark, d).filter("FEATURE like 'QTY%AVERAGE' or FEATURE like 'TAX%AVERAGE'").withColumn("label", F.when(tenth, 1).otherwise(0))
-    table = models.feature_table(rows, ["QTY#ALL#MEAN#AVERAGE", "TAX#ALL#MEAN#AVERAGE"])
-    return models.undersample(table).groupBy("label").agg(F.count("*").alias("N"))
+    vectors, _ = balance.class_vectors(scores.feature_means(_tenth(spark, d), ["G"]), ["G"])
+    return balance.balanced_rows(tables.written(vectors, "units"), ["G"]).groupBy(F.col("label").cast("double").alias("label")).agg(F.count("*").alias("N"))
+
+
+@query()
+def balanced_scores(spark: SparkSession, d: str) -> DataFrame:
+    """F shares between the smaller class and the larger one's centroids, of all parameters (tests hold them against SQL over the written centroids)."""
+    return balance.balanced_scores(_tenth(spark, d), ["G"])
 
 
 _CENTS = "SELECT WAFER_ID, label, OPE_NO, EQP_NAME, PARAMETRIC_NAME, avg(round(RESULT * 100)) AS X FROM labelled WHERE RESULT IS NOT NULL GROUP BY ALL"

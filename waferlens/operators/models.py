@@ -127,108 +127,6 @@ def group_importances(rows: DataFrame, keys: Sequence[str], groups: Sequence[Row
     return spark.createDataFrame(out, f"{kinds}, FEATURE string, IMPORTANCE double, AUC double")
 
 
-def undersample(table: DataFrame, share: float = 0.7, seed: int = 1024) -> DataFrame:
-    """Where one class outweighs the other by more than ``share``, the larger becomes as many k-means centres as the smaller has rows; ``label, features``."""
-    from pyspark.ml.clustering import KMeans
-
-    sizes = {r["label"]: r["count"] for r in table.groupBy("label").count().collect()}  # one row a class
-    total = sum(sizes.values())
-    if len(sizes) != 2 or abs(sizes[0.0] - sizes[1.0]) / total <= share:
-        return table.select("label", "features")
-    large, small = sorted(sizes, key=lambda c: -sizes[c])
-    most = table.filter(F.col("label") == large)
-    from pyspark.ml.stat import Summarizer
-
-    clusters = KMeans(k=max(2, sizes[small]), seed=seed).fit(most).transform(most).groupBy("prediction")
-    centres = clusters.agg(Summarizer.mean(F.col("features")).alias("features")).select(F.lit(large).alias("label"), "features")
-    return table.filter(F.col("label") == small).select("label", "features").unionByName(centres)
-
-
-def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Squared distances by a product of matrices: rows x centres, whatever the number of columns."""
-    return np.maximum(0.0, (x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1))
-
-
-def centroids(x: np.ndarray, k: int, seed: int = 1024, rounds: int = 50) -> np.ndarray:
-    """k-means centres of rows, from spread-out starting rows."""
-    rng = np.random.default_rng(seed)
-    centres = x[[rng.integers(len(x))]]
-    for _ in range(k - 1):
-        near = _squared(x, centres).min(1)
-        p = near / near.sum() if near.sum() else np.full(len(x), 1 / len(x))
-        centres = np.concatenate([centres, x[[rng.choice(len(x), p=p)]]])
-    for _ in range(rounds):
-        own = _squared(x, centres).argmin(1)
-        moved = np.array([x[own == j].mean(0) if (own == j).any() else centres[j] for j in range(k)])
-        if np.allclose(moved, centres):
-            break
-        centres = moved
-    return centres
-
-
-def balanced(matrix: np.ndarray, y: np.ndarray, share: float = 0.7) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and classes after the larger class has shrunk to centroids if it outweighs the other by more than ``share``."""
-    sizes = np.bincount(y, minlength=2)
-    if abs(sizes[0] - sizes[1]) / sizes.sum() > share:
-        large = int(np.argmax(sizes))
-        few = centroids(matrix[y == large], int(sizes[1 - large]))
-        matrix = np.concatenate([matrix[y != large], few])
-        y = np.concatenate([np.full(sizes[1 - large], 1 - large), np.full(len(few), large)])
-    return matrix, y
-
-
-def balanced_f(matrix: np.ndarray, y: np.ndarray, share: float = 0.7) -> np.ndarray:
-    """F of each column between the balanced classes."""
-    matrix, y = balanced(matrix, y, share)
-    a, b = matrix[y == 0], matrix[y == 1]
-    mean = matrix.mean(0)
-    between = len(a) * (a.mean(0) - mean) ** 2 + len(b) * (b.mean(0) - mean) ** 2
-    within = ((a - a.mean(0)) ** 2).sum(0) + ((b - b.mean(0)) ** 2).sum(0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        f = between / (within / (len(y) - 2))
-    return np.where(np.isfinite(f), f, 0.0)
-
-
-def balanced_chi2(matrix: np.ndarray, y: np.ndarray, share: float = 0.7) -> np.ndarray:
-    """Chi-square of each column, scaled to 0..1, between the balanced classes."""
-    matrix, y = balanced(matrix, y, share)
-    lo, hi = matrix.min(0), matrix.max(0)
-    x = (matrix - lo) / np.where(hi > lo, hi - lo, 1.0)
-    total = x.sum(0)
-    expected = np.array([total * (y == c).mean() for c in (0, 1)])
-    observed = np.array([x[y == c].sum(0) for c in (0, 1)])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        found = ((observed - expected) ** 2 / expected).sum(0)
-    return np.where(np.isfinite(found), found, 0.0)
-
-
-def anova_on_centroids(rows: DataFrame, keys: Sequence[str], model: str = "anova") -> DataFrame:
-    """The univariate score ``model`` (anova or chi2) for groups out of balance: ``keys, PARAMETRIC_NAME, IMPORTANCE, SATISFIED``.
-
-    Means per unit are aggregated first; a group's matrix of units by
-    parameters then meets in one task, since k-means needs it, so only groups
-    out of balance should come here.
-    """
-    from .scores import feature_means
-
-    keys = list(keys)
-    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys) + ", PARAMETRIC_NAME string, IMPORTANCE double, SATISFIED boolean"
-
-    def score(group: pd.DataFrame) -> pd.DataFrame:
-        m = group.pivot_table(index=["WAFER_ID", "label"], columns="PARAMETRIC_NAME", values="X")
-        y = m.index.get_level_values("label").to_numpy()
-        m = m.loc[:, m.nunique() > 1]
-        m = m.groupby(level="label").transform(lambda c: c.fillna(c.mean())).dropna(axis=1)
-        fine = m.shape[1] > 1 and len(np.unique(y)) > 1
-        f = (balanced_chi2 if model == "chi2" else balanced_f)(m.to_numpy(), y) if fine else np.zeros(m.shape[1])
-        out = pd.DataFrame({"PARAMETRIC_NAME": m.columns, "IMPORTANCE": f / f.sum() if f.sum() else f, "SATISFIED": fine})
-        for k in keys:
-            out[k] = group[k].iloc[0]
-        return out[[*keys, "PARAMETRIC_NAME", "IMPORTANCE", "SATISFIED"]]
-
-    return feature_means(rows, keys).groupBy(*keys).applyInPandas(score, schema)
-
-
 def digamma(n: Column) -> Column:
     """Of whole numbers from 1: ten steps of the recurrence, then the asymptotic series (to about 1e-11)."""
     z = n + 10.0

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import columns as fc
 from ..functions import predicates as fp
 from ..operators import counts, models, relation, scores, shape, weights
+from ..operators.balance import balanced_scores
+from ..sources.tables import written
 from .request import Request, RequestError
 
 #: The fixed shape of correlation results.
@@ -64,7 +66,7 @@ def _scored(rows: DataFrame, keys: Sequence[str], groups: DataFrame, model: str,
     uneven = both.filter(F.abs(F.col("GOOD_NUM") - F.col("BAD_NUM")) / (F.col("GOOD_NUM") + F.col("BAD_NUM")) > balance).select(*keys)
     found = _univariate(rows, keys, single)
     if single != "mutual_info":
-        shrunk = models.anova_on_centroids(rows.join(uneven, keys, "left_semi"), keys, single)
+        shrunk = balanced_scores(rows.join(uneven, keys, "left_semi"), keys, single)
         found = found.join(uneven, keys, "left_anti").unionByName(shrunk)
     found = found.join(both.select(*keys, "TIER"), keys).withColumn("AUC", F.when(F.col("SATISFIED"), 1.0).otherwise(0.0))
     if model == single:
@@ -83,6 +85,8 @@ def score_groups(rows: DataFrame, keys: Sequence[str], request_id: str, balance:
     parameters, constants and parameters without a value in a class have
     weight 0.  Raises if no group has both classes.
     """
+    # Every consumer below needs a unit's mean of a parameter only; the facts are read once.
+    rows = written(rows.groupBy("WAFER_ID", "label", *keys, "PARAMETRIC_NAME").agg(F.avg("RESULT").alias("RESULT")), "unit_means")
     groups = counts.tiers(counts.commonality(rows, keys))
     if groups.filter("TIER <> 'none'").isEmpty():
         raise RequestError("no group has both good and bad units")
@@ -105,7 +109,7 @@ def score_stats(rows: DataFrame, keys: Sequence[str], statistics: Sequence[str],
     and AUC, "auc" weighs by AUC alone.
     """
     keys = list(keys)
-    means = scores.stat_means(rows, keys, statistics)
+    means = written(scores.stat_means(rows, keys, statistics), "unit_means")
     moments = scores.stat_moments(means, keys, statistics)
     sizes = counts.commonality(means, keys)
     groups = counts.tiers_strict(sizes) if legacy else counts.tiers(sizes)
@@ -114,7 +118,7 @@ def score_stats(rows: DataFrame, keys: Sequence[str], statistics: Sequence[str],
     if request.model == "anova":
         uneven = both.filter(F.abs(F.col("GOOD_NUM") - F.col("BAD_NUM")) / (F.col("GOOD_NUM") + F.col("BAD_NUM")) > balance).select(*keys)
         even = scores.anova_stats(moments, sizes, keys).join(uneven, keys, "left_anti").select(*keys, *names, "IMPORTANCE", "SATISFIED")
-        shrunk = models.anova_on_centroids(_long(means.join(uneven, keys, "left_semi"), keys, statistics), keys)
+        shrunk = balanced_scores(_long(means.join(uneven, keys, "left_semi"), keys, statistics), keys)
         scored = even.unionByName(_apart(shrunk, keys).select(*keys, *names, "IMPORTANCE", "SATISFIED")).withColumn("AUC", F.when(F.col("SATISFIED"), 1.0).otherwise(0.0))
         scored = scored.join(both.select(*keys, "BAD_NUM"), keys)
     else:

@@ -115,8 +115,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir names no shared folder")
-        folder = tempfile.mkdtemp(prefix="waferlens-")
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+        # Driver and executors are one process here.
+        folder = f"{tempfile.gettempdir()}/checkpoints"
+    return f"{folder}/waferlens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: what several consumers read is made once, and lineage ends there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def empty_partitions(expected: DataFrame, facts: DataFrame, key: str) -> DataFrame:
