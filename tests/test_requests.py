@@ -161,7 +161,7 @@ def test_day_ranges():
     assert etl.day_range("not a day", "20240508", now) == (day[8], day[8])
 
 
-@pytest.mark.parametrize("model", ["rf", "decisionTree", "svc", "logistic", "sgd"])
+@pytest.mark.parametrize("model", ["rf", "decisionTree", "svc", "logistic"])
 def test_estimators_find_the_telling_feature(spark, model):
     r = np.random.default_rng(3)
     rows = [("g", f"u{i}", i % 2, f, float(r.normal((i % 2) * 4 * (f == "b") - 2 * (f == "b"), 1))) for i in range(30) for f in ("a", "b")]
@@ -193,7 +193,7 @@ def test_models_change_the_scores(spark):
     rows = [("g", f"w{i}", i % 2, p, float(r.normal(1 + (i % 2) * w, 1))) for i in range(40) for p, w in (("a", 2), ("b", 0.5), ("c", 0))]
     df = spark.createDataFrame(rows, "G string, WAFER_ID string, label int, PARAMETRIC_NAME string, RESULT double")
     found = {m: {q.PARAMETRIC_NAME: q.WEIGHT for q in pipelines.score_groups(df, ["G"], "r", model=m).collect()} for m in ("anova", "chi2", "mutual_info", "logistic")}
-    assert all(max(w, key=w.get) == "a" for w in found.values())
+    assert all(max(w, key=w.get) == "a" for w in found.values()), found
     assert len({round(w["a"], 6) for w in found.values()}) == len(found)
     assert all(sum(w.values()) == pytest.approx(1) for w in found.values())
 

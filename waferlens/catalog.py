@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions import columns as fc
 from .functions import predicates as fp
-from .operators import balance, counts, models, relation, scores, shape, weights
+from .operators import balance, counts, models, relation, scores, sgd, shape, weights
 from .plans import etl, pipelines
 from .plans.request import Request, parse
 from .sources import batches, tables, views
@@ -886,6 +886,13 @@ def rf_importance(spark: SparkSession, d: str) -> DataFrame:
     return models.group_importances(rows, ["OPE_NO"], rows.select("OPE_NO").distinct().sort("OPE_NO").collect())
 
 
+@query()
+def sgd_losses(spark: SparkSession, d: str) -> DataFrame:
+    """Each step's parameters by stochastic gradient machines of all four losses, all steps at once (tests hold the steps against numpy)."""
+    rows = _units(spark, d).select("OPE_NO", F.col("UNIT").alias("WAFER_ID"), "label", F.col("FEATURE").alias("PARAMETRIC_NAME"), "RESULT")
+    return sgd.importances(rows, ["OPE_NO"])
+
+
 _SHRUNK = "SELECT label, count(*) AS n FROM (SELECT DISTINCT WAFER_ID, CASE WHEN CAST(substr(WAFER_ID, 2) AS BIGINT) % 10 = 0 THEN 1 ELSE 0 END AS label FROM inline JOIN conf_wafer ON WAFER_ID = NAME WHERE AVERAGE IS NOT NULL) GROUP BY 1"
 
 

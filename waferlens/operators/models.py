@@ -96,8 +96,6 @@ def estimators(seed: int = 1024) -> dict:
         "decisionTree": (tree, ParamGridBuilder().addGrid(tree.maxDepth, [2, 4, 6]).build()),
         "svc": (svc, ParamGridBuilder().addGrid(svc.regParam, [0.01, 0.1]).build()),
         "logistic": (logit, ParamGridBuilder().addGrid(logit.elasticNetParam, [0.0, 1.0]).addGrid(logit.regParam, [0.01, 0.1]).build()),
-        # Stochastic steps are an optimiser, not another model: the same losses are fitted exactly.
-        "sgd": (logit, ParamGridBuilder().addGrid(logit.elasticNetParam, [0.5]).addGrid(logit.regParam, [0.001, 0.01]).build()),
     }
 
 
@@ -114,7 +112,8 @@ def group_importances(rows: DataFrame, keys: Sequence[str], groups: Sequence[Row
         for k in keys:
             own = own.filter(F.col(k).eqNullSafe(F.lit(g[k])))
         features = [r["FEATURE"] for r in own.select("FEATURE").distinct().sort("FEATURE").collect()]
-        table = feature_table(own, features).cache()
+        # In order, so that folds do not depend on how rows arrived.
+        table = feature_table(own, features).orderBy("UNIT", "label").cache()
         if table.select("label").distinct().count() == 2 and len(features) > 1:
             fitted = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds, seed=seed).fit(table)
             best = fitted.bestModel

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fc
 from ..functions import predicates as fp
-from ..operators import counts, models, relation, scores, shape, weights
+from ..operators import counts, models, relation, scores, sgd, shape, weights
 from ..operators.balance import balanced_scores
 from ..sources.tables import written
 from .request import Request, RequestError
@@ -56,7 +56,8 @@ def _scored(rows: DataFrame, keys: Sequence[str], groups: DataFrame, model: str,
     """``keys, PARAMETRIC_NAME, IMPORTANCE, AUC`` of the groups whose TIER is big or small.
 
     Univariate scores serve both tiers.  Estimators are fitted on big groups,
-    one distributed fit after another; small ones take the analysis of
+    stochastic gradient machines for all of them at once, others one distributed
+    fit after another; small ones take the analysis of
     variance.  Where class shares differ by more than ``balance`` the larger
     class shrinks to centroids first (mutual information takes all units).
     """
@@ -72,6 +73,12 @@ def _scored(rows: DataFrame, keys: Sequence[str], groups: DataFrame, model: str,
     if model == single:
         return found.select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "AUC")
     big = both.filter("TIER = 'big'").select(*keys)
+    if model.startswith("sgd"):
+        # "sgd" searches all losses; "sgd:hinge" and the like one of them.
+        grid = sgd.Grid(losses=(model.removeprefix("sgd:"),)) if ":" in model else sgd.Grid()
+        fitted = sgd.importances(rows.join(big, keys, "left_semi"), keys, grid)
+        small = found.filter("TIER = 'small'").select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "AUC")
+        return small.unionByName(fitted.select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "AUC"))
     units = rows.withColumn("UNIT", F.concat_ws("/", "WAFER_ID", F.col("label").cast("string"))).withColumnRenamed("PARAMETRIC_NAME", "FEATURE")
     fitted = models.group_importances(units, keys, big.sort(*keys).collect(), model).withColumnRenamed("FEATURE", "PARAMETRIC_NAME")
     small = found.filter("TIER = 'small'").select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "AUC")

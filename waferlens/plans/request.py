@@ -63,7 +63,7 @@ class Request:
 
 
 #: Scores that a request may name.
-MODELS = ("anova", "chi2", "mutual_info", "rf", "decisionTree", "svc", "logistic", "sgd")
+MODELS = ("anova", "chi2", "mutual_info", "rf", "decisionTree", "svc", "logistic", "sgd", "sgd:hinge", "sgd:log_loss", "sgd:perceptron", "sgd:huber")
 
 
 def group_keys(params: Mapping[str, Any], default: tuple[str, ...] = DEFAULT_KEYS) -> tuple[tuple[str, ...], frozenset[str]]:
