@@ -13,7 +13,7 @@ from .functions import predicates as fp
 from .operators import balance, counts, models, relation, scores, sgd, shape, weights
 from .plans import etl, pipelines
 from .plans.request import Request, parse
-from .sources import batches, tables, views
+from .sources import batches, partitioned, tables, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1080,6 +1080,22 @@ def sink_exactly_once(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.format(batches.NAME).load(path).filter("DEFECTS >= 20")
 
 
+@query(sql("SELECT LAYER_ID, PRODG1, count(*) AS N FROM defects WHERE LAYER_ID <> '1-URGENT' OR (PRODG1 <> 'O' OR DEFECTS > 100) GROUP BY ALL", "defects"))
+def partitions_dropped(spark: SparkSession, d: str) -> DataFrame:
+    """A catalog table: filled, a partition refilled twice with fewer rows, two listed before they have rows, the empty ones dropped; what the catalog lists, with its rows."""
+    rows = views.defects(spark, d).select("KEY", "WAFER_ID", "DEFECTS", "LAYER_ID", "PRODG1")
+    path = tables.scratch_path(spark, "partitioned")
+    table = partitioned.PartitionedTable.create(spark, f"defects_{path.rsplit('-', 1)[1]}", rows.schema, ["LAYER_ID", "PRODG1"], path)
+    table.append(rows)
+    for _ in range(2):
+        table.refill(rows.filter("LAYER_ID = '1-URGENT' and PRODG1 = 'O' and DEFECTS > 100"))
+    table.add(LAYER_ID="9-NONE", PRODG1="O")
+    table.add(LAYER_ID="it's 5=/+ %", PRODG1="F")
+    table.drop_empty()
+    counted = spark.table(table.name).groupBy("LAYER_ID", "PRODG1").agg(F.count("*").alias("N"))
+    return table.partitions().join(counted, ["LAYER_ID", "PRODG1"], "left")
+
+
 @query(sql("SELECT KEY, LAYER_ID FROM defects WHERE PRODG1 = 'O'", "defects"))
 def rows_overwritten(spark: SparkSession, d: str) -> DataFrame:
     """Lines of JSON, written over by fewer."""
