@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import numbering
+
 #: Sums per fold: x and y are shifted (and x scaled) by the group for models with intercept; X_, Y_ are raw; s is sqrt(Y_), t the shifted s.
 SUMS = {
     "n": "1.0D", "x": "x", "x2": "x*x", "x3": "x*x*x", "x4": "x*x*x*x", "y": "y", "yy": "y*y", "xy": "x*y", "x2y": "x*x*y",
@@ -90,11 +92,20 @@ def relation(df: DataFrame, keys: Sequence[str], x: str, y: str, order: Sequence
     whole = Window.partitionBy(*keys)
     pairs = df.select(*keys, *order, F.col(x).cast("double").alias("X_"), F.col(y).cast("double").alias("Y_"))
     pairs = pairs.filter("X_ is not null and Y_ is not null and not isnan(X_) and not isnan(Y_)")
-    rows = pairs.withColumn("i", F.row_number().over(whole.orderBy(*order)) - 1).withColumn("s", F.when(F.col("Y_") >= 0, F.sqrt("Y_")).otherwise(0.0))
-    rows = rows.select(
-        "*", F.count("*").over(whole).alias("c"), F.avg("X_").over(whole).alias("mx"), F.stddev_pop("X_").over(whole).alias("dx"), F.avg("Y_").over(whole).alias("my"), F.avg("s").over(whole).alias("ms"),
-        F.min("Y_").over(whole).alias("y_min"), (F.max("X_").over(whole) > F.min("X_").over(whole)).alias("x_varies"), (F.max("Y_").over(whole) > F.min("Y_").over(whole)).alias("y_varies"),
+    rows = numbering.placed(pairs.withColumn("s", F.when(F.col("Y_") >= 0, F.sqrt("Y_")).otherwise(0.0)), [*keys, *order]).withColumn("_k", F.struct(F.lit(0), *keys))
+    # Place, size, means and spread of a group from sums per group and task, so that no task takes a whole group.
+    parts = numbering.group_parts(
+        rows, F.avg("X_").alias("_mx"), (F.var_pop("X_") * F.count("*")).alias("_xx"), F.sum("Y_").alias("_y"), F.sum("s").alias("_s"),
+        *[f(c).alias(n) for f, c, n in ((F.min, "X_", "_x0"), (F.max, "X_", "_x1"), (F.min, "Y_", "_y0"), (F.max, "Y_", "_y1"))],
+    )
+    group = Window.partitionBy("_k")
+    parts = parts.withColumn("c", F.sum("_n").over(group)).withColumn("mx", F.sum(F.col("_n") * F.col("_mx")).over(group) / F.col("c"))
+    parts = parts.select(
+        "_k", "_part", "_shift", "c", "mx", F.sqrt(F.sum(F.col("_xx") + F.col("_n") * (F.col("_mx") - F.col("mx")) * (F.col("_mx") - F.col("mx"))).over(group) / F.col("c")).alias("dx"),
+        (F.sum("_y").over(group) / F.col("c")).alias("my"), (F.sum("_s").over(group) / F.col("c")).alias("ms"), F.min("_y0").over(group).alias("y_min"),
+        (F.max("_x1").over(group) > F.min("_x0").over(group)).alias("x_varies"), (F.max("_y1").over(group) > F.min("_y0").over(group)).alias("y_varies"),
     )
+    rows = rows.join(parts, ["_k", "_part"]).withColumn("i", F.col("_shift") + F.col("_at"))
     k = F.when(F.col("c") <= 5, 2).when(F.col("c") <= 21, 3).otherwise(5)
     small, more = F.floor(F.col("c") / k), F.col("c") % k
     cut = more * (small + 1)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 
 def _share(rows: DataFrame, raw: Column) -> DataFrame:
     """WEIGHT: ``raw`` over its sum over all rows, by a one-row aggregate rather than a window over everything."""
@@ -78,8 +80,8 @@ def boost(results: DataFrame, scores: DataFrame, target: str = "WEIGHT") -> Data
 
 
 def ranked(results: DataFrame, order: Sequence[Column | str], column: str = "INDEX_NO") -> DataFrame:
-    """1..n by one window: for result tables, which have a row per scored parameter."""
-    return results.withColumn(column, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    """1..n in ``order``, by ranges."""
+    return numbered(results, order, column)
 
 
 def decorated(results: DataFrame, request_id: str) -> DataFrame:
