@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions import columns as fc
 from .functions import predicates as fp
-from .operators import balance, counts, models, relation, scores, sgd, shape, weights
+from .operators import balance, counts, models, relation, scores, sgd, shape, states, weights
 from .plans import etl, pipelines
 from .plans.request import Request, parse
 from .sources import batches, partitioned, tables, views
@@ -1029,12 +1029,43 @@ def pca_by_variance(spark: SparkSession, d: str) -> DataFrame:
     return models.pca_features(_units(spark, d), ["OPE_NO"], variance=0.8)
 
 
+def _contexts(spark: SparkSession, d: str) -> DataFrame:
+    return views.runs(spark, d).select("TOOL_ID", "RUN_ID", F.concat(F.lit("P"), (F.col("RUN_ID").cast("long") % 3).cast("string")).alias("PRODUCT_ID"))
+
+
+# The columns that states keep exactly.
+_EXACT = "count(VAL) AS N, strftime(min(TIME_STAMP), '%Y-%m-%d %H:%M:%S') AS START_TIME, round(avg(VAL), 6) AS AVERAGE, round(stddev_pop(VAL), 6) AS STD_VAL, round(min(VAL), 6) AS MIN_VAL, round(max(VAL), 6) AS MAX_VAL, round(max(VAL) - min(VAL), 6) AS RANGE1"
+
+
+def _exact() -> list:
+    return ["N", F.date_format("START_TIME", "yyyy-MM-dd HH:mm:ss").alias("START_TIME"), *r6("AVERAGE", "STD_VAL", "MIN_VAL", "MAX_VAL", "RANGE1")]
+
+
+@query(sql(f"SELECT TOOL_ID, STEP, COLUMN_NAME, {_EXACT} FROM samples WHERE RUN_ID >= '20240108' GROUP BY TOOL_ID, STEP, COLUMN_NAME", "samples"))
+def run_state_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of a range of days, merged from stored states of each tool, run, step and day; some days were loaded three times."""
+    rows = samples(spark, d)
+    stored = states.StateTable(tables.scratch_path(spark, "states"), ("TOOL_ID", "RUN_ID", "STEP", "COLUMN_NAME"))
+    stored.load(rows.filter("day(TIME_STAMP) % 2 = 0"))
+    stored.load(rows.filter("day(TIME_STAMP) % 2 = 1"))
+    for _ in range(2):
+        stored.load(rows.filter("day(TIME_STAMP) % 5 = 0"))
+    keys = ["TOOL_ID", "STEP", "COLUMN_NAME"]
+    return states.features(states.merged(stored.read(spark, "2024-01-08"), keys), keys).select(*keys, *_exact())
+
+
+@query(sql(f"SELECT 'P' || (CAST(RUN_ID AS BIGINT) % 3) AS PRODUCT_ID, STEP, PARAMETRIC_NAME, {_EXACT} FROM samples s JOIN (SELECT DISTINCT TOOL_ID, COLUMN_NAME, PARAMETRIC_NAME FROM dict WHERE DATA_TYPE <> 'String' AND NOT regexp_matches(upper(PARAMETRIC_NAME), 'STEP|COUNT')) q ON s.TOOL_ID = q.TOOL_ID AND s.COLUMN_NAME = q.COLUMN_NAME GROUP BY 1, 2, 3", "samples", dict=_DICT))
+def product_features(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of each product's batch of runs, from the runs' states; text parameters and counters of steps go."""
+    parts = states.states(etl.named_samples(samples(spark, d), _dictionary(spark, d)), ["TOOL_ID", "RUN_ID", "STEP", "PARAMETRIC_NAME"])
+    return etl.product_features(parts, _contexts(spark, d), ["STEP", "PARAMETRIC_NAME"]).select("PRODUCT_ID", "STEP", "PARAMETRIC_NAME", *_exact())
+
+
 @query(sql("SELECT f.*, PRODUCT_ID, CHAMBER_NAME, EQP_NAME FROM (SELECT TOOL_ID, RUN_ID, COLUMN_NAME, round(avg(VAL), 6) AS AVERAGE FROM samples GROUP BY ALL) f JOIN (SELECT DISTINCT TOOL_ID, RUN_ID, 'P' || (CAST(RUN_ID AS BIGINT) % 3) AS PRODUCT_ID FROM runs) USING (TOOL_ID, RUN_ID) JOIN (SELECT 'T' || c.ID AS TOOL_ID, c.NAME AS CHAMBER_NAME, p.NAME AS EQP_NAME FROM t c JOIN t p ON c.PARENT_TOOL_ID = p.ID) USING (TOOL_ID)", "samples", t=_TOOLS))
 def run_features_placed(spark: SparkSession, d: str) -> DataFrame:
     tools = etl.tool_tree(_tools(spark, d)).withColumn("TOOL_ID", F.concat(F.lit("T"), F.col("TOOL_ID").cast("string")))
-    contexts = views.runs(spark, d).select("TOOL_ID", "RUN_ID", F.concat(F.lit("P"), (F.col("RUN_ID").cast("long") % 3).cast("string")).alias("PRODUCT_ID"))
     features = samples(spark, d).groupBy("TOOL_ID", "RUN_ID", "COLUMN_NAME").agg(F.round(F.avg("VAL"), 6).alias("AVERAGE"))
-    return etl.placed_features(features, contexts, tools)
+    return etl.placed_features(features, _contexts(spark, d), tools)
 
 
 # --- sinks, files, groups, days -------------------------------------------------------------------------------------

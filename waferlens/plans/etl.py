@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import step_name, wafer_id_by_form
+from ..operators import states
 
 
 def day_range(start: str | None = None, end: str | None = None, now: datetime | None = None) -> tuple[datetime, datetime]:
@@ -116,6 +117,12 @@ def product_amounts(rows: DataFrame, per_batch: int) -> DataFrame:
     return sizes.withColumn("BATCH", F.floor(F.coalesce(F.sum("N").over(w), F.lit(0)) / per_batch).cast("long"))
 
 
+def product_features(parts: DataFrame, contexts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Run statistics of each product over all its runs, from the runs' states: no sample is read again.  A run of several products counts for each."""
+    own = contexts.select("TOOL_ID", "RUN_ID", "PRODUCT_ID").distinct()
+    return states.features(states.merged(parts.join(own, ["TOOL_ID", "RUN_ID"]), ["PRODUCT_ID", *keys]), ["PRODUCT_ID", *keys])
+
+
 def placed_features(features: DataFrame, contexts: DataFrame, tools: DataFrame) -> DataFrame:
     """Run features with the run's product (by tool and run) and the tool's names."""
     placed = features.join(contexts.select("TOOL_ID", "RUN_ID", "PRODUCT_ID").distinct(), ["TOOL_ID", "RUN_ID"])
