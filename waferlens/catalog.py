@@ -13,7 +13,7 @@ from .functions import predicates as fp
 from .operators import balance, counts, models, relation, scores, sgd, shape, states, weights
 from .plans import etl, pipelines
 from .plans.request import Request, parse
-from .sources import batches, partitioned, tables, views
+from .sources import audit, batches, partitioned, tables, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1127,6 +1127,18 @@ def partitions_dropped(spark: SparkSession, d: str) -> DataFrame:
     return table.partitions().join(counted, ["LAYER_ID", "PRODG1"], "left")
 
 
+@query(sql("SELECT PRODG1 AS JOB, 'OK' AS STATUS, count(*) AS ROWS_IN, count(*) FILTER (WHERE DEFECTS >= 20) AS ROWS_OUT, count(*) FILTER (WHERE DEFECTS < 20) AS ROWS_REFUSED FROM defects GROUP BY 1 UNION ALL SELECT 'all', 'OK', count(*), count(*), 0 FROM defects", "defects"))
+def audit_observed(spark: SparkSession, d: str) -> DataFrame:
+    """The audit log of a load per product group, which refuses units of few defects, and of one load of all."""
+    log = audit.AuditLog(spark, tables.scratch_path(spark, "audit"))
+    sink = tables.Sink(tables.scratch_path(spark, "audited"))
+    rows = views.defects(spark, d)
+    for group in ("F", "O", "P"):
+        log.run(group, rows.filter(F.col("PRODG1") == group), sink.write, refused=F.col("DEFECTS") < 20)
+    log.run("all", rows, lambda r: sink.write(r, partition_by=("LAYER_ID",), mode="overwrite"))
+    return log.read().select("JOB", "STATUS", "ROWS_IN", "ROWS_OUT", "ROWS_REFUSED")
+
+
 @query(sql("SELECT KEY, LAYER_ID FROM defects WHERE PRODG1 = 'O'", "defects"))
 def rows_overwritten(spark: SparkSession, d: str) -> DataFrame:
     """Lines of JSON, written over by fewer."""
