@@ -259,3 +259,13 @@ def test_streaming_features(spark, data, tmp_path):
     query.awaitTermination(120)
     want = spark.read.parquet(source).groupBy(F.window("ts", "1 day").start.alias("START_TIME"), "event_type").count()
     assert spark.table("feats").count() == want.count()
+
+
+def test_rows_of_several_date_ranges(spark):
+    text = {"requestId": "r", "algorithm": "uva", "requestParam": {"uploadId": "U", "dateRange": [{"start": "2024-01-02", "end": "2024-01-04"}, {"start": "2024-01-08"}, {"end": "2023-12-31"}]}}
+    rows = spark.sql("SELECT explode(sequence(timestamp'2023-12-30', timestamp'2024-01-10', interval 1 day)) AS START_TIME")
+    got = pipelines.selected(rows, parse(json.dumps(text))).collect()
+    assert sorted(r.START_TIME.strftime("%m%d") for r in got) == ["0102", "0103", "0108", "0109", "0110", "1230"]
+    for dates in ([], {}, None):
+        text["requestParam"]["dateRange"] = dates
+        assert pipelines.selected(rows, parse(json.dumps(text))).count() == 12

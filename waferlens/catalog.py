@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions import columns as fc
 from .functions import predicates as fp
 from .operators import balance, counts, models, relation, scores, sgd, shape, states, weights
-from .plans import etl, pipelines
+from .plans import etl, many, pipelines
 from .plans.request import Request, parse
 from .sources import audit, batches, partitioned, tables, views
 
@@ -720,6 +720,36 @@ def uva_full(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*K2, "PARAMETRIC_NAME", "GOOD_NUM", "BAD_NUM", F.round("WEIGHT", 6).alias("WEIGHT"))
 
 
+# Fifty requests: of each nation one for a family of product groups from a day on, one for steps and tools before a day.
+_REQUESTS = """SELECT 'F' || n_nationkey AS REQUEST_ID, 'Brand#' || (n_regionkey + 1) || '%' AS family, NULL AS ope, NULL AS eqp, DATE '1992-01-01' + CAST(n_nationkey * 20 AS INTEGER) AS first_, NULL::DATE AS after_ FROM nation
+UNION ALL SELECT 'S' || n_nationkey, NULL, ['A', 'N'], ['EQP' || (n_nationkey % 5), 'EQP' || ((n_nationkey + 2) % 5)], NULL, DATE '1998-08-01' - CAST(n_nationkey * 30 AS INTEGER) FROM nation"""
+_ASKED = "SELECT REQUEST_ID, l.* FROM labelled l JOIN req ON (family IS NULL OR PRODG1 LIKE family) AND (ope IS NULL OR list_contains(ope, OPE_NO)) AND (eqp IS NULL OR list_contains(eqp, EQP_NAME)) AND (first_ IS NULL OR START_TIME >= first_) AND (after_ IS NULL OR START_TIME < after_)"
+_LATEST_ASKED = "SELECT DISTINCT * EXCLUDE (last_) FROM (SELECT *, max(RUN_ID) OVER (PARTITION BY REQUEST_ID, WAFER_ID, OPE_NO, CHAMBER_ID) AS last_ FROM asked WHERE WAFER_ID IS NOT NULL AND OPE_NO IS NOT NULL AND CHAMBER_ID IS NOT NULL AND RUN_ID IS NOT NULL AND RESULT IS NOT NULL) WHERE RUN_ID = last_"
+_KR = ("REQUEST_ID", *K2)
+
+
+def request_texts(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("n_nationkey").cast("int")
+
+    def body(name: str, *params) -> DataFrame:
+        own = F.struct(F.lit("U1").alias("uploadId"), F.array(*map(F.lit, K2)).alias("groupByList"), *params)
+        whole = F.struct(F.concat(F.lit(name), key.cast("string")).alias("requestId"), F.lit("uva").alias("algorithm"), own.alias("requestParam"))
+        return spark.read.parquet(f"{d}/nation.parquet").select(F.to_json(whole).alias("text"))
+
+    start = F.date_add(F.lit("1992-01-01").cast("date"), key * 20).cast("string")
+    end = F.date_sub(F.lit("1998-08-01").cast("date"), key * 30).cast("string")
+    family = F.concat(F.lit("Brand#"), (F.col("n_regionkey") + 1).cast("string"), F.lit("*"))
+    tools = F.concat(F.lit("EQP"), (key % 5).cast("string"), F.lit(",EQP"), ((key + 2) % 5).cast("string"))
+    return body("F", F.struct(start.alias("start")).alias("dateRange"), family.alias("prodg1")).unionByName(body("S", F.array(F.struct(end.alias("end"))).alias("dateRange"), F.array(F.lit("A"), F.lit("N")).alias("operNo"), tools.alias("tool")))
+
+
+@query(sql("SELECT REQUEST_ID, OPE_NO, EQP_NAME, PARAMETRIC_NAME, GOOD_NUM, BAD_NUM, round(coalesce(raw / total, 0), 6) AS WEIGHT FROM u LEFT JOIN (SELECT *, sum(raw) OVER (PARTITION BY REQUEST_ID) AS total FROM raw_) USING (REQUEST_ID, OPE_NO, EQP_NAME, PARAMETRIC_NAME) WHERE REQUEST_ID IN (SELECT REQUEST_ID FROM c WHERE GOOD_NUM > 0 AND BAD_NUM > 0)", "labelled", req=_REQUESTS, asked=_ASKED, lat=_LATEST_ASKED, c=_COMMON.format(k="REQUEST_ID, OPE_NO, EQP_NAME", t="lat"), **_anova_sql(_KR, "lat"), w_="SELECT a.*, BAD_NUM AS bad FROM anova a JOIN c USING (REQUEST_ID, OPE_NO, EQP_NAME) WHERE GOOD_NUM > 0 AND c.BAD_NUM > 0", raw_="SELECT REQUEST_ID, OPE_NO, EQP_NAME, PARAMETRIC_NAME, bad * IMPORTANCE * CASE WHEN SATISFIED THEN 1.0 ELSE 0.0 END AS raw FROM w_", u=_COMMON.format(k="REQUEST_ID, OPE_NO, EQP_NAME, PARAMETRIC_NAME", t="lat")))
+def many_requests(spark: SparkSession, d: str) -> DataFrame:
+    """Fifty requests answered by one plan."""
+    out = many.uva(views.uva(spark, d), views.conf_wafer(spark, d), many.request_table(request_texts(spark, d)))
+    return out.select(*_KR, "PARAMETRIC_NAME", "GOOD_NUM", "BAD_NUM", F.round("WEIGHT", 6).alias("WEIGHT"))
+
+
 _INLINE_LONG = f"SELECT PRODG1, OPE_NO, WAFER_ID, CASE WHEN LABEL = 'GOOD' THEN 0 ELSE 1 END AS label, P || '~' || STATS AS PARAMETRIC_NAME, RESULT FROM (SELECT *, PARAMETRIC_NAME AS P, unnest({list(views.STATS)}) AS STATS, unnest([{', '.join(views.STATS)}]) AS RESULT FROM inline) JOIN conf_wafer ON WAFER_ID = NAME WHERE RESULT IS NOT NULL"
 _KPO = ("PRODG1", "OPE_NO")
 

@@ -41,6 +41,10 @@ def all_of(parts: Iterable[Column]) -> Column:
     return reduce(and_, parts, F.lit(True))
 
 
+def any_of(parts: Iterable[Column]) -> Column:
+    return reduce(or_, parts)
+
+
 def excludes(column: str, words: Sequence[str]) -> Column:
     """No word occurs in the value; null values do not pass."""
     return ~F.col(column).rlike("|".join(words))

@@ -39,8 +39,9 @@ def enough_bad(rows: DataFrame, least: int = 2) -> DataFrame:
     return rows.crossJoin(F.broadcast(checked)).filter("_enough = 1").drop("_enough")
 
 
-def bad_total(df: DataFrame) -> DataFrame:
-    return df.filter("label = 1").agg(F.count_distinct("WAFER_ID").alias("BAD_TOTAL"))
+def bad_total(df: DataFrame, per: Sequence[str] = ()) -> DataFrame:
+    """One row, or one for each value of ``per`` that has a bad unit."""
+    return df.filter("label = 1").groupBy(*per).agg(F.count_distinct("WAFER_ID").alias("BAD_TOTAL"))
 
 
 def tier(good: str = "GOOD_NUM", bad: str = "BAD_NUM", least: int = 3) -> Column:

@@ -10,23 +10,28 @@ from pyspark.sql import functions as F
 from .numbering import numbered
 
 
-def _share(rows: DataFrame, raw: Column) -> DataFrame:
-    """WEIGHT: ``raw`` over its sum over all rows, by a one-row aggregate rather than a window over everything."""
+def _attached(rows: DataFrame, totals: DataFrame, per: Sequence[str]) -> DataFrame:
+    """``rows`` with their totals: one row for all, or one for each value of ``per``."""
+    return rows.join(totals, list(per)) if per else rows.crossJoin(F.broadcast(totals))
+
+
+def _share(rows: DataFrame, raw: Column, per: Sequence[str] = ()) -> DataFrame:
+    """WEIGHT: ``raw`` over its sum over all rows (of the same ``per``), by an aggregate rather than a window over everything."""
     rows = rows.withColumn("_raw", raw)
-    total = rows.agg(F.sum("_raw").alias("_total"))
-    return rows.crossJoin(F.broadcast(total)).withColumn("WEIGHT", F.coalesce(F.try_divide("_raw", "_total"), F.lit(0.0))).drop("_raw", "_total")
+    total = rows.groupBy(*per).agg(F.sum("_raw").alias("_total"))
+    return _attached(rows, total, per).withColumn("WEIGHT", F.coalesce(F.try_divide("_raw", "_total"), F.lit(0.0))).drop("_raw", "_total")
 
 
-def _auc_total(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: the sum over groups of the mean AUC."""
-    return rows.groupBy(*keys).agg(F.avg("AUC").alias("_a")).agg(F.sum("_a").alias("_auc"))
+def _auc_total(rows: DataFrame, keys: Sequence[str], per: Sequence[str] = ()) -> DataFrame:
+    """The sum over groups of the mean AUC: one row, or one for each value of ``per``."""
+    return rows.groupBy(*keys).agg(F.avg("AUC").alias("_a")).groupBy(*per).agg(F.sum("_a").alias("_auc"))
 
 
-def weights_by_bad_and_auc(rows: DataFrame, keys: Sequence[str], bad_total: DataFrame) -> DataFrame:
-    """Share of bad units x share of AUC x importance, normalised.  ``bad_total`` is one row."""
-    full = rows.crossJoin(F.broadcast(_auc_total(rows, keys))).crossJoin(F.broadcast(bad_total))
+def weights_by_bad_and_auc(rows: DataFrame, keys: Sequence[str], bad_total: DataFrame, per: Sequence[str] = ()) -> DataFrame:
+    """Share of bad units x share of AUC x importance, normalised.  ``bad_total`` is one row, or one for each value of ``per``, by which weights are normalised then."""
+    full = _attached(_attached(rows, _auc_total(rows, keys, per), per), bad_total, per)
     raw = F.try_divide(F.col("BAD_NUM"), F.col("BAD_TOTAL")) * F.try_divide("AUC", "_auc") * F.col("IMPORTANCE")
-    return _share(full, raw).drop("_auc", "BAD_TOTAL")
+    return _share(full, raw, per).drop("_auc", "BAD_TOTAL")
 
 
 def weights_fdc(rows: DataFrame, keys: Sequence[str], bad_total: DataFrame) -> DataFrame:

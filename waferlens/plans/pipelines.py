@@ -27,8 +27,8 @@ EXCLUDED = {"wafer": ("CXS", "CYS", "FDS"), "site": ("CXS", "CYS"), "zone": ("CX
 
 
 def selected(facts: DataFrame, request: Request, time: str = "START_TIME", closed: bool = False) -> DataFrame:
-    """Rows that the request's time range and keywords allow, with its merge rules applied."""
-    where = [fp.time_range(time, request.start, request.end, closed)] if time in facts.columns else []
+    """Rows that the request's time ranges and keywords allow, with its merge rules applied."""
+    where = [fp.any_of(fp.time_range(time, *r, closed) for r in request.ranges)] if time in facts.columns else []
     where += [fp.keyword(c, v) for c, v in request.filters.items() if c in facts.columns]
     return fc.merge_columns(facts.filter(fp.all_of(where)), request.merges)
 
@@ -52,7 +52,7 @@ def _univariate(rows: DataFrame, keys: Sequence[str], model: str) -> DataFrame:
     return found.select(*keys, "PARAMETRIC_NAME", F.when(fine, share).otherwise(0.0).alias("IMPORTANCE"), fine.alias("SATISFIED"))
 
 
-def _scored(rows: DataFrame, keys: Sequence[str], groups: DataFrame, model: str, balance: float) -> DataFrame:
+def scored_groups(rows: DataFrame, keys: Sequence[str], groups: DataFrame, model: str, balance: float) -> DataFrame:
     """``keys, PARAMETRIC_NAME, IMPORTANCE, AUC`` of the groups whose TIER is big or small.
 
     Univariate scores serve both tiers.  Estimators are fitted on big groups,
@@ -97,7 +97,7 @@ def score_groups(rows: DataFrame, keys: Sequence[str], request_id: str, balance:
     groups = counts.tiers(counts.commonality(rows, keys))
     if groups.filter("TIER <> 'none'").isEmpty():
         raise RequestError("no group has both good and bad units")
-    scored = _scored(rows, keys, groups, model, balance).join(groups.select(*keys, "BAD_NUM"), list(keys))
+    scored = scored_groups(rows, keys, groups, model, balance).join(groups.select(*keys, "BAD_NUM"), list(keys))
     weighed = weights.weights_by_bad_and_auc(scored, keys, counts.bad_total(rows))
     return weights.decorated(shape.missing_rows(counts.universe(rows, keys), weighed, [*keys, "PARAMETRIC_NAME"]), request_id)
 
@@ -129,7 +129,7 @@ def score_stats(rows: DataFrame, keys: Sequence[str], statistics: Sequence[str],
         scored = even.unionByName(_apart(shrunk, keys).select(*keys, *names, "IMPORTANCE", "SATISFIED")).withColumn("AUC", F.when(F.col("SATISFIED"), 1.0).otherwise(0.0))
         scored = scored.join(both.select(*keys, "BAD_NUM"), keys)
     else:
-        scored = _apart(_scored(_long(means, keys, statistics), keys, groups, request.model, balance), keys).join(both.select(*keys, "BAD_NUM"), keys)
+        scored = _apart(scored_groups(_long(means, keys, statistics), keys, groups, request.model, balance), keys).join(both.select(*keys, "BAD_NUM"), keys)
     bad = counts.bad_total(means)
     if legacy == "fdc":
         weighed = weights.weights_fdc(weights.top_share(scored, keys, tie=names), keys, bad)
@@ -220,7 +220,7 @@ def defect(facts: DataFrame, conf: DataFrame, request: Request, parameters: Sequ
     groups = counts.tiers_strict(counts.commonality(long, keys))
     # A group needs more than six units, whatever their classes.
     groups = groups.withColumn("TIER", F.when(F.col("GOOD_NUM") + F.col("BAD_NUM") > 6, F.col("TIER")).otherwise("none"))
-    weighed = weights.weights_auc_ratio(_scored(long, keys, groups, request.model, 0.7), keys)
+    weighed = weights.weights_auc_ratio(scored_groups(long, keys, groups, request.model, 0.7), keys)
     everything = counts.fixed_universe(rows, keys, parameters).crossJoin(F.broadcast(_fails(groups))).filter("_fine = 1").drop("_fine")
     return weights.decorated(shape.missing_rows(everything, weighed, [*keys, "PARAMETRIC_NAME"]), request.request_id)
 

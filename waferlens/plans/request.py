@@ -51,8 +51,8 @@ class Request:
     keys: tuple[str, ...]
     merges: Mapping[str, tuple[tuple[str, ...], ...]]
     filters: Mapping[str, tuple[str, ...]]
-    start: str | None = None
-    end: str | None = None
+    #: (start, end) pairs, either of which may be open; rows of any of them count.
+    ranges: tuple[tuple[str | None, str | None], ...] = ((None, None),)
     good_sites: tuple[str, ...] = ()
     bad_sites: tuple[str, ...] = ()
     zones: Mapping[str, Mapping[str, tuple[str, ...]]] = field(default_factory=dict)
@@ -82,13 +82,12 @@ def _of(request_id: str, source: str, granularity: str, params: Mapping[str, Any
     merges = {c: tuple(tuple(map(str, rule)) for rule in params[f]) for f, c in MERGES.items() if params.get(f) and c not in void}
     filters = {c: _split(params.get(f)) for f, c in FILTERS.items() if params.get(f)}
     dates = params.get("dateRange") or {}
-    if isinstance(dates, list):  # the older form: one range or a list of them
-        dates = dates[0] if dates else {}
+    ranges = tuple((r.get("start"), r.get("end")) for r in (dates if isinstance(dates, list) else [dates])) or ((None, None),)
     zones = {label: {z: tuple(s) for z, s in own.items()} for label, own in (params.get("modeInfo") or {}).items()}
     model = params.get("model") or "anova"
     if model not in MODELS:
         raise RequestError(f"unknown model: {model}")
-    return Request(request_id, source, granularity, params.get("uploadId"), keys, merges, filters, dates.get("start"), dates.get("end"), _split(params.get("goodSite")), _split(params.get("badSite")), zones, model=model, item_type=params.get("itemType"), filter_upload_id=params.get("correlation_filter_upload_id"))
+    return Request(request_id, source, granularity, params.get("uploadId"), keys, merges, filters, ranges, _split(params.get("goodSite")), _split(params.get("badSite")), zones, model=model, item_type=params.get("itemType"), filter_upload_id=params.get("correlation_filter_upload_id"))
 
 
 def parse(text: str) -> Request:
