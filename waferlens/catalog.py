@@ -1063,12 +1063,12 @@ def _contexts(spark: SparkSession, d: str) -> DataFrame:
     return views.runs(spark, d).select("TOOL_ID", "RUN_ID", F.concat(F.lit("P"), (F.col("RUN_ID").cast("long") % 3).cast("string")).alias("PRODUCT_ID"))
 
 
-# The columns that states keep exactly.
-_EXACT = "count(VAL) AS N, strftime(min(TIME_STAMP), '%Y-%m-%d %H:%M:%S') AS START_TIME, round(avg(VAL), 6) AS AVERAGE, round(stddev_pop(VAL), 6) AS STD_VAL, round(min(VAL), 6) AS MIN_VAL, round(max(VAL), 6) AS MAX_VAL, round(max(VAL) - min(VAL), 6) AS RANGE1"
+# The columns that states keep exactly.  Means of values with two decimals lie halfway between six decimals where N has many factors of two.
+_EXACT = "count(VAL) AS N, strftime(min(TIME_STAMP), '%Y-%m-%d %H:%M:%S') AS START_TIME, round(avg(VAL), 9) AS AVERAGE, round(stddev_pop(VAL), 6) AS STD_VAL, round(min(VAL), 6) AS MIN_VAL, round(max(VAL), 6) AS MAX_VAL, round(max(VAL) - min(VAL), 6) AS RANGE1"
 
 
 def _exact() -> list:
-    return ["N", F.date_format("START_TIME", "yyyy-MM-dd HH:mm:ss").alias("START_TIME"), *r6("AVERAGE", "STD_VAL", "MIN_VAL", "MAX_VAL", "RANGE1")]
+    return ["N", F.date_format("START_TIME", "yyyy-MM-dd HH:mm:ss").alias("START_TIME"), F.round("AVERAGE", 9).alias("AVERAGE"), *r6("STD_VAL", "MIN_VAL", "MAX_VAL", "RANGE1")]
 
 
 @query(sql(f"SELECT TOOL_ID, STEP, COLUMN_NAME, {_EXACT} FROM samples WHERE RUN_ID >= '20240108' GROUP BY TOOL_ID, STEP, COLUMN_NAME", "samples"))
