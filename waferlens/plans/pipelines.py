@@ -174,7 +174,7 @@ def wat_by_wafer(facts: DataFrame, conf: DataFrame, request: Request, mapping: D
     if request.item_type is not None:
         if mapping is None:
             raise RequestError("an item type needs the table of items")
-        rows = fp.with_mapping(rows, mapping, "PARAMETRIC_NAME", [request.item_type]) if request.item_type in (1, 2) else rows.join(mapping.select("PARAMETRIC_NAME"), "PARAMETRIC_NAME", "left_anti")
+        rows = fp.with_mapping(rows, mapping, "PARAMETRIC_NAME", [request.item_type]) if request.item_type in (1, 2) else rows.join(F.broadcast(mapping.select("PARAMETRIC_NAME").distinct()), "PARAMETRIC_NAME", "left_anti")
     rows = labelled(rows.withColumns({s: fc.number(s) for s in statistics}), conf, request.upload_id)
     keys = list(request.keys)
     if not keys:
