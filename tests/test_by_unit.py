@@ -17,6 +17,13 @@ def dealt_by(df):
     return [re.sub(r"#\d+L?", "", x) for x in re.findall(r"hashpartitioning\(([^)]*?), \d+\)", plan(df))]
 
 
+def test_unit_statistics_need_one_exchange_by_unit(spark, data):
+    long = shape.unpivot_stats(views.inline(spark, data), ["WAFER_ID", "PRODG1", "OPE_NO", "PARAMETRIC_NAME"], views.STATS)
+    assert [x for x in dealt_by(long) if "WAFER_ID" in x] == ["WAFER_ID"]
+    means = scores.feature_means(catalog.labelled(spark, data), ["OPE_NO", "EQP_NAME"])
+    assert [x for x in dealt_by(means) if "WAFER_ID" in x] == ["WAFER_ID"]
+
+
 def test_a_mapping_is_not_shuffled_to(spark, data):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
