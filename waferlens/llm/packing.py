@@ -210,7 +210,7 @@ def pack_lengths(lengths: Sequence[int], capacity: int, made: dict[str, int] | N
     return local_search(first_pass(lengths, capacity), lengths, capacity, made)
 
 
-def pack(items: DataFrame, capacity: int = 2048, group_rows: int = 20_000) -> DataFrame:
+def pack(items: DataFrame, capacity: int = 2048, group_rows: int = 20_000, carried: Sequence[str] = ()) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows that have ``length`` (1 to ``capacity``) and ``slot``; ``slot`` goes.
 
     Also how its group's search went: ``group_least`` (the bound: its tokens
@@ -218,10 +218,12 @@ def pack(items: DataFrame, capacity: int = 2048, group_rows: int = 20_000) -> Da
     and after), ``group_moves`` and ``group_exchanges``; pieces of full length
     are in no group.  Groups never share a sequence, which costs at most one
     sequence a group beyond the sum of their bounds.  ``items`` should be a
-    written table: it is read more than once.
+    written table: it is read more than once.  Columns named in ``carried``,
+    which may be large, do not pass through the search; they are joined to its
+    result by ``_row``, a number of each row, which goes, too.
     """
     told = ("group_least", "group_start", "group_bins", "group_moves", "group_exchanges")
-    kept = [c for c in items.columns if c != "slot"]
+    kept = [c for c in items.columns if c != "slot" and c not in carried]
     short = F.col("length") < capacity
     groups = max(1, -(-items.filter(short).count() // group_rows))
     fields = [items.schema[c] for c in kept]
@@ -241,10 +243,13 @@ def pack(items: DataFrame, capacity: int = 2048, group_rows: int = 20_000) -> Da
                 at += lengths[i]
         return group[kept].assign(sequence_id=sequence, offset=offset, **dict(zip(told, search, strict=True)))
 
-    dealt = items.filter(short).withColumn("_group", F.floor(F.col("slot") * groups).cast("long"))
+    dealt = items.filter(short).select(*kept, "slot").withColumn("_group", F.floor(F.col("slot") * groups).cast("long"))
     packed = dealt.groupBy("_group").applyInPandas(run, schema)
-    full = items.filter(~short).select(*kept, (F.lit(-1) - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *[F.lit(None).cast("long").alias(c) for c in told])
-    return packed.unionByName(full)
+    if carried:
+        packed = packed.join(items.filter(short).select("_row", *carried), "_row")
+    full = items.filter(~short).select(*kept, *carried, (F.lit(-1) - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *[F.lit(None).cast("long").alias(c) for c in told])
+    order = [c for c in items.columns if c not in ("slot", "_row")] if carried else kept
+    return packed.unionByName(full).select(*order, "sequence_id", "offset", *told)
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -255,4 +260,7 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id"
     one, null ids too; columns besides the id and the text are ignored; an
     empty table gives an empty one.
     """
-    return pack(cut(pieces(docs, capacity, id_col, text_col, vocabulary, with_ids), "pieces"), capacity)
+    found = pieces(docs, capacity, id_col, text_col, vocabulary, with_ids)
+    if not with_ids:
+        return pack(cut(found, "pieces"), capacity)
+    return pack(cut(found.withColumn("_row", F.monotonically_increasing_id()), "pieces"), capacity, carried=("ids",))
