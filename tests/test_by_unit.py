@@ -32,3 +32,8 @@ def test_a_mapping_is_not_shuffled_to(spark, data):
             assert "BroadcastHashJoin" in plan(found) and "SortMergeJoin [PARAMETRIC_NAME" not in plan(found)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_components_need_no_window(spark, data):
+    cells = models.filled_matrix(catalog._units(spark, data), ["OPE_NO"], missing=0.9)
+    assert "Window" not in plan(cells)

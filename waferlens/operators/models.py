@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 def filled_matrix(rows: DataFrame, keys: Sequence[str], missing: float | None = None) -> DataFrame:
     """Long means per UNIT and FEATURE without constant features: ``keys, UNIT, FEATURE, X, MEAN``; gaps stay out, since a mean fill adds nothing to centred products.  Features that more than ``missing`` of a group's units lack go."""
     means = rows.na.drop(subset=[*keys, "UNIT", "FEATURE", "RESULT"]).groupBy(*keys, "UNIT", "FEATURE").agg(F.avg("RESULT").alias("X"))
-    w = Window.partitionBy(*keys, "FEATURE")
-    stats = means.withColumn("MEAN", F.avg("X").over(w)).withColumn("_lo", F.min("X").over(w)).withColumn("_hi", F.max("X").over(w))
+    # A row per feature of a group; a window would sort all units of a feature in one task.
+    stats = means.groupBy(*keys, "FEATURE").agg(F.avg("X").alias("MEAN"), F.min("X").alias("_lo"), F.max("X").alias("_hi"), F.count("*").alias("_n"))
     if missing is not None:
         units = means.groupBy(*keys).agg(F.count_distinct("UNIT").alias("_units"))
-        stats = stats.withColumn("_n", F.count("*").over(w)).join(units, list(keys)).filter(1 - F.col("_n") / F.col("_units") <= missing).drop("_n", "_units")
-    return stats.filter("_lo < _hi").drop("_lo", "_hi")
+        stats = stats.join(units, list(keys)).filter(1 - F.col("_n") / F.col("_units") <= missing)
+    stats = stats.filter("_lo < _hi").select(*keys, "FEATURE", "MEAN")
+    return means.join(F.broadcast(stats), [*keys, "FEATURE"]).select(*keys, "UNIT", "FEATURE", "X", "MEAN")
 
 
 def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise: bool = True, doubled: bool = False, variance: float | None = None, missing: float | None = None) -> DataFrame:
@@ -40,19 +41,22 @@ def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise
     centred = cells.select(*keys, "UNIT", "FEATURE", (F.col("X") - F.col("MEAN")).alias("C"))
     # A unit's features meet in one array; products of pairs are summed per group, partially before the shuffle.
     units = centred.groupBy(*keys, "UNIT").agg(F.array_sort(F.collect_list(F.struct("FEATURE", "C"))).alias("v"))
-    pairs = units.select(*keys, F.explode(F.expr("flatten(transform(v, a -> transform(filter(v, b -> a.FEATURE <= b.FEATURE), b -> struct(a.FEATURE as _f, b.FEATURE as _g, a.C * b.C as _p))))")).alias("x"))
+    # A pair without names counts the units in the same pass.
+    products = F.expr("flatten(transform(v, a -> transform(filter(v, b -> a.FEATURE <= b.FEATURE), b -> struct(a.FEATURE as _f, b.FEATURE as _g, a.C * b.C as _p))))")
+    one = F.array(F.struct(F.lit(None).cast("string").alias("_f"), F.lit(None).cast("string").alias("_g"), F.lit(1.0).alias("_p")))
+    pairs = units.select(*keys, F.explode(F.concat(products, one)).alias("x"))
     gram = pairs.groupBy(*keys, F.col("x._f").alias("_f"), F.col("x._g").alias("_g")).agg(F.sum("x._p").alias("_p"))
-    sizes = units.groupBy(*keys).agg(F.count("*").alias("_units"))
     fields = [rows.schema[k] for k in keys]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", FEATURE string, IMPORTANCE double"
 
     def components(group: pd.DataFrame) -> pd.DataFrame:
+        counted = group["_f"].isna()
+        n, group = int(group.loc[counted, "_p"].iloc[0]), group[~counted]
         names = sorted({*group["_f"], *group["_g"]})
         at = {n: i for i, n in enumerate(names)}
         m = np.zeros((len(names), len(names)))
         i, j = group["_f"].map(at).to_numpy(), group["_g"].map(at).to_numpy()
         m[i, j] = m[j, i] = group["_p"]
-        n = int(group["_units"].iloc[0])
         count = min(min(n * (2 if doubled else 1), len(names)) - 2, most)
         found = []
         if count > 0:
@@ -71,7 +75,7 @@ def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise
             out[k] = group[k].iloc[0] if len(group) else None
         return out[[*keys, "FEATURE", "IMPORTANCE"]]
 
-    return gram.join(sizes, keys).groupBy(*keys).applyInPandas(components, schema)
+    return gram.groupBy(*keys).applyInPandas(components, schema)
 
 
 def feature_table(rows: DataFrame, features: Sequence[str]) -> DataFrame:
