@@ -35,3 +35,16 @@ def test_units_are_not_dealt_by_group_to_find_uneven_ones(spark, data, no_broadc
     rows = catalog.labelled(spark, data)
     uneven = pipelines._uneven(counts.commonality(rows, ["OPE_NO"]), ["OPE_NO"], 0.0)
     assert "BroadcastHashJoin [OPE_NO" in _plan(rows.join(uneven, ["OPE_NO"], "left_semi"))
+
+
+def test_a_hot_group_is_not_joined_by_its_key_alone(spark):
+    from waferlens.operators import balance
+
+    rows = [("g", f"w{i:03d}", 6, [float(i % 7), float(i)]) for i in range(60)]
+    vectors = spark.createDataFrame(rows, "G string, WAFER_ID string, K int, v array<double>")
+    blocks = vectors.selectExpr("G", "array(WAFER_ID) units", "v x", "2 width").repartition(5)
+    centres = vectors.filter("WAFER_ID < 'w006'").selectExpr("G", "cast(v[1] as int) CENTRE", "v")
+    own, _ = balance._assigned(blocks, centres, ["G"], "G string")
+    assert "Join" not in _plan(own) and "Exchange hashpartitioning(G" not in _plan(own)
+    found = {r.WAFER_ID: (r.CENTRE, r.D) for r in own.collect()}
+    assert found["w003"] == (3, 0.0) and found["w059"] == (5, (59 % 7 - 5) ** 2 + 54.0**2)
