@@ -48,3 +48,16 @@ def test_a_hot_group_is_not_joined_by_its_key_alone(spark):
     assert "Join" not in _plan(own) and "Exchange hashpartitioning(G" not in _plan(own)
     found = {r.WAFER_ID: (r.CENTRE, r.D) for r in own.collect()}
     assert found["w003"] == (3, 0.0) and found["w059"] == (5, (59 % 7 - 5) ** 2 + 54.0**2)
+
+
+def test_fits_read_written_means_and_sort_no_class(spark, data, monkeypatch):
+    from waferlens.operators import models
+
+    seen = []
+    monkeypatch.setattr(models, "group_importances", lambda rows, keys, groups: seen.append(rows) or rows)
+    catalog.rf_importance(spark, data)
+    assert "Join" not in _plan(seen[0]) and seen[0].count() == seen[0].select("OPE_NO", "UNIT", "label", "FEATURE").distinct().count()
+    rows = spark.createDataFrame([("u1", 1, "a", 2.0), ("u2", 1, "b", 4.0), ("u3", 0, "a", 8.0), ("u3", 0, "b", 6.0)], "UNIT string, label int, FEATURE string, RESULT double")
+    table = models.feature_table(rows, ["a", "b"])
+    assert "Window" not in _plan(table)
+    assert {r.UNIT: list(r.features) for r in table.collect()} == {"u1": [2.0, 4.0], "u2": [2.0, 4.0], "u3": [8.0, 6.0]}

@@ -83,11 +83,20 @@ def feature_table(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 
     wide = rows.groupBy("UNIT", "label").pivot("FEATURE", list(features)).agg(F.avg("RESULT"))
-    w = Window.partitionBy("label")
-    filled = wide.select("UNIT", F.col("label").cast("double").alias("label"), *[F.coalesce(F.col(f"`{f}`"), F.avg(f"`{f}`").over(w), F.lit(0.0)).alias(f"f{i}") for i, f in enumerate(features)])
+    # A row per class; a window would sort a class in one task.
+    means = wide.groupBy("label").agg(*[F.avg(f"`{f}`").alias(f"_m{i}") for i, f in enumerate(features)]).withColumnRenamed("label", "_label")
+    known = wide.join(F.broadcast(means), F.col("label").eqNullSafe(F.col("_label")))
+    filled = known.select("UNIT", F.col("label").cast("double").alias("label"), *[F.coalesce(F.col(f"`{f}`"), F.col(f"_m{i}"), F.lit(0.0)).alias(f"f{i}") for i, f in enumerate(features)])
     return VectorAssembler(inputCols=[f"f{i}" for i in range(len(features))], outputCol="features").transform(filled)
 
 
+def unit_features(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Means per group, UNIT, label and FEATURE, written: every group's fit reads them, none the facts."""
+    from ..sources.tables import written
+
+    return written(rows.groupBy(*keys, "UNIT", "label", "FEATURE").agg(F.avg("RESULT").alias("RESULT")), "unit_features")
+
+
 def estimators(seed: int = 1024) -> dict:
     """Classifier and parameter grid by name."""
     from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
@@ -119,7 +128,7 @@ def group_importances(rows: DataFrame, keys: Sequence[str], groups: Sequence[Row
         # In order, so that folds do not depend on how rows arrived.
         table = feature_table(own, features).orderBy("UNIT", "label").cache()
         if table.select("label").distinct().count() == 2 and len(features) > 1:
-            fitted = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds, seed=seed).fit(table)
+            fitted = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds, seed=seed, parallelism=4).fit(table)
             best = fitted.bestModel
             values = best.featureImportances.toArray() if hasattr(best, "featureImportances") else np.abs(best.coefficients.toArray())
             out += [(*[g[k] for k in keys], f, float(v), float(max(fitted.avgMetrics))) for f, v in zip(features, values, strict=True)]
