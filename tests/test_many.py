@@ -62,3 +62,53 @@ def test_facts_without_a_time_and_requests_without_a_match(spark, data):
 
 def test_fifty_requests_are_generated(spark, data):
     assert many.request_table(catalog.request_texts(spark, data)).filter("REFUSED is null").select("REQUEST_ID").distinct().count() == 50
+
+
+def _asked(spark, texts):
+    return many._numbered(many.request_table(spark.createDataFrame([(t,) for t in texts], "text string")))
+
+
+def test_a_fact_is_copied_for_each_chunk_of_requests_and_not_for_each_request(spark, monkeypatch):
+    monkeypatch.setattr(many, "CHUNK", 3)
+    spans = [{}, {"start": "2024-01-01 06:00:00"}, {"end": "2024-01-01 06:00:00"}, [{"start": "2024-01-01 01:00:00", "end": "2024-01-01 07:00:00"}, {"start": "2024-01-02"}], {"start": "2030-01-01"}]
+    words = [{}, {"prodg1": "a*"}, {"prodg1": "a1,b1", "operNo": "N"}]
+    params = [{"dateRange": s, **w} for s in spans for w in words]
+    asked = _asked(spark, [_text(f"r{n:02d}", **p) for n, p in enumerate(params)])
+    times = [None, "2023-12-31 23:59:59", "2024-01-01 00:00:00", "2024-01-01 05:59:59", "2024-01-01 06:00:00", "2024-01-01 07:00:00", "2024-01-03 00:00:00"]
+    rows = [(f"{n}", "U1", t, g, o) for n, (t, g, o) in enumerate((t, g, o) for t in times for g in ("a1", "b1", None) for o in ("N", "A"))]
+    facts = spark.createDataFrame(rows, "ID string, UPLOAD_ID string, t string, PRODG1 string, OPE_NO string").withColumn("START_TIME", F.col("t").cast("timestamp")).drop("t")
+
+    def wants(p, t, g, o):
+        spans = p["dateRange"] if isinstance(p["dateRange"], list) else [p["dateRange"]]
+        timely = any((not s) if t is None else s.get("start", "") <= t < s.get("end", "9") for s in spans)
+        family = "prodg1" not in p or (g or "").startswith("a") or (p["prodg1"] == "a1,b1" and g == "b1")
+        return timely and family and ("operNo" not in p or o == "N")
+
+    got = many.wanted(facts, asked)
+    assert got.groupBy("ID", "_chunk").count().filter("count > 1").isEmpty()
+    found = {(r.ID, f"r{r._chunk * 3 + bit:02d}") for r in got.collect() for bit in range(3) if r._set >> bit & 1}
+    assert found == {(i, f"r{n:02d}") for i, _, t, g, o in rows for n, p in enumerate(params) if wants(p, t, g, o)}
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_last_runs_by_bits(spark, kind):
+    sets = {("w1", "A", "C1", 1): [7, 1], ("w1", "A", "C1", 2): [2, 4 | 2], ("w1", "A", "C1", 3): [8], ("w1", "A", "C2", 1): [1 | -(2**63)], ("w2", "A", "C1", 5): [3]}
+    rows = [("U1", 0, w, 0, o, c, r, s) for (w, o, c, r), own in sets.items() for s in own]
+    df = spark.createDataFrame(rows, "UPLOAD_ID string, _chunk long, WAFER_ID string, label int, OPE_NO string, CHAMBER_ID string, RUN_ID long, _set long").withColumn("RUN_ID", F.col("RUN_ID").cast(kind))
+    out = many.last_wanted(df)
+    assert {(r.WAFER_ID, r.CHAMBER_ID, int(r.RUN_ID), r._set) for r in out.collect()} == {("w1", "C1", 3, 8), ("w1", "C1", 2, 2), ("w1", "C1", 2, 6), ("w1", "C1", 1, 1), ("w1", "C2", 1, 1 | -(2**63)), ("w2", "C1", 5, 3)}
+    news = {}
+    for r in out.collect():
+        for bit in range(64):
+            news[r.WAFER_ID, bit] = news.get((r.WAFER_ID, bit), 0) + (r._new >> bit & 1)
+    assert {k for k, n in news.items() if n} == {("w1", 0), ("w1", 1), ("w1", 2), ("w1", 3), ("w1", 63), ("w2", 0), ("w2", 1)} and set(news.values()) == {0, 1}
+
+
+def test_wide_facts_answer_as_long_ones_do(spark, data):
+    wide = views.passes(spark, data).withColumn("l_tax", F.when(F.col("RUN_ID") % 3 > 0, F.col("l_tax")))
+    wide = wide.unionByName(wide.filter("RUN_ID % 5 = 0").withColumn("l_discount", F.col("l_discount") + 1))  # equal but for one value
+    texts = [_text("a", groupByList=["OPE_NO", "EQP_NAME"]), _text("b", prodg1="Brand#1*", dateRange=[{"end": "1994-01-01"}, {"start": "1996-01-01"}])]
+    requests = many.request_table(spark.createDataFrame([(t,) for t in texts], "text string"))
+    conf, names = views.conf_wafer(spark, data), ["REQUEST_ID", "OPE_NO", "EQP_NAME", "PARAMETRIC_NAME", "GOOD_NUM", "BAD_NUM"]
+    a, b = ({tuple(r[n] for n in names): r.WEIGHT for r in many.uva(f, conf, requests, p).collect()} for f, p in ((views.parameters_apart(wide).filter("RESULT is not null"), None), (wide, views.NAMES)))
+    assert a.keys() == b.keys() and a == pytest.approx(b, abs=1e-9)

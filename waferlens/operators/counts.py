@@ -17,7 +17,12 @@ def commonality(df: DataFrame, keys: Sequence[str], labelled: bool = True) -> Da
     if not labelled:
         return df.filter("WAFER_ID is not null").select(*keys, "WAFER_ID").distinct().groupBy(*keys).agg(F.count("*").alias("GOOD_NUM"))
     units = df.filter("WAFER_ID is not null").select(*keys, "WAFER_ID", "label").distinct()
-    return units.groupBy(*keys).agg(F.count(F.when(F.col("label") == 0, 1)).alias("GOOD_NUM"), F.count(F.when(F.col("label") == 1, 1)).alias("BAD_NUM"))
+    return units.groupBy(*keys).agg(*sizes())
+
+
+def sizes() -> list[Column]:
+    """GOOD_NUM and BAD_NUM of rows that are one unit each."""
+    return [F.count(F.when(F.col("label") == c, 1)).alias(n) for c, n in enumerate(("GOOD_NUM", "BAD_NUM"))]
 
 
 def universe(df: DataFrame, keys: Sequence[str], stats: bool = False, measured_only: bool = True, labelled: bool = True) -> DataFrame:

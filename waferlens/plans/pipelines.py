@@ -6,7 +6,7 @@ fact and the result.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,7 +45,11 @@ def _univariate(rows: DataFrame, keys: Sequence[str], model: str) -> DataFrame:
     """``keys, PARAMETRIC_NAME, IMPORTANCE, SATISFIED`` by one parameter at a time."""
     if model == "anova":
         return scores.anova(rows, keys).select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "SATISFIED")
-    found, name = (scores.chi2(rows, keys), "CHI2") if model == "chi2" else (models.mutual_information(rows, keys), "MI")
+    return _shares(scores.chi2(rows, keys), keys, "CHI2") if model == "chi2" else _shares(models.mutual_information(rows, keys), keys, "MI")
+
+
+def _shares(found: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """A score's share of its group's sum."""
     whole = Window.partitionBy(*keys)
     fine = F.count("*").over(whole) > 1
     share = F.coalesce(F.try_divide(F.col(name), F.sum(name).over(whole)), F.lit(0.0))
@@ -90,6 +94,24 @@ def scored_groups(rows: DataFrame, keys: Sequence[str], groups: DataFrame, model
     return small.unionByName(fitted.select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "AUC"))
 
 
+def scored_moments(moments: DataFrame, groups: DataFrame, keys: Sequence[str], model: str, balance: float, units: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``scored_groups`` by the analysis of variance or chi-square from moments that are aggregated already, with BAD_NUM.
+
+    ``moments`` and ``groups`` are small written tables; ``units`` gives the
+    long unit means of the groups named, and is called only where some are
+    uneven.
+    """
+    keys = list(keys)
+    both = groups.filter("TIER <> 'none'")
+    uneven = _uneven(both, keys, balance)
+    rows = moments.filter("PARAMETRIC_NAME is not null").drop("GOOD_NUM", "BAD_NUM").join(both.select(*keys, "BAD_NUM", F.col("GOOD_NUM").cast("double").alias("N0"), F.col("BAD_NUM").cast("double").alias("N1")), keys)
+    found = scores.anova_moments(rows, keys) if model == "anova" else _shares(scores.chi2_moments(rows, keys), keys, "CHI2")
+    found = found.select(*keys, "PARAMETRIC_NAME", "IMPORTANCE", "SATISFIED")
+    if not uneven.isEmpty():
+        found = found.join(uneven, keys, "left_anti").unionByName(balanced_scores(units(uneven), keys, model))
+    return found.join(both.select(*keys, "BAD_NUM"), keys).withColumn("AUC", F.when(F.col("SATISFIED"), 1.0).otherwise(0.0)).drop("SATISFIED")
+
+
 def score_groups(rows: DataFrame, keys: Sequence[str], request_id: str, balance: float = 0.7, model: str = "anova") -> DataFrame:
     """Weights of all parameters of all groups.
 
