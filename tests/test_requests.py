@@ -269,3 +269,30 @@ def test_rows_of_several_date_ranges(spark):
     for dates in ([], {}, None):
         text["requestParam"]["dateRange"] = dates
         assert pipelines.selected(rows, parse(json.dumps(text))).count() == 12
+
+
+def test_parameters_side_by_side_answer_as_rows_do(spark, data):
+    from waferlens.sources import views
+
+    wide = views.passes(spark, data).withColumn("l_tax", F.when(F.col("RUN_ID") % 3 > 0, F.col("l_tax")))
+    wide = wide.unionByName(wide.filter("RUN_ID % 5 = 0").withColumn("l_discount", F.col("l_discount") + 1))  # equal but for one value
+    long, conf = views.parameters_apart(wide), views.conf_wafer(spark, data)
+    for params in ({"model": "chi2"}, {"model": "anova", "prodg1": "Brand#1*"}, {"model": "chi2", "parametricName": "QTY*,TAX*"}):
+        request = parse(json.dumps({"requestId": "r", "algorithm": "uva", "requestParam": {"uploadId": "U1", "groupByList": ["OPE_NO", "EQP_NAME"], **params}}))
+        names = ["OPE_NO", "EQP_NAME", "PARAMETRIC_NAME", "GOOD_NUM", "BAD_NUM"]
+        a, b = ({tuple(r[n] for n in names): r.WEIGHT for r in pipelines.uva(f, conf, request, parameters=p).collect()} for f, p in ((long, None), (wide, views.NAMES)))
+        assert a.keys() == b.keys() and a == pytest.approx(b, abs=1e-9)
+
+
+def test_unit_means_are_scored_without_another_exchange_of_units(spark, data, monkeypatch):
+    from waferlens.sources import views
+
+    request = parse(json.dumps({"requestId": "r", "algorithm": "uva", "requestParam": {"uploadId": "U1", "groupByList": ["OPE_NO"], "model": "chi2"}}))
+    plans = []
+    kept = pipelines.written
+    monkeypatch.setattr(pipelines, "written", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or kept(df, name))
+    monkeypatch.setattr(pipelines, "balanced_scores", lambda *a: pytest.fail("no group is uneven here"))
+    out = pipelines.uva(views.passes(spark, data), views.conf_wafer(spark, data), request, parameters=views.NAMES)
+    assert out.count() == 12 and [n for n, _ in plans] == ["unit_means", "moments"]
+    # Facts are dealt by unit once; moments leave a task as one row a group.
+    assert all(x.count("hashpartitioning(WAFER_ID") == (n == "unit_means") and "PARAMETRIC_NAME" not in x for n, x in plans)

@@ -178,8 +178,7 @@ def uva(facts: DataFrame, conf: DataFrame, requests: DataFrame, parameters: Mapp
     if parameters:
         # A unit has one row in a group: sizes and moments take one pass, and units are not written.
         sums = written(units.groupBy(*keys).agg(*counts.sizes(), bad, *scores.moment_parts(values)), "moments")
-        moments = scores.moments_apart(sums, keys, values)
-        moments = moments.withColumn("PARAMETRIC_NAME", F.element_at(F.create_map(*[F.lit(x) for n, c in parameters.items() for x in (c, n)]), F.col("STATS")))
+        moments = scores.moments_named(sums, keys, parameters)
         sizes = sums.select(*keys, "GOOD_NUM", "BAD_NUM")
         apart = lambda some: shape.parameters_apart(some, parameters).filter("RESULT is not null")
     else:

@@ -129,6 +129,25 @@ def score_groups(rows: DataFrame, keys: Sequence[str], request_id: str, balance:
     return weights.decorated(shape.missing_rows(counts.universe(rows, keys), weighed, [*keys, "PARAMETRIC_NAME"]), request_id)
 
 
+def score_wide(rows: DataFrame, keys: Sequence[str], request_id: str, parameters: Mapping[str, str], balance: float = 0.7, model: str = "anova") -> DataFrame:
+    """``score_groups`` for ``shape.distinct_sums`` of parameters side by side: a unit has one row in a group, so that sizes and moments take one pass."""
+    keys, values = list(keys), list(parameters.values())
+    means = written(shape.summed_means(rows, [*keys, "WAFER_ID", "label"], values), "unit_means")
+    sums = written(means.groupBy(*keys).agg(*counts.sizes(), *scores.moment_parts(values)), "moments")
+    groups = counts.tiers(sums.select(*keys, "GOOD_NUM", "BAD_NUM"))
+    if groups.filter("TIER <> 'none'").isEmpty():
+        raise RequestError("no group has both good and bad units")
+    moments = scores.moments_named(sums, keys, parameters)
+    long = lambda some: shape.parameters_apart(some, parameters).filter("RESULT is not null")
+    if model in ("anova", "chi2"):
+        scored = scored_moments(moments, groups, keys, model, balance, lambda uneven: long(means.join(uneven, keys, "left_semi")))
+    else:
+        scored = scored_groups(long(means), keys, groups, model, balance).join(groups.select(*keys, "BAD_NUM"), keys)
+    weighed = weights.weights_by_bad_and_auc(scored, keys, counts.bad_total(means))
+    names = [*keys, "PARAMETRIC_NAME"]
+    return weights.decorated(shape.missing_rows(moments.select(*names, "GOOD_NUM", "BAD_NUM"), weighed, names), request_id)
+
+
 def _fails(groups: DataFrame, tier: str = "none") -> DataFrame:
     """One row, which fails the query if no group has both classes."""
     some = groups.agg(F.coalesce(F.bool_or(F.col("TIER") != tier), F.lit(False)).alias("_some"))
@@ -179,12 +198,23 @@ def _apart(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.withColumn("STATS", F.get(parts, F.lit(1))).withColumn("PARAMETRIC_NAME", F.get(parts, F.lit(0)))
 
 
-def uva(facts: DataFrame, conf: DataFrame, request: Request, least_bad: int = 0) -> DataFrame:
-    """Sensor statistics of each unit's last run; ``least_bad`` refuses requests with fewer bad units (the early form wanted two)."""
+def uva(facts: DataFrame, conf: DataFrame, request: Request, least_bad: int = 0, parameters: Mapping[str, str] | None = None) -> DataFrame:
+    """Sensor statistics of each unit's last run; ``least_bad`` refuses requests with fewer bad units (the early form wanted two).
+
+    ``facts`` have a row per parameter (PARAMETRIC_NAME, RESULT), or
+    ``parameters`` names each parameter's column; they stay side by side
+    then, unless the request chooses or merges some.
+    """
+    if parameters and "PARAMETRIC_NAME" in {*request.filters, *request.merges}:
+        facts, parameters = shape.parameters_apart(facts, parameters), None
+    values = list(parameters.values()) if parameters else ["RESULT"]
     rows = selected(facts.filter(F.col("STATUS") != "ERROR"), request)
-    rows = shape.latest_run(labelled(rows.filter("RESULT is not null"), conf, request.upload_id))
+    rows = shape.last_runs(labelled(rows.filter(F.coalesce(*[F.col(v) for v in values]).isNotNull()), conf, request.upload_id))
     if least_bad:
         rows = counts.enough_bad(rows, least_bad)
+    if parameters:
+        return score_wide(shape.distinct_sums(rows, values), request.keys, request.request_id, parameters, model=request.model)
+    rows = rows.distinct()
     return score_groups(rows, request.keys, request.request_id, model=request.model)
 
 
@@ -355,8 +385,8 @@ def _boosted(results: DataFrame, outside: DataFrame | None, target: str) -> Data
     return weights.ranked(rows, [F.desc(target), *ties]).select(*results.columns)
 
 
-def run(request: Request, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Answer a request from named tables: facts by source, ``conf_wafer``, ``anomaly`` and, if there are any, ``scores``."""
+def run(request: Request, tables: Mapping[str, DataFrame], parameters: Mapping[str, str] | None = None) -> DataFrame:
+    """Answer a request from named tables: facts by source, ``conf_wafer``, ``anomaly`` and, if there are any, ``scores``.  ``parameters``: of sensor facts with a column for each parameter, their columns by name."""
     if request.source == "correlation":
         base = tables["anomaly"]
         if "REQUEST_ID" in base.columns:
@@ -372,7 +402,7 @@ def run(request: Request, tables: Mapping[str, DataFrame]) -> DataFrame:
         return _boosted(out, tables.get("scores"), "WEIGHT")
     facts, conf = tables[request.source], tables.get("conf_wafer")
     if request.source == "uva":
-        return _boosted(uva(facts, conf, request), tables.get("scores"), "WEIGHT_PERCENT")
+        return _boosted(uva(facts, conf, request, parameters=parameters), tables.get("scores"), "WEIGHT_PERCENT")
     if request.source == "defect":
         return defect(facts, conf, request)
     if request.source == "fdc_advanced":
