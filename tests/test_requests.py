@@ -277,7 +277,7 @@ def test_parameters_side_by_side_answer_as_rows_do(spark, data):
     wide = views.passes(spark, data).withColumn("l_tax", F.when(F.col("RUN_ID") % 3 > 0, F.col("l_tax")))
     wide = wide.unionByName(wide.filter("RUN_ID % 5 = 0").withColumn("l_discount", F.col("l_discount") + 1))  # equal but for one value
     long, conf = views.parameters_apart(wide), views.conf_wafer(spark, data)
-    for params in ({"model": "chi2"}, {"model": "anova", "prodg1": "Brand#1*"}, {"model": "chi2", "parametricName": "QTY*,TAX*"}):
+    for params in ({"model": "chi2"}, {"model": "anova", "prodg1": "Brand#1*"}, {"model": "chi2", "parametricName": "QTY*,TAX*"}, {"model": "mutual_info"}):
         request = parse(json.dumps({"requestId": "r", "algorithm": "uva", "requestParam": {"uploadId": "U1", "groupByList": ["OPE_NO", "EQP_NAME"], **params}}))
         names = ["OPE_NO", "EQP_NAME", "PARAMETRIC_NAME", "GOOD_NUM", "BAD_NUM"]
         a, b = ({tuple(r[n] for n in names): r.WEIGHT for r in pipelines.uva(f, conf, request, parameters=p).collect()} for f, p in ((long, None), (wide, views.NAMES)))
