@@ -7,13 +7,15 @@ those of pyspark.ml.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def filled_matrix(rows: DataFrame, keys: Sequence[str], missing: float | None = None) -> DataFrame:
@@ -57,20 +59,7 @@ def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise
         m = np.zeros((len(names), len(names)))
         i, j = group["_f"].map(at).to_numpy(), group["_g"].map(at).to_numpy()
         m[i, j] = m[j, i] = group["_p"]
-        count = min(min(n * (2 if doubled else 1), len(names)) - 2, most)
-        found = []
-        if count > 0:
-            values, vectors = np.linalg.eigh(m)
-            if variance is not None:
-                shares = np.cumsum(values[::-1]) / max(values.sum(), 1e-300)
-                count = min(count, int(np.searchsorted(shares, variance)) + 1)
-            for c in range(count):
-                loading = np.abs(vectors[:, -1 - c])
-                best = int(np.argmax(np.round(loading, 12)))
-                found.append((names[best], float(loading[best])))
-        found = list(dict.fromkeys(found))
-        total = sum(x for _, x in found) if normalise else 1.0
-        out = pd.DataFrame({"FEATURE": [f for f, _ in found], "IMPORTANCE": [x / total for _, x in found]})
+        out = _loadings(m, names, n, most, normalise, doubled, variance)
         for k in keys:
             out[k] = group[k].iloc[0] if len(group) else None
         return out[[*keys, "FEATURE", "IMPORTANCE"]]
@@ -78,6 +67,117 @@ def pca_features(rows: DataFrame, keys: Sequence[str], most: int = 20, normalise
     return gram.groupBy(*keys).applyInPandas(components, schema)
 
 
+def _loadings(m: np.ndarray, names: Sequence[str], n: int, most: int, normalise: bool, doubled: bool, variance: float | None) -> pd.DataFrame:
+    """FEATURE and IMPORTANCE of a group of ``n`` units from its features' centred products."""
+    count = min(min(n * (2 if doubled else 1), len(names)) - 2, most)
+    found = []
+    if count > 0:
+        values, vectors = np.linalg.eigh(m)
+        if variance is not None:
+            shares = np.cumsum(values[::-1]) / max(values.sum(), 1e-300)
+            count = min(count, int(np.searchsorted(shares, variance)) + 1)
+        for c in range(count):
+            loading = np.abs(vectors[:, -1 - c])
+            best = int(np.argmax(np.round(loading, 12)))
+            found.append((names[best], float(loading[best])))
+    found = list(dict.fromkeys(found))
+    total = sum(x for _, x in found) if normalise else 1.0
+    return pd.DataFrame({"FEATURE": [f for f, _ in found], "IMPORTANCE": [x / total for _, x in found]})
+
+
+#: Groups whose sums a task holds before it hands them on.
+HELD_GROUPS = 512
+
+
+class _Products:
+    """Sums of a group's rows around a shift, its first rows' mean: of pairs of features the products (p), the first's values where both are (a) and how often both are (n); and how many rows have which features."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        known = ~np.isnan(x)
+        self.shift = np.where(known, x, 0.0).sum(0) / np.maximum(known.sum(0), 1)
+        self.p, self.a, self.n = (np.zeros((x.shape[1], x.shape[1])) for _ in range(3))
+        self.low, self.high = np.full(x.shape[1], np.inf), np.full(x.shape[1], -np.inf)
+        self.having: dict[bytes, int] = {}
+        self.add(x)
+
+    def add(self, x: np.ndarray) -> None:
+        known = ~np.isnan(x)
+        z, one = np.where(known, x - self.shift, 0.0), known.astype(float)
+        self.p += z.T @ z
+        self.a += z.T @ one
+        self.n += one.T @ one
+        self.low, self.high = np.minimum(self.low, np.where(known, x, np.inf).min(0)), np.maximum(self.high, np.where(known, x, -np.inf).max(0))
+        rows, counts = np.unique(np.packbits(known, axis=1), axis=0, return_counts=True)
+        for r, c in zip(rows, counts.tolist(), strict=True):
+            self.having[r.tobytes()] = self.having.get(r.tobytes(), 0) + c
+
+
+def pca_wide(means: DataFrame, keys: Sequence[str], features: Sequence[str], most: int = 20, normalise: bool = True, doubled: bool = False, variance: float | None = None, missing: float | None = None) -> DataFrame:
+    """``pca_features`` of unit means with ``features`` side by side, a row per group and unit.
+
+    A task multiplies its rows of a group as matrices and hands on one row of
+    sums per group; these sums, around each task's own shift, are put together
+    around the group's means.
+    """
+    keys, names = list(keys), sorted(features)
+    rows = means.na.drop(subset=keys).select(*keys, *[F.col(f"`{f}`").cast("double").alias(f) for f in names])
+    kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
+    own_kinds = [to_arrow_type(rows.schema[k].dataType) for k in keys]
+    parts = ("shift", "p", "a", "n", "low", "high")
+
+    def handed(held: dict[tuple, _Products]) -> pa.RecordBatch:
+        columns = [pa.array([g[i] for g in held], k) for i, k in enumerate(own_kinds)]
+        sums = [pa.array([getattr(s, c).ravel() for s in held.values()], pa.list_(pa.float64())) for c in parts]
+        having = [pa.array([list(s.having) for s in held.values()], pa.list_(pa.binary())), pa.array([list(s.having.values()) for s in held.values()], pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays([*columns, *sums, *having], names=[*keys, *parts, "having", "units"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, _Products] = {}
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[len(keys) :]], 1).astype(float)
+            code = np.zeros(batch.num_rows, np.int64)
+            for c in batch.columns[: len(keys)]:
+                at = c.dictionary_encode()
+                code = np.unique(code * len(at.dictionary) + at.indices.to_numpy(), return_inverse=True)[1]
+            order = np.argsort(code, kind="stable")
+            starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+            for part in np.split(order, starts[1:]) if len(order) else ():
+                group, values = tuple(c[int(part[0])].as_py() for c in batch.columns[: len(keys)]), x[part]
+                values = values[~np.isnan(values).all(1)]
+                if not len(values):
+                    continue
+                if group in held:
+                    held[group].add(values)
+                else:
+                    held[group] = _Products(values)
+                if len(held) >= HELD_GROUPS:
+                    yield handed(held)
+                    held = {}
+        if held:
+            yield handed(held)
+
+    def components(group: pd.DataFrame) -> pd.DataFrame:
+        shift, low, high = (np.stack(group[c].to_numpy()) for c in ("shift", "low", "high"))
+        p, a, n = (np.stack(group[c].to_numpy()).reshape(len(group), len(names), len(names)) for c in ("p", "a", "n"))
+        many = n.sum(0).diagonal()
+        # How far each task's shift is from the group's mean: the means first around one of the shifts, so that large values keep their digits.
+        off = np.where(n.diagonal(axis1=1, axis2=2) > 0, shift - shift[0], 0.0)
+        delta = off - ((off * n.diagonal(axis1=1, axis2=2) + a.diagonal(axis1=1, axis2=2)).sum(0) / np.maximum(many, 1))
+        m = (p + delta[:, None, :] * a + (delta[:, None, :] * a).transpose(0, 2, 1) + delta[:, :, None] * delta[:, None, :] * n).sum(0)
+        bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(names)).astype(bool) for own in group["having"] for b in own]
+        having, units = np.stack(bits), np.concatenate(group["units"].to_numpy())
+        kept = low.min(0) < high.max(0)
+        if missing is not None:
+            kept &= 1 - many / units.sum() <= missing
+        out = _loadings(m[np.ix_(kept, kept)], [x for x, k in zip(names, kept, strict=True) if k], int(units[(having & kept).any(1)].sum()), most, normalise, doubled, variance)
+        for k in keys:
+            out[k] = group[k].iloc[0]
+        return out[[*keys, "FEATURE", "IMPORTANCE"]]
+
+    sums = rows.mapInArrow(run, f"{kinds}, " + ", ".join(f"{c} array<double>" for c in parts) + ", having array<binary>, units array<bigint>")
+    return sums.groupBy(*keys).applyInPandas(components, f"{kinds}, FEATURE string, IMPORTANCE double")
+
+
 def feature_table(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     """Wide: a row per UNIT and label with a column per feature, gaps filled by the class mean, as a vector."""
     from pyspark.ml.feature import VectorAssembler
