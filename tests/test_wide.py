@@ -57,7 +57,7 @@ def test_unit_means_side_by_side_equal_rows(spark):
     assert sorted(scores.wide_means(df, ["G"], ["a", "b"]).select("WAFER_ID", "a", "b").collect()) == [("w1", 2.5, None), ("w4", None, 2.0)]
 
 
-@pytest.mark.parametrize("name", ["pca_topfeat"])
+@pytest.mark.parametrize("name", ["pca_topfeat", "pca_by_variance"])
 def test_no_row_per_pair_of_features(spark, data, name):
     plan = catalog.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert "explode" not in plan and "MapInArrow" in plan
