@@ -89,3 +89,18 @@ def test_requests_reach_every_loss(spark, model):
 def test_unknown_losses_are_errors():
     with pytest.raises(RequestError):
         parse(_text(model="sgd:squared"))
+
+
+def test_ranges_of_scores_count_every_pair_and_features_may_stand_side_by_side(spark, monkeypatch):
+    """Many equal scores, blocks of a few units, and more ranges than scores: areas are those of one block."""
+    rng = np.random.default_rng(11)
+    y = rng.random(150) < 0.4
+    rows = [("g", f"w{i:03d}", int(y[i]), float(rng.integers(0, 3) + y[i]), float(rng.integers(0, 2))) for i in range(150)]
+    wide = spark.createDataFrame(rows, "G string, WAFER_ID string, label int, a double, b double")
+    long = wide.selectExpr("G", "WAFER_ID", "label", "stack(2, 'a', a, 'b', b) as (PARAMETRIC_NAME, RESULT)")
+    grid = sgd.Grid(losses=("hinge", "log_loss"), penalties=(None,), alphas=(0.01,))
+    monkeypatch.setattr(sgd, "HELD_BLOCKS", 2)
+    found = [{r.PARAMETRIC_NAME: r for r in sgd.importances(df, ["G"], grid, epochs=1, **more).collect()} for df, more in ((long, {}), (wide, {"features": ["a", "b"], "block_units": 40}))]
+    for k, r in found[0].items():
+        assert (found[1][k].MODEL, found[1][k].IMPORTANCE, found[1][k].AUC) == (r.MODEL, pytest.approx(r.IMPORTANCE, abs=1e-9), pytest.approx(r.AUC, abs=1e-9)), k
+    assert set(found[1]) == {"a", "b"}
