@@ -69,3 +69,16 @@ def test_folds_are_contiguous():
 def test_an_empty_table_has_no_relation(spark):
     empty = _rows(spark).filter(F.lit(False))
     assert relation.relations(empty, ["g"], {"A": "a"}, "y", ["id"], "NAME").collect() == []
+
+
+def test_facts_are_made_once(spark, data, monkeypatch):
+    from waferlens import catalog
+    from waferlens.plans import pipelines
+
+    seen, moved, placed = [], [], numbering.placed_values
+    correlate = pipelines.correlate
+    monkeypatch.setattr(pipelines, "correlate", lambda source, facts, *a: seen.append(facts) or correlate(source, facts, *a))
+    monkeypatch.setattr(numbering, "placed_values", lambda df, *a: moved.append(df._jdf.queryExecution().executedPlan().toString()) or placed(df, *a))
+    catalog.corr_wat(spark, data)
+    assert seen[0]._jdf.queryExecution().optimizedPlan().toString().count("l_extendedprice#") and seen[0]._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") == 1
+    assert len(moved) == 1 and "Aggregate" not in moved[0] and "Exchange" not in moved[0]

@@ -17,7 +17,7 @@ from pyarrow import dataset, fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import qualified, scratch_path
+from ..sources.tables import deleted, qualified, scratch_path
 from . import numbering
 
 #: Sums per fold: x and y are shifted (and x scaled) by the group for models with intercept; X_, Y_ are raw; s is sqrt(Y_), t the shifted s.
@@ -184,7 +184,11 @@ def relations(df: DataFrame, keys: Sequence[str], xs: Mapping[str, str], y: str,
     whole = Window.partitionBy(*keys)
     pairs = df.select(*own, *[c for c in order if c not in own], *[_known(x).alias(f"_x{i}") for i, x in enumerate(xs.values())], _known(y).alias("_y"))
     pairs = pairs.filter(F.col("_y").isNotNull() & F.coalesce(*[F.col(f"_x{i}") for i in range(len(xs))]).isNotNull())
-    rows = numbering.placed_values(pairs, [*own, *order], [f"_x{i}" for i in range(len(xs))], [*own, "_y"])
+    # Written first: dealing by ranges looks at its rows before it moves them, and would make the facts twice.
+    path = scratch_path(df.sparkSession, "pairs")
+    pairs.write.parquet(path)
+    rows = numbering.placed_values(df.sparkSession.read.schema(pairs.schema).parquet(path), [*own, *order], [f"_x{i}" for i in range(len(xs))], [*own, "_y"])
+    deleted(df.sparkSession, path)
     path = scratch_path(df.sparkSession, "parts")
     _parts(rows, own, names).write.partitionBy("_part").parquet(path)
     rows = _fold_sums(rows, path, own, names, name, folds)
